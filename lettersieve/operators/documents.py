@@ -21,50 +21,77 @@ def header_values(events: DataFrame) -> DataFrame:
     )
 
 
-def body_parts(events: DataFrame, parts: str = "first") -> DataFrame:
-    """(box, uid, seq, value) of the first body part of each message, or of all parts."""
-    found = events.filter(F.col("key_type") == BODY_KIND)
-    if parts == "all":
-        return found.select("box", "uid", "seq", "value")
-    if parts != "first":
-        raise ValueError(f"parts must be 'first' or 'all', not {parts!r}")
+def body_first_part(events: DataFrame) -> DataFrame:
+    """(box, uid, body): a message's first body part, found before anything is shuffled."""
     return (
-        found.groupBy("box", "uid")
-        .agg(F.min_by(F.struct("seq", "value"), "seq").alias("part"))
-        .select("box", "uid", "part.seq", "part.value")
+        events.filter(F.col("key_type") == BODY_KIND)
+        .groupBy("box", "uid")
+        .agg(text.clean_value(F.min_by("value", "seq")).alias("body"))
     )
 
 
-def body_first_part(events: DataFrame) -> DataFrame:
-    """(box, uid, body)."""
-    return body_parts(events).select("box", "uid", F.col("value").alias("body"))
+def _occurrences(events: DataFrame) -> DataFrame:
+    """(box, uid, field, seq, is_part, value) of headers and body parts."""
+    is_part = F.col("key_type") == BODY_KIND
+    is_header = F.col("key_type").isin(*HEADER_KINDS) & (F.col("hdr_name") != "")
+    return events.filter(is_part | is_header).select(
+        "box",
+        "uid",
+        F.when(is_part, BODY_FIELD).otherwise(text.field_name(F.col("hdr_name"))).alias("field"),
+        "seq",
+        is_part.alias("is_part"),
+        "value",
+    )
 
 
-def field_values(events: DataFrame, parts: str = "first", bits: int = slices.SLICE_BITS) -> DataFrame:
-    """Documents in long form: (box, uid, field, pos, value), repeated fields in arrival order."""
-    return slices.position(_occurrences(events, parts), ["box", "uid", "field"], "seq", "pos", bits).select(
-        "box", "uid", "field", "pos", text.clean_value(F.col("value")).alias("value")
-    )
+def _check_parts(parts: str) -> None:
+    if parts not in ("first", "all"):
+        raise ValueError(f"parts must be 'first' or 'all', not {parts!r}")
+
 
+def field_values(events: DataFrame, parts: str = "first", bits: int = slices.SLICE_BITS) -> DataFrame:
+    """Documents in long form: (box, uid, field, pos, value), repeated fields in arrival order.
 
-def _occurrences(events: DataFrame, parts: str = "first") -> DataFrame:
-    columns = ["box", "uid", "field", "seq", "value"]
-    bodies = body_parts(events, parts).withColumn("field", F.lit(BODY_FIELD))
-    return header_values(events).select(columns).unionByName(bodies.select(columns))
+    A message of any size is fine: it is never gathered in one task.
+    """
+    _check_parts(parts)
+    is_part = F.col("is_part").cast("int")
+    counted = slices.running_totals(
+        _occurrences(events), ["box", "uid", "field"], "seq", {"n_headers": 1 - is_part, "n_parts": is_part}, bits
+    )
+    if parts == "first":
+        counted = counted.filter("not is_part or n_parts = 1").withColumn("n_parts", F.least("n_parts", F.lit(1)))
+    return counted.select(
+        "box",
+        "uid",
+        "field",
+        (F.col("n_headers") + F.col("n_parts")).alias("pos"),
+        text.clean_value(F.col("value")).alias("value"),
+    )
 
 
 def assemble(events: DataFrame, parts: str = "first") -> DataFrame:
     """Documents as (box, uid, fields MAP<STRING, ARRAY<STRING>>), values cleaned.
 
     One message becomes one row, as it is one JSON document; to look at messages of any
-    size use ``field_values``, which never gathers a message.
+    size use ``field_values``. Events are shuffled once, on the message.
     """
-    return (
-        _occurrences(events, parts)
+    _check_parts(parts)
+    cleaned = text.clean_value(F.col("value")).alias("value")
+    by_field = (
+        _occurrences(events)
+        .repartition("box", "uid")
         .groupBy("box", "uid", "field")
-        .agg(F.array_sort(F.collect_list(F.struct("seq", text.clean_value(F.col("value")).alias("value")))).alias("v"))
-        .groupBy("box", "uid")
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "v.value")))).alias("fields"))
+        .agg(
+            F.array_sort(F.collect_list(F.struct("seq", "is_part", cleaned))).alias("found"),
+            F.min(F.when(F.col("is_part"), F.col("seq"))).alias("first_part"),
+        )
+    )
+    if parts == "first":
+        found = F.filter("found", lambda x: ~x["is_part"] | (x["seq"] == F.col("first_part")))
+        by_field = by_field.withColumn("found", found)
+    return by_field.groupBy("box", "uid").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "found.value")))).alias("fields")
     )
 
 
@@ -89,8 +116,10 @@ def field_catalog(events: DataFrame) -> DataFrame:
     There are few fields and each may be in every message, so distinct counts are taken in
     two grouped steps (per message, per raw name) and not by one group per field.
     """
+    headers = header_values(events).select("field", "box", "uid")
+    bodies = events.filter(F.col("key_type") == BODY_KIND).select("box", "uid").distinct()
     documents = (
-        _occurrences(events)
+        headers.unionByName(bodies.withColumn("field", F.lit(BODY_FIELD)))
         .groupBy("field", "box", "uid")
         .agg(F.count("*").alias("n"))
         .groupBy("field")

@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from lettersieve.functions import scoring, text
 from lettersieve.operators import slices
 from lettersieve.operators.postings import Index, term_bucket
+from lettersieve.sources.shared import stored
 
 KEY = ["box", "uid"]
 # More words than this are matched by a join and not by a literal list in the scan.
 LITERAL_TERMS = 500
+LITERAL_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -128,34 +130,34 @@ def field_scores(
     fields: Sequence[str] | None = text.DEFAULT_FIELDS,
     operator: str = "or",
     boxes: Sequence[str] | None = None,
+    by_slice: bool = False,
 ) -> DataFrame:
     """(box, uid, field, score) of the fields that match one search value.
 
     ``or``: any word is in the field. ``and``: every word is in the field. ``fields=None``
-    searches every field there is.
+    searches every field there is. ``by_slice`` adds the uid slice and shuffles on it.
     """
     if operator not in ("and", "or"):
         raise ValueError(f"operator must be 'and' or 'or', not {operator!r}")
     words = query_words(index.postings.sparkSession, value)
-    if not words.terms:
-        return index.keys.filter(F.lit(False)).select(
-            *KEY, F.lit("").alias("field"), F.lit(0.0).alias("score")
-        )
     found = contributions(
         index,
         _restricted(index.postings, words, fields, boxes),
         _restricted(index.dictionary, words, fields, boxes),
     )
+    if by_slice:
+        found = found.withColumn("_slice", slices.slice_of("uid"))
+    document = [*KEY, "_slice"] if by_slice else KEY
     # Postings are unique on (box, field, term, uid), so rows count distinct words. One
-    # shuffle on the document serves this aggregate and the one over fields after it.
+    # shuffle serves this aggregate, the one over fields and, by slice, the ranking.
     scored = (
-        found.repartition(*KEY)
-        .groupBy(*KEY, "field")
+        found.repartition("box", document[-1])
+        .groupBy(*document, "field")
         .agg(F.sum("w").alias("score"), F.count("*").alias("n_terms"))
     )
     if operator == "and":
         scored = scored.filter(F.col("n_terms") == len(words.terms))
-    return scored.select(*KEY, "field", "score")
+    return scored.drop("n_terms")
 
 
 def search(
@@ -164,10 +166,12 @@ def search(
     fields: Sequence[str] | None = text.DEFAULT_FIELDS,
     operator: str = "or",
     boxes: Sequence[str] | None = None,
+    by_slice: bool = False,
 ) -> DataFrame:
     """Hits of one search value; the score is the best one over the fields."""
-    scored = field_scores(index, value, fields, operator, boxes)
-    return scored.groupBy(*KEY).agg(scoring.rounded(F.max("score")).alias("score"))
+    scored = field_scores(index, value, fields, operator, boxes, by_slice)
+    document = [*KEY, "_slice"] if by_slice else KEY
+    return scored.groupBy(*document).agg(scoring.rounded(F.max("score")).alias("score"))
 
 
 def search_text(index: Index, value: str, operator: str = "or") -> DataFrame:
@@ -256,25 +260,33 @@ def verify_maybe(hits: DataFrame, messages: DataFrame, exact: Column) -> DataFra
     return definite.unionByName(maybe)
 
 
-def matching_terms(index: Index, fields: Sequence[str], condition: Column) -> DataFrame:
-    """(term_bucket, term) of the dictionary words that pass a condition.
+def word_filter(words: DataFrame):
+    """How to restrict an index table to the words of a table (term_bucket, field, term).
 
-    The condition is tested on the dictionary, which is far smaller than the postings.
+    Few words become literal conditions in the scan. More are joined: broadcast if checked
+    to be small, else salted; only the term buckets they are in are read.
     """
-    return (
-        index.dictionary.filter(F.col("field").isin(*fields) & condition).select("term_bucket", "term").distinct()
-    )
+    by_word = ["term_bucket", "field", "term"]
+    words = stored(words.select(by_word).distinct(), "words")
+    if slices.is_small(words, LITERAL_TERMS, LITERAL_BYTES):
+        few = words.collect()
+        literal = Words(sorted({row.term for row in few}), sorted({row.term_bucket for row in few}))
+        fields = sorted({row.field for row in few})
+        return lambda df: _restricted(df, literal, fields)
+    small = slices.is_small(words)
+    buckets = [row.term_bucket for row in words.select("term_bucket").distinct().collect()]
+
+    def join(df: DataFrame) -> DataFrame:
+        spread_by = [name for name in KEY if name in df.columns]
+        return slices.join_salted(df.filter(F.col("term_bucket").isin(*buckets)), words, by_word, spread_by, small)
+
+    return join
 
 
 def _count_matches(index: Index, fields: Sequence[str], condition: Column) -> DataFrame:
-    terms = matching_terms(index, fields, condition)
-    few = terms.limit(LITERAL_TERMS + 1).collect()
-    if len(few) <= LITERAL_TERMS:
-        words = Words([row.term for row in few], sorted({row.term_bucket for row in few}))
-        found = _restricted(index.postings, words, fields)
-    else:
-        rows = index.postings.filter(F.col("field").isin(*fields))
-        found = slices.join_salted(rows, terms, ["term_bucket", "term"], KEY)
+    # The condition is tested on the dictionary, which is far smaller than the postings.
+    words = index.dictionary.filter(F.col("field").isin(*fields) & condition)
+    found = word_filter(words)(index.postings)
     return found.groupBy(*KEY).agg(F.count("*").alias("n_matches"))
 
 

@@ -46,7 +46,10 @@ def word_lists(documents: DataFrame) -> DataFrame:
 
 
 def postings_of(lists: DataFrame) -> DataFrame:
-    return lists.select("box", "uid", "field", "field_len", F.explode("counts").alias("entry")).select(
+    # Not a plain column: explode would test a plain one for being empty before that, and
+    # by doing so split and count the texts twice.
+    counts = F.coalesce("counts", F.array().cast("array<struct<term: string, tf: bigint>>"))
+    return lists.select("box", "uid", "field", "field_len", F.explode(counts).alias("entry")).select(
         term_bucket(F.col("entry.term")).alias("term_bucket"),
         "box",
         "field",

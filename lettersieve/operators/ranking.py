@@ -10,8 +10,9 @@ from pyspark.sql import Window as W
 
 from lettersieve.functions import scoring, text
 from lettersieve.operators import slices
-from lettersieve.operators.matching import contributions
+from lettersieve.operators.matching import contributions, search, word_filter
 from lettersieve.operators.postings import Index, term_bucket
+from lettersieve.sources.shared import stored
 
 # Fixed value: the most hits a search returns for one box.
 RESULT_CAP = 10_000
@@ -34,7 +35,7 @@ def top_per_box(
     with billions of hits leaves at most ``limit`` rows per slice for the final window.
     ``uidnext(box, uidnext)`` lowers the limit of a box to its next free uid.
     """
-    # Hits of search_batch come with their slices and are partitioned by them already.
+    # Some hits come with their slices and are partitioned by them already.
     sliced = hits if "_slice" in hits.columns else hits.withColumn("_slice", slices.slice_of("uid", bits))
     in_slice = W.partitionBy(*group, "_slice").orderBy(*_best_first())
     best = sliced.withColumn("_rank", F.row_number().over(in_slice)).filter(F.col("_rank") <= limit)
@@ -52,6 +53,22 @@ def top_per_box(
     )
 
 
+def search_top(
+    index: Index,
+    value: str,
+    fields: Sequence[str] | None = text.DEFAULT_FIELDS,
+    operator: str = "or",
+    boxes: Sequence[str] | None = None,
+    limit: int = RESULT_CAP,
+) -> DataFrame:
+    """(box, uid, score, rank): a search as a mail client asks for it, best hits first.
+
+    Every box returns the ``limit`` best hits, or as many as its next uid if that is less.
+    """
+    hits = search(index, value, fields, operator, boxes, by_slice=True)
+    return top_per_box(hits, limit, uidnext=uidnext_of(index.keys))
+
+
 def uidnext_of(keys: DataFrame) -> DataFrame:
     """(box, uidnext): the uid that the next message of a box will get."""
     return keys.groupBy("box").agg((F.max("uid") + 1).alias("uidnext"))
@@ -84,10 +101,9 @@ def batch_hits(index: Index, terms: DataFrame, bits: int = slices.SLICE_BITS) ->
     Rows are then shuffled once, on (query, box, uid slice); both aggregates here and the
     slice step of ``top_per_box`` work on that partitioning.
     """
-    words = terms.select("field", "term").distinct().withColumn("term_bucket", term_bucket(F.col("term")))
-    by_word = ["term_bucket", "field", "term"]
-    postings = slices.join_salted(index.postings, words, by_word, ["box", "uid"])
-    dictionary = slices.join_salted(index.dictionary, words, by_word, ["box"])
+    terms = stored(terms, "batch")
+    restrict = word_filter(terms.withColumn("term_bucket", term_bucket(F.col("term"))))
+    postings, dictionary = restrict(index.postings), restrict(index.dictionary)
     found = slices.join_salted(contributions(index, postings, dictionary), terms, ["field", "term"], ["box", "uid"])
     group = ["query_id", "box", "_slice"]
     scored = (

@@ -9,6 +9,8 @@ are 32 bit, so a mailbox has at most 4,096 slices.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from pyspark.sql import Window as W
 
 SLICE_BITS = 20
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 SALTS = 64
 
 
@@ -23,87 +26,76 @@ def slice_of(order: str, bits: int = SLICE_BITS) -> Column:
     return F.shiftright(F.col(order).cast("bigint"), bits)
 
 
-def running_total(
-    df: DataFrame,
-    group: Sequence[str],
-    order: str,
-    amount: Column,
-    name: str,
-    bits: int = SLICE_BITS,
+def running_totals(
+    df: DataFrame, group: Sequence[str], order: str, amounts: dict[str, Column], bits: int = SLICE_BITS
 ) -> DataFrame:
-    """Adds ``name``: the inclusive running sum of ``amount`` by ``order`` in each group.
+    """Adds inclusive running sums of integer ``amounts`` by ``order`` in each group.
 
-    ``order`` has to be an integer that is unique in its group. Sums run inside slices;
-    a second, much smaller window runs over the slice totals.
+    ``order`` has to be an integer that is unique in its group. Sums run inside slices; a
+    second, much smaller window runs over the slice totals. The wide columns of ``df`` are
+    shuffled once, the totals come from a scan of the narrow ones.
     """
     keys = [*group, "_slice"]
-    sliced = df.withColumn("_amount", amount.cast("bigint")).withColumn("_slice", slice_of(order, bits))
+    sliced = df.withColumn("_slice", slice_of(order, bits)).withColumns(
+        {f"_amount_{name}": amount.cast("bigint") for name, amount in amounts.items()}
+    )
     inside = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
     earlier = W.partitionBy(*group).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     before = (
         sliced.groupBy(*keys)
-        .agg(F.sum("_amount").alias("_total"))
-        .withColumn("_before", F.sum("_total").over(earlier))
-        .filter("_before <> 0")  # first slices need no correction: most groups drop out here
-        .select(*keys, "_before")
+        .agg(*[F.sum(f"_amount_{name}").alias(f"_total_{name}") for name in amounts])
+        .select(*keys, *[F.sum(f"_total_{name}").over(earlier).alias(f"_before_{name}") for name in amounts])
+        # First slices need no correction: most groups drop out here.
+        .filter(reduce(or_, [F.col(f"_before_{name}") != 0 for name in amounts]))
     )
-    return (
-        sliced.withColumn(name, F.sum("_amount").over(inside))
-        .join(before, keys, "left")
-        .withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0)))
-        .select(*df.columns, name)
+    summed = sliced.withColumns({name: F.sum(f"_amount_{name}").over(inside) for name in amounts})
+    return summed.join(before, keys, "left").select(
+        *df.columns,
+        *[(F.col(name) + F.coalesce(f"_before_{name}", F.lit(0))).alias(name) for name in amounts],
     )
 
 
-def position(
-    df: DataFrame, group: Sequence[str], order: str, name: str, bits: int = SLICE_BITS
-) -> DataFrame:
+def position(df: DataFrame, group: Sequence[str], order: str, name: str, bits: int = SLICE_BITS) -> DataFrame:
     """Adds ``name``: the 1-based position by ``order`` in each group."""
-    return running_total(df, group, order, F.lit(1), name, bits)
+    return running_totals(df, group, order, {name: F.lit(1)}, bits)
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Counts at most ``max_rows + 1`` rows to decide whether ``df`` may be broadcast."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """Whether ``df`` may be broadcast: counts its rows, up to one too many, and their bytes."""
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
+    texts = [name for name, kind in df.dtypes if kind == "string"]
+    size = sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in texts), F.lit(8 * len(df.columns)))
+    n_rows, n_bytes = df.limit(max_rows + 1).agg(F.count("*"), F.sum(size)).first()
+    return n_rows <= max_rows and (n_bytes or 0) <= max_bytes
 
 
-def join_by_box(
-    rows: DataFrame,
-    per_box: DataFrame,
-    keys: Sequence[str],
-    max_uid: str,
-    max_rows: int = BROADCAST_ROWS,
-    bits: int = SLICE_BITS,
-) -> DataFrame:
+def join_by_box(rows: DataFrame, per_box: DataFrame, keys: Sequence[str], max_uid: str) -> DataFrame:
     """Inner join of many rows ``(keys, uid)`` with a table that is unique on ``keys``.
 
-    The small side is broadcast when its row count was checked to be small. Beyond that
-    both sides are shuffled on keys *and* uid slice, the small side repeated once for each
-    slice up to its ``max_uid``: a hot key is spread over its slices and no row is lost.
+    The small side is broadcast when it was checked to be small. Beyond that both sides are
+    shuffled on keys *and* uid slice, the small side repeated once for each slice up to its
+    ``max_uid``: a hot key is spread over its slices and no row is lost.
     """
-    if is_small(per_box, max_rows):
+    if is_small(per_box):
         return rows.join(F.broadcast(per_box.drop(max_uid)), list(keys))
     repeated = per_box.withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slice_of(max_uid, bits)))
+        "_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slice_of(max_uid)))
     ).drop(max_uid)
-    return rows.withColumn("_slice", slice_of("uid", bits)).join(repeated, [*keys, "_slice"]).drop("_slice")
+    return rows.withColumn("_slice", slice_of("uid")).join(repeated, [*keys, "_slice"]).drop("_slice")
 
 
 def join_salted(
-    rows: DataFrame,
-    other: DataFrame,
-    keys: Sequence[str],
-    spread_by: Sequence[str],
-    max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    rows: DataFrame, other: DataFrame, keys: Sequence[str], spread_by: Sequence[str], small: bool | None = None
 ) -> DataFrame:
     """Inner join on keys without a box, where one key (a frequent word) may be hot.
 
     Broadcast when ``other`` is checked to be small, else salted: rows are spread by a
-    hash of ``spread_by`` and ``other`` is repeated once per salt.
+    hash of ``spread_by`` and ``other`` is repeated once per salt. ``small`` is the result
+    of an ``is_small`` check that the caller has made already.
     """
-    if is_small(other, max_rows):
+    if is_small(other) if small is None else small:
         return rows.join(F.broadcast(other), list(keys))
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    repeated = other.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int"))
+    repeated = other.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(repeated, [*keys, "_salt"]).drop("_salt")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lettersieve.operators import documents, matching, postings, ranking, upkeep
 from lettersieve.operators.matching import Arg
 from lettersieve.plans.session_index import open_index
-from lettersieve.sources import bulk, index_tables, responses, tables
+from lettersieve.sources import bulk, responses, shared, tables
 from lettersieve.streaming import ops_log
 
 VALUE = "the of ertion"
@@ -23,8 +23,6 @@ ALLOWED_HEADERS = ("From", "Subject")
 RESIDUAL_VALUE = "en-list"
 EXACT_VALUE = "the of"
 
-MESSAGE_COLUMNS = ("h_from", "h_to", "subject", "body")
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -73,8 +71,7 @@ def bulk_export(spark, sf_dir):
 
 @query
 def bulk_batches(spark, sf_dir):
-    messages = tables.messages(spark, sf_dir)
-    sizes = messages.select("box", "uid", bulk.value_bytes(MESSAGE_COLUMNS).alias("bytes"))
+    sizes = tables.messages(spark, sf_dir, bulk.value_bytes(tables.MESSAGE_COLUMNS).alias("bytes"))
     return bulk.assign_batches(sizes, BATCH_LIMIT).select("box", "uid", "batch")
 
 
@@ -86,7 +83,7 @@ def search_responses(messages: DataFrame) -> DataFrame:
     uid = F.col("uid").cast("string")
     uid_json = F.when(F.col("uid") % 2 == 1, F.concat(F.lit("["), uid, F.lit("]"))).otherwise(uid)
     box_json = F.when(F.col("uid") % 7 == 0, F.lit("")).otherwise(F.concat(F.lit(',"box":["'), "box", F.lit('"]')))
-    score = (F.octet_length("body") / F.lit(8.0)).cast("string")
+    score = (F.col("bytes") / F.lit(8.0)).cast("string")
     hit = F.concat(F.lit('{"_score":'), score, F.lit(',"_source":{"uid":'), uid_json, box_json, F.lit("}}"))
     grouped = messages.groupBy("box", F.expr("uid div 10").alias("page")).agg(F.collect_list(hit).alias("found"))
     return grouped.select(
@@ -96,7 +93,7 @@ def search_responses(messages: DataFrame) -> DataFrame:
 
 @query
 def decode_hits(spark, sf_dir):
-    return responses.decode_hits(search_responses(tables.messages(spark, sf_dir)))
+    return responses.decode_hits(search_responses(tables.messages(spark, sf_dir, F.octet_length("body").alias("bytes"))))
 
 
 # Upkeep
@@ -119,7 +116,7 @@ def expunge(spark, sf_dir):
 
 @query
 def apply_ops_stream(spark, sf_dir):
-    root = index_tables.new_folder(spark, "ops-log")
+    root = shared.new_folder(spark, "ops-log")
     schema = tables.table(spark, sf_dir, "events").schema
     events = ops_log.read_action_files(spark, sf_dir, schema, name_filter="events.parquet")
     ops = tables.ops_from_events(events).drop("ts")
@@ -247,14 +244,14 @@ def residual_split(spark, sf_dir):
     """BODY is answered by the index; the header To is not indexed, so messages are tested."""
     hits = matching.search_body(open_index(spark, sf_dir), VALUE, "and")
     residual = matching.contains("h_to", RESIDUAL_VALUE)
-    return matching.residual_split(hits, tables.messages(spark, sf_dir), residual)
+    return matching.residual_split(hits, tables.messages(spark, sf_dir, "h_to"), residual)
 
 
 @query
 def residual_scan(spark, sf_dir):
     """No argument can be answered by the index: a plain scan of the messages."""
     residual = matching.contains("h_to", RESIDUAL_VALUE)
-    return matching.residual_split(None, tables.messages(spark, sf_dir), residual)
+    return matching.residual_split(None, tables.messages(spark, sf_dir, "h_to"), residual)
 
 
 @query
@@ -286,16 +283,13 @@ def score_hits(spark, sf_dir):
 @query
 def search_topk(spark, sf_dir):
     """The ten best hits of each box."""
-    index = open_index(spark, sf_dir)
-    uidnext = ranking.uidnext_of(index.keys)
-    return ranking.top_per_box(matching.search_body(index, VALUE), TOP, uidnext=uidnext)
+    return ranking.search_top(open_index(spark, sf_dir), VALUE, ["body"], limit=TOP)
 
 
 @query
 def search_capped(spark, sf_dir):
     """As ``search_topk``, with the usual cap: the next uid of the box, or 10,000 if less."""
-    index = open_index(spark, sf_dir)
-    return ranking.top_per_box(matching.search_text(index, VALUE), uidnext=ranking.uidnext_of(index.keys))
+    return ranking.search_top(open_index(spark, sf_dir), VALUE)
 
 
 @query
@@ -305,13 +299,14 @@ def hits_by_box(spark, sf_dir):
 
 @query
 def uid_ranges(spark, sf_dir):
-    return ranking.uid_ranges(matching.search_body(open_index(spark, sf_dir), "ertion"))
+    return ranking.uid_ranges(matching.search_wildcard(open_index(spark, sf_dir), "*ertion*", ["body"]))
 
 
 @query
 def search_multi_box(spark, sf_dir):
     """One text search over all boxes; statistics and the best hits are per box."""
-    return ranking.top_per_box(matching.search_text(open_index(spark, sf_dir), VALUE, "and"))
+    hits = matching.search(open_index(spark, sf_dir), VALUE, operator="and", by_slice=True)
+    return ranking.top_per_box(hits)
 
 
 @query

@@ -360,7 +360,7 @@ def statements(c) -> dict[str, str]:
                JOIN (SELECT box, CAST(count(*) AS BIGINT) AS n_ranges FROM ranges GROUP BY box) r ON t.box = r.box""",
             {"hits": _hits(c.VALUE, "'body'"), "ranges": RANGES},
         ),
-        "uid_ranges": _with(["weighted"], RANGES, {"hits": _hits("ertion", "'body'")}),
+        "uid_ranges": _with(["messages"], RANGES, {"hits": "SELECT box, uid FROM messages WHERE contains(lower(body), 'ertion')"}),
         "search_multi_box": _with(["weighted"], _top("10000"), {"hits": _hits(c.VALUE, DEFAULTS, "and")}),
         "search_batch": _with(["weighted"], _top("10000", "query_id, box"), _batch(DEFAULTS, "or")),
         "search_batch_body_and": _with(["weighted"], _top(str(c.TOP), "query_id, box"), _batch("'body'", "and")),

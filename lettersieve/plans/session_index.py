@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lettersieve.operators.postings import Index
-from lettersieve.sources import index_tables, tables
+from lettersieve.sources import index_tables, shared, tables
 
 _built: dict[tuple, str] = {}
 
@@ -21,7 +21,7 @@ def _state(spark: SparkSession, sf_dir: str) -> tuple:
     seen = files.agg(
         F.count("*"), F.sum("file_size"), F.max("file_modification_time"), F.bit_xor(F.xxhash64(*files.columns))
     )
-    return (spark.sparkContext.applicationId, index_tables.shared_folder(spark), sf_dir, *seen.first())
+    return (spark.sparkContext.applicationId, shared.shared_folder(spark), sf_dir, *seen.first())
 
 
 def open_index(spark: SparkSession, sf_dir: str) -> Index:
@@ -33,6 +33,6 @@ def open_index(spark: SparkSession, sf_dir: str) -> Index:
 
 
 def build_index(documents: DataFrame) -> str:
-    root = index_tables.new_folder(documents.sparkSession, "index")
+    root = shared.new_folder(documents.sparkSession, "index")
     index_tables.write_index(documents, root)
     return root

@@ -59,7 +59,7 @@ def assign_batches(sizes: DataFrame, limit: int = BATCH_BYTES, order: str = "uid
     A document goes to the batch in which the bytes before it in its box fall. So a batch
     without its last document never exceeds the limit, and no document is split.
     """
-    summed = slices.running_total(sizes, ["box"], order, F.col("bytes"), "_upto", bits)
+    summed = slices.running_totals(sizes, ["box"], order, {"_upto": F.col("bytes")}, bits)
     before = F.col("_upto") - F.col("bytes")
     return summed.withColumn("batch", F.floor(before / F.lit(limit)).cast("bigint")).drop("_upto")
 

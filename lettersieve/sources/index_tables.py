@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from lettersieve.operators import postings as P
@@ -17,22 +14,6 @@ SCHEMAS = {
 }
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names; a local session without one gets its own."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="lettersieve-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def write_index(documents: DataFrame, root: str) -> None:
     """Builds the index tables. Texts are read and split into words once.
 

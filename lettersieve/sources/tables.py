@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lettersieve.functions import text
@@ -24,18 +24,29 @@ def message_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slices.position(docs, ["box"], "doc_id", "uid").select("doc_id", "box", "uid")
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(box, uid, doc_id, h_from, h_to, subject, body)."""
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id",
-        F.concat("source", F.lit("@example.org")).alias("h_from"),
-        F.concat("lang", F.lit("-list@example.org")).alias("h_to"),
-        F.substring(F.substring_index("text", "\n", 1), 1, 80).alias("subject"),
-        F.col("text").alias("body"),
+MESSAGE_COLUMNS = ("h_from", "h_to", "subject", "body")
+
+
+def messages(spark: SparkSession, sf_dir: str, *columns: Column | str) -> DataFrame:
+    """(box, uid, doc_id, h_from, h_to, subject, body), or the given columns for the last four.
+
+    Given columns are computed from the four before anything is shuffled, so that a query
+    which needs, say, the size of a text does not shuffle the text.
+    """
+    docs = (
+        table(spark, sf_dir, "documents")
+        .select(
+            "doc_id",
+            F.concat("source", F.lit("@example.org")).alias("h_from"),
+            F.concat("lang", F.lit("-list@example.org")).alias("h_to"),
+            F.substring(F.substring_index("text", "\n", 1), 1, 80).alias("subject"),
+            F.col("text").alias("body"),
+        )
+        .select("doc_id", *(columns or MESSAGE_COLUMNS))
     )
     # doc_id is unique, so the hash side stays even and the long texts are never sorted.
     keys = message_keys(spark, sf_dir).hint("shuffle_hash")
-    return docs.join(keys, "doc_id").select("box", "uid", "doc_id", "h_from", "h_to", "subject", "body")
+    return docs.join(keys, "doc_id").select("box", "uid", *docs.columns)
 
 
 def message_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,7 +51,7 @@ def append_to_log(
 
 def read_log(spark: SparkSession, log: str, schema) -> DataFrame:
     """All actions in the log, whatever order they came in."""
-    return spark.read.schema(schema).parquet(log)
+    return spark.read.schema(schema).parquet(log).select(schema.names)
 
 
 def current_documents(spark: SparkSession, log: str, schema) -> DataFrame:
