@@ -119,7 +119,8 @@ def contributions(index: Index, postings: DataFrame, dictionary: DataFrame) -> D
         "max_uid",
     )
     rows = postings.select("box", "field", "term", "uid", "tf", "field_len")
-    joined = slices.join_by_box(rows, weights, ["box", "field", "term"], "max_uid")
+    # There is one weight for each dictionary row, which is cheaper to count.
+    joined = slices.join_by_box(rows, weights, ["box", "field", "term"], "max_uid", slices.is_small(dictionary))
     w = scoring.term_score(F.col("idf"), F.col("tf"), F.col("field_len"), F.col("avg_len"))
     return joined.select("box", "field", "term", "uid", w.alias("w"))
 
@@ -268,17 +269,17 @@ def word_filter(words: DataFrame):
     """
     by_word = ["term_bucket", "field", "term"]
     words = stored(words.select(by_word).distinct(), "words")
-    if slices.is_small(words, LITERAL_TERMS, LITERAL_BYTES):
+    size = slices.size_up_to(words, slices.BROADCAST_ROWS)
+    if size[0] <= LITERAL_TERMS and size[1] <= LITERAL_BYTES:
         few = words.collect()
         literal = Words(sorted({row.term for row in few}), sorted({row.term_bucket for row in few}))
         fields = sorted({row.field for row in few})
         return lambda df: _restricted(df, literal, fields)
-    small = slices.is_small(words)
     buckets = [row.term_bucket for row in words.select("term_bucket").distinct().collect()]
 
     def join(df: DataFrame) -> DataFrame:
         spread_by = [name for name in KEY if name in df.columns]
-        return slices.join_salted(df.filter(F.col("term_bucket").isin(*buckets)), words, by_word, spread_by, small)
+        return slices.join_salted(df.filter(F.col("term_bucket").isin(*buckets)), words, by_word, spread_by, slices.fits(*size))
 
     return join
 

@@ -60,24 +60,34 @@ def position(df: DataFrame, group: Sequence[str], order: str, name: str, bits: i
     return running_totals(df, group, order, {name: F.lit(1)}, bits)
 
 
-def is_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
-    """Whether ``df`` may be broadcast: counts its rows, up to one too many, and their bytes."""
-    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
-    max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
+def size_up_to(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """Rows of ``df`` and their bytes; counting stops one row beyond ``max_rows``."""
     texts = [name for name, kind in df.dtypes if kind == "string"]
     size = sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in texts), F.lit(8 * len(df.columns)))
     n_rows, n_bytes = df.limit(max_rows + 1).agg(F.count("*"), F.sum(size)).first()
-    return n_rows <= max_rows and (n_bytes or 0) <= max_bytes
+    return n_rows, n_bytes or 0
 
 
-def join_by_box(rows: DataFrame, per_box: DataFrame, keys: Sequence[str], max_uid: str) -> DataFrame:
+def fits(n_rows: int, n_bytes: int) -> bool:
+    return n_rows <= BROADCAST_ROWS and n_bytes <= BROADCAST_BYTES
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether ``df`` may be broadcast: its rows and bytes are counted first."""
+    return fits(*size_up_to(df, BROADCAST_ROWS))
+
+
+def join_by_box(
+    rows: DataFrame, per_box: DataFrame, keys: Sequence[str], max_uid: str, small: bool | None = None
+) -> DataFrame:
     """Inner join of many rows ``(keys, uid)`` with a table that is unique on ``keys``.
 
     The small side is broadcast when it was checked to be small. Beyond that both sides are
     shuffled on keys *and* uid slice, the small side repeated once for each slice up to its
-    ``max_uid``: a hot key is spread over its slices and no row is lost.
+    ``max_uid``: a hot key is spread over its slices and no row is lost. ``small`` is the
+    result of an ``is_small`` check that the caller has made already.
     """
-    if is_small(per_box):
+    if is_small(per_box) if small is None else small:
         return rows.join(F.broadcast(per_box.drop(max_uid)), list(keys))
     repeated = per_box.withColumn(
         "_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slice_of(max_uid)))

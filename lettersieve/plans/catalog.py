@@ -118,7 +118,8 @@ def expunge(spark, sf_dir):
 def apply_ops_stream(spark, sf_dir):
     root = shared.new_folder(spark, "ops-log")
     schema = tables.table(spark, sf_dir, "events").schema
-    events = ops_log.read_action_files(spark, sf_dir, schema, name_filter="events.parquet")
+    # As a pattern the path may be one file or a folder of files; a stream takes no plain file.
+    events = ops_log.read_action_files(spark, f"{sf_dir}/{{events}}.parquet", schema)
     ops = tables.ops_from_events(events).drop("ts")
     ops_log.append_to_log(ops, f"{root}/log", f"{root}/progress").awaitTermination()
     return _apply_ops_columns(ops_log.current_documents(spark, f"{root}/log", ops.schema))

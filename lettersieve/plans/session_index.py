@@ -13,13 +13,12 @@ _built: dict[tuple, str] = {}
 
 def _state(spark: SparkSession, sf_dir: str) -> tuple:
     # What the source files look like now: an index of an earlier state is not used again.
-    files = (
+    # Reads file metadata and row counts only.
+    file = F.xxhash64("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    seen = (
         tables.table(spark, sf_dir, "documents")
-        .select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
-        .distinct()
-    )
-    seen = files.agg(
-        F.count("*"), F.sum("file_size"), F.max("file_modification_time"), F.bit_xor(F.xxhash64(*files.columns))
+        .select(file.alias("file"), F.col("_metadata.file_modification_time").alias("changed"))
+        .agg(F.count("*"), F.min("file"), F.max("file"), F.max("changed"))
     )
     return (spark.sparkContext.applicationId, shared.shared_folder(spark), sf_dir, *seen.first())
 

@@ -24,7 +24,7 @@ def write_index(documents: DataFrame, root: str) -> None:
     spark = documents.sparkSession
     P.word_lists(documents).write.parquet(f"{root}/word_lists")
     lists = spark.read.parquet(f"{root}/word_lists")
-    order = ["term_bucket", "field", "term", "box", "uid"]
+    order = ["term_bucket", "term", "field", "box", "uid"]
     (
         P.postings_of(lists)
         .repartitionByRange(*order)

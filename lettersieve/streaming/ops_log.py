@@ -10,16 +10,12 @@ from pyspark.sql.streaming import StreamingQuery
 from lettersieve.operators import upkeep
 
 
-def read_action_files(
-    spark: SparkSession, folder: str, schema, name_filter: str | None = None, files_per_batch: int | None = None
-) -> DataFrame:
-    """A stream of the parquet files in a folder."""
+def read_action_files(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
+    """A stream of parquet files: all in a folder, or those that a pattern matches."""
     reader = spark.readStream.schema(schema)
-    if name_filter is not None:
-        reader = reader.option("pathGlobFilter", name_filter)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    return reader.parquet(path)
 
 
 def append_to_log(

@@ -44,7 +44,7 @@ def joins(request, monkeypatch):
     if request.param == "shuffled":
         monkeypatch.setattr(slices, "BROADCAST_ROWS", 0)
         monkeypatch.setattr(slices, "SALTS", 3)
-        monkeypatch.setattr(matching, "LITERAL_TERMS", 0)
+        monkeypatch.setattr(matching, "LITERAL_TERMS", -1)
     return request.param
 
 
