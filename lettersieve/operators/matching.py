@@ -5,7 +5,7 @@ A hit is ``(box, uid, score)``. Searching reads postings only, never the texts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,19 +71,9 @@ def search_fields(
     return list(dict.fromkeys(names + [_evaluate(spark, text.field_name(F.lit(h))) for h in headers]))
 
 
-@dataclass(frozen=True)
-class Words:
-    """The distinct words of a search value and the term buckets they are stored in."""
-
-    terms: list[str]
-    buckets: list[int]
-
-
-def query_words(spark: SparkSession, value: str) -> Words:
-    """Splits a search value by the same expression as the documents."""
-    terms = F.array_distinct(text.words(F.lit(value)))
-    found = _evaluate(spark, F.transform(terms, lambda term: F.struct(term, term_bucket(term))))
-    return Words([term for term, _ in found], sorted({bucket for _, bucket in found}))
+def query_words(spark: SparkSession, value: str) -> list[str]:
+    """Distinct words of a search value, split by the same expression as the documents."""
+    return _evaluate(spark, F.array_distinct(text.words(F.lit(value))))
 
 
 def _evaluate(spark: SparkSession, expression: Column):
@@ -91,18 +81,56 @@ def _evaluate(spark: SparkSession, expression: Column):
     return spark.range(1).select(expression).first()[0]
 
 
-def _restricted(df: DataFrame, words: Words, fields: Sequence[str] | None, boxes: Sequence[str] | None = None):
-    # Literal conditions: directories of other term buckets are not listed, and row groups
-    # of other words, fields and boxes are skipped by their statistics.
-    if fields is not None:
-        df = df.filter(F.col("field").isin(*fields))
-    if boxes is not None:
-        df = df.filter(F.col("box").isin(*boxes))
-    if len(words.terms) <= LITERAL_TERMS:
-        return df.filter(F.col("term_bucket").isin(*words.buckets) & F.col("term").isin(*words.terms))
-    wanted = df.sparkSession.createDataFrame([(term,) for term in words.terms], "term string")
-    spread_by = [name for name in KEY if name in df.columns]
-    return slices.join_salted(df, wanted, ["term"], spread_by)
+def word_filter(
+    index: Index, terms: Sequence[str], fields: Sequence[str] | None = None, boxes: Sequence[str] | None = None
+) -> Callable[[DataFrame], DataFrame]:
+    """How to restrict an index table to some words, fields and boxes, by literal conditions.
+
+    Folders of other term buckets are not listed, and row groups of other words and boxes
+    are skipped by their statistics.
+    """
+    if len(terms) > LITERAL_TERMS:
+        every = index.postings.sparkSession.createDataFrame([(term,) for term in terms], "term string")
+        in_words = word_join(index, every)
+        terms = None
+    buckets = [term_bucket(F.lit(term), index.term_buckets) for term in terms or () if index.term_buckets]
+
+    def restrict(df: DataFrame) -> DataFrame:
+        for name, values in (("field", fields), ("box", boxes), ("term", terms), ("term_bucket", buckets or None)):
+            if values is not None:
+                df = df.filter(F.col(name).isin(*values))
+        return df if terms is not None else in_words(df)
+
+    return restrict
+
+
+def word_join(index: Index, words: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """How to restrict an index table to the words of a table with ``term`` or ``field, term``.
+
+    Few words become literal conditions in the scan. More are joined: broadcast if checked
+    to be small, else salted; only the term buckets they are in are read.
+    """
+    keys = [name for name in ("field", "term") if name in words.columns]
+    words = stored(words.select(keys).distinct(), "words")
+    n_rows, n_bytes = slices.size_up_to(words, slices.BROADCAST_ROWS)
+    if n_rows <= LITERAL_TERMS and n_bytes <= LITERAL_BYTES:
+        few = words.collect()
+        fields = sorted({row.field for row in few}) if "field" in keys else None
+        literal = word_filter(index, sorted({row.term for row in few}), fields)
+        pairs = len(few) == len({row.term for row in few}) * len(fields or [None])
+        # Literal lists allow every field with every word; a join takes out what is not asked for.
+        return literal if pairs else lambda df: literal(df).join(F.broadcast(words), keys, "left_semi")
+    if index.term_buckets:
+        found = words.select(term_bucket(F.col("term"), index.term_buckets).alias("bucket")).distinct()
+        buckets = [row.bucket for row in found.collect()]
+
+    def restrict(df: DataFrame) -> DataFrame:
+        if index.term_buckets:
+            df = df.filter(F.col("term_bucket").isin(*buckets))
+        spread_by = [name for name in KEY if name in df.columns]
+        return slices.join_salted(df, words, keys, spread_by, slices.fits(n_rows, n_bytes))
+
+    return restrict
 
 
 def contributions(index: Index, postings: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -115,7 +143,7 @@ def contributions(index: Index, postings: DataFrame, dictionary: DataFrame) -> D
         "field",
         "term",
         scoring.idf(F.col("n_docs"), F.col("df")).alias("idf"),
-        "avg_len",
+        (F.col("total_len") / F.col("n_docs")).alias("avg_len"),
         "max_uid",
     )
     rows = postings.select("box", "field", "term", "uid", "tf", "field_len")
@@ -140,12 +168,9 @@ def field_scores(
     """
     if operator not in ("and", "or"):
         raise ValueError(f"operator must be 'and' or 'or', not {operator!r}")
-    words = query_words(index.postings.sparkSession, value)
-    found = contributions(
-        index,
-        _restricted(index.postings, words, fields, boxes),
-        _restricted(index.dictionary, words, fields, boxes),
-    )
+    terms = query_words(index.postings.sparkSession, value)
+    restrict = word_filter(index, terms, fields, boxes)
+    found = contributions(index, restrict(index.postings), restrict(index.dictionary))
     if by_slice:
         found = found.withColumn("_slice", slices.slice_of("uid"))
     document = [*KEY, "_slice"] if by_slice else KEY
@@ -157,7 +182,7 @@ def field_scores(
         .agg(F.sum("w").alias("score"), F.count("*").alias("n_terms"))
     )
     if operator == "and":
-        scored = scored.filter(F.col("n_terms") == len(words.terms))
+        scored = scored.filter(F.col("n_terms") == len(terms))
     return scored.drop("n_terms")
 
 
@@ -261,33 +286,10 @@ def verify_maybe(hits: DataFrame, messages: DataFrame, exact: Column) -> DataFra
     return definite.unionByName(maybe)
 
 
-def word_filter(words: DataFrame):
-    """How to restrict an index table to the words of a table (term_bucket, field, term).
-
-    Few words become literal conditions in the scan. More are joined: broadcast if checked
-    to be small, else salted; only the term buckets they are in are read.
-    """
-    by_word = ["term_bucket", "field", "term"]
-    words = stored(words.select(by_word).distinct(), "words")
-    size = slices.size_up_to(words, slices.BROADCAST_ROWS)
-    if size[0] <= LITERAL_TERMS and size[1] <= LITERAL_BYTES:
-        few = words.collect()
-        literal = Words(sorted({row.term for row in few}), sorted({row.term_bucket for row in few}))
-        fields = sorted({row.field for row in few})
-        return lambda df: _restricted(df, literal, fields)
-    buckets = [row.term_bucket for row in words.select("term_bucket").distinct().collect()]
-
-    def join(df: DataFrame) -> DataFrame:
-        spread_by = [name for name in KEY if name in df.columns]
-        return slices.join_salted(df.filter(F.col("term_bucket").isin(*buckets)), words, by_word, spread_by, slices.fits(*size))
-
-    return join
-
-
 def _count_matches(index: Index, fields: Sequence[str], condition: Column) -> DataFrame:
     # The condition is tested on the dictionary, which is far smaller than the postings.
     words = index.dictionary.filter(F.col("field").isin(*fields) & condition)
-    found = word_filter(words)(index.postings)
+    found = word_join(index, words)(index.postings)
     return found.groupBy(*KEY).agg(F.count("*").alias("n_matches"))
 
 

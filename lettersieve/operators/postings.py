@@ -1,22 +1,25 @@
 """The inverted index as plain tables.
 
-postings(term_bucket, box, field, term, uid, tf, field_len)   one row per word of a document field
-dictionary(term_bucket, box, field, term, df)                 documents per word
-field_stats(box, field, n_docs, avg_len, max_uid)             documents having words in the field
-keys(box, uid)                                                all documents
+postings(box, field, term, uid, tf, field_len)       one row per word of a document field
+dictionary(box, field, term, df)                     documents per word
+field_stats(box, field, n_docs, total_len, max_uid)  documents having words in the field
+keys(box, uid)                                       all documents
+
+Stored postings and dictionaries have a column ``term_bucket``, a hash of the word, that
+names the folder a row is in.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lettersieve.functions import text
 
-TERM_BUCKETS = 32
-
 
 @dataclass(frozen=True)
 class Index:
@@ -24,10 +27,11 @@ class Index:
     dictionary: DataFrame
     field_stats: DataFrame
     keys: DataFrame
+    term_buckets: int | None = None  # None: not stored by term bucket
 
 
-def term_bucket(term: Column) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS)).cast("int")
+def term_bucket(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
 def word_lists(documents: DataFrame) -> DataFrame:
@@ -50,7 +54,6 @@ def postings_of(lists: DataFrame) -> DataFrame:
     # by doing so split and count the texts twice.
     counts = F.coalesce("counts", F.array().cast("array<struct<term: string, tf: bigint>>"))
     return lists.select("box", "uid", "field", "field_len", F.explode(counts).alias("entry")).select(
-        term_bucket(F.col("entry.term")).alias("term_bucket"),
         "box",
         "field",
         F.col("entry.term").alias("term"),
@@ -65,7 +68,7 @@ def build_postings(documents: DataFrame) -> DataFrame:
 
 
 def dictionary_of(postings: DataFrame) -> DataFrame:
-    return postings.groupBy("term_bucket", "box", "field", "term").agg(F.count("*").alias("df"))
+    return postings.groupBy("box", "field", "term").agg(F.count("*").alias("df"))
 
 
 def field_stats_of(lists: DataFrame) -> DataFrame:
@@ -74,7 +77,7 @@ def field_stats_of(lists: DataFrame) -> DataFrame:
         .groupBy("box", "field")
         .agg(
             F.count("*").alias("n_docs"),
-            (F.sum("field_len") / F.count("*")).alias("avg_len"),
+            F.sum("field_len").alias("total_len"),
             F.max("uid").alias("max_uid"),
         )
     )
@@ -87,10 +90,37 @@ def index_of(documents: DataFrame) -> Index:
     return Index(postings, dictionary_of(postings), field_stats_of(lists), documents.select("box", "uid"))
 
 
+def merge_indexes(parts: Sequence[Index]) -> Index:
+    """One index of several parts that have no document in common, such as one for each run.
+
+    Statistics are merged exactly, so scores are those of an index built in one go.
+    """
+    if len(parts) == 1:
+        return parts[0]
+    buckets = {part.term_buckets for part in parts}
+
+    def union(name: str) -> DataFrame:
+        tables = [getattr(part, name) for part in parts]
+        if len(buckets) > 1:
+            tables = [table.drop("term_bucket") for table in tables]
+        return reduce(DataFrame.unionByName, tables)
+
+    dictionary, field_stats = union("dictionary"), union("field_stats")
+    return Index(
+        postings=union("postings"),
+        dictionary=dictionary.groupBy([c for c in dictionary.columns if c != "df"]).agg(F.sum("df").alias("df")),
+        field_stats=field_stats.groupBy("box", "field").agg(
+            F.sum("n_docs").alias("n_docs"), F.sum("total_len").alias("total_len"), F.max("max_uid").alias("max_uid")
+        ),
+        keys=union("keys"),
+        term_buckets=buckets.pop() if len(buckets) == 1 else None,
+    )
+
+
 def replace_postings(postings: DataFrame, touched: DataFrame, documents: DataFrame) -> DataFrame:
     """Postings after an update: those of touched keys go, those of new versions come.
 
     ``touched`` holds the (box, uid) that were indexed again or deleted.
     """
-    kept = postings.join(touched.select("box", "uid"), ["box", "uid"], "left_anti")
+    kept = postings.drop("term_bucket").join(touched.select("box", "uid"), ["box", "uid"], "left_anti")
     return kept.unionByName(build_postings(documents))

@@ -10,8 +10,8 @@ from pyspark.sql import Window as W
 
 from lettersieve.functions import scoring, text
 from lettersieve.operators import slices
-from lettersieve.operators.matching import contributions, search, word_filter
-from lettersieve.operators.postings import Index, term_bucket
+from lettersieve.operators.matching import contributions, search, word_join
+from lettersieve.operators.postings import Index
 from lettersieve.sources.shared import stored
 
 # Fixed value: the most hits a search returns for one box.
@@ -102,7 +102,7 @@ def batch_hits(index: Index, terms: DataFrame, bits: int = slices.SLICE_BITS) ->
     slice step of ``top_per_box`` work on that partitioning.
     """
     terms = stored(terms, "batch")
-    restrict = word_filter(terms.withColumn("term_bucket", term_bucket(F.col("term"))))
+    restrict = word_join(index, terms)
     postings, dictionary = restrict(index.postings), restrict(index.dictionary)
     found = slices.join_salted(contributions(index, postings, dictionary), terms, ["field", "term"], ["box", "uid"])
     group = ["query_id", "box", "_slice"]
@@ -121,18 +121,19 @@ def search_batch(index: Index, terms: DataFrame, limit: int = RESULT_CAP) -> Dat
     return top_per_box(batch_hits(index, terms), limit, ["query_id", "box"])
 
 
-def uid_ranges(hits: DataFrame, bits: int = slices.SLICE_BITS) -> DataFrame:
-    """(box, uid_lo, uid_hi): hits as closed ranges of consecutive uids, duplicates merged.
-
-    Ranges are found inside uid slices. Only a range that touches a slice edge may go on in
-    the next slice: those, at most two per slice, are joined up by a second window.
-    """
-    sliced = hits.select("box", "uid").distinct().withColumn("_slice", slices.slice_of("uid", bits))
+def _ranges(hits: DataFrame, bits: int) -> DataFrame:
+    # Ranges are found inside uid slices. Only a range that touches a slice edge may go on
+    # in the next slice: those, at most two per slice, are joined up by a second window.
+    sliced = (
+        hits.groupBy("box", "uid")
+        .agg(F.max("score").alias("score"))
+        .withColumn("_slice", slices.slice_of("uid", bits))
+    )
     in_slice = W.partitionBy("box", "_slice").orderBy("uid")
     local = (
         sliced.withColumn("_island", F.col("uid") - F.row_number().over(in_slice))
         .groupBy("box", "_slice", "_island")
-        .agg(F.min("uid").alias("uid_lo"), F.max("uid").alias("uid_hi"))
+        .agg(F.min("uid").alias("uid_lo"), F.max("uid").alias("uid_hi"), F.max("score").alias("max_score"))
     )
     start = F.shiftleft(F.col("_slice"), bits)
     end = start + F.lit((1 << bits) - 1)
@@ -144,22 +145,31 @@ def uid_ranges(hits: DataFrame, bits: int = slices.SLICE_BITS) -> DataFrame:
         .withColumn("_begins", F.coalesce(begins, F.lit(1)))
         .withColumn("_island", F.sum("_begins").over(by_lo))
         .groupBy("box", "_island")
-        .agg(F.min("uid_lo").alias("uid_lo"), F.max("uid_hi").alias("uid_hi"))
+        .agg(F.min("uid_lo").alias("uid_lo"), F.max("uid_hi").alias("uid_hi"), F.max("max_score").alias("max_score"))
     )
-    columns = ["box", "uid_lo", "uid_hi"]
+    columns = ["box", "uid_lo", "uid_hi", "max_score"]
     return local.filter(~at_edge).select(columns).unionByName(joined.select(columns))
 
 
-def hits_by_box(hits: DataFrame) -> DataFrame:
+def uid_ranges(hits: DataFrame, bits: int = slices.SLICE_BITS) -> DataFrame:
+    """(box, uid_lo, uid_hi): hits as closed ranges of consecutive uids, duplicates merged."""
+    unscored = hits.select("box", "uid", F.lit(None).cast("double").alias("score"))
+    return _ranges(unscored, bits).drop("max_score")
+
+
+def hits_by_box(hits: DataFrame, bits: int = slices.SLICE_BITS) -> DataFrame:
     """One row per box: (box, n_hits, n_ranges, min_uid, max_uid, max_score).
 
     The uids themselves stay in rows (``uid_ranges``): a box's hits are never gathered.
     """
-    totals = hits.groupBy("box").agg(
-        F.count("*").alias("n_hits"),
-        F.min("uid").alias("min_uid"),
-        F.max("uid").alias("max_uid"),
-        F.max("score").alias("max_score"),
+    return (
+        _ranges(hits, bits)
+        .groupBy("box")
+        .agg(
+            F.sum(F.col("uid_hi") - F.col("uid_lo") + 1).alias("n_hits"),
+            F.count("*").alias("n_ranges"),
+            F.min("uid_lo").alias("min_uid"),
+            F.max("uid_hi").alias("max_uid"),
+            F.max("max_score").alias("max_score"),
+        )
     )
-    ranges = uid_ranges(hits).groupBy("box").agg(F.count("*").alias("n_ranges"))
-    return totals.join(ranges, "box")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,14 +44,16 @@ def boxes_of(messages: DataFrame) -> DataFrame:
     return messages.groupBy("box").agg(F.max("uid").alias("max_uid"))
 
 
-def index_backlog(messages: DataFrame, checkpoints: DataFrame, index_keys: DataFrame) -> DataFrame:
-    """(box, uid) of the messages above their box's last uid."""
+def index_backlog(
+    messages: DataFrame, checkpoints: DataFrame, index_keys: DataFrame, columns: Sequence[str] = KEY
+) -> DataFrame:
+    """(box, uid), or other columns, of the messages above their box's last uid."""
     boxes = boxes_of(messages)
     marks = last_uid(boxes, checkpoints, index_keys).join(boxes, "box")
     # Boxes that are up to date need no join at all.
     behind = marks.filter("max_uid > last_uid")
-    rows = slices.join_by_box(messages.select(*KEY), behind, ["box"], "max_uid")
-    return rows.filter("uid > last_uid").select(*KEY)
+    rows = slices.join_by_box(messages, behind, ["box"], "max_uid")
+    return rows.filter("uid > last_uid").select(*columns)
 
 
 def advance_checkpoints(checkpoints: DataFrame, indexed: DataFrame) -> DataFrame:

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettersieve.operators import documents, matching, postings, ranking, upkeep
+from lettersieve.operators import documents, matching, postings, ranking, slices, upkeep
 from lettersieve.operators.matching import Arg
+from lettersieve.plans import index_run
 from lettersieve.plans.session_index import open_index
-from lettersieve.sources import bulk, responses, shared, tables
+from lettersieve.sources import bulk, index_tables, responses, shared, tables
 from lettersieve.streaming import ops_log
 
 VALUE = "the of ertion"
@@ -169,8 +170,20 @@ def update_postings(spark, sf_dir):
     updated = apply_ops(spark, sf_dir)
     touched = tables.expunges(spark, sf_dir).unionByName(updated.select("box", "uid"))
     fields = F.create_map(F.lit("subject"), F.array("subject"), F.lit("body"), F.array("body"))
-    after = postings.replace_postings(index.postings, touched, updated.select("box", "uid", fields.alias("fields")))
-    return after.drop("term_bucket")
+    return postings.replace_postings(index.postings, touched, updated.select("box", "uid", fields.alias("fields")))
+
+
+@query
+def search_after_runs(spark, sf_dir):
+    """Search after two indexing runs: messages up to the checkpoints first, then the rest."""
+    everything = tables.message_documents(spark, sf_dir)
+    checkpoints = tables.checkpoints(spark, sf_dir)
+    reached = checkpoints.withColumn("max_uid", F.col("last_indexed_uid"))
+    before = slices.join_by_box(everything, reached, ["box"], "max_uid").filter("uid <= last_indexed_uid")
+    root = shared.new_folder(spark, "index-first")
+    index_tables.write_index(before.select(everything.columns), root)
+    index, _ = index_run.index_new(everything, checkpoints, index_tables.read_index(spark, root))
+    return matching.search_body(index, VALUE)
 
 
 # Index and search
@@ -178,7 +191,7 @@ def update_postings(spark, sf_dir):
 
 @query
 def build_postings(spark, sf_dir):
-    return postings.build_postings(tables.message_documents(spark, sf_dir)).drop("term_bucket")
+    return postings.build_postings(tables.message_documents(spark, sf_dir))
 
 
 @query
@@ -188,7 +201,7 @@ def term_dictionary(spark, sf_dir):
 
 @query
 def field_stats(spark, sf_dir):
-    return open_index(spark, sf_dir).field_stats.withColumn("avg_len", F.round("avg_len", 6))
+    return open_index(spark, sf_dir).field_stats
 
 
 @query

@@ -70,14 +70,14 @@ VIEWS = {
         FROM all_words t JOIN lens l ON t.box = l.box AND t.uid = l.uid AND t.field = l.field
         GROUP BY t.box, t.field, t.term, t.uid""",
     "stats": """
-        SELECT box, field, CAST(count(*) AS BIGINT) AS n_docs, sum(field_len) / count(*) AS avg_len,
+        SELECT box, field, CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(field_len) AS BIGINT) AS total_len,
                max(uid) AS max_uid
         FROM lens WHERE field_len > 0 GROUP BY box, field""",
     "dfs": "SELECT box, field, term, CAST(count(*) AS BIGINT) AS df FROM postings GROUP BY box, field, term",
     "weighted": """
         SELECT p.box, p.field, p.term, p.uid,
                ln(1.0::DOUBLE + (s.n_docs - d.df + 0.5::DOUBLE) / (d.df + 0.5::DOUBLE)) * p.tf * 2.2::DOUBLE
-               / (p.tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * p.field_len / s.avg_len)) AS w
+               / (p.tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * p.field_len / (s.total_len / s.n_docs))) AS w
         FROM postings p
         JOIN dfs d ON p.box = d.box AND p.field = d.field AND p.term = d.term
         JOIN stats s ON p.box = s.box AND p.field = s.field""",
@@ -293,9 +293,8 @@ def statements(c) -> dict[str, str]:
         ),
         "build_postings": _with(["postings"], "SELECT * FROM postings"),
         "term_dictionary": _with(["dfs"], "SELECT * FROM dfs"),
-        "field_stats": _with(
-            ["stats"], "SELECT box, field, n_docs, round(avg_len, 6) AS avg_len, max_uid FROM stats"
-        ),
+        "field_stats": _with(["stats"], "SELECT * FROM stats"),
+        "search_after_runs": _with(["weighted"], _hits(c.VALUE, "'body'")),
         "search_text": _with(["weighted"], _hits(c.VALUE, DEFAULTS)),
         "search_body": _with(["weighted"], _hits(c.VALUE, "'body'")),
         "search_header": _with(["weighted"], _hits(c.VALUE, "'subject'")),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lettersieve.operators.postings import Index
 from lettersieve.sources import index_tables, shared, tables
 
-_built: dict[tuple, str] = {}
+_built: dict[tuple, tuple[str, int]] = {}
 
 
 def _state(spark: SparkSession, sf_dir: str) -> tuple:
@@ -27,8 +27,9 @@ def open_index(spark: SparkSession, sf_dir: str) -> Index:
     """The index over the messages, from the shared folder; built there on first use."""
     state = _state(spark, sf_dir)
     if state not in _built:
-        _built[state] = build_index(tables.message_documents(spark, sf_dir))
-    return index_tables.read_index(spark, _built[state])
+        root = build_index(tables.message_documents(spark, sf_dir))
+        _built[state] = (root, index_tables.read_layout(spark, root))
+    return index_tables.read_index(spark, *_built[state])
 
 
 def build_index(documents: DataFrame) -> str:

@@ -3,50 +3,67 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lettersieve.operators import postings as P
 
+ROWS_PER_TASK = 20_000_000
+MIN_TERM_BUCKETS = 8
+MAX_TERM_BUCKETS = 4096
+
 SCHEMAS = {
     "postings": "box string, field string, term string, uid bigint, tf bigint, field_len bigint, term_bucket int",
     "dictionary": "box string, field string, term string, df bigint, term_bucket int",
-    "field_stats": "box string, field string, n_docs bigint, avg_len double, max_uid bigint",
+    "field_stats": "box string, field string, n_docs bigint, total_len bigint, max_uid bigint",
     "keys": "box string, uid bigint",
 }
 
 
-def write_index(documents: DataFrame, root: str) -> None:
+def write_index(documents: DataFrame, root: str, term_buckets: int | None = None) -> None:
     """Builds the index tables. Texts are read and split into words once.
 
     Each step reads what the step before it has written, so a lost executor costs its own
     tasks only. Postings are range-partitioned: a word that is in most documents spreads
-    over as many files as it needs, and within files rows are sorted for pruning by word.
+    over as many files as it needs. Rows are sorted by word and box, for pruning by either.
+    Tasks are sized by the number of postings, and so are folders unless ``term_buckets``
+    says how many there have to be to go with another index.
     """
     spark = documents.sparkSession
     P.word_lists(documents).write.parquet(f"{root}/word_lists")
     lists = spark.read.parquet(f"{root}/word_lists")
-    order = ["term_bucket", "term", "field", "box", "uid"]
+    n_postings = lists.agg(F.sum(F.size("counts").cast("bigint"))).first()[0] or 0
+    term_buckets = term_buckets or layout_for(n_postings)
+    spark.range(1).select(F.lit(term_buckets).alias("term_buckets")).write.parquet(f"{root}/layout")
+    _write_by_term(P.postings_of(lists), f"{root}/postings", term_buckets, n_postings, ["uid"])
+    dictionary = P.dictionary_of(spark.read.schema(SCHEMAS["postings"]).parquet(f"{root}/postings"))
+    _write_by_term(dictionary, f"{root}/dictionary", term_buckets, n_postings, [])
+    P.field_stats_of(lists).write.parquet(f"{root}/field_stats")
+    documents.select("box", "uid").write.parquet(f"{root}/keys")
+
+
+def layout_for(n_postings: int) -> int:
+    """Number of term buckets: as many as make folders of some ten files, within limits."""
+    wanted = n_postings // (10 * ROWS_PER_TASK)
+    return max(MIN_TERM_BUCKETS, min(MAX_TERM_BUCKETS, 1 << wanted.bit_length()))
+
+
+def _write_by_term(df: DataFrame, path: str, term_buckets: int, n_rows: int, more: list[str]) -> None:
+    order = ["term_bucket", "term", "box"]
+    tasks = max(n_rows // ROWS_PER_TASK, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     (
-        P.postings_of(lists)
-        .repartitionByRange(*order)
+        df.withColumn("term_bucket", P.term_bucket(F.col("term"), term_buckets))
+        .repartitionByRange(tasks, *order, *more)
         .sortWithinPartitions(*order)
         .write.partitionBy("term_bucket")
-        .parquet(f"{root}/postings")
-    )
-    postings = _read(spark, root, "postings")
-    (
-        P.dictionary_of(postings)
-        .repartitionByRange(*order[:-1])
-        .sortWithinPartitions(*order[:-1])
-        .write.partitionBy("term_bucket")
-        .parquet(f"{root}/dictionary")
+        .parquet(path)
     )
-    P.field_stats_of(lists).write.parquet(f"{root}/field_stats")
-    documents.select("box", "uid").write.parquet(f"{root}/keys")
 
 
-def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}")
+def read_layout(spark: SparkSession, root: str) -> int:
+    return spark.read.parquet(f"{root}/layout").first().term_buckets
 
 
-def read_index(spark: SparkSession, root: str) -> P.Index:
-    return P.Index(**{name: _read(spark, root, name) for name in SCHEMAS})
+def read_index(spark: SparkSession, root: str, term_buckets: int | None = None) -> P.Index:
+    """The stored index; ``term_buckets`` spares reading the layout if it is known."""
+    found = {name: spark.read.schema(schema).parquet(f"{root}/{name}") for name, schema in SCHEMAS.items()}
+    return P.Index(**found, term_buckets=term_buckets or read_layout(spark, root))
