@@ -74,24 +74,45 @@ def uidnext_of(keys: DataFrame) -> DataFrame:
     return keys.groupBy("box").agg((F.max("uid") + 1).alias("uidnext"))
 
 
+def argument_fields(args: DataFrame, allowlist: DataFrame | None = None) -> DataFrame:
+    """Adds ``field`` to arguments (query_id, kind, header): one row per field to search.
+
+    ``field`` is null where the index cannot answer: other kinds than text, body and
+    header, and headers missing from ``allowlist(header)``. Those are the caller's residual.
+    """
+    kind = F.col("kind")
+    if allowlist is not None:
+        allowed = allowlist.select(F.lower("header").alias("_name"), F.lit(True).alias("_allowed")).distinct()
+        if slices.is_small(allowed):
+            allowed = F.broadcast(allowed)
+        args = args.join(allowed, F.lower("header") == F.col("_name"), "left")
+        kind = F.when((kind != "header") | F.col("_allowed"), kind)
+    found = (
+        F.when(kind == "text", F.array(*map(F.lit, text.DEFAULT_FIELDS)))
+        .when(kind == "body", F.array(F.lit("body")))
+        .when(kind == "header", F.array(text.field_name(F.col("header"))))
+    )
+    return args.select("*", F.explode_outer(found).alias("field")).drop("_name", "_allowed")
+
+
 def batch_terms(
-    queries: DataFrame, fields: Sequence[str] = text.DEFAULT_FIELDS, operator: str = "or"
+    queries: DataFrame, fields: Sequence[str] | DataFrame = text.DEFAULT_FIELDS, operator: str = "or"
 ) -> DataFrame:
     """(query_id, field, term, n_terms, operator) from (query_id, value).
 
-    Queries may bring their own ``fields ARRAY<STRING>`` and ``operator`` columns.
+    Queries may bring their own ``operator`` column. ``fields`` holds for all queries, or is
+    a table (query_id, field) as ``argument_fields`` gives it.
     """
-    own = queries.columns
-    return (
-        queries.select(
-            "query_id",
-            F.array_distinct(text.words(F.col("value"))).alias("terms"),
-            (F.array_distinct("fields") if "fields" in own else F.array(*map(F.lit, fields))).alias("fields"),
-            (F.col("operator") if "operator" in own else F.lit(operator)).alias("operator"),
-        )
-        .select("query_id", "operator", F.size("terms").alias("n_terms"), "fields", F.explode("terms").alias("term"))
-        .select("query_id", F.explode("fields").alias("field"), "term", "n_terms", "operator")
-    )
+    own = F.col("operator") if "operator" in queries.columns else F.lit(operator)
+    found = queries.select(
+        "query_id", own.alias("operator"), F.array_distinct(text.words(F.col("value"))).alias("terms")
+    ).select("query_id", "operator", F.size("terms").alias("n_terms"), F.explode("terms").alias("term"))
+    if isinstance(fields, DataFrame):
+        searched = fields.select("query_id", "field").dropna().distinct()
+        found = found.join(searched, "query_id")
+    else:
+        found = found.withColumn("field", F.explode(F.array(*map(F.lit, fields))))
+    return found.select("query_id", "field", "term", "n_terms", "operator")
 
 
 def batch_hits(index: Index, terms: DataFrame, bits: int = slices.SLICE_BITS) -> DataFrame:

@@ -57,7 +57,7 @@ def normalize_fields(spark, sf_dir):
 
 @query
 def sanitize_values(spark, sf_dir):
-    return documents.changed_values(tables.message_fields(spark, sf_dir))
+    return documents.changed_values(tables.message_values(spark, sf_dir))
 
 
 @query
@@ -333,3 +333,40 @@ def search_batch(spark, sf_dir):
 def search_batch_body_and(spark, sf_dir):
     terms = ranking.batch_terms(tables.query_batch(spark, sf_dir), ["body"], "and")
     return ranking.search_batch(open_index(spark, sf_dir), terms, TOP)
+
+
+def batch_arguments(queries: DataFrame) -> DataFrame:
+    """(query_id, arg_no, kind, header): the arguments of each query of the batch.
+
+    Every query has three: a subject header, a body or a text, and one that the index
+    cannot answer (flags, or a header that is not in the allowlist).
+    """
+    even = F.col("query_id") % 2 == 0
+    second = F.when(even, "body").otherwise("text")
+    third = F.when(even, "flags").otherwise("header")
+    arguments = F.array(
+        F.struct(F.lit(1).alias("arg_no"), F.lit("header").alias("kind"), F.lit("SUBJECT").alias("header")),
+        F.struct(F.lit(2).alias("arg_no"), second.alias("kind"), F.lit(None).cast("string").alias("header")),
+        F.struct(F.lit(3).alias("arg_no"), third.alias("kind"), F.when(~even, "X.Secret").alias("header")),
+    )
+    return queries.select("query_id", F.inline(arguments))
+
+
+def _allowlist(spark: SparkSession) -> DataFrame:
+    return spark.range(1).select(F.explode(F.array(*map(F.lit, ALLOWED_HEADERS))).alias("header"))
+
+
+@query
+def split_arguments(spark, sf_dir):
+    """Which field each argument searches; none where the messages have to be tested."""
+    args = batch_arguments(tables.query_batch(spark, sf_dir))
+    found = ranking.argument_fields(args, _allowlist(spark)).withColumn("is_indexed", F.col("field").isNotNull())
+    return found.fillna("", ["header", "field"])
+
+
+@query
+def search_batch_arguments(spark, sf_dir):
+    """The batch with its own fields for each query, every word needed."""
+    queries = tables.query_batch(spark, sf_dir)
+    fields = ranking.argument_fields(batch_arguments(queries), _allowlist(spark))
+    return ranking.search_batch(open_index(spark, sf_dir), ranking.batch_terms(queries, fields, "and"), TOP)

@@ -170,6 +170,16 @@ def _batch(fields: str, operator: str) -> dict[str, str]:
     }
 
 
+ARGUMENTS = """
+    SELECT item_id AS query_id, 1 AS arg_no, 'header' AS kind, 'SUBJECT' AS header, 'subject' AS field
+    FROM benchmark
+    UNION ALL SELECT item_id, 2, 'body', NULL, 'body' FROM benchmark WHERE item_id % 2 = 0
+    UNION ALL SELECT item_id, 2, 'text', NULL, unnest(['from', 'to', 'subject', 'body'])
+              FROM benchmark WHERE item_id % 2 = 1
+    UNION ALL SELECT item_id, 3, 'flags', NULL, NULL FROM benchmark WHERE item_id % 2 = 0
+    UNION ALL SELECT item_id, 3, 'header', 'X.Secret', NULL FROM benchmark WHERE item_id % 2 = 1"""
+
+
 def _long_form(bodies: str) -> str:
     return f"""
         SELECT box, uid, field,
@@ -364,4 +374,14 @@ def statements(c) -> dict[str, str]:
         "search_batch": _with(["weighted"], _top("10000", "query_id, box"), _batch(DEFAULTS, "or")),
         "search_batch_body_and": _with(["weighted"], _top(str(c.TOP), "query_id, box"), _batch("'body'", "and")),
     }
+    found["split_arguments"] = _with(
+        [],
+        """SELECT query_id, arg_no, kind, coalesce(header, '') AS header, coalesce(field, '') AS field,
+                  field IS NOT NULL AS is_indexed FROM arguments""",
+        {"arguments": ARGUMENTS},
+    )
+    by_argument = _batch("SELECT field FROM arguments a WHERE a.query_id = q.query_id AND field IS NOT NULL", "and")
+    found["search_batch_arguments"] = _with(
+        ["weighted"], _top(str(c.TOP), "query_id, box"), {"arguments": ARGUMENTS, **by_argument}
+    )
     return found

@@ -27,49 +27,45 @@ def message_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 MESSAGE_COLUMNS = ("h_from", "h_to", "subject", "body")
 
 
+def _message_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.concat("source", F.lit("@example.org")).alias("h_from"),
+        F.concat("lang", F.lit("-list@example.org")).alias("h_to"),
+        F.substring(F.substring_index("text", "\n", 1), 1, 80).alias("subject"),
+        F.col("text").alias("body"),
+    )
+
+
 def messages(spark: SparkSession, sf_dir: str, *columns: Column | str) -> DataFrame:
     """(box, uid, doc_id, h_from, h_to, subject, body), or the given columns for the last four.
 
     Given columns are computed from the four before anything is shuffled, so that a query
     which needs, say, the size of a text does not shuffle the text.
     """
-    docs = (
-        table(spark, sf_dir, "documents")
-        .select(
-            "doc_id",
-            F.concat("source", F.lit("@example.org")).alias("h_from"),
-            F.concat("lang", F.lit("-list@example.org")).alias("h_to"),
-            F.substring(F.substring_index("text", "\n", 1), 1, 80).alias("subject"),
-            F.col("text").alias("body"),
-        )
-        .select("doc_id", *(columns or MESSAGE_COLUMNS))
-    )
+    docs = _message_texts(spark, sf_dir).select("doc_id", *(columns or MESSAGE_COLUMNS))
     # doc_id is unique, so the hash side stays even and the long texts are never sorted.
     keys = message_keys(spark, sf_dir).hint("shuffle_hash")
     return docs.join(keys, "doc_id").select("box", "uid", *docs.columns)
 
 
+# Field names of the message columns above.
+MESSAGE_FIELDS = dict(zip(text.DEFAULT_FIELDS, MESSAGE_COLUMNS, strict=True))
+
+
 def message_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages in document form: (box, uid, fields MAP<STRING, ARRAY<STRING>>)."""
-    return messages(spark, sf_dir).select(
-        "box",
-        "uid",
-        F.create_map(
-            F.lit("from"), F.array("h_from"),
-            F.lit("to"), F.array("h_to"),
-            F.lit("subject"), F.array("subject"),
-            F.lit("body"), F.array("body"),
-        ).alias("fields"),
-    )
-
-
-def message_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(box, uid, field, value), from one scan of the messages."""
-    return (
-        message_documents(spark, sf_dir)
-        .select("box", "uid", F.explode("fields").alias("field", "all_values"))
-        .select("box", "uid", "field", F.explode("all_values").alias("value"))
-    )
+    entries = [x for field, column in MESSAGE_FIELDS.items() for x in (F.lit(field), F.array(column))]
+    return messages(spark, sf_dir).select("box", "uid", F.create_map(*entries).alias("fields"))
+
+
+def message_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(field, value) of all messages, for work that does not ask whose value it is."""
+    pairs = [
+        F.struct(F.lit(field).alias("field"), F.col(column).alias("value"))
+        for field, column in MESSAGE_FIELDS.items()
+    ]
+    return _message_texts(spark, sf_dir).select(F.inline(F.array(*pairs)))
 
 
 def build_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -206,23 +206,37 @@ def test_cap_is_next_uid_or_ten_thousand(spark):
 
 
 def test_batch_of_one_equals_single_search(spark, index, joins):
-    queries = spark.createDataFrame(
-        [
-            (1, "alpha beta", ["subject", "body"], "or"),
-            (2, "hot alpha", ["body"], "and"),
-            (3, "hot hot", ["body"], "and"),
-            (4, "", ["body"], "or"),
-        ],
-        "query_id bigint, value string, fields array<string>, operator string",
-    )
-    found = ranking.search_batch(index, ranking.batch_terms(queries)).collect()
+    data = [
+        (1, "alpha beta", ["subject", "body"], "or"),
+        (2, "hot alpha", ["body"], "and"),
+        (3, "hot hot", ["body"], "and"),
+        (4, "", ["body"], "or"),
+    ]
+    queries = spark.createDataFrame(data, "query_id bigint, value string, fields array<string>, operator string")
+    fields = queries.select("query_id", F.explode("fields").alias("field"))
+    found = ranking.search_batch(index, ranking.batch_terms(queries, fields)).collect()
     assert {r.query_id for r in found} == {1, 2, 3}
-    for q in queries.collect()[:3]:
-        want = ranking.top_per_box(matching.search(index, q.value, q.fields, q.operator)).collect()
-        got = {(r.box, r.uid, r.score, r.rank) for r in found if r.query_id == q.query_id}
+    for query_id, value, names, operator in data[:3]:
+        want = ranking.top_per_box(matching.search(index, value, names, operator)).collect()
+        got = {(r.box, r.uid, r.score, r.rank) for r in found if r.query_id == query_id}
         assert got == {(r.box, r.uid, r.score, r.rank) for r in want}
 
 
+def test_fields_of_a_table_of_arguments(spark):
+    args = spark.createDataFrame(
+        [(1, "text", None), (2, "header", "X.Foo"), (2, "body", None), (3, "flags", None), (4, "header", "Secret")],
+        "query_id bigint, kind string, header string",
+    )
+    allowed = spark.createDataFrame([("x.FOO",), ("To",)], "header string")
+
+    def resolved(allowlist):
+        return {(r.query_id, r.field) for r in ranking.argument_fields(args, allowlist).collect()}
+
+    common = {(1, "from"), (1, "to"), (1, "subject"), (1, "body"), (2, "x_foo"), (2, "body"), (3, None)}
+    assert resolved(None) == common | {(4, "secret")}
+    assert resolved(allowed) == common | {(4, None)}
+
+
 def ranges(spark, pairs, bits):
     df = spark.createDataFrame(pairs, "box string, uid bigint")
     return sorted(tuple(r) for r in ranking.uid_ranges(df, bits).collect())
