@@ -44,9 +44,8 @@ def messages(spark: SparkSession, sf_dir: str, *columns: Column | str) -> DataFr
     which needs, say, the size of a text does not shuffle the text.
     """
     docs = _message_texts(spark, sf_dir).select("doc_id", *(columns or MESSAGE_COLUMNS))
-    # doc_id is unique, so the hash side stays even and the long texts are never sorted.
-    keys = message_keys(spark, sf_dir).hint("shuffle_hash")
-    return docs.join(keys, "doc_id").select("box", "uid", *docs.columns)
+    # doc_id is unique, so this join is even whatever the sizes of the boxes.
+    return docs.join(message_keys(spark, sf_dir), "doc_id").select("box", "uid", *docs.columns)
 
 
 # Field names of the message columns above.
