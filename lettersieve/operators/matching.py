@@ -112,7 +112,7 @@ def word_join(index: Index, words: DataFrame) -> Callable[[DataFrame], DataFrame
     """
     keys = [name for name in ("field", "term") if name in words.columns]
     words = stored(words.select(keys).distinct(), "words")
-    n_rows, n_bytes = slices.size_up_to(words, slices.BROADCAST_ROWS)
+    n_rows, n_bytes = slices.size_of(words)
     if n_rows <= LITERAL_TERMS and n_bytes <= LITERAL_BYTES:
         few = words.collect()
         fields = sorted({row.field for row in few}) if "field" in keys else None

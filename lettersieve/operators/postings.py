@@ -35,7 +35,7 @@ def term_bucket(term: Column, buckets: int) -> Column:
 
 
 def word_lists(documents: DataFrame) -> DataFrame:
-    """(box, uid, field, field_len, counts): one narrow pass over the texts, no shuffle."""
+    """(box, uid, field, field_len, counts, n_terms): one narrow pass over the texts, no shuffle."""
     return (
         documents.select("box", "uid", F.explode("fields").alias("field", "field_values"))
         .select("box", "uid", "field", text.words_of_all(F.col("field_values")).alias("tokens"))
@@ -46,6 +46,7 @@ def word_lists(documents: DataFrame) -> DataFrame:
             F.size("tokens").cast("bigint").alias("field_len"),
             text.term_counts(F.col("tokens")).alias("counts"),
         )
+        .withColumn("n_terms", F.coalesce(F.size("counts"), F.lit(0)).cast("bigint"))
     )
 
 

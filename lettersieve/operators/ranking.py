@@ -144,7 +144,8 @@ def search_batch(index: Index, terms: DataFrame, limit: int = RESULT_CAP) -> Dat
 
 def _ranges(hits: DataFrame, bits: int) -> DataFrame:
     # Ranges are found inside uid slices. Only a range that touches a slice edge may go on
-    # in the next slice: those, at most two per slice, are joined up by a second window.
+    # in the next slice: those, at most two per slice, meet in one window per box. All
+    # others stay with their slice, where no range follows directly on another.
     sliced = (
         hits.groupBy("box", "uid")
         .agg(F.max("score").alias("score"))
@@ -159,17 +160,17 @@ def _ranges(hits: DataFrame, bits: int) -> DataFrame:
     start = F.shiftleft(F.col("_slice"), bits)
     end = start + F.lit((1 << bits) - 1)
     at_edge = (F.col("uid_lo") == start) | (F.col("uid_hi") == end)
-    by_lo = W.partitionBy("box").orderBy("uid_lo")
-    begins = (F.col("uid_lo") != F.lag("uid_hi").over(by_lo) + 1).cast("int")
-    joined = (
-        local.filter(at_edge)
-        .withColumn("_begins", F.coalesce(begins, F.lit(1)))
+    place = ["box", "_place"]
+    by_lo = W.partitionBy(*place).orderBy("uid_lo")
+    begins = F.coalesce((F.col("uid_lo") != F.lag("uid_hi").over(by_lo) + 1).cast("int"), F.lit(1))
+    return (
+        local.withColumn("_place", F.when(at_edge, F.lit(-1)).otherwise(F.col("_slice")))
+        .withColumn("_begins", begins)
         .withColumn("_island", F.sum("_begins").over(by_lo))
-        .groupBy("box", "_island")
+        .groupBy(*place, "_island")
         .agg(F.min("uid_lo").alias("uid_lo"), F.max("uid_hi").alias("uid_hi"), F.max("max_score").alias("max_score"))
+        .select("box", "uid_lo", "uid_hi", "max_score")
     )
-    columns = ["box", "uid_lo", "uid_hi", "max_score"]
-    return local.filter(~at_edge).select(columns).unionByName(joined.select(columns))
 
 
 def uid_ranges(hits: DataFrame, bits: int = slices.SLICE_BITS) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 SLICE_BITS = 20
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 SALTS = 64
 
@@ -60,11 +60,11 @@ def position(df: DataFrame, group: Sequence[str], order: str, name: str, bits: i
     return running_totals(df, group, order, {name: F.lit(1)}, bits)
 
 
-def size_up_to(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """Rows of ``df`` and their bytes; counting stops one row beyond ``max_rows``."""
+def size_of(df: DataFrame) -> tuple[int, int]:
+    """Rows of ``df`` and their bytes, counted where the rows are."""
     texts = [name for name, kind in df.dtypes if kind == "string"]
     size = sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in texts), F.lit(8 * len(df.columns)))
-    n_rows, n_bytes = df.limit(max_rows + 1).agg(F.count("*"), F.sum(size)).first()
+    n_rows, n_bytes = df.agg(F.count("*"), F.sum(size.cast("bigint"))).first()
     return n_rows, n_bytes or 0
 
 
@@ -74,7 +74,7 @@ def fits(n_rows: int, n_bytes: int) -> bool:
 
 def is_small(df: DataFrame) -> bool:
     """Whether ``df`` may be broadcast: its rows and bytes are counted first."""
-    return fits(*size_up_to(df, BROADCAST_ROWS))
+    return fits(*size_of(df))
 
 
 def join_by_box(

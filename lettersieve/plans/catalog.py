@@ -72,7 +72,8 @@ def bulk_export(spark, sf_dir):
 
 @query
 def bulk_batches(spark, sf_dir):
-    sizes = tables.messages(spark, sf_dir, bulk.value_bytes(tables.MESSAGE_COLUMNS).alias("bytes"))
+    # Stored, as batches take two passes over the sizes: the texts are read once.
+    sizes = shared.stored(tables.messages(spark, sf_dir, bulk.value_bytes(tables.MESSAGE_COLUMNS).alias("bytes")))
     return bulk.assign_batches(sizes, BATCH_LIMIT).select("box", "uid", "batch")
 
 

@@ -31,7 +31,7 @@ def write_index(documents: DataFrame, root: str, term_buckets: int | None = None
     spark = documents.sparkSession
     P.word_lists(documents).write.parquet(f"{root}/word_lists")
     lists = spark.read.parquet(f"{root}/word_lists")
-    n_postings = lists.agg(F.sum(F.size("counts").cast("bigint"))).first()[0] or 0
+    n_postings = lists.agg(F.sum("n_terms")).first()[0] or 0
     term_buckets = term_buckets or layout_for(n_postings)
     spark.range(1).select(F.lit(term_buckets).alias("term_buckets")).write.parquet(f"{root}/layout")
     _write_by_term(P.postings_of(lists), f"{root}/postings", term_buckets, n_postings, ["uid"])

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names; a local session without one gets its own."""
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -15,9 +18,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="lettersieve-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    application = spark.sparkContext.applicationId
+    if application not in _own:
+        _own[application] = tempfile.mkdtemp(prefix="lettersieve-")
+    return _own[application]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

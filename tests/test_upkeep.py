@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lettersieve.operators import slices, upkeep
+from lettersieve.sources import shared
 from lettersieve.streaming import ops_log
 
 OPS = "box string, uid bigint, seq bigint, op string, subject string"
@@ -136,3 +137,28 @@ def test_running_totals_over_negative_and_sparse_order(spark):
         for pos, (_, o, v) in enumerate(sorted(d for d in data if d[0] == g), 1):
             total += v
             assert got[g, o] == (total, pos)
+
+
+class Session:
+    """As much of a session as the choice of a shared folder looks at."""
+
+    def __init__(self, folder, master):
+        self.conf = {} if folder is None else {"spark.checkpoint.dir": folder}
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": f"test-{master}"})
+
+
+def test_shared_folder_is_the_named_one_and_never_local_on_a_cluster():
+    assert shared.shared_folder(Session("hdfs://shared/dir/", "yarn")) == "hdfs://shared/dir"
+    with pytest.raises(RuntimeError):
+        shared.shared_folder(Session(None, "yarn"))
+    own = Session(None, "local[2]")
+    assert shared.shared_folder(own) == shared.shared_folder(own)
+
+
+def test_size_check_counts_rows_and_bytes(spark, monkeypatch):
+    df = spark.createDataFrame([("a" * 1000, 1), (None, 2)], "t string, n bigint")
+    assert slices.size_of(df) == (2, 1032)
+    assert slices.is_small(df)
+    monkeypatch.setattr(slices, "BROADCAST_BYTES", 1031)
+    assert not slices.is_small(df)
+    assert slices.size_of(df.limit(0)) == (0, 0)
