@@ -44,8 +44,10 @@ def messages(spark: SparkSession, sf_dir: str, *columns: Column | str) -> DataFr
     which needs, say, the size of a text does not shuffle the text.
     """
     docs = _message_texts(spark, sf_dir).select("doc_id", *(columns or MESSAGE_COLUMNS))
-    # doc_id is unique, so this join is even whatever the sizes of the boxes.
-    return docs.join(message_keys(spark, sf_dir), "doc_id").select("box", "uid", *docs.columns)
+    # doc_id is unique, so this join is even whatever the sizes of the boxes and of the
+    # files. A merge join can spill, and its shuffle spreads the work on texts that follows
+    # even where the texts come from a few files with one row group each.
+    return docs.join(message_keys(spark, sf_dir).hint("merge"), "doc_id").select("box", "uid", *docs.columns)
 
 
 # Field names of the message columns above.
