@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lettersieve.llm import language, mixing, packing, secret_scan, simhash
+from lettersieve.llm import (
+    embedding_dedup,
+    language,
+    licenses,
+    mixing,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    url_filter,
+    warc_fixity,
+)
 from lettersieve.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,9 +31,14 @@ QUERIES: dict[str, Query] = {
     "op1_packing": _over("documents", packing.digest),
     "op2_mixing": _over("documents", mixing.digest),
     "op3_secret_scan": _over("documents", secret_scan.digest),
+    "op4_warc_fixity": _over("pages", warc_fixity.digest),
+    "op5_quality": lambda spark, sf_dir: quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op6_simhash": _over("documents", simhash.digest),
     "op7_language": _over("documents", language.digest),
+    "op8_licenses": _over("documents", licenses.digest),
+    "op9_url_filter": _over("pages", url_filter.digest),
+    "op10_embedding_dedup": _over("embeddings", embedding_dedup.digest),
     "language_of_pages": _over("pages", language.pages_digest),
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_warc_fixity": warc_fixity.ORACLE}
