@@ -14,6 +14,17 @@ BODY_KIND = "BODY_PART"
 BODY_FIELD = "body"
 
 
+def join_chunks(events: DataFrame) -> DataFrame:
+    """Whole events of events whose values come in pieces, numbered by ``chunk``.
+
+    A value is one field of one document, so its pieces belong in one row. Empty pieces and
+    empty values stay; null pieces add nothing.
+    """
+    keys = [c for c in events.columns if c not in ("chunk", "value")]
+    pieces = F.array_sort(F.collect_list(F.struct("chunk", "value")))
+    return events.groupBy(*keys).agg(F.array_join(F.transform(pieces, lambda p: p["value"]), "").alias("value"))
+
+
 def header_values(events: DataFrame) -> DataFrame:
     """(box, uid, seq, hdr_name, field, value) of main and MIME part headers alike."""
     return events.filter(F.col("key_type").isin(*HEADER_KINDS) & (F.col("hdr_name") != "")).select(

@@ -6,7 +6,9 @@ A hit is ``(box, uid, score)``. Searching reads postings only, never the texts.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,8 @@ from lettersieve.operators.postings import Index, term_bucket
 from lettersieve.sources.shared import stored
 
 KEY = ["box", "uid"]
+# The kinds of header arguments. All search the field of the header.
+HEADER_KINDS = ("header", "header_address", "header_compress_lwsp")
 # More words than this are matched by a join and not by a literal list in the scan.
 LITERAL_TERMS = 500
 LITERAL_BYTES = 1 << 20
@@ -24,10 +28,10 @@ LITERAL_BYTES = 1 << 20
 
 @dataclass(frozen=True)
 class Arg:
-    """One search argument. ``kind`` is text, body, header or any other kind.
+    """One search argument. ``kind`` is text, body, a header kind or any other kind.
 
     Arguments of other kinds cannot be answered from the index. ``children`` are arguments
-    nested in this one; they share its search value.
+    nested in this one; they share its search value, and its negation holds for them.
     """
 
     kind: str
@@ -36,19 +40,24 @@ class Arg:
     children: tuple[Arg, ...] = ()
 
 
-def flat_args(args: Sequence[Arg]) -> list[Arg]:
-    """All arguments that say something themselves, nested ones included."""
+def flat_args(args: Sequence[Arg], negated: bool = False) -> list[Arg]:
+    """All arguments that say something themselves, nested ones included.
+
+    A negation is carried down: an argument is negated if an odd number of arguments from
+    itself up to the root are.
+    """
     found = []
     for arg in args:
-        found += flat_args(arg.children)
+        below = negated != arg.negated
+        found += flat_args(arg.children, below)
         if not arg.children:
-            found.append(arg)
+            found.append(replace(arg, negated=below))
     return found
 
 
 def is_indexed(arg: Arg, allowed_headers: Sequence[str] | None = None) -> bool:
     """Whether the index can answer an argument. No allowlist means all headers are indexed."""
-    if arg.kind == "header":
+    if arg.kind in HEADER_KINDS:
         return allowed_headers is None or arg.header.lower() in {name.lower() for name in allowed_headers}
     return arg.kind in ("text", "body")
 
@@ -77,8 +86,9 @@ def query_words(spark: SparkSession, value: str) -> list[str]:
 
 
 def _evaluate(spark: SparkSession, expression: Column):
-    # The value of a constant expression, such as the words of one search value.
-    return spark.range(1).select(expression).first()[0]
+    # The value of a constant expression, such as the words of one search value. Over a row
+    # of literals the optimizer computes it; no job runs.
+    return spark.sql("SELECT * FROM VALUES (0)").select(expression).first()[0]
 
 
 def word_filter(
@@ -262,15 +272,68 @@ def contains(column: str, value: str) -> Column:
     return F.contains(F.lower(column), F.lower(F.lit(value)))
 
 
-def residual_split(hits: DataFrame | None, messages: DataFrame, residual: Column | None) -> DataFrame:
-    """(box, uid) of messages matching the indexed arguments and the residual condition.
+def residual_split(
+    hits: DataFrame | None, messages: DataFrame, residual: Column | None, operator: str = "and"
+) -> DataFrame:
+    """(box, uid) of messages matching the indexed arguments and (or) the residual condition.
 
     ``hits`` is None when the index could answer nothing: then this is a plain scan. The
     residual is evaluated in the scan and only keys of matching messages are shuffled.
     """
+    if operator not in ("and", "or"):
+        raise ValueError(f"operator must be 'and' or 'or', not {operator!r}")
     rest = messages if residual is None else messages.filter(residual)
     rest = rest.select(*KEY)
-    return rest if hits is None else rest.join(hits.select(*KEY), KEY, "left_semi")
+    if hits is None:
+        return rest
+    found = hits.select(*KEY)
+    return rest.unionByName(found).distinct() if operator == "or" else rest.join(found, KEY, "left_semi")
+
+
+@dataclass(frozen=True)
+class Node:
+    """A tree of conditions: ``op`` is and, or, not, or the name of a condition."""
+
+    op: str
+    parts: tuple[Node, ...] = ()
+
+    def holds(self, met: Column) -> Column:
+        """The tree over a column with the names of the conditions that are met."""
+        below = [part.holds(met) for part in self.parts]
+        if self.op == "not":
+            return ~below[0]
+        if self.op in ("and", "or"):
+            return reduce(and_ if self.op == "and" else or_, below)
+        return F.array_contains(met, self.op)
+
+    def names(self) -> set[str]:
+        if self.op in ("and", "or", "not"):
+            return {name for part in self.parts for name in part.names()}
+        return {self.op}
+
+
+def search_tree(
+    tree: Node, answered: dict[str, DataFrame], residual: dict[str, Column], messages: DataFrame
+) -> DataFrame:
+    """(box, uid) of the messages for which a tree of conditions holds.
+
+    ``answered`` names the conditions with hits from the index, ``residual`` those that are
+    tested on ``messages``, all in one scan. Every message brings the few names of what it
+    meets, so one shuffle of keys decides the whole tree, under and, or and not alike.
+    """
+    unknown = tree.names() - answered.keys() - residual.keys()
+    if unknown:
+        raise LookupError(f"conditions without an answer: {sorted(unknown)}")
+    tested = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in sorted(residual.items())]))
+    met = messages.select(*KEY, tested.cast("array<string>").alias("met"), F.lit(True).alias("is_message"))
+    for name, hits in sorted(answered.items()):
+        met = met.unionByName(
+            hits.select(*KEY, F.array(F.lit(name)).alias("met"), F.lit(False).alias("is_message"))
+        )
+    gathered = met.groupBy(*KEY).agg(
+        F.array_distinct(F.flatten(F.collect_set("met"))).alias("met"), F.max("is_message").alias("is_message")
+    )
+    return gathered.filter(F.col("is_message") & tree.holds(F.col("met"))).select(*KEY)
 
 
 def with_certainty(hits: DataFrame, auto_fuzzy: bool = True) -> DataFrame:
@@ -278,17 +341,23 @@ def with_certainty(hits: DataFrame, auto_fuzzy: bool = True) -> DataFrame:
     return hits.withColumn("certainty", F.lit("definite" if auto_fuzzy else "maybe"))
 
 
-def verify_maybe(hits: DataFrame, messages: DataFrame, exact: Column) -> DataFrame:
-    """Definite hits, and those candidates whose raw text passes the exact test."""
-    checked = messages.filter(exact).select(*KEY)
+def verify_maybe(
+    hits: DataFrame, texts_of: Callable[[DataFrame], DataFrame], exact: Column
+) -> DataFrame:
+    """Definite hits, and those candidates whose raw text passes the exact test.
+
+    ``texts_of`` gives the messages of some (box, uid): only the texts of candidates are
+    tested, never those of all messages.
+    """
     definite = hits.filter("certainty = 'definite'")
-    maybe = hits.filter("certainty = 'maybe'").join(checked, KEY, "left_semi")
-    return definite.unionByName(maybe)
+    candidates = hits.filter("certainty = 'maybe'")
+    checked = texts_of(candidates.select(*KEY)).filter(exact).select(*KEY)
+    return definite.unionByName(candidates.join(checked, KEY, "left_semi"))
 
 
 def _count_matches(index: Index, fields: Sequence[str], condition: Column) -> DataFrame:
-    # The condition is tested on the dictionary, which is far smaller than the postings.
-    words = index.dictionary.filter(F.col("field").isin(*fields) & condition)
+    # The condition is tested once per word of a field, whatever the number of boxes.
+    words = index.words.filter(F.col("field").isin(*fields) & condition)
     found = word_join(index, words)(index.postings)
     return found.groupBy(*KEY).agg(F.count("*").alias("n_matches"))
 

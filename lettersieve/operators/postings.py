@@ -4,6 +4,10 @@ postings(box, field, term, uid, tf, field_len)       one row per word of a docum
 dictionary(box, field, term, df)                     documents per word
 field_stats(box, field, n_docs, total_len, max_uid)  documents having words in the field
 keys(box, uid)                                       all documents
+words(field, term)                                   the distinct words of all boxes
+boxes(box, n_docs, max_uid)                          one row per box
+
+``max_uid`` bounds the uids from above and never falls, also when documents go.
 
 Stored postings and dictionaries have a column ``term_bucket``, a hash of the word, that
 names the folder a row is in.
@@ -12,7 +16,7 @@ names the folder a row is in.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +31,8 @@ class Index:
     dictionary: DataFrame
     field_stats: DataFrame
     keys: DataFrame
+    words: DataFrame
+    boxes: DataFrame
     term_buckets: int | None = None  # None: not stored by term bucket
 
 
@@ -34,14 +40,13 @@ def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def word_lists(documents: DataFrame) -> DataFrame:
-    """(box, uid, field, field_len, counts, n_terms): one narrow pass over the texts, no shuffle."""
+def word_lists(documents: DataFrame, key: Sequence[str] = ("box", "uid")) -> DataFrame:
+    """(key, field, field_len, counts, n_terms): one narrow pass over the texts, no shuffle."""
     return (
-        documents.select("box", "uid", F.explode("fields").alias("field", "field_values"))
-        .select("box", "uid", "field", text.words_of_all(F.col("field_values")).alias("tokens"))
+        documents.select(*key, F.explode("fields").alias("field", "field_values"))
+        .select(*key, "field", text.words_of_all(F.col("field_values")).alias("tokens"))
         .select(
-            "box",
-            "uid",
+            *key,
             "field",
             F.size("tokens").cast("bigint").alias("field_len"),
             text.term_counts(F.col("tokens")).alias("counts"),
@@ -84,11 +89,96 @@ def field_stats_of(lists: DataFrame) -> DataFrame:
     )
 
 
+def words_of(dictionary: DataFrame) -> DataFrame:
+    return dictionary.select("field", "term", *[c for c in dictionary.columns if c == "term_bucket"]).distinct()
+
+
+def boxes_of(keys: DataFrame) -> DataFrame:
+    return keys.groupBy("box").agg(F.count("*").alias("n_docs"), F.max("uid").alias("max_uid"))
+
+
 def index_of(documents: DataFrame) -> Index:
     """An index that is computed where it is used; for documents too few to store one."""
     lists = word_lists(documents)
-    postings = postings_of(lists)
-    return Index(postings, dictionary_of(postings), field_stats_of(lists), documents.select("box", "uid"))
+    postings, keys = postings_of(lists), documents.select("box", "uid")
+    dictionary = dictionary_of(postings)
+    return Index(postings, dictionary, field_stats_of(lists), keys, words_of(dictionary), boxes_of(keys))
+
+
+@dataclass(frozen=True)
+class Losses:
+    """What an index loses when documents go: their keys, and their share of the statistics.
+
+    keys(box, uid), dictionary(box, field, term, df), field_stats(box, field, n_docs, total_len).
+    """
+
+    keys: DataFrame
+    dictionary: DataFrame
+    field_stats: DataFrame
+
+
+def losses(index: Index, touched: DataFrame) -> Losses:
+    """What ``index`` loses by new versions or removals of the (box, uid) in ``touched``.
+
+    Only keys that the index has count. The words of lost documents are read from their
+    postings, so the statistics are exact.
+    """
+    gone = index.keys.join(touched.select("box", "uid").distinct(), ["box", "uid"], "left_semi")
+    lost = index.postings.join(gone, ["box", "uid"], "left_semi")
+    buckets = [c for c in lost.columns if c == "term_bucket"]
+    lengths = lost.groupBy("box", "field", "uid").agg(F.max("field_len").alias("field_len"))
+    return Losses(
+        gone,
+        lost.groupBy("box", "field", "term", *buckets).agg(F.count("*").alias("df")),
+        lengths.groupBy("box", "field").agg(F.count("*").alias("n_docs"), F.sum("field_len").alias("total_len")),
+    )
+
+
+def without(index: Index, lost: Losses) -> Index:
+    """``index`` after ``lost``: no row of a lost document, and exact statistics.
+
+    Highest uids stay as they are: they are upper bounds.
+    """
+    dictionary = index.dictionary.unionByName(lost.dictionary.withColumn("df", -F.col("df")))
+    stats = index.field_stats.unionByName(
+        lost.field_stats.select(
+            "box",
+            "field",
+            (-F.col("n_docs")).alias("n_docs"),
+            (-F.col("total_len")).alias("total_len"),
+            F.lit(0).cast("bigint").alias("max_uid"),
+        )
+    )
+    fewer = lost.keys.groupBy("box").agg((-F.count("*")).alias("n_docs"), F.lit(0).cast("bigint").alias("max_uid"))
+    return replace(
+        index,
+        postings=index.postings.join(lost.keys, ["box", "uid"], "left_anti"),
+        dictionary=_summed_dictionary(dictionary),
+        field_stats=_summed_stats(stats),
+        keys=index.keys.join(lost.keys, ["box", "uid"], "left_anti"),
+        boxes=_summed_boxes(index.boxes.unionByName(fewer)),
+    )
+
+
+def _summed_dictionary(dictionary: DataFrame) -> DataFrame:
+    summed = dictionary.groupBy([c for c in dictionary.columns if c != "df"]).agg(F.sum("df").alias("df"))
+    return summed.filter("df > 0")
+
+
+def _summed_stats(stats: DataFrame) -> DataFrame:
+    return (
+        stats.groupBy("box", "field")
+        .agg(F.sum("n_docs").alias("n_docs"), F.sum("total_len").alias("total_len"), F.max("max_uid").alias("max_uid"))
+        .filter("n_docs > 0")
+    )
+
+
+def _summed_boxes(boxes: DataFrame) -> DataFrame:
+    return (
+        boxes.groupBy("box")
+        .agg(F.sum("n_docs").alias("n_docs"), F.max("max_uid").alias("max_uid"))
+        .filter("n_docs > 0")
+    )
 
 
 def merge_indexes(parts: Sequence[Index]) -> Index:
@@ -106,18 +196,25 @@ def merge_indexes(parts: Sequence[Index]) -> Index:
             tables = [table.drop("term_bucket") for table in tables]
         return reduce(DataFrame.unionByName, tables)
 
-    dictionary, field_stats = union("dictionary"), union("field_stats")
     return Index(
         postings=union("postings"),
-        dictionary=dictionary.groupBy([c for c in dictionary.columns if c != "df"]).agg(F.sum("df").alias("df")),
-        field_stats=field_stats.groupBy("box", "field").agg(
-            F.sum("n_docs").alias("n_docs"), F.sum("total_len").alias("total_len"), F.max("max_uid").alias("max_uid")
-        ),
+        dictionary=_summed_dictionary(union("dictionary")),
+        field_stats=_summed_stats(union("field_stats")),
         keys=union("keys"),
+        words=union("words").distinct(),
+        boxes=_summed_boxes(union("boxes")),
         term_buckets=buckets.pop() if len(buckets) == 1 else None,
     )
 
 
+def updated(index: Index, part: Index, touched: DataFrame) -> Index:
+    """``index`` after a run: the keys in ``touched`` go, the documents of ``part`` come.
+
+    ``touched`` has to hold all keys of ``part``; those without a document there are removed.
+    """
+    return merge_indexes([without(index, losses(index, touched)), part])
+
+
 def replace_postings(postings: DataFrame, touched: DataFrame, documents: DataFrame) -> DataFrame:
     """Postings after an update: those of touched keys go, those of new versions come.
 

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 
 from lettersieve.functions import scoring, text
 from lettersieve.operators import slices
-from lettersieve.operators.matching import contributions, search, word_join
+from lettersieve.operators.matching import HEADER_KINDS, contributions, search, word_join
 from lettersieve.operators.postings import Index
 from lettersieve.sources.shared import stored
 
@@ -24,17 +24,19 @@ def _best_first() -> list[Column]:
 
 def top_per_box(
     hits: DataFrame,
-    limit: int = RESULT_CAP,
+    limit: int | None = None,
     group: Sequence[str] = ("box",),
     uidnext: DataFrame | None = None,
     bits: int = slices.SLICE_BITS,
 ) -> DataFrame:
-    """The best hits of each group with their ``rank``, by score, then uid.
+    """The best hits of each group with their ``rank``, by score, then uid; all without ``limit``.
 
     Two exact steps: the best of every uid slice, then the best of those. So even a box
     with billions of hits leaves at most ``limit`` rows per slice for the final window.
     ``uidnext(box, uidnext)`` lowers the limit of a box to its next free uid.
     """
+    if limit is None:
+        return _cut_at_uidnext(_all_ranked(hits, group, bits), uidnext)
     # Some hits come with their slices and are partitioned by them already.
     sliced = hits if "_slice" in hits.columns else hits.withColumn("_slice", slices.slice_of("uid", bits))
     in_slice = W.partitionBy(*group, "_slice").orderBy(*_best_first())
@@ -46,6 +48,10 @@ def top_per_box(
         .withColumn("rank", F.col("rank").cast("bigint"))
         .drop("_slice", "_rank")
     )
+    return _cut_at_uidnext(ranked, uidnext)
+
+
+def _cut_at_uidnext(ranked: DataFrame, uidnext: DataFrame | None) -> DataFrame:
     if uidnext is None:
         return ranked
     return (
@@ -53,32 +59,52 @@ def top_per_box(
     )
 
 
+def _all_ranked(hits: DataFrame, group: Sequence[str], bits: int) -> DataFrame:
+    """All hits with their rank: hits with a better score, and the place by uid among equal ones.
+
+    Scores are rounded to six digits, so a group has a bounded number of different scores,
+    whatever the number of its hits; equal scores are numbered by uid slices.
+    """
+    hits = stored(hits.drop("_slice"), "hits")
+    placed = slices.position(hits, [*group, "score"], "uid", "_place", bits)
+    better = W.partitionBy(*group).orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, -1)
+    before = (
+        hits.groupBy(*group, "score")
+        .agg(F.count("*").alias("_n"))
+        .select(*group, "score", F.coalesce(F.sum("_n").over(better), F.lit(0)).alias("_better"))
+    )
+    return placed.join(before, [*group, "score"]).select(
+        *hits.columns, (F.col("_better") + F.col("_place")).cast("bigint").alias("rank")
+    )
+
+
 def search_top(
     index: Index,
     value: str,
     fields: Sequence[str] | None = text.DEFAULT_FIELDS,
     operator: str = "or",
     boxes: Sequence[str] | None = None,
-    limit: int = RESULT_CAP,
+    limit: int | None = None,
 ) -> DataFrame:
     """(box, uid, score, rank): a search as a mail client asks for it, best hits first.
 
     Every box returns the ``limit`` best hits, or as many as its next uid if that is less.
     """
     hits = search(index, value, fields, operator, boxes, by_slice=True)
-    return top_per_box(hits, limit, uidnext=uidnext_of(index.keys))
+    return top_per_box(hits, limit, uidnext=None if limit is None else uidnext_of(index, boxes))
 
 
-def uidnext_of(keys: DataFrame) -> DataFrame:
-    """(box, uidnext): the uid that the next message of a box will get."""
-    return keys.groupBy("box").agg((F.max("uid") + 1).alias("uidnext"))
+def uidnext_of(index: Index, boxes: Sequence[str] | None = None) -> DataFrame:
+    """(box, uidnext): the uid that the next message of a box will get, from one row per box."""
+    known = index.boxes if boxes is None else index.boxes.filter(F.col("box").isin(*boxes))
+    return known.select("box", (F.col("max_uid") + 1).alias("uidnext"))
 
 
 def argument_fields(args: DataFrame, allowlist: DataFrame | None = None) -> DataFrame:
     """Adds ``field`` to arguments (query_id, kind, header): one row per field to search.
 
     ``field`` is null where the index cannot answer: other kinds than text, body and
-    header, and headers missing from ``allowlist(header)``. Those are the caller's residual.
+    headers, and headers missing from ``allowlist(header)``. Those are the caller's residual.
     """
     kind = F.col("kind")
     if allowlist is not None:
@@ -86,11 +112,11 @@ def argument_fields(args: DataFrame, allowlist: DataFrame | None = None) -> Data
         if slices.is_small(allowed):
             allowed = F.broadcast(allowed)
         args = args.join(allowed, F.lower("header") == F.col("_name"), "left")
-        kind = F.when((kind != "header") | F.col("_allowed"), kind)
+        kind = F.when(~kind.isin(*HEADER_KINDS) | F.col("_allowed"), kind)
     found = (
         F.when(kind == "text", F.array(*map(F.lit, text.DEFAULT_FIELDS)))
         .when(kind == "body", F.array(F.lit("body")))
-        .when(kind == "header", F.array(text.field_name(F.col("header"))))
+        .when(kind.isin(*HEADER_KINDS), F.array(text.field_name(F.col("header"))))
     )
     return args.select("*", F.explode_outer(found).alias("field")).drop("_name", "_allowed")
 
@@ -137,7 +163,7 @@ def batch_hits(index: Index, terms: DataFrame, bits: int = slices.SLICE_BITS) ->
     return scored.groupBy(*group, "uid").agg(scoring.rounded(F.max("score")).alias("score"))
 
 
-def search_batch(index: Index, terms: DataFrame, limit: int = RESULT_CAP) -> DataFrame:
+def search_batch(index: Index, terms: DataFrame, limit: int | None = None) -> DataFrame:
     """(query_id, box, uid, score, rank): the best hits of every query in every box."""
     return top_per_box(batch_hits(index, terms), limit, ["query_id", "box"])
 

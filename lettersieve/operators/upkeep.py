@@ -12,15 +12,19 @@ from lettersieve.operators import slices
 KEY = ["box", "uid"]
 
 
-def apply_ops(ops: DataFrame) -> DataFrame:
-    """Current documents after ``index`` (replace) and ``delete`` actions.
+def last_ops(ops: DataFrame) -> DataFrame:
+    """The last action of each key by ``seq``, deletes included.
 
-    The last action of a key, by ``seq``, wins. A key with very many actions is reduced to
-    one row per task before the shuffle.
+    A key with very many actions is reduced to one row per task before the shuffle.
     """
     payload = [name for name in ops.columns if name not in KEY]
     last = ops.groupBy(*KEY).agg(F.max_by(F.struct(*payload), "seq").alias("last"))
-    return last.select(*KEY, "last.*").filter("op = 'index'").drop("op")
+    return last.select(*KEY, "last.*").select(*ops.columns)
+
+
+def apply_ops(ops: DataFrame) -> DataFrame:
+    """Current documents after ``index`` (replace) and ``delete`` actions: the last action wins."""
+    return last_ops(ops).filter("op = 'index'").drop("op")
 
 
 def expunge(documents: DataFrame, keys: DataFrame) -> DataFrame:

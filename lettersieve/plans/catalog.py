@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lettersieve.operators import documents, matching, postings, ranking, slices, upkeep
-from lettersieve.operators.matching import Arg
-from lettersieve.plans import index_run
+from lettersieve.operators.matching import HEADER_KINDS, Arg, Node
+from lettersieve.plans import index_run, index_store
 from lettersieve.plans.session_index import open_index
 from lettersieve.sources import bulk, index_tables, responses, shared, tables
 from lettersieve.streaming import ops_log
@@ -20,6 +20,10 @@ MULTI_VALUE = "the src3 example"
 ALLOWLIST_VALUE = "list the"
 BATCH_LIMIT = 20_000
 TOP = 10
+MARKED = tables.MARKED
+EXPORT_LIMIT = 3_000
+UPDATED_VALUE = "the of click"
+STREAM_VALUE = "click signup 7"
 ALLOWED_HEADERS = ("From", "Subject")
 RESIDUAL_VALUE = "en-list"
 EXACT_VALUE = "the of"
@@ -57,7 +61,7 @@ def normalize_fields(spark, sf_dir):
 
 @query
 def sanitize_values(spark, sf_dir):
-    return documents.changed_values(tables.message_values(spark, sf_dir))
+    return documents.changed_values(tables.marked_values(spark, sf_dir))
 
 
 @query
@@ -80,11 +84,19 @@ def bulk_batches(spark, sf_dir):
 def search_responses(messages: DataFrame) -> DataFrame:
     """Responses of ten hits at most, as JSON texts in a column ``value``.
 
-    Odd uids come as arrays, and every seventh hit lacks its box.
+    Odd uids come as arrays. Boxes come plain or as arrays, and of every seven hits one lacks
+    its box, one has an empty array and one an array with a null.
     """
     uid = F.col("uid").cast("string")
     uid_json = F.when(F.col("uid") % 2 == 1, F.concat(F.lit("["), uid, F.lit("]"))).otherwise(uid)
-    box_json = F.when(F.col("uid") % 7 == 0, F.lit("")).otherwise(F.concat(F.lit(',"box":["'), "box", F.lit('"]')))
+    kind = F.col("uid") % 7
+    box_json = (
+        F.when(kind == 0, F.lit(""))
+        .when(kind == 1, F.lit(',"box":[]'))
+        .when(kind == 2, F.lit(',"box":[null]'))
+        .when(kind == 3, F.concat(F.lit(',"box":"'), "box", F.lit('"')))
+        .otherwise(F.concat(F.lit(',"box":["'), "box", F.lit('"]')))
+    )
     score = (F.col("bytes") / F.lit(8.0)).cast("string")
     hit = F.concat(F.lit('{"_score":'), score, F.lit(',"_source":{"uid":'), uid_json, box_json, F.lit("}}"))
     grouped = messages.groupBy("box", F.expr("uid div 10").alias("page")).agg(F.collect_list(hit).alias("found"))
@@ -98,6 +110,21 @@ def decode_hits(spark, sf_dir):
     return responses.decode_hits(search_responses(tables.messages(spark, sf_dir, F.octet_length("body").alias("bytes"))))
 
 
+@query
+def assemble_chunks(spark, sf_dir):
+    """Documents from events whose values arrive in pieces."""
+    return documents.field_values(documents.join_chunks(tables.chunk_events(spark, sf_dir)))
+
+
+@query
+def bulk_export_batches(spark, sf_dir):
+    """Assembled documents written for export and read again: batch number and lines."""
+    path = shared.new_folder(spark, "export")
+    assembled = shared.stored(documents.assemble(tables.build_events(spark, sf_dir)))
+    bulk.write_export(bulk.export_batches(assembled, EXPORT_LIMIT), path)
+    return bulk.read_export(spark, path).select("box", "uid", "batch", "lines")
+
+
 # Upkeep
 
 
@@ -170,8 +197,7 @@ def update_postings(spark, sf_dir):
     index = open_index(spark, sf_dir)
     updated = apply_ops(spark, sf_dir)
     touched = tables.expunges(spark, sf_dir).unionByName(updated.select("box", "uid"))
-    fields = F.create_map(F.lit("subject"), F.array("subject"), F.lit("body"), F.array("body"))
-    return postings.replace_postings(index.postings, touched, updated.select("box", "uid", fields.alias("fields")))
+    return postings.replace_postings(index.postings, touched, updated.select("box", "uid", _action_fields().alias("fields")))
 
 
 @query
@@ -187,12 +213,75 @@ def search_after_runs(spark, sf_dir):
     return matching.search_body(index, VALUE)
 
 
+def _runs(spark: SparkSession, sf_dir: str) -> index_store.Store:
+    """A stored index after two runs: messages up to the checkpoints, then the rest."""
+    everything = tables.message_documents(spark, sf_dir)
+    checkpoints = tables.checkpoints(spark, sf_dir)
+    reached = checkpoints.withColumn("max_uid", F.col("last_indexed_uid"))
+    before = slices.join_by_box(everything, reached, ["box"], "max_uid").filter("uid <= last_indexed_uid")
+    store = index_store.create(spark, shared.new_folder(spark, "index-store"))
+    store = index_store.run(store, before.select(everything.columns), checkpoints=checkpoints)
+    return index_store.index_new(store, everything)
+
+
+@query
+def stored_checkpoints(spark, sf_dir):
+    """The checkpoints that a store opened anew has after two runs."""
+    store = _runs(spark, sf_dir)
+    return index_store.open_store(spark, store.root).checkpoints
+
+
+@query
+def search_after_rescan(spark, sf_dir):
+    """Search after everything was indexed a second time: every document is there once."""
+    store = index_store.rescan(_runs(spark, sf_dir), tables.message_documents(spark, sf_dir))
+    found = [matching.search_body(store.index, VALUE, op).withColumn("operator", F.lit(op)) for op in ("and", "or")]
+    return found[0].unionByName(found[1])
+
+
+def _action_fields() -> Column:
+    return F.create_map(F.lit("subject"), F.array("subject"), F.lit("body"), F.array("body"))
+
+
+@query
+def search_after_updates(spark, sf_dir):
+    """Search in an index after flagged messages were removed and action documents indexed."""
+    first = open_index(spark, sf_dir)
+    documents_ = shared.stored(apply_ops(spark, sf_dir).select("box", "uid", _action_fields().alias("fields")))
+    touched = tables.expunges(spark, sf_dir).unionByName(documents_.select("box", "uid"))
+    index = postings.updated(first, postings.index_of(documents_), touched)
+    return matching.search(index, UPDATED_VALUE, ["subject", "body"])
+
+
+@query
+def search_after_stream(spark, sf_dir):
+    """Search in an index that follows a stream of actions, which come in three batches out of order."""
+    root = shared.new_folder(spark, "stream")
+    events = tables.table(spark, sf_dir, "events")
+    part = (F.col("event_id") % 3).alias("part")
+    for number in range(3):  # one file and batch each
+        events.filter(part == number).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    ops = tables.ops_from_events(ops_log.read_action_files(spark, f"{root}/in", events.schema, 1)).drop("ts")
+    after = ops_log.indexing(spark, root, ops.schema, _action_fields())
+    ops_log.append_to_log(ops, f"{root}/log", f"{root}/progress", after).awaitTermination()
+    store = index_store.open_store(spark, f"{root}/index")
+    return matching.search(store.index, STREAM_VALUE, ["subject", "body"])
+
+
 # Index and search
 
 
+@query
+def search_assembled(spark, sf_dir):
+    """From events to hits: assembled, indexed, searched."""
+    root = shared.new_folder(spark, "index-assembled")
+    index_tables.write_index(documents.assemble(tables.build_events(spark, sf_dir)), root)
+    return matching.search(index_tables.read_index(spark, root), VALUE, ["subject", "x-reply_part", "body"])
+
+
 @query
 def build_postings(spark, sf_dir):
-    return postings.build_postings(tables.message_documents(spark, sf_dir))
+    return postings.postings_of(tables.message_word_lists(spark, sf_dir))
 
 
 @query
@@ -239,6 +328,20 @@ def search_not(spark, sf_dir):
     return hits.select("box", "uid")
 
 
+@query
+def search_header_kinds(spark, sf_dir):
+    """Addresses and compressed white space are other kinds of header search, on the same fields."""
+    args = [Arg("header_address", "From"), Arg("header_compress_lwsp", "Subject")]
+    return matching.search_args(open_index(spark, sf_dir), args, MULTI_VALUE, allowed_headers=ALLOWED_HEADERS)
+
+
+@query
+def search_not_nested(spark, sf_dir):
+    """The negation of a parent holds for the arguments below it."""
+    args = [Arg("or", negated=True, children=(Arg("header", "Subject"), Arg("body")))]
+    return matching.search_args(open_index(spark, sf_dir), args, VALUE, "and").select("box", "uid")
+
+
 @query
 def search_combine_args(spark, sf_dir):
     index = open_index(spark, sf_dir)
@@ -262,6 +365,16 @@ def residual_split(spark, sf_dir):
     return matching.residual_split(hits, tables.messages(spark, sf_dir, "h_to"), residual)
 
 
+@query
+def residual_or(spark, sf_dir):
+    """BODY from the index, or a header that is not indexed and not another one: one scan decides."""
+    hits = matching.search_body(open_index(spark, sf_dir), VALUE, "and")
+    tests = {"to": matching.contains("h_to", RESIDUAL_VALUE), "from": matching.contains("h_from", "src1")}
+    both = Node("and", (Node("not", (Node("to"),)), Node("from")))
+    messages = tables.messages(spark, sf_dir, "h_to", "h_from")
+    return matching.search_tree(Node("or", (Node("body"), both)), {"body": hits}, tests, messages)
+
+
 @query
 def residual_scan(spark, sf_dir):
     """No argument can be answered by the index: a plain scan of the messages."""
@@ -272,7 +385,9 @@ def residual_scan(spark, sf_dir):
 @query
 def verify_maybe(spark, sf_dir):
     hits = matching.with_certainty(matching.search_body(open_index(spark, sf_dir), EXACT_VALUE, "and"), False)
-    return matching.verify_maybe(hits, tables.messages(spark, sf_dir), matching.contains("body", EXACT_VALUE))
+    return matching.verify_maybe(
+        hits, lambda keys: tables.messages_of(spark, sf_dir, keys), matching.contains("body", EXACT_VALUE)
+    )
 
 
 @query
@@ -304,7 +419,7 @@ def search_topk(spark, sf_dir):
 @query
 def search_capped(spark, sf_dir):
     """As ``search_topk``, with the usual cap: the next uid of the box, or 10,000 if less."""
-    return ranking.search_top(open_index(spark, sf_dir), VALUE)
+    return ranking.search_top(open_index(spark, sf_dir), VALUE, limit=ranking.RESULT_CAP)
 
 
 @query
@@ -320,14 +435,15 @@ def uid_ranges(spark, sf_dir):
 @query
 def search_multi_box(spark, sf_dir):
     """One text search over all boxes; statistics and the best hits are per box."""
-    hits = matching.search(open_index(spark, sf_dir), VALUE, operator="and", by_slice=True)
+    hits = matching.search(open_index(spark, sf_dir), VALUE, operator="and")
     return ranking.top_per_box(hits)
 
 
 @query
 def search_batch(spark, sf_dir):
+    """The ten best hits of each query in each box."""
     terms = ranking.batch_terms(tables.query_batch(spark, sf_dir))
-    return ranking.search_batch(open_index(spark, sf_dir), terms)
+    return ranking.search_batch(open_index(spark, sf_dir), terms, TOP)
 
 
 @query
@@ -339,14 +455,15 @@ def search_batch_body_and(spark, sf_dir):
 def batch_arguments(queries: DataFrame) -> DataFrame:
     """(query_id, arg_no, kind, header): the arguments of each query of the batch.
 
-    Every query has three: a subject header, a body or a text, and one that the index
+    Every query has three: a subject header of one of the header kinds, a body or a text, and one that the index
     cannot answer (flags, or a header that is not in the allowlist).
     """
     even = F.col("query_id") % 2 == 0
+    kind = F.element_at(F.array(*map(F.lit, HEADER_KINDS)), (F.col("query_id") % 3 + 1).cast("int"))
     second = F.when(even, "body").otherwise("text")
     third = F.when(even, "flags").otherwise("header")
     arguments = F.array(
-        F.struct(F.lit(1).alias("arg_no"), F.lit("header").alias("kind"), F.lit("SUBJECT").alias("header")),
+        F.struct(F.lit(1).alias("arg_no"), kind.alias("kind"), F.lit("SUBJECT").alias("header")),
         F.struct(F.lit(2).alias("arg_no"), second.alias("kind"), F.lit(None).cast("string").alias("header")),
         F.struct(F.lit(3).alias("arg_no"), third.alias("kind"), F.when(~even, "X.Secret").alias("header")),
     )

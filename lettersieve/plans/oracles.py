@@ -23,7 +23,7 @@ VIEWS = {
                doc_id,
                concat(source, '@example.org') AS h_from,
                concat(lang, '-list@example.org') AS h_to,
-               substr(split_part(text, chr(10), 1), 1, 80) AS subject,
+               split_part(text, chr(10), 1) AS subject,
                text AS body
         FROM documents""",
     "message_fields": """
@@ -145,20 +145,24 @@ RANGES = """
     GROUP BY box, island"""
 
 
-def _top(limit: str, group: str = "box") -> str:
+def _ranked(group: str = "box") -> str:
     return f"""
-        SELECT * FROM (
             SELECT *, CAST(row_number() OVER (PARTITION BY {group} ORDER BY score DESC, uid) AS BIGINT) AS rank
-            FROM hits)
+            FROM hits"""
+
+
+def _top(limit: str, group: str = "box") -> str:
+    return f"""
+        SELECT * FROM ({_ranked(group)})
         WHERE rank <= {limit}"""
 
 
 def _batch(fields: str, operator: str) -> dict[str, str]:
-    """Hits of the query batch: two words for each benchmark text."""
+    """Hits of the query batch: each benchmark text is a search value."""
     every = "HAVING count(*) = any_value(n_terms)" if operator == "and" else ""
     return {
         "query_words": f"""
-            SELECT item_id AS query_id, list_distinct({_words("text")}[1:2]) AS terms FROM benchmark""",
+            SELECT item_id AS query_id, list_distinct({_words("text")}) AS terms FROM benchmark""",
         "query_terms": "SELECT query_id, len(terms) AS n_terms, unnest(terms) AS term FROM query_words",
         "hits": f"""
             SELECT query_id, box, uid, round(max(score), 6) AS score
@@ -171,7 +175,9 @@ def _batch(fields: str, operator: str) -> dict[str, str]:
 
 
 ARGUMENTS = """
-    SELECT item_id AS query_id, 1 AS arg_no, 'header' AS kind, 'SUBJECT' AS header, 'subject' AS field
+    SELECT item_id AS query_id, 1 AS arg_no,
+           ['header', 'header_address', 'header_compress_lwsp'][CAST(item_id % 3 + 1 AS BIGINT)] AS kind,
+           'SUBJECT' AS header, 'subject' AS field
     FROM benchmark
     UNION ALL SELECT item_id, 2, 'body', NULL, 'body' FROM benchmark WHERE item_id % 2 = 0
     UNION ALL SELECT item_id, 2, 'text', NULL, unnest(['from', 'to', 'subject', 'body'])
@@ -189,16 +195,21 @@ def _long_form(bodies: str) -> str:
               UNION ALL SELECT box, uid, 'body', seq, value FROM {bodies})"""
 
 
+ACTION_FIELDS = """SELECT box, uid, 'subject' AS field, subject AS value FROM applied
+                    UNION ALL SELECT box, uid, 'body', body FROM applied"""
+CONTROL_BYTES = " || ".join(f"chr({code})" for code in (28, 29, 30, 31))
 ACTION = "json_object(op, json_object('_index', box, '_type', 'mail', '_id', uid))"
 MESSAGE_BYTES = "strlen(h_from) + strlen(h_to) + strlen(subject) + strlen(body)"
 RESPONSES = """
     SELECT '{"took":1,"hits":{"hits":[' || string_agg(
              '{"_score":' || CAST(strlen(body) / 8.0::DOUBLE AS VARCHAR) || ',"_source":{"uid":'
              || CASE WHEN uid % 2 = 1 THEN '[' || uid || ']' ELSE CAST(uid AS VARCHAR) END
-             || CASE WHEN uid % 7 = 0 THEN '' ELSE ',"box":["' || box || '"]' END || '}}', ',')
+             || CASE uid % 7 WHEN 0 THEN '' WHEN 1 THEN ',"box":[]' WHEN 2 THEN ',"box":[null]'
+                             WHEN 3 THEN ',"box":"' || box || '"' ELSE ',"box":["' || box || '"]' END || '}}', ',')
            || ']}}' AS value
     FROM messages GROUP BY box, uid // 10"""
-FIRST_OR_SELF = "coalesce(json_extract_string(hit, '$._source.{0}[0]'), json_extract_string(hit, '$._source.{0}'))"
+FIRST_OR_SELF = """CASE json_type(hit, '$._source.{0}') WHEN 'ARRAY' THEN json_extract_string(hit, '$._source.{0}[0]')
+                   ELSE json_extract_string(hit, '$._source.{0}') END"""
 
 
 def _matches(condition: str) -> str:
@@ -226,7 +237,8 @@ def statements(c) -> dict[str, str]:
             f"""SELECT field, CAST(count(value) AS BIGINT) AS n_values,
                        CAST(sum(CASE WHEN cleaned <> value THEN 1 ELSE 0 END) AS BIGINT) AS n_changed,
                        CAST(sum(strlen(cleaned)) AS BIGINT) AS n_bytes_after
-                FROM (SELECT field, value, {_clean("value")} AS cleaned FROM message_fields) GROUP BY field""",
+                FROM (SELECT field, value, {_clean("value")} AS cleaned FROM marked) GROUP BY field""",
+            {"marked": f"SELECT field, translate(value, '{c.MARKED}', {CONTROL_BYTES}) AS value FROM message_fields"},
         ),
         "field_catalog": _with(
             ["header_values", "first_bodies"],
@@ -370,10 +382,71 @@ def statements(c) -> dict[str, str]:
             {"hits": _hits(c.VALUE, "'body'"), "ranges": RANGES},
         ),
         "uid_ranges": _with(["messages"], RANGES, {"hits": "SELECT box, uid FROM messages WHERE contains(lower(body), 'ertion')"}),
-        "search_multi_box": _with(["weighted"], _top("10000"), {"hits": _hits(c.VALUE, DEFAULTS, "and")}),
-        "search_batch": _with(["weighted"], _top("10000", "query_id, box"), _batch(DEFAULTS, "or")),
+        "search_multi_box": _with(["weighted"], _ranked(), {"hits": _hits(c.VALUE, DEFAULTS, "and")}),
+        "search_batch": _with(["weighted"], _top(str(c.TOP), "query_id, box"), _batch(DEFAULTS, "or")),
         "search_batch_body_and": _with(["weighted"], _top(str(c.TOP), "query_id, box"), _batch("'body'", "and")),
     }
+    found |= {
+        "assemble_chunks": found["assemble_documents"],
+        "bulk_export_batches": _with(
+            ["header_values", "first_bodies"],
+            f"""SELECT box, uid, CAST((upto - bytes) // {c.EXPORT_LIMIT} AS BIGINT) AS batch,
+                       CAST(json_object('index', json_object('_index', box, '_type', 'mail', '_id', uid)) AS VARCHAR) || chr(10)
+                       || '{{"uid":' || uid || ',"box":"' || box || '",' || entries || '}}' AS lines
+                FROM (SELECT box, uid, entries, bytes, sum(bytes) OVER (PARTITION BY box ORDER BY uid) AS upto
+                      FROM (SELECT box, uid, sum(bytes) AS bytes,
+                                   string_agg(CAST(to_json(field) AS VARCHAR) || ':' || CAST(to_json(vals) AS VARCHAR), ','
+                                              ORDER BY field) AS entries
+                            FROM (SELECT box, uid, field, list(value ORDER BY pos) AS vals, sum(strlen(value)) AS bytes
+                                  FROM long GROUP BY box, uid, field) GROUP BY box, uid))""",
+            {"long": _long_form("first_bodies")},
+        ),
+        "stored_checkpoints": _with(
+            ["messages"],
+            "SELECT box, CAST(max(uid) AS BIGINT) AS last_indexed_uid FROM messages GROUP BY box",
+        ),
+        "search_after_rescan": _with(
+            ["weighted"],
+            f"""SELECT box, uid, score, 'and' AS operator FROM ({_hits(c.VALUE, "'body'", "and")})
+                UNION ALL SELECT box, uid, score, 'or' FROM ({_hits(c.VALUE, "'body'")})""",
+        ),
+        "search_after_updates": _with(
+            ["messages", "expunges", "applied", "weighted"],
+            _hits(c.UPDATED_VALUE, "'subject', 'body'"),
+            {
+                "message_fields": f"""
+                    SELECT * FROM ({VIEWS["message_fields"]})
+                    WHERE (box, uid) NOT IN (SELECT (box, uid) FROM expunges UNION ALL SELECT (box, uid) FROM applied)
+                    UNION ALL {ACTION_FIELDS}"""
+            },
+        ),
+        "search_after_stream": _with(
+            ["applied", "weighted"], _hits(c.STREAM_VALUE, "'subject', 'body'"), {"message_fields": ACTION_FIELDS}
+        ),
+        "search_assembled": _with(
+            ["header_values", "first_bodies", "weighted"],
+            _hits(c.VALUE, "'subject', 'x-reply_part', 'body'"),
+            {
+                "field_words": f"""
+                    SELECT box, uid, field, flatten(list(words ORDER BY pos)) AS words
+                    FROM (SELECT box, uid, field, pos, {_words("value")} AS words FROM ({_long_form("first_bodies")}))
+                    GROUP BY box, uid, field"""
+            },
+        ),
+        "search_header_kinds": _with(["weighted"], _hits(c.MULTI_VALUE, "'from', 'subject'")),
+        "search_not_nested": _with(
+            ["weighted"],
+            "SELECT box, uid FROM messages EXCEPT SELECT box, uid FROM hits",
+            {"hits": _hits(c.VALUE, "'subject', 'body'", "and")},
+        ),
+        "residual_or": _with(
+            ["weighted"],
+            f"""SELECT box, uid FROM messages
+                WHERE (box, uid) IN (SELECT (box, uid) FROM hits)
+                   OR (NOT contains(lower(h_to), lower({_text(c.RESIDUAL_VALUE)})) AND contains(lower(h_from), 'src1'))""",
+            {"hits": body_and},
+        ),
+    }
     found["split_arguments"] = _with(
         [],
         """SELECT query_id, arg_no, kind, coalesce(header, '') AS header, coalesce(field, '') AS field,

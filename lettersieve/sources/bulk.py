@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lettersieve.functions.text import clean_value
@@ -64,14 +64,37 @@ def assign_batches(sizes: DataFrame, limit: int = BATCH_BYTES, order: str = "uid
     return summed.withColumn("batch", F.floor(before / F.lit(limit)).cast("bigint")).drop("_upto")
 
 
-def write_export(lines: DataFrame, path: str) -> None:
-    """Writes (box, batch, lines) as text files, one file for each batch of a box.
+EXPORT_BUCKETS = 256
 
-    Batches are bounded, so shuffling by batch is even although boxes are not.
+
+def map_bytes() -> Column:
+    """Raw bytes of the values of a document with a ``fields`` map."""
+    sizes = F.transform(F.flatten(F.map_values("fields")), lambda v: F.coalesce(F.octet_length(v), F.lit(0)))
+    return F.aggregate(sizes, F.lit(0).cast("bigint"), lambda total, size: total + size)
+
+
+def export_batches(documents: DataFrame, limit: int = BATCH_BYTES, bits: int = slices.SLICE_BITS) -> DataFrame:
+    """(box, uid, batch, lines) of documents (box, uid, fields): the lines to send, by batch."""
+    lines = F.concat_ws("\n", action_line(), document_line_of_map())
+    sized = documents.withColumn("op", F.lit("index")).select("box", "uid", lines.alias("lines"), map_bytes().alias("bytes"))
+    return assign_batches(sized, limit, bits=bits).select("box", "uid", "batch", "lines")
+
+
+def write_export(lines: DataFrame, path: str, buckets: int = EXPORT_BUCKETS) -> None:
+    """Writes (box, uid, batch, lines) in a bounded number of folders.
+
+    Rows of a batch are next to each other in one file, in order. Batches are bounded, so
+    shuffling by batch is even although boxes are not.
     """
     (
-        lines.select("box", "batch", "lines")
-        .repartition("box", "batch")
-        .write.partitionBy("box", "batch")
-        .text(path)
+        lines.select("box", "batch", "uid", "lines")
+        .withColumn("bucket", F.pmod(F.xxhash64("box", "batch"), F.lit(buckets)).cast("int"))
+        .repartition("bucket", "box", "batch")
+        .sortWithinPartitions("bucket", "box", "batch", "uid")
+        .write.partitionBy("bucket")
+        .parquet(path)
     )
+
+
+def read_export(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("box string, batch bigint, uid bigint, lines string").parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,16 +13,25 @@ ROWS_PER_TASK = 20_000_000
 MIN_TERM_BUCKETS = 8
 MAX_TERM_BUCKETS = 4096
 
+BY_TERM = ("term_bucket", "term", "box")
+
 SCHEMAS = {
     "postings": "box string, field string, term string, uid bigint, tf bigint, field_len bigint, term_bucket int",
     "dictionary": "box string, field string, term string, df bigint, term_bucket int",
     "field_stats": "box string, field string, n_docs bigint, total_len bigint, max_uid bigint",
     "keys": "box string, uid bigint",
+    "words": "field string, term string, term_bucket int",
+    "boxes": "box string, n_docs bigint, max_uid bigint",
 }
 
 
 def write_index(documents: DataFrame, root: str, term_buckets: int | None = None) -> None:
-    """Builds the index tables. Texts are read and split into words once.
+    """Builds the index tables of documents (box, uid, fields)."""
+    write_lists(P.word_lists(documents), documents.select("box", "uid"), root, term_buckets)
+
+
+def write_lists(lists: DataFrame, keys: DataFrame, root: str, term_buckets: int | None = None) -> None:
+    """Builds the index tables of word lists and all keys. Texts are split into words once.
 
     Each step reads what the step before it has written, so a lost executor costs its own
     tasks only. Postings are range-partitioned: a word that is in most documents spreads
@@ -28,8 +39,8 @@ def write_index(documents: DataFrame, root: str, term_buckets: int | None = None
     Tasks are sized by the number of postings, and so are folders unless ``term_buckets``
     says how many there have to be to go with another index.
     """
-    spark = documents.sparkSession
-    P.word_lists(documents).write.parquet(f"{root}/word_lists")
+    spark = lists.sparkSession
+    lists.write.parquet(f"{root}/word_lists")
     lists = spark.read.parquet(f"{root}/word_lists")
     n_postings = lists.agg(F.sum("n_terms")).first()[0] or 0
     term_buckets = term_buckets or layout_for(n_postings)
@@ -37,8 +48,25 @@ def write_index(documents: DataFrame, root: str, term_buckets: int | None = None
     _write_by_term(P.postings_of(lists), f"{root}/postings", term_buckets, n_postings, ["uid"])
     dictionary = P.dictionary_of(spark.read.schema(SCHEMAS["postings"]).parquet(f"{root}/postings"))
     _write_by_term(dictionary, f"{root}/dictionary", term_buckets, n_postings, [])
+    words = P.words_of(spark.read.schema(SCHEMAS["dictionary"]).parquet(f"{root}/dictionary").drop("term_bucket"))
+    _write_by_term(words, f"{root}/words", term_buckets, n_postings, [], ["term_bucket", "term"])
     P.field_stats_of(lists).write.parquet(f"{root}/field_stats")
-    documents.select("box", "uid").write.parquet(f"{root}/keys")
+    keys.write.parquet(f"{root}/keys")
+    P.boxes_of(spark.read.schema(SCHEMAS["keys"]).parquet(f"{root}/keys")).write.parquet(f"{root}/boxes")
+
+
+def write_tables(index: P.Index, root: str) -> None:
+    """Writes an index whose tables are known, such as one of several parts, as one."""
+    spark = index.keys.sparkSession
+    n_postings = index.dictionary.agg(F.sum("df")).first()[0] or 0
+    term_buckets = index.term_buckets or layout_for(n_postings)
+    spark.range(1).select(F.lit(term_buckets).alias("term_buckets")).write.parquet(f"{root}/layout")
+    _write_by_term(index.postings.drop("term_bucket"), f"{root}/postings", term_buckets, n_postings, ["uid"])
+    _write_by_term(index.dictionary.drop("term_bucket"), f"{root}/dictionary", term_buckets, n_postings, [])
+    words = P.words_of(spark.read.schema(SCHEMAS["dictionary"]).parquet(f"{root}/dictionary").drop("term_bucket"))
+    _write_by_term(words, f"{root}/words", term_buckets, n_postings, [], ["term_bucket", "term"])
+    for name in ("field_stats", "keys", "boxes"):
+        getattr(index, name).write.parquet(f"{root}/{name}")
 
 
 def layout_for(n_postings: int) -> int:
@@ -47,8 +75,9 @@ def layout_for(n_postings: int) -> int:
     return max(MIN_TERM_BUCKETS, min(MAX_TERM_BUCKETS, 1 << wanted.bit_length()))
 
 
-def _write_by_term(df: DataFrame, path: str, term_buckets: int, n_rows: int, more: list[str]) -> None:
-    order = ["term_bucket", "term", "box"]
+def _write_by_term(
+    df: DataFrame, path: str, term_buckets: int, n_rows: int, more: list[str], order: Sequence[str] = BY_TERM
+) -> None:
     tasks = max(n_rows // ROWS_PER_TASK, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     (
         df.withColumn("term_bucket", P.term_bucket(F.col("term"), term_buckets))

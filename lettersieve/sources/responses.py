@@ -10,8 +10,10 @@ SOURCE = "_source"
 
 
 def _first_or_self(raw: Column) -> Column:
-    # A value may come alone or as an array, whose first element counts.
-    return F.coalesce(F.get(F.from_json(raw, "array<string>"), 0), raw)
+    # A value may come alone or as an array, whose first element counts; an array that is
+    # empty or begins with null has none.
+    parsed = F.from_json(raw, "array<string>")
+    return F.when(parsed.isNotNull(), F.get(parsed, 0)).otherwise(raw)
 
 
 def decode_hits(responses: DataFrame, column: str = "value", path: str = DEFAULT_PATH) -> DataFrame:

@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lettersieve.functions import text
-from lettersieve.operators import slices
+from lettersieve.operators import postings, slices
+from lettersieve.sources.shared import stored
 
+# Characters of the texts that ``marked_values`` replaces by separator control bytes.
+MARKED = ".,|#"
 CHECKPOINTED_SENDERS = ("%0@%", "%2@%", "%4@%")
 
 
@@ -32,7 +35,7 @@ def _message_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.concat("source", F.lit("@example.org")).alias("h_from"),
         F.concat("lang", F.lit("-list@example.org")).alias("h_to"),
-        F.substring(F.substring_index("text", "\n", 1), 1, 80).alias("subject"),
+        F.substring_index("text", "\n", 1).alias("subject"),
         F.col("text").alias("body"),
     )
 
@@ -60,6 +63,15 @@ def message_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages(spark, sf_dir).select("box", "uid", F.create_map(*entries).alias("fields"))
 
 
+def message_word_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The word lists of all messages: texts are split in the scan, only lists are shuffled."""
+    entries = [x for field, column in MESSAGE_FIELDS.items() for x in (F.lit(field), F.array(column))]
+    documents = _message_texts(spark, sf_dir).select("doc_id", F.create_map(*entries).alias("fields"))
+    lists = postings.word_lists(documents, ["doc_id"])
+    joined = lists.join(message_keys(spark, sf_dir).hint("merge"), "doc_id")
+    return joined.select("box", "uid", *[c for c in lists.columns if c != "doc_id"])
+
+
 def message_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(field, value) of all messages, for work that does not ask whose value it is."""
     pairs = [
@@ -69,6 +81,23 @@ def message_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _message_texts(spark, sf_dir).select(F.inline(F.array(*pairs)))
 
 
+def marked_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(field, value) as ``message_values``, with control bytes in place of some punctuation."""
+    marked = F.translate("value", MARKED, "".join(text.CONTROL_TEXTS))
+    return message_values(spark, sf_dir).withColumn("value", marked)
+
+
+def messages_of(spark: SparkSession, sf_dir: str, keys: DataFrame) -> DataFrame:
+    """The messages of some (box, uid), with their texts.
+
+    Keys are turned into document ids, all narrow. A small set of ids, by its counted size,
+    is broadcast to the scan; beyond that the texts are shuffled by id once.
+    """
+    wanted = stored(message_keys(spark, sf_dir).join(keys.distinct(), ["box", "uid"], "left_semi"), "wanted")
+    ids = F.broadcast(wanted) if slices.is_small(wanted) else wanted.hint("merge")
+    return _message_texts(spark, sf_dir).join(ids, "doc_id").select("box", "uid", "doc_id", *MESSAGE_COLUMNS)
+
+
 def build_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(box, uid, seq, key_type, hdr_name, value): field events of messages."""
     role = F.col("role")
@@ -82,6 +111,13 @@ def build_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chunk_events(spark: SparkSession, sf_dir: str, size: int = 37) -> DataFrame:
+    """``build_events`` with every value cut into pieces: also (chunk, value)."""
+    pieces = F.sequence(F.lit(0), F.greatest(F.ceil(F.length("value") / size), F.lit(1)) - 1)
+    events = build_events(spark, sf_dir).withColumn("chunk", F.explode(pieces))
+    return events.withColumn("value", F.substring("value", (F.col("chunk") * size + 1).cast("int"), F.lit(size)))
+
+
 def ops_from_events(events: DataFrame) -> DataFrame:
     """(box, uid, seq, ts, op, subject, body). Stateless, so it also runs on a stream."""
     return events.select(
@@ -123,9 +159,5 @@ def expunges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(query_id, value): the first two words of each benchmark text, as search values."""
-    found = text.words(F.col("text"))
-    return table(spark, sf_dir, "benchmark").select(
-        F.col("item_id").alias("query_id"),
-        F.concat_ws(" ", F.slice(found, 1, 2)).alias("value"),
-    )
+    """(query_id, value): each benchmark text as a search value."""
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("value"))

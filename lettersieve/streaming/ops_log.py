@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lettersieve.operators import upkeep
+from lettersieve.plans import index_store
 
 
 def read_action_files(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
@@ -53,3 +57,54 @@ def read_log(spark: SparkSession, log: str, schema) -> DataFrame:
 def current_documents(spark: SparkSession, log: str, schema) -> DataFrame:
     """Order is ``seq`` and not arrival, so late actions fall into place."""
     return upkeep.apply_ops(read_log(spark, log, schema))
+
+
+VERSIONS = "version bigint, upto bigint, folder string"
+
+
+def compacted(spark: SparkSession, root: str, schema) -> tuple[DataFrame, int, int]:
+    """(last action of each key, last batch in it, version) as of the newest compaction.
+
+    Deletes are kept: a late action that is older than a delete must not bring a key back.
+    """
+    try:
+        newest = spark.read.schema(VERSIONS).parquet(f"{root}/versions").orderBy(F.desc("version")).first()
+    except AnalysisException:
+        newest = None
+    if newest is None:
+        return spark.createDataFrame([], schema), -1, 0
+    return spark.read.schema(schema).parquet(f"{root}/{newest['folder']}"), newest["upto"], newest["version"]
+
+
+def compact(spark: SparkSession, root: str, batch: DataFrame, batch_id: int, schema) -> DataFrame:
+    """Folds a batch of the log into the last actions and returns what it changed.
+
+    Changes are the batch's last actions that are the last of their key. The batch's order
+    and number of runs do not matter: an action that is in the table already changes it to
+    itself. A version counts once its row is written, after its data.
+    """
+    known, upto, version = compacted(spark, root, schema)
+    last = upkeep.last_ops(batch.select(schema.names))
+    folder = f"last-{version + 1}-{uuid.uuid4().hex}"
+    upkeep.last_ops(known.unionByName(last)).write.parquet(f"{root}/{folder}")
+    row = spark.createDataFrame([(version + 1, max(upto, batch_id), folder)], VERSIONS)
+    row.coalesce(1).write.mode("append").parquet(f"{root}/versions")
+    after = spark.read.schema(schema).parquet(f"{root}/{folder}")
+    return after.join(last.select("box", "uid", "seq"), ["box", "uid", "seq"], "left_semi")
+
+
+def indexing(spark: SparkSession, root: str, schema, document: Column) -> Callable[[DataFrame, int], None]:
+    """What to do after each batch: compact it, and run what it changed through the index.
+
+    ``document`` makes the fields of an action's document. The index in ``root``/index holds
+    the current documents after every batch; a batch that is run again replaces its own.
+    """
+    index_store.create(spark, f"{root}/index")
+
+    def after_batch(batch: DataFrame, batch_id: int) -> None:
+        changes = compact(spark, f"{root}/compacted", batch, batch_id, schema)
+        documents = changes.filter("op = 'index'").select("box", "uid", document.alias("fields"))
+        removed = changes.filter("op = 'delete'").select("box", "uid")
+        index_store.run(index_store.open_store(spark, f"{root}/index"), documents, removed)
+
+    return after_batch

@@ -120,13 +120,30 @@ def test_export_of_assembled_documents(spark):
     assert json.loads(document) == {"uid": 1, "box": "b", "a": ["{x}", "y"]}
 
 
-def test_written_export_has_one_file_per_batch(spark, tmp_path):
+def test_written_export_is_bounded_and_in_order(spark, tmp_path):
     sizes = spark.range(1, 41).select(F.lit("b").alias("box"), F.col("id").alias("uid"), F.lit(10).alias("bytes"))
     lines = bulk.assign_batches(sizes, 100).withColumn("lines", F.col("uid").cast("string"))
-    bulk.write_export(lines, str(tmp_path / "out"))
-    files = sorted((tmp_path / "out").glob("box=b/batch=*/*.txt"))
-    assert len(files) == 4
-    assert sorted(int(v) for f in files for v in f.read_text().split()) == list(range(1, 41))
+    bulk.write_export(lines, str(tmp_path / "out"), buckets=2)
+    folders = sorted(p.name for p in (tmp_path / "out").glob("bucket=*"))
+    assert folders and set(folders) <= {"bucket=0", "bucket=1"}
+    got = bulk.read_export(spark, str(tmp_path / "out"))
+    assert sorted((r.batch, r.uid, r.lines) for r in got.collect()) == [((u - 1) // 10, u, str(u)) for u in range(1, 41)]
+    for file in (tmp_path / "out").glob("bucket=*/*.parquet"):
+        rows = [(r.batch, r.uid) for r in spark.read.parquet(str(file)).collect()]
+        assert rows == sorted(rows)
+
+
+def test_export_of_batches(spark):
+    docs = documents.assemble(events(spark, ("HDR", "A", "12345"), ("BODY_PART", None, "é")))
+    row = bulk.export_batches(docs, 100).first()
+    assert row.batch == 0 and json.loads(row.lines.split("\n")[1]) == {"uid": 1, "box": "b", "a": ["12345"], "body": ["é"]}
+    assert docs.select(bulk.map_bytes()).first()[0] == 7
+
+
+def test_chunks_are_joined_in_order(spark):
+    rows = [(0, "HDR", "S", 1, "b"), (0, "HDR", "S", 0, "a"), (0, "HDR", "S", 2, ""), (1, "HDR", "T", 0, ""), (2, "BODY_PART", None, 0, None), (2, "BODY_PART", None, 1, "x")]
+    df = spark.createDataFrame([("b", 1, *r) for r in rows], "box string, uid bigint, seq bigint, key_type string, hdr_name string, chunk int, value string")
+    assert documents.assemble(documents.join_chunks(df)).first().fields == {"s": ["ab"], "t": [""], "body": ["x"]}
 
 
 def test_batches_keep_their_bound(spark):
@@ -178,3 +195,9 @@ def test_words_and_counts(spark):
     got = {r.value: (r.w, None if r.c is None else [tuple(x) for x in r.c]) for r in rows.collect()}
     assert got["Été b, a-B 7a"] == (["été", "b", "a", "b", "7a"], [("7a", 1), ("a", 1), ("b", 2), ("été", 1)])
     assert got[""] == got[None] == got["--"] == ([], None)
+
+
+def test_arrays_without_a_first_value_make_a_hit_incomplete(spark):
+    hit = '{{"hits":{{"hits":[{{"_score":1,"_source":{{"uid":{uid},"box":{box}}}}}]}}}}'
+    cases = [("7", "[]"), ("7", "[null]"), ("[]", '"b"'), ("[null,3]", '"b"'), ("null", '"b"'), ("[4]", '["b","c"]'), ("5", '"[x"')]
+    assert decode(spark, *[hit.format(uid=u, box=b) for u, b in cases]) == [("[x", 5, 1.0), ("b", 4, 1.0)]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lettersieve.operators import matching, postings, ranking, slices
-from lettersieve.operators.matching import Arg
+from lettersieve.operators.matching import HEADER_KINDS, Arg, Node
 from lettersieve.plans import index_run
 from lettersieve.sources import index_tables, shared
 
@@ -125,6 +125,29 @@ def test_fields_of_arguments(spark):
     assert not matching.is_indexed(Arg("header", "X-Secret"), ["subject"])
 
 
+def test_all_header_kinds_search_the_field(index, spark):
+    want = as_dict(matching.search_header(index, "X.Foo", "alpha"))
+    for kind in HEADER_KINDS:
+        assert as_dict(matching.search_args(index, [Arg(kind, "X.Foo")], "alpha")) == want
+        assert not matching.is_indexed(Arg(kind, "X-Secret"), ["subject"])
+    rows = [(i, kind, "X.Foo") for i, kind in enumerate(HEADER_KINDS)]
+    args = spark.createDataFrame(rows, "query_id int, kind string, header string")
+    assert [r.field for r in ranking.argument_fields(args).collect()] == ["x_foo"] * 3
+
+
+def test_negation_is_carried_down(index):
+    every = {(box, uid) for box, uid, _ in ROWS}
+    both = [Arg("body"), Arg("header", "subject")]
+    plain = as_dict(matching.search_args(index, both, "alpha")).keys()
+    under = [Arg("or", negated=True, children=tuple(both))]
+    assert as_dict(matching.search_args(index, under, "alpha")).keys() == every - plain
+    twice = [Arg("or", negated=True, children=(Arg("or", negated=True, children=tuple(both)),))]
+    assert as_dict(matching.search_args(index, twice, "alpha")).keys() == plain
+    mixed = [Arg("or", negated=True, children=(Arg("body"), Arg("header", "subject", negated=True)))]
+    with pytest.raises(ValueError):
+        matching.search_args(index, mixed, "alpha")
+
+
 def test_nothing_answerable_is_refused(index):
     with pytest.raises(LookupError):
         matching.search_args(index, [Arg("header", "X-Secret"), Arg("flags")], "x", allowed_headers=["subject"])
@@ -163,9 +186,47 @@ def test_residual_and_verification(spark, index):
     assert {tuple(r) for r in matching.residual_split(hits, messages, condition).collect()} == exact
     assert {tuple(r) for r in matching.residual_split(None, messages, condition).collect()} == exact
     candidates = matching.with_certainty(hits, auto_fuzzy=False)
-    assert as_dict(matching.verify_maybe(candidates, messages, condition)).keys() == exact
+    asked = []
+
+    def texts_of(keys):
+        asked.extend(tuple(r) for r in keys.collect())
+        return messages.join(keys, ["box", "uid"], "left_semi")
+
+    assert as_dict(matching.verify_maybe(candidates, texts_of, condition)).keys() == exact
+    assert set(asked) == as_dict(hits).keys()
     definite = matching.with_certainty(hits)
-    assert matching.verify_maybe(definite, messages, condition).count() == hits.count()
+    assert matching.verify_maybe(definite, texts_of, condition).count() == hits.count()
+    union = matching.residual_split(hits, messages, condition, "or").collect()
+    assert len(union) == hits.count() and {tuple(r) for r in union} == as_dict(hits).keys() | exact
+
+
+def test_tree_of_conditions_equals_brute_force(spark, index):
+    messages = raw(spark)
+    tests = {"text": matching.contains("body", "alpha beta"), "hot": matching.contains("body", "hot hot")}
+    answered = {"a": matching.search_body(index, "alpha"), "s": matching.search_header(index, "subject", "beta")}
+    everything = {(box, uid) for box, uid, _ in ROWS}
+    found = {name: as_dict(hits).keys() for name, hits in answered.items()}
+    for name, part in (("text", "alpha beta"), ("hot", "hot hot")):
+        found[name] = {(box, uid) for box, uid, doc in ROWS if part in doc["body"][0].lower()}
+
+    def plain(node):
+        below = [plain(part) for part in node.parts]
+        if node.op == "not":
+            return everything - below[0]
+        if node.op == "and":
+            return set.intersection(*map(set, below))
+        return set().union(*below) if node.op == "or" else set(found[node.op])
+
+    leaf = {name: Node(name) for name in found}
+    for tree in (
+        Node("or", (leaf["a"], leaf["text"])),
+        Node("and", (leaf["a"], Node("not", (leaf["hot"],)))),
+        Node("not", (Node("or", (leaf["s"], Node("and", (leaf["text"], leaf["a"])))),)),
+    ):
+        got = matching.search_tree(tree, answered, tests, messages).collect()
+        assert {tuple(r) for r in got} == plain(tree) and len(got) == len(plain(tree))
+    with pytest.raises(LookupError):
+        matching.search_tree(Node("or", (Node("x"), leaf["a"])), answered, tests, messages)
 
 
 def test_wildcard_and_fuzzy(index, joins):
@@ -189,7 +250,7 @@ def test_wildcard_and_fuzzy(index, joins):
 
 def test_top_with_many_slices(spark, index):
     hits = matching.search_body(index, "alpha hot").cache()
-    for limit in (1, 3, 1000):
+    for limit in (1, 3, 1000, None):
         got = {(r.box, r.rank): r.uid for r in ranking.top_per_box(hits, limit, bits=2).collect()}
         want = {}
         for box in ("big", "small", "one"):
@@ -202,7 +263,8 @@ def test_cap_is_next_uid_or_ten_thousand(spark):
     hits = spark.range(1, 30_001).select(F.lit("b").alias("box"), F.col("id").alias("uid"), F.lit(1.0).alias("score"))
     for uidnext, cap in ((5, 5), (20_000, 10_000)):
         boxes = spark.createDataFrame([("b", uidnext)], "box string, uidnext bigint")
-        assert ranking.top_per_box(hits, uidnext=boxes, bits=10).count() == cap
+        assert ranking.top_per_box(hits, ranking.RESULT_CAP, uidnext=boxes, bits=10).count() == cap
+    assert ranking.top_per_box(hits, bits=10).agg(F.max("rank")).first()[0] == 30_000
 
 
 def test_batch_of_one_equals_single_search(spark, index, joins):
@@ -312,9 +374,44 @@ def test_search_reads_pruned_postings_and_no_text(index):
 
 def test_top_search_shuffles_postings_once(index):
     queries = index.keys.sparkSession.createDataFrame([(1, "alpha"), (2, "beta")], "query_id bigint, value string")
-    text = plan(ranking.search_batch(index, ranking.batch_terms(queries)))
+    text = plan(ranking.search_batch(index, ranking.batch_terms(queries), 10))
     assert "term_bucket" in re.findall(r"PartitionFilters: \[([^\]]*)\]", text)[0]
     # One for the postings, one for the hits that are left of each slice.
     assert text.count("Exchange hashpartitioning") == 2
-    text = plan(ranking.search_top(index, "alpha", ["body"]))
-    assert text.count("REPARTITION_BY_COL") == 1 and text.count("Exchange hashpartitioning") == 3
+    text = plan(ranking.search_top(index, "alpha", ["body"], limit=ranking.RESULT_CAP))
+    # The uids of a box come from the table with one row per box, never from the keys.
+    assert text.count("REPARTITION_BY_COL") == 1 and "/keys]" not in text
+
+
+def test_constants_need_no_job(spark):
+    spark.sparkContext.setJobGroup("constants", "constants")
+    assert matching.query_words(spark, "It's Alpha, alpha") == ["it", "s", "alpha"]
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("constants")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_patterns_are_tested_on_distinct_words(spark, index):
+    words = {(r.field, r.term) for r in index.words.collect()}
+    dictionary = {(r.field, r.term) for r in index.dictionary.collect()}
+    assert words == dictionary and index.words.count() == len(words)
+    text = plan(index.words.filter(F.col("term").like("%a%")))
+    assert "/words]" in text
+
+
+def test_index_build_shuffles_no_text(spark, sf_dir):
+    from lettersieve.sources import tables
+
+    def shuffled(text):
+        # What stands below the exchanges: lists of words, and never the text they come from.
+        return [line for line in text.split("\n") if "Exchange" in line]
+
+    text = plan(tables.message_word_lists(spark, sf_dir))
+    assert shuffled(text) and text.index("Exchange") < text.index("regexp_extract_all")
+
+
+def test_verification_reads_texts_after_the_keys(spark, sf_dir):
+    from lettersieve.sources import tables
+
+    keys = tables.message_keys(spark, sf_dir).select("box", "uid").limit(3)
+    found = tables.messages_of(spark, sf_dir, keys)
+    assert found.count() == 3 and "BroadcastHashJoin" in plan(found)
