@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -15,6 +17,11 @@ BLANK_CHARACTERS = " \t\n\x0b\x0c\r"
 HOT_SHARE = 10_000
 
 
+def ships_its_code(module: str) -> None:
+    """Functions of ``module`` go to Python workers as code: the package need not be installed there."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -32,9 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lettersieve.llm.common import ships_its_code
 from lettersieve.llm.components import connected
 from lettersieve.sources.shared import stored
 
+ships_its_code(__name__)
+
 COSINE = 0.95
 RECALL = 0.97
 COUNTED = 16

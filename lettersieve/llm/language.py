@@ -33,9 +33,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lettersieve.llm.common import free_name
+from lettersieve.llm.common import free_name, ships_its_code
 from lettersieve.sources.shared import stored
 
+ships_its_code(__name__)
+
 GRAM = 3
 BUCKETS = 1 << 16
 SAMPLE = 1500
@@ -130,7 +132,7 @@ def fit(labelled: DataFrame) -> TextModel:
 
 def with_scores(docs: DataFrame, model: TextModel, text: str, keep: Sequence[str], n: str, scores: str) -> DataFrame:
     """The columns ``keep`` of ``docs`` with the number of trigrams and the log-likelihoods."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    languages, weights = model.languages, docs.sparkSession.sparkContext.broadcast(model.weights)
     columns = [text, *[c for c in keep if c != text]]
     chosen = docs.select(*[F.col(f"`{c}`") for c in columns])
     kept = [columns.index(c) for c in keep]
@@ -138,8 +140,9 @@ def with_scores(docs: DataFrame, model: TextModel, text: str, keep: Sequence[str
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = TextModel(languages, weights.value)
         for batch in batches:
-            found = [shared.value.score(t.as_py()) for t in batch.column(0)]
+            found = [known.score(t.as_py()) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(i) for i in kept],

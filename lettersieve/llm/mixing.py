@@ -31,6 +31,9 @@ from lettersieve.sources.shared import stored
 CAP = 3.0
 TOLERANCE = 1e-9
 STEPS = 80
+# Sums of doubles differ in their last digits with the order of the rows; multipliers are
+# rounded, so that reruns agree.
+DIGITS = 10
 CELL_ROWS = 100
 WEIGHTS = (1, 2, 3)
 
@@ -143,7 +146,7 @@ def balance(histogram: DataFrame, goals: DataFrame, cap: float = CAP) -> DataFra
     return state.join(goals.select("key", "source_size"), "key").select(
         "key",
         "mean",
-        F.when(full < cap * F.col("source_size") * (1 - 1e-12), F.col("tilt")).alias("tilt"),
+        F.when(full < cap * F.col("source_size") * (1 - 1e-12), F.round("tilt", DIGITS)).alias("tilt"),
     )
 
 

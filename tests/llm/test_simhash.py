@@ -80,9 +80,14 @@ def test_one_of_each(clashing_docs, no_docs):
     kept = simhash.one_of_each(clashing_docs)
     assert kept.columns == clashing_docs.columns
     rows = kept.collect()
-    # Blank texts link with each other, and so do the copies; the smallest id stays, once.
-    ids = [r["doc_id"] for r in rows]
-    assert len(ids) == len(set(ids)) and {1, 3, 5} <= set(ids) and not {2, 6, 8, None} & set(ids)
+    given = [(r["doc_id"], r["text"]) for r in clashing_docs.collect()]
+    roots = plain_components([plain_fingerprint(t) for _, t in given])
+    firsts = [
+        min((d for (d, _), r in zip(given, roots, strict=True) if r == root and d is not None), default=None)
+        for root in set(roots)
+    ]
+    key = lambda d: (d is None, d)
+    assert sorted((r["doc_id"] for r in rows), key=key) == sorted(firsts, key=key)
     assert simhash.one_of_each(no_docs).collect() == []
 
 
