@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +44,31 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once per row, also where ``use`` has lambdas over it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def row_hash(*columns: str) -> Column:
+    """Names a row by its content; with the id beside it, rows that share it are equal."""
+    return F.xxhash64(*columns)
+
+
+def same_row(left: str, right: str, row: str, doc_id: str) -> Column:
+    return (F.col(f"{left}.`{row}`") == F.col(f"{right}._row")) & F.col(f"{left}.`{doc_id}`").eqNullSafe(
+        F.col(f"{right}._id")
+    )
+
+
+def without_rows(marked: DataFrame, gone: DataFrame, row: str, doc_id: str) -> DataFrame:
+    """``marked`` without the rows named in ``gone(_row, _id)``.
+
+    Only names are gathered, so whole rows move only if there are so many names that Spark
+    does not broadcast them.
+    """
+    return marked.alias("l").join(gone.alias("r"), same_row("l", "r", row, doc_id), "left_anti")
+
+
 def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str, cell: str) -> DataFrame:
     """Adds ``name``: the 1-based position by (``cell``, ``order``) in each group.
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lettersieve.llm.common import free_name, ships_its_code
+from lettersieve.llm.common import free_name, row_hash, ships_its_code, without_rows
 from lettersieve.sources.shared import stored
 
 ships_its_code(__name__)
@@ -309,6 +309,10 @@ def pages_digest(pages: DataFrame) -> DataFrame:
 
 def only_known(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (columns doc_id, text, lang, source and more) whose language is known."""
-    names = tuple(free_name(docs, x) for x in ("e_language", "e_confidence", "e_kept"))
-    found = identify(docs, declared="lang", host="source", keep=docs.columns, names=names)
-    return found.filter(F.col(names[2])).select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = free_name(docs, "row")
+    marked = docs.withColumn(row, row_hash("doc_id", "text", "lang", "source"))
+    found = identify(
+        marked.select("doc_id", "text", "lang", "source", row), declared="lang", host="source", keep=("doc_id", row)
+    )
+    rejected = found.filter("not kept").select(F.col(row).alias("_row"), F.col("doc_id").alias("_id")).distinct()
+    return without_rows(marked, stored(rejected, "rejected"), row, "doc_id").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -16,7 +16,9 @@ paragraph, so it does not depend on partitioning.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from operator import or_
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
@@ -24,6 +26,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lettersieve.llm.common import let
 from lettersieve.sources.shared import stored
 
 VARIANTS = 24
@@ -93,16 +96,23 @@ def pairs(words: Column) -> Column:
 
 
 def terms(text: Column) -> Column:
-    words = tokens(text)
-    return F.concat(words, pairs(words))
+    return let(tokens(text), lambda words: F.concat(words, pairs(words)))
 
 
 def triples(text: Column) -> Column:
     """Distinct word triples; the whole paragraph if it is shorter."""
-    words = tokens(text)
-    n = F.greatest(F.size(words) - 2, F.lit(1))
-    at = F.sequence(F.lit(1), n)
-    return F.array_distinct(F.transform(at, lambda i: F.array_join(F.slice(words, i, 3), " ")))
+
+    def picked(words: Column) -> Column:
+        # By position: a slice would copy the whole array for every triple.
+        at = F.sequence(F.lit(0), F.greatest(F.size(words) - 3, F.lit(0)))
+        return F.transform(at, lambda i: F.concat_ws(" ", *[F.get(words, i + k) for k in range(3)]))
+
+    return F.array_distinct(let(tokens(text), picked))
+
+
+def template_triples(template: str) -> list[str]:
+    words = re.findall("[a-z0-9]+", template.lower())
+    return sorted({" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))})
 
 
 def paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -115,12 +125,12 @@ def paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 
 def similarity(body: Column, family: str) -> Column:
     """The largest share of a template's word triples that a paragraph holds."""
-    own = triples(body)
-    shares = []
-    for template in TEMPLATES[family]:
-        known = triples(F.lit(template))
-        shares.append(F.size(F.array_intersect(own, known)) / F.size(known))
-    return reduce(F.greatest, shares) if len(shares) > 1 else shares[0]
+
+    def share(own: Column, template: str) -> Column:
+        known = template_triples(template)
+        return F.size(F.array_intersect(own, F.array(*map(F.lit, known)))) / len(known)
+
+    return let(triples(body), lambda own: F.array_max(F.array(*[share(own, t) for t in TEMPLATES[family]])))
 
 
 def labelled(bodies: DataFrame, negatives: int = NEGATIVES) -> DataFrame:
@@ -148,9 +158,9 @@ def labelled(bodies: DataFrame, negatives: int = NEGATIVES) -> DataFrame:
     total = bodies.count()
     place = F.pmod(F.xxhash64("doc_id", "paragraph", F.lit("sample")), F.lit(1 << 30))
     share = min(1.0, negatives / max(total, 1))
-    alike = reduce(lambda a, b: a | b, [similarity(F.col("body"), f) >= CONFIRM for f in TEMPLATES])
+    alike = reduce(or_, [similarity(F.col("body"), f) >= CONFIRM for f in TEMPLATES])
     others = (
-        bodies.filter(place < int(share * (1 << 30)))
+        stored(bodies.filter(place < int(share * (1 << 30))), "licence-sample")
         .filter(~alike)
         .select(F.lit(0).alias("label"), F.lit(OTHER).alias("family"), "body", (place % 2 == 0).alias("train"))
     )

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lettersieve.llm.common import HOT_SHARE, n_words
+from lettersieve.llm.common import HOT_SHARE, free_name, n_words, row_hash, same_row
 from lettersieve.sources.shared import stored
 
 CAP = 3.0
@@ -38,10 +38,15 @@ CELL_ROWS = 100
 WEIGHTS = (1, 2, 3)
 
 
-def sizes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(doc_id, source, size): size is the number of words."""
+def sizes(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", row: str | None = None
+) -> DataFrame:
+    """(doc_id, row, source, size): size is the number of words; ``row`` names equal rows, by default the id."""
     return docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size")
+        F.col(doc_id).alias("doc_id"),
+        (F.col(f"`{row}`") if row else F.xxhash64(doc_id)).alias("row"),
+        F.col(source).alias("source"),
+        n_words(F.col(text)).alias("size"),
     )
 
 
@@ -151,10 +156,12 @@ def balance(histogram: DataFrame, goals: DataFrame, cap: float = CAP) -> DataFra
 
 
 def mix(measured: DataFrame, goals: DataFrame | None = None, cap: float = CAP) -> DataFrame:
-    """(doc_id, source, size, source_size, target, rate, copies) of rows (doc_id, source, size).
+    """(doc_id, row, source, size, source_size, target, rate, copies) of rows (doc_id, source, size).
 
     ``goals`` gives (source, weight); by default the weights 1, 2, 3 are dealt in turn.
     """
+    if "row" not in measured.columns:
+        measured = measured.withColumn("row", F.xxhash64("doc_id"))
     measured = stored(measured.withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))), "sizes")
     counted = measured.groupBy("key", "source", "size").agg(F.count("*").alias("n"))
     counted = stored(counted, "size-counts")
@@ -174,7 +181,7 @@ def mix(measured: DataFrame, goals: DataFrame | None = None, cap: float = CAP) -
     limit = max(CELL_ROWS, counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // HOT_SHARE)
     hot = counted.filter(F.col("n") > limit).select("key", "size", F.ceil(F.col("n") / limit).alias("parts"))
     rows = measured.join(F.broadcast(hot), ["key", "size"], "left").withColumn(
-        "cell", F.coalesce(F.pmod(F.xxhash64("doc_id", F.lit("cell")), F.col("parts")), F.lit(0))
+        "cell", F.coalesce(F.pmod(F.xxhash64("doc_id", "row", F.lit("cell")), F.col("parts")), F.lit(0))
     )
     per_cell = rows.groupBy("key", "size", "cell").agg(F.count("*").alias("n"))
     rate = F.when(F.col("size") == 0, F.lit(1.0)).otherwise(
@@ -197,12 +204,13 @@ def mix(measured: DataFrame, goals: DataFrame | None = None, cap: float = CAP) -
             (F.round("upto") - F.round(F.col("upto") - F.col("n") * fraction)).alias("more"),
         )
     )
-    turn = W.partitionBy("key", "size", "cell").orderBy(F.xxhash64("doc_id"), "doc_id")
+    turn = W.partitionBy("key", "size", "cell").orderBy(F.xxhash64("doc_id", "row"), "doc_id", "row")
     return (
-        rows.select("doc_id", "source", "key", "size", "cell", F.row_number().over(turn).alias("turn"))
+        rows.select("doc_id", "row", "source", "key", "size", "cell", F.row_number().over(turn).alias("turn"))
         .join(shares, ["key", "size", "cell"])
         .select(
             "doc_id",
+            "row",
             "source",
             "size",
             "source_size",
@@ -226,33 +234,31 @@ def digest(docs: DataFrame) -> DataFrame:
     )
 
 
-def repeated(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``docs`` with every row as often as its copies say; rows without copies are left out.
 
-    Copies are decided per row of ``docs``; rows that share id, source and size take their
-    copies together and share them out evenly, so that the words of the mix stay the same.
+    Whole rows meet their copies in one shuffle by a hash of their content. Rows that repeat
+    are interchangeable: together they are as often there as their copies add up to.
     """
-    chosen = (
-        mix(sizes(docs, doc_id=key))
-        .groupBy("doc_id", "source", "size")
-        .agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    )
-    size = n_words(F.col("text"))
-    left, right = docs.alias("d"), chosen.alias("c")
-    joined = left.join(
-        right,
-        F.col(f"d.{key}").eqNullSafe(F.col("c.doc_id"))
-        & F.col("d.source").eqNullSafe(F.col("c.source"))
-        & (size == F.col("c.size")),
-    )
-    place = F.row_number().over(W.partitionBy("c.doc_id", "c.source", "c.size").orderBy("d.text"))
-    share = F.floor(F.col("c._copies") / F.col("c._rows")) + F.when(
-        F.col("c._rows") == 1, 0
-    ).otherwise(F.when(F.col("_place") <= F.col("c._copies") % F.col("c._rows"), 1).otherwise(0))
-    return (
-        joined.withColumn("_place", place)
-        .withColumn("_share", share.cast("int"))
-        .filter(F.col("_share") > 0)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_share"))))
-        .select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    row = free_name(docs, "row")
+    marked = docs.withColumn(row, row_hash(doc_id, text, source))
+    measured = sizes(marked, doc_id, text, source, row)
+    chosen = stored(
+        mix(measured)
+        .groupBy(F.col("row").alias("_row"), F.col("doc_id").alias("_id"))
+        .agg(F.sum("copies").alias("_copies"), F.count("*").alias("_n"))
+        .filter("_copies > 0"),
+        "copies",
     )
+
+    def taken(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+        joined = rows.alias("l").join(wanted.alias("r"), same_row("l", "r", row, doc_id))
+        times = F.sequence(F.lit(1).cast("bigint"), F.col("r._copies"))
+        return joined.select("l.*", F.explode(times).alias("_time")).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+    found = taken(marked, chosen.filter("_n = 1"))
+    again = chosen.filter("_n > 1")
+    if not again.isEmpty():
+        repeats = marked.alias("l").join(again.alias("r"), same_row("l", "r", row, doc_id), "left_semi")
+        found = found.unionByName(taken(repeats.dropDuplicates([row, doc_id]), again))
+    return found

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lettersieve.llm.common import free_name, ships_its_code
+from lettersieve.llm.common import free_name, row_hash, same_row, ships_its_code, without_rows
 from lettersieve.llm.components import connected
 from lettersieve.sources.shared import stored
 
@@ -146,22 +146,26 @@ def digest(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` with the smallest id of each group of near-duplicates, one per group.
 
-    Ids that are null come last. Rows are written once with their fingerprint, so the texts
-    are hashed once. Among repeated rows that tie for the place one is kept.
+    Ids that are null come last. Texts are read for their fingerprints and again for the rows
+    that stay; in between there are names of rows only. Rows that repeat are kept once.
     """
-    fp, place = free_name(docs, "fp"), free_name(docs, "place")
-    found = stored(with_fingerprints(docs, text, fp), "fp-rows")
-    known = groups(found, doc_id, fp).select(F.col("fp").alias("_f"), "root")
-    # One narrow row per group: its first (id, fingerprint).
-    narrow = found.groupBy(F.col(fp).alias("_f")).agg(
-        F.min(F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(fp).alias("f"))).alias("c")
+    row = free_name(docs, "row")
+    marked = docs.withColumn(row, row_hash(doc_id, text))
+    names = marked.select(F.col(row).alias("_row"), F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
+    narrow = stored(with_fingerprints(names, "_text", drop=("_text",)), "fp-names")
+    rooted = narrow.join(groups(narrow, "_id").select("fp", "root"), "fp")
+    known = stored(
+        rooted.groupBy("root", "_row", "_id").agg(F.count("*").alias("n")), "fp-roots"
     )
-    keep = narrow.join(known, "_f").groupBy("root").agg(F.min("c").alias("c")).select("c.id", "c.f")
-    left, right = found.alias("l"), keep.alias("r")
-    rows = left.join(
-        right, (F.col(f"l.{fp}") == F.col("r.f")) & F.col(f"l.{doc_id}").eqNullSafe(F.col("r.id")), "left_semi"
+    order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
+    first = known.groupBy("root").agg(F.min(order).alias("first"))
+    judged = known.join(first, "root").select(
+        "_row", "_id", "n", ((F.col("first.row") == F.col("_row")) & F.col("first.id").eqNullSafe(F.col("_id"))).alias("stays")
     )
-    same = rows.withColumn(
-        place, F.expr(f"row_number() OVER (PARTITION BY `{fp}`, `{doc_id}` ORDER BY xxhash64(`{text}`))")
-    )
-    return same.filter(F.col(place) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = stored(judged.filter("not stays or n > 1").select("_row", "_id", "stays"), "fp-gone")
+    kept = without_rows(marked, gone, row, doc_id)
+    again = gone.filter("stays")
+    if not again.isEmpty():
+        repeats = marked.alias("l").join(again.alias("r"), same_row("l", "r", row, doc_id), "left_semi")
+        kept = kept.unionByName(repeats.dropDuplicates([row, doc_id]))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

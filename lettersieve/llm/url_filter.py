@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lettersieve.llm.common import HOT_SHARE
+from lettersieve.llm.common import HOT_SHARE, let
 from lettersieve.sources.shared import stored
 
 ORDER = 4
@@ -90,9 +90,14 @@ def held_out(name: Column) -> Column:
 
 def grams(name: Column, order: int = ORDER) -> Column:
     """All grams of order + 1 characters of a string, one per character and one for its end."""
-    chars = F.filter(F.split(F.concat(F.lit(START * order), name, F.lit(END)), ""), lambda c: c != "")
-    at = F.sequence(F.lit(1), F.size(chars) - order)
-    return F.transform(at, lambda i: F.array_join(F.slice(chars, i, order + 1), ""))
+    split = F.filter(F.split(F.concat(F.lit(START * order), name, F.lit(END)), ""), lambda c: c != "")
+
+    def picked(chars: Column) -> Column:
+        # By position: a slice would copy the whole array for every gram.
+        at = F.sequence(F.lit(0), F.size(chars) - order - 1)
+        return F.transform(at, lambda i: F.concat(*[F.get(chars, i + k) for k in range(order + 1)]))
+
+    return let(split, picked)
 
 
 def gram_counts(urls: DataFrame, order: int = ORDER) -> DataFrame:
