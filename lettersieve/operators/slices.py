@@ -22,6 +22,19 @@ BROADCAST_BYTES = 64 << 20
 SALTS = 64
 
 
+def bits_for(df: DataFrame, order: str, rows: int = 1 << SLICE_BITS) -> int:
+    """The slice width that puts about ``rows`` rows in a slice, for ids with gaps between them.
+
+    Ids that are dense in their group get the usual width; sparse ones, such as ids that many
+    groups share, a wider one, so that slices do not outnumber what one task can sum up.
+    """
+    low, high, n = df.agg(F.min(order), F.max(order), F.count("*")).first()
+    if not n:
+        return SLICE_BITS
+    spread = max(1, (int(high) - int(low) + 1) // n)
+    return min(62, (rows * spread - 1).bit_length())
+
+
 def slice_of(order: str, bits: int = SLICE_BITS) -> Column:
     return F.shiftright(F.col(order).cast("bigint"), bits)
 

@@ -25,8 +25,25 @@ def shared_folder(spark: SparkSession) -> str:
     return _own[application]
 
 
+_made: dict[str, list[str]] = {}
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
+def close(spark: SparkSession) -> int:
+    """Removes the folders that this application made, and nothing else; returns their number.
+
+    Results that are still to be computed read them, so call it after the last one.
+    """
+    made = _made.pop(spark.sparkContext.applicationId, [])
+    for folder in made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(made)
 
 
 def stored(df: DataFrame, name: str = "step") -> DataFrame:

@@ -24,7 +24,7 @@ def message_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     Reads two columns only; no text is shuffled to number the messages.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", F.md5("source").alias("box"))
-    return slices.position(docs, ["box"], "doc_id", "uid").select("doc_id", "box", "uid")
+    return slices.position(docs, ["box"], "doc_id", "uid", slices.bits_for(docs, "doc_id")).select("doc_id", "box", "uid")
 
 
 MESSAGE_COLUMNS = ("h_from", "h_to", "subject", "body")

@@ -162,3 +162,27 @@ def test_size_check_counts_rows_and_bytes(spark, monkeypatch):
     monkeypatch.setattr(slices, "BROADCAST_BYTES", 1031)
     assert not slices.is_small(df)
     assert slices.size_of(df.limit(0)) == (0, 0)
+
+
+def test_close_removes_only_what_the_session_made(spark, tmp_path):
+    from pathlib import Path
+
+    class Own(Session):
+        def __init__(self):
+            super().__init__(str(tmp_path), "yarn")
+            self._jvm, self._jsc = spark._jvm, spark._jsc
+
+    own = Own()
+    made, other = Path(shared.new_folder(own, "mine")), tmp_path / "other"
+    made.mkdir()
+    (made / "part").write_text("x")
+    other.mkdir()
+    assert shared.close(own) == 1 and not made.exists() and other.exists()
+    assert shared.close(own) == 0
+
+
+def test_slices_of_sparse_ids(spark):
+    dense = spark.range(1000).withColumnRenamed("id", "o")
+    sparse = spark.range(1000).selectExpr("id * 4096 AS o")
+    assert slices.bits_for(dense, "o", 64) == 6 and slices.bits_for(sparse, "o", 64) in (17, 18)
+    assert slices.bits_for(dense.limit(0), "o") == slices.SLICE_BITS
