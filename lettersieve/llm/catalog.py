@@ -41,4 +41,37 @@ QUERIES: dict[str, Query] = {
     "language_of_pages": _over("pages", language.pages_digest),
 }
 
-ORACLE: dict[str, str] = {"op4_warc_fixity": warc_fixity.ORACLE}
+
+def _spans_sql(rank: int, rule: secret_scan.Rule) -> str:
+    """Spans of one rule: lengths of the pieces between the matches and of the matches add up."""
+    pattern = "'" + rule.pattern.replace("'", "''") + "'"
+    return f"""
+        SELECT r, {rank} AS rank, '{rule.kind}' AS kind,
+               CAST(list_sum(list_transform(gaps[1:k], lambda g: length(g)))
+                    + coalesce(list_sum(list_transform(hits[1:k - 1], lambda h: length(h))), 0) AS BIGINT) AS begins,
+               hits[k] AS hit
+        FROM (SELECT r, hits, gaps, parts, unnest(range(1, len(hits) + 1)) AS k
+              FROM (SELECT r, regexp_extract_all(body, {pattern}) AS hits, string_split_regex(body, {pattern}) AS gaps,
+                           regexp_extract_all(body, {pattern}, {rule.group}) AS parts
+                    FROM texts WHERE regexp_matches(body, {pattern})))
+        WHERE length(parts[k]) >= {rule.at_least}"""
+
+
+def _secret_sql() -> str:
+    base = ", ".join(f"'{rule.kind}'" for rule in secret_scan.BASE)
+    spans = " UNION ALL ".join(_spans_sql(i, rule) for i, rule in enumerate(secret_scan.RULES))
+    written = "string_agg(kind || ':' || begins || ':' || (begins + length(hit)), ',' ORDER BY begins, rank)"
+    counts = ", ".join(
+        f"CAST(count(*) FILTER (kind = '{rule.kind}') AS BIGINT) AS n_{rule.kind}" for rule in secret_scan.BASE
+    )
+    kept = ", ".join(f"coalesce(n_{rule.kind}, 0) AS n_{rule.kind}" for rule in secret_scan.BASE)
+    return f"""
+        WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body FROM documents),
+             spans AS ({spans}),
+             per_row AS (SELECT r, {counts}, {written} FILTER (kind IN ({base})) AS base, {written} AS every
+                         FROM spans GROUP BY r)
+        SELECT doc_id, {kept}, sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+        FROM texts LEFT JOIN per_row USING (r)"""
+
+
+ORACLE: dict[str, str] = {"op3_secret_scan": _secret_sql(), "op4_warc_fixity": warc_fixity.ORACLE}

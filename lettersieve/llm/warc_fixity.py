@@ -225,6 +225,8 @@ def damaged(pages: DataFrame) -> DataFrame:
 def digest(pages: DataFrame) -> DataFrame:
     """Audits a damaged replica of ``pages`` against the layout of the first one.
 
+    A record that is lost has an empty hash.
+
     The layout (archive, offset, length) is the manifest of the first replica; the second
     replica's records are looked up at the offsets that the manifest gives them.
     """
@@ -240,7 +242,7 @@ def digest(pages: DataFrame) -> DataFrame:
     )
     names = ("archive", "offset", "record_id", "length")
     other = found.select(*[f"g.{name}" for name in names], "o.hash")
-    return audit(good.drop("turn"), other).withColumnRenamed("record_id", "page_id")
+    return audit(good.drop("turn"), other).withColumnRenamed("record_id", "page_id").fillna("", ["expected", "found"])
 
 
 # The damaged records, found by comparing every record.
@@ -267,7 +269,7 @@ WITH bodies AS (
 )
 SELECT archive, CAST("offset" AS BIGINT) AS "offset", page_id, CAST(length AS BIGINT) AS length,
        sha256(good) AS expected,
-       CASE WHEN page_id % 307 = 5 THEN NULL ELSE sha256(bad) END AS found,
+       CASE WHEN page_id % 307 = 5 THEN '' ELSE sha256(bad) END AS found,
        CASE WHEN page_id % 307 = 5 THEN 'missing' ELSE 'changed' END AS status
 FROM laid
 WHERE page_id % 307 = 5 OR good <> bad
