@@ -248,8 +248,9 @@ def identify(
         (e_host, priors),
     ):
         value, seen = free_name(fused, "e_value"), free_name(fused, f"{column}_logs")
+        # A table of its own: Spark broadcasts a small one, and can split a hot host otherwise.
         fused = fused.join(
-            logs.select(F.col("value").alias(value), F.col("logs").alias(seen)), F.col(column) == F.col(value), "left"
+            stored(logs, "language-evidence").select(F.col("value").alias(value), F.col("logs").alias(seen)), F.col(column) == F.col(value), "left"
         ).drop(value)
         seen_logs.append(seen)
     total = F.transform(
