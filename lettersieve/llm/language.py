@@ -1,7 +1,7 @@
 """Language identification by Bayesian fusion of evidence.
 
 For each row the posterior of a language adds up, in logarithms,
-* the text: a multinomial model over byte trigrams (hashed to ``BUCKETS`` buckets) per
+* the text: a multinomial model over byte trigrams of words (hashed to ``BUCKETS`` buckets) per
   language, and a uniform model for ``und``, text of no known language. Trigrams overlap,
   so a text's log-likelihood is divided by the trigram length;
 * the declared markup language and the address suffix: how often each value occurs with a
@@ -49,14 +49,22 @@ WINDOW = 1 << 20
 UNKNOWN = "und"
 
 
+# Bytes of words: letters, everything beyond ASCII, and the blank between words.
+_WORDY = np.array([chr(b).isalpha() or b >= 0x80 or b == 0x20 for b in range(256)])
+
+
 def _codes(text: str) -> Iterator[np.ndarray]:
-    """Buckets of the byte trigrams of a text in lower case, window by window."""
+    """Buckets of the byte trigrams of a text in lower case, window by window.
+
+    Trigrams with digits or punctuation are left out: numbers and keys have no language.
+    """
     data = f" {' '.join(text.lower().split())} ".encode()
     for at in range(0, max(1, len(data) - GRAM + 1), WINDOW):
         b = np.frombuffer(data[at : at + WINDOW + GRAM - 1], dtype=np.uint8).astype(np.uint32)
         if len(b) < GRAM:
             return
-        code = (b[:-2] << 16) | (b[1:-1] << 8) | b[2:]
+        wordy = _WORDY[b]
+        code = ((b[:-2] << 16) | (b[1:-1] << 8) | b[2:])[wordy[:-2] & wordy[1:-1] & wordy[2:]]
         yield ((code * np.uint32(2654435761)) >> np.uint32(16)).astype(np.uint16)
 
 
