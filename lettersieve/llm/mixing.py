@@ -7,7 +7,9 @@ multiplier of a source solves the convex dual; it is found by Newton steps, each
 aggregate over the table of (source, size, documents), and kept in a bracket that every step
 narrows. Rates are then rounded into copies along the sizes of a source: the running sum of
 fractions decides how many documents of a size get one copy more. Since copies follow rates
-in order of size, a source's words miss the target by no more than its longest document.
+in order of size, a source's words miss the target by no more than its longest document. Then
+``CORRECTIONS`` documents of a source at most take one copy more or less, those whose size comes
+closest to what is missed.
 
 Defined results: a null text has size 0, a null source is a source of its own and comes last.
 An empty table gives no rows. Rows that repeat are rounded one by one. The result does not
@@ -31,6 +33,7 @@ from lettersieve.sources.shared import stored
 CAP = 3.0
 TOLERANCE = 1e-9
 STEPS = 80
+CORRECTIONS = 3
 # Sums of doubles differ in their last digits with the order of the rows; multipliers are
 # rounded, so that reruns agree.
 DIGITS = 10
@@ -155,6 +158,35 @@ def balance(histogram: DataFrame, goals: DataFrame, cap: float = CAP) -> DataFra
     )
 
 
+def corrected(shares: DataFrame, cap: float = CAP) -> DataFrame:
+    """Copies of the cells after some single ones more or less, to meet the targets.
+
+    ``shares(key, size, cell, n, total, target)`` has one row per cell. In each round a source
+    changes one cell by one copy: the cell whose size comes closest to what the source misses.
+    """
+    for _ in range(CORRECTIONS):
+        missed = shares.groupBy("key").agg(
+            (F.max("target") - F.sum(F.col("size") * F.col("total"))).alias("missed")
+        )
+        step = F.when(F.col("missed") > 0, 1).otherwise(-1)
+        left = F.abs(F.col("missed") - step * F.col("size"))
+        fits = (F.col("total") + step).between(0, F.floor(cap * F.col("n")))
+        best = (
+            shares.join(missed, "key")
+            .filter(fits & (left < F.abs("missed")))
+            .groupBy("key")
+            .agg(F.min(F.struct(left.alias("left"), "size", "cell", step.alias("step"))).alias("best"))
+        )
+        chosen = (F.col("best.size") == F.col("size")) & (F.col("best.cell") == F.col("cell"))
+        shares = stored(
+            shares.join(best, "key", "left")
+            .withColumn("total", F.col("total") + F.when(chosen, F.col("best.step")).otherwise(0))
+            .drop("best"),
+            "copies-of-sizes",
+        )
+    return shares
+
+
 def mix(measured: DataFrame, goals: DataFrame | None = None, cap: float = CAP) -> DataFrame:
     """(doc_id, row, source, size, source_size, target, rate, copies) of rows (doc_id, source, size).
 
@@ -201,9 +233,13 @@ def mix(measured: DataFrame, goals: DataFrame | None = None, cap: float = CAP) -
             "source_size",
             "target",
             "rate",
-            (F.round("upto") - F.round(F.col("upto") - F.col("n") * fraction)).alias("more"),
+            "n",
+            (
+                F.col("n") * F.floor("rate") + F.round("upto") - F.round(F.col("upto") - F.col("n") * fraction)
+            ).cast("bigint").alias("total"),
         )
     )
+    shares = corrected(stored(shares, "copies-of-sizes"), cap)
     turn = W.partitionBy("key", "size", "cell").orderBy(F.xxhash64("doc_id", "row"), "doc_id", "row")
     return (
         rows.select("doc_id", "row", "source", "key", "size", "cell", F.row_number().over(turn).alias("turn"))
@@ -216,7 +252,9 @@ def mix(measured: DataFrame, goals: DataFrame | None = None, cap: float = CAP) -
             "source_size",
             "target",
             "rate",
-            (F.floor("rate") + F.when(F.col("turn") <= F.col("more"), 1).otherwise(0)).cast("bigint").alias("copies"),
+            (F.expr("total div n") + F.when(F.col("turn") <= F.col("total") % F.col("n"), 1).otherwise(0))
+            .cast("bigint")
+            .alias("copies"),
         )
     )
 
