@@ -158,12 +158,14 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         rooted.groupBy("root", "_row", "_id").agg(F.count("*").alias("n")), "fp-roots"
     )
     order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
-    first = known.groupBy("root").agg(F.min(order).alias("first"))
+    # A table of its own, so that the join by group can split a large group.
+    first = stored(known.groupBy("root").agg(F.min(order).alias("first")), "fp-firsts")
     judged = known.join(first, "root").select(
         "_row", "_id", "n", ((F.col("first.row") == F.col("_row")) & F.col("first.id").eqNullSafe(F.col("_id"))).alias("stays")
     )
     gone = stored(judged.filter("not stays or n > 1").select("_row", "_id", "stays"), "fp-gone")
-    kept = without_rows(marked, gone, row, doc_id)
+    # Duplicates grow with the documents: both sides are shuffled at every size.
+    kept = without_rows(marked, gone.hint("merge"), row, doc_id)
     again = gone.filter("stays")
     if not again.isEmpty():
         repeats = marked.alias("l").join(again.alias("r"), same_row("l", "r", row, doc_id), "left_semi")
