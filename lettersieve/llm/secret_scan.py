@@ -55,9 +55,17 @@ ASSIGN = Rule(
 ACCESS = Rule("access", "AKIA[A-Z0-9]+", (("AKIA",),), 0, 18)
 HEX = Rule("hex", "[0-9a-f]+", (), 0, 16)
 BASE = (ASSIGN, ACCESS, HEX)
+# A private key goes on to its END line. If another BEGIN or END or the end of the text comes first, it goes on over
+# the lines of base64 that follow, and over the two header lines that an encrypted key has. Line ends may be escaped,
+# quoted or blanks. All loops are possessive: they take no stack and look at each character once.
+_KEY_BEGIN = "-----BEGIN [A-Z ]*PRIVATE KEY-----"
+_KEY_END = r"(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z ]*PRIVATE KEY-----"
+_KEY_GAP = r"""(?:[\s>"'+,]|\\[nr])++"""
+_KEY_LINE = r"""[A-Za-z0-9+/=]{40,}+|[A-Za-z0-9+/=]++(?=[ \t]*+(?:[\r\n\\"'<]|\z))|(?:Proc-Type|DEK-Info): [^\r\n\\"']*+"""
+_KEY_REST = f"(?:{_KEY_END}|(?:{_KEY_GAP}(?:{_KEY_LINE}))*+)"
 # Further public token formats, which the method adds.
 ADDED = (
-    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", (("-----BEGIN ", "PRIVATE KEY-----"),)),
+    Rule("pem", _KEY_BEGIN + _KEY_REST, (("-----BEGIN ", "PRIVATE KEY-----"),)),
     Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}", (("ghp_",), ("gho_",), ("ghu_",), ("ghs_",), ("ghr_",))),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", (("xoxa-",), ("xoxb-",), ("xoxp-",), ("xoxr-",), ("xoxs-",))),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", (("eyJ", ".eyJ"),)),

@@ -85,3 +85,28 @@ def test_redacted(clashing_docs, no_docs):
         elif row["doc_id"] is not None:
             assert row["text"] == text
     assert secret_scan.redacted(no_docs).collect() == []
+
+
+def test_whole_private_keys_are_redacted(spark):
+    body = [("MIIEpAIBAAKCAQEA+/x" * 4)[:64]] * 300 + ["c2hvcnQ="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    head = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,00FF", ""]
+    key = "\n".join([begin, *body, end])
+    cases = [
+        (f"before\n{key}\nafter it", "before\n[secret]\nafter it"),
+        (f"x {key} y\r\n{key.replace(chr(10), chr(13) + chr(10))} z", "x [secret] y\r\n[secret] z"),
+        ("\n".join([begin, *head, *body, end, "after"]), "[secret]\nafter"),
+        ('{"k": "' + key.replace("\n", "\\n") + '\\n"}', '{"k": "[secret]\\n"}'),
+        ("a - b\n" + key.replace("\n", " ") + " --- c", "a - b\n[secret] --- c"),
+        # No END line: the base64 lines go, the prose after them stays.
+        ("\n".join([begin, *body, "and then prose goes on"]), "[secret]\nand then prose goes on"),
+        ("\n".join([begin, *head, *body]), "[secret]"),
+        ("\n".join(["cut", begin, *body[:2], body[0][:9]]), "cut\n[secret]"),
+        ("\n".join([begin, body[0], "", key, "end"]), "[secret]\n\n[secret]\nend"),
+        (f"the line {begin} starts a key", "the line [secret] starts a key"),
+    ]
+    docs = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(cases)], "doc_id bigint, text string")
+    found = {r["doc_id"]: r["text"] for r in secret_scan.redacted(docs).collect()}
+    assert [found[i] for i in range(len(cases))] == [want for _, want in cases]
+    spans = {r["doc_id"]: r["spans"] for r in secret_scan.digest(docs).collect()}
+    assert f"pem:7:{7 + len(key)}" in spans[0].split(",")
