@@ -13,6 +13,8 @@ broadcasts those below its own size bound.
 
 The text model is fitted on rows with a declared language, about ``SAMPLE`` per language (a
 row is taken if the hash of its id falls below SAMPLE / rows of that language), whole texts.
+Every declared language gets a model, whatever their number and however few rows it has; a
+language takes 256 KB of the model and one score in each row.
 
 A row is rejected (``kept`` false) if its most probable language is ``und``, if it has no
 letter-like trigram to judge by, or if its language is not among the accepted ones.
@@ -41,7 +43,6 @@ ships_its_code(__name__)
 GRAM = 3
 BUCKETS = 1 << 16
 SAMPLE = 1500
-MAX_LANGUAGES = 32
 SMOOTHING = 0.05
 PRIOR_WEIGHT = 20.0
 EVIDENCE_WEIGHT = 1.0
@@ -88,19 +89,13 @@ class TextModel:
 
 
 def sample(docs: DataFrame, doc_id: str, text: str, declared: str, per_language: int = SAMPLE) -> DataFrame:
-    """(language, text): about ``per_language`` labelled rows of each frequent declared language."""
+    """(language, text): about ``per_language`` labelled rows of each declared language."""
     label = F.lower(F.col(declared))
     named = docs.filter(label.isNotNull() & (label != "") & (label != UNKNOWN))
-    frequent = (
-        named.groupBy(label.alias("language"))
-        .agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "language")
-        .limit(MAX_LANGUAGES)
-        .collect()
-    )
-    if not frequent:
+    known = named.groupBy(label.alias("language")).agg(F.count("*").alias("n")).orderBy("language").collect()
+    if not known:
         return docs.select(label.alias("language"), F.col(text).alias("text")).filter(F.lit(False))
-    share = F.create_map(*[F.lit(x) for row in frequent for x in (row["language"], min(1.0, per_language / row["n"]))])
+    share = F.create_map(*[F.lit(x) for row in known for x in (row["language"], min(1.0, per_language / row["n"]))])
     place = F.pmod(F.xxhash64(doc_id, F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
     return named.filter(place < share[label]).select(label.alias("language"), F.col(text).alias("text"))
 
@@ -129,13 +124,12 @@ def fit(labelled: DataFrame) -> TextModel:
         .toPandas()
     )
     languages = tuple(sorted(counts["language"].unique()))
-    sums = np.zeros((BUCKETS, len(languages)))
-    for i, language in enumerate(languages):
-        own = counts[counts["language"] == language]
-        sums[own["bucket"].to_numpy(), i] = own["n"].to_numpy()
-    smoothed = (sums + SMOOTHING) / (sums.sum(axis=0) + SMOOTHING * BUCKETS)
-    unknown = np.full((BUCKETS, 1), 1.0 / BUCKETS)
-    return TextModel(languages, np.log(np.hstack([smoothed, unknown])).astype(np.float32))
+    weights = np.full((BUCKETS, len(languages) + 1), np.log(1.0 / BUCKETS), dtype=np.float32)
+    for i, (_, own) in enumerate(counts.groupby("language", sort=True)):
+        sums = np.zeros(BUCKETS)
+        sums[own["bucket"].to_numpy()] = own["n"].to_numpy()
+        weights[:, i] = np.log((sums + SMOOTHING) / (sums.sum() + SMOOTHING * BUCKETS))
+    return TextModel(languages, weights)
 
 
 def with_scores(docs: DataFrame, model: TextModel, text: str, keep: Sequence[str], n: str, scores: str) -> DataFrame:

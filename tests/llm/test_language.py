@@ -124,3 +124,17 @@ def test_odd_rows(odd_docs, clashing_docs, no_docs, operator):
     else:
         assert len(rows) == odd_docs.count()
     assert operator(no_docs).collect() == []
+
+
+def test_every_declared_language_is_known(spark):
+    letters = [chr(0x4E00 + i) for i in range(400)]
+    rows = []
+    for i in range(40):
+        words = ["".join(letters[10 * i + (j * k) % 10] for k in range(1, 5)) for j in range(1, 9)]
+        # The later, the fewer rows; the last has one.
+        rows += [(f"l{i:02d}", " ".join(words[n % 3 :] * 3)) for n in range(40 - i)]
+    docs = spark.createDataFrame([(n, *r, "one") for n, r in enumerate(rows)], "doc_id bigint, lang string, text string, source string")
+    found = language.digest(docs).collect()
+    assert len(found) == len(rows)
+    assert [r for r in found if r["declared"] != r["language"] or not r["kept"]] == []
+    assert language.only_known(docs).count() == len(rows)
