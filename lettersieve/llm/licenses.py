@@ -9,6 +9,12 @@ paragraph is unknown if no family reaches the probability that at most ``FALSE_S
 held-out other paragraphs reach. A prediction is confirmed if the paragraph holds at least
 ``CONFIRM`` of the word triples of one of the family's templates.
 
+Notices that are wrapped over several lines are found in blocks, runs of lines with a word: a
+block names every family of which it holds ``CONFIRM`` of a template's triples, unless one of its
+lines is confirmed for that family already. A family goes if all triples that speak for it also speak,
+with more, for another one. Its row has the number of the block's first line and the probability of
+that family.
+
 Defined results: null and empty texts have no paragraph and no row. Repeated rows give repeated
 results. Very long paragraphs are whole. The corpus sample is chosen by a hash of id and
 paragraph, so it does not depend on partitioning.
@@ -123,6 +129,94 @@ def paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     )
 
 
+def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, paragraph, body): runs of two or more lines with a word, numbered by their first line."""
+
+    def edges(has: Column, beyond: int) -> Column:
+        """The lines with a word whose neighbour ``beyond`` has none."""
+        at = F.sequence(F.lit(0), F.size(has) - 1)
+        return F.filter(at, lambda i: F.get(has, i) & ~F.coalesce(F.get(has, i + beyond), F.lit(False)))
+
+    def runs(lines: Column) -> Column:
+        def cut(first: Column, last: Column) -> Column:
+            body = F.array_join(F.slice(lines, first + 1, last - first + 1), "\n")
+            return F.struct(first.alias("paragraph"), last.alias("last"), body.alias("body"))
+
+        return let(
+            F.transform(lines, lambda line: line.rlike("[A-Za-z0-9]")),
+            lambda has: F.zip_with(edges(has, -1), edges(has, 1), cut),
+        )
+
+    found = let(F.split(text, "\n"), runs)
+    return (
+        docs.filter(F.col(text).isNotNull())
+        .select(F.col(doc_id).alias("doc_id"), F.inline(found))
+        .filter("last > paragraph")
+        .drop("last")
+    )
+
+
+def _held(body: Column) -> Column:
+    """The distinct word triples of a text that some template has."""
+    known = sorted({t for texts in TEMPLATES.values() for text in texts for t in template_triples(text)})
+    return F.filter(triples(body), lambda t: t.isin(known))
+
+
+def _alike(body: Column) -> Column:
+    """Array of (known, similarity, own): templates of which a text has enough, by family and common triples."""
+    templates = F.array(
+        *[
+            F.struct(F.lit(family).alias("known"), F.array(*map(F.lit, template_triples(text))).alias("all"))
+            for family, texts in TEMPLATES.items()
+            for text in texts
+        ]
+    )
+
+    def matched(t: Column, held: Column) -> Column:
+        own = F.array_intersect(t["all"], held)
+        return F.struct(t["known"].alias("known"), (F.size(own) / F.size(t["all"])).alias("similarity"), own.alias("own"))
+
+    found = let(_held(body), lambda held: F.transform(templates, lambda t: matched(t, held)))
+    return F.filter(found, lambda m: m["similarity"] >= CONFIRM)
+
+
+def wrapped(bodies: DataFrame) -> DataFrame:
+    """``bodies`` of several lines with known, similarity and lines: a row per family that a block confirms.
+
+    ``lines`` are those that hold enough of a template of the family alone.
+    """
+
+    def explained(m: Column, found: Column) -> Column:
+        return F.exists(
+            found,
+            lambda o: (o["known"] != m["known"])
+            & (F.size(o["own"]) > F.size(m["own"]))
+            & (F.size(F.array_except(m["own"], o["own"])) == 0),
+        )
+
+    def families(found: Column) -> Column:
+        return F.array_distinct(F.transform(found, lambda m: m["known"]))
+
+    def best(found: Column, known: Column) -> Column:
+        return F.array_max(F.transform(F.filter(found, lambda m: m["known"] == known), lambda m: m["similarity"]))
+
+    def alone(known: Column) -> Column:
+        return F.filter(F.split("body", "\n"), lambda line: F.array_contains(families(_alike(line)), known))
+
+    def together(found: Column) -> Column:
+        left = F.filter(found, lambda m: ~explained(m, found))
+        return F.transform(
+            families(left),
+            lambda known: F.struct(
+                known.alias("known"), best(found, known).alias("similarity"), alone(known).alias("lines")
+            ),
+        )
+
+    # Few blocks hold any triple of a template: the rest is done for those only.
+    some = bodies.filter(F.size(_held(F.col("body"))) > 0)
+    return some.select(*bodies.columns, F.inline(let(_alike(F.col("body")), together)))
+
+
 def similarity(body: Column, family: str) -> Column:
     """The largest share of a template's word triples that a paragraph holds."""
 
@@ -190,7 +284,7 @@ class Model:
                     F.array(*[F.lit(f) for f in TEMPLATES]), F.array_position(families, best).cast("int")
                 ),
             ).otherwise(OTHER),
-        ).drop("terms", "vector", "rawPrediction", "probability", "prediction")
+        ).withColumn("chances", families).drop("terms", "vector", "rawPrediction", "probability", "prediction")
 
 
 def fit(spark: SparkSession, bodies: DataFrame) -> Model:
@@ -227,17 +321,40 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     alike = F.lit(0.0)
     for family in TEMPLATES:
         alike = F.when(F.col("family") == family, similarity(F.col("body"), family)).otherwise(alike)
-    return (
-        found.withColumn("similarity", F.round(alike, 4))
-        .select(
+    columns = ["doc_id", "paragraph", "family", "probability", "similarity", "confirmed"]
+    lines = stored(
+        found.withColumn("similarity", F.round(alike, 4)).select(
             "doc_id",
             "paragraph",
             "family",
             F.round("chance", 4).alias("probability"),
             "similarity",
             (F.col("similarity") >= CONFIRM).alias("confirmed"),
-        )
+            "body",
+        ),
+        "licence-lines",
+    )
+    names = F.array(*[F.lit(f) for f in TEMPLATES])
+    of_blocks = stored(
+        model.scored(wrapped(blocks(docs, doc_id, text))).select(
+            "doc_id",
+            "paragraph",
+            F.col("known").alias("family"),
+            F.round(F.element_at("chances", F.array_position(names, F.col("known")).cast("int")), 4).alias("probability"),
+            F.round("similarity", 4).alias("similarity"),
+            F.lit(True).alias("confirmed"),
+            "lines",
+        ),
+        "licence-blocks",
+    )
+    # A line's class depends on its words alone, so an equal line of the same id stands for the block's own.
+    said = (
+        F.col("b.doc_id").eqNullSafe(F.col("l.doc_id"))
+        & (F.col("b.family") == F.col("l.family"))
+        & F.array_contains("b.lines", F.col("l.body"))
     )
+    only_together = of_blocks.alias("b").join(lines.filter("confirmed").alias("l"), said, "left_anti")
+    return lines.select(*columns).union(only_together.select(*columns))
 
 
 def digest(docs: DataFrame) -> DataFrame:
