@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lettersieve.llm import (
+    bpe,
     embedding_dedup,
     language,
     licenses,
@@ -38,6 +39,7 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": _over("documents", licenses.digest),
     "op9_url_filter": _over("pages", url_filter.digest),
     "op10_embedding_dedup": _over("embeddings", embedding_dedup.digest),
+    "op11_bpe": _over("documents", bpe.digest),
     "language_of_pages": _over("pages", language.pages_digest),
 }
 
