@@ -13,9 +13,11 @@ from lettersieve.llm import (
     licenses,
     mixing,
     packing,
+    periodic_runs,
     quality,
     secret_scan,
     simhash,
+    token_alignment,
     url_filter,
     warc_fixity,
 )
@@ -40,6 +42,8 @@ QUERIES: dict[str, Query] = {
     "op9_url_filter": _over("pages", url_filter.digest),
     "op10_embedding_dedup": _over("embeddings", embedding_dedup.digest),
     "op11_bpe": _over("documents", bpe.digest),
+    "op12_token_alignment": _over("documents", token_alignment.digest),
+    "op13_periodic_runs": _over("documents", periodic_runs.digest),
     "language_of_pages": _over("pages", language.pages_digest),
 }
 
