@@ -21,6 +21,7 @@ ships_its_code(__name__)
 
 BLOCK_BYTES = 32 << 20
 PACK_BYTES = 2 << 20
+LEVEL = 5
 # Blocks of a partition are numbered below this bound: 32 TB of text.
 BLOCKS_OF_PARTITION = 1 << 20
 
@@ -59,7 +60,8 @@ def pieces(batch: pa.RecordBatch, text: int, size: int = PACK_BYTES) -> Iterator
 def packed(rows: pa.RecordBatch | pa.Table) -> bytes:
     """Rows as one compressed value."""
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=LEVEL))
+    with pa.ipc.new_stream(sink, rows.schema, options=options) as stream:
         stream.write(rows)
     return sink.getvalue().to_pybytes()
 
