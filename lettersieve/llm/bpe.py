@@ -128,8 +128,8 @@ def _ids_of(tokenizer, words: list[str]) -> list[list[int]]:
     return [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
 
-def _width(pieces: int) -> str:
-    return "<u2" if pieces <= 1 << 16 else "<u4"
+def _width(vocabulary: str) -> str:
+    return "<u2" if len(piece_table(vocabulary)) <= 1 << 16 else "<u4"
 
 
 class Decoder:
@@ -148,6 +148,14 @@ class Decoder:
         return joined.buffers()[2].slice(begin, end - begin).to_pybytes().decode("utf-8", "replace") if end > begin else ""
 
 
+class Numbers(dict):
+    """Numbers its keys in the order in which they are first asked for."""
+
+    def __missing__(self, key):
+        number = self[key] = len(self)
+        return number
+
+
 def _mark(words: list[str]) -> str:
     """Names the sorted words of a block."""
     return hashlib.blake2b("\x00".join(words).encode(), digest_size=16).hexdigest()
@@ -193,7 +201,7 @@ def encoded_words(asked: DataFrame, vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(vocabulary.value)
-        width = _width(tokenizer.get_vocab_size(with_added_tokens=True))
+        width = _width(vocabulary.value)
         last, last_ids = None, b""
         for batch in batches:
             if not batch.num_rows:
@@ -239,7 +247,7 @@ def _block_ids(words: list[str], answers: pa.Table, vocabulary: str) -> tuple[np
     if marks and ids[marks[0]].as_py() == _mark(words).encode():
         order = np.argsort(numbers)[1:]
         values = ids.take(pa.array(order)).to_pylist()
-        width = _width(_tokenizer(vocabulary).get_vocab_size(with_added_tokens=True))
+        width = _width(vocabulary)
         flat = np.frombuffer(b"".join(values), width).astype(np.int32)
         return flat, np.fromiter(map(len, values), np.int64, len(values)) // int(width[-1])
     found = _ids_of(_tokenizer(vocabulary), words)
@@ -266,14 +274,14 @@ def _placed(docs: DataFrame, vocabulary, text: str, kept: list[int], fields, fin
         if not packs.num_rows:
             return to_arrow_schema(schema).empty_table()
         splitter = Splitter(vocabulary.value)
-        numbers: dict[str, int] = {}
+        numbers = Numbers()
         held = []
         for value in packs.column("rows"):
             rows = blocks.unpacked(value.as_py())
             ends, order = [0], []
             for t in rows.column(str(at)):
                 split = splitter.words(t.as_py())
-                order.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in split), np.int32, len(split)))
+                order.append(np.fromiter(map(numbers.__getitem__, split), np.int32, len(split)))
                 ends.append(ends[-1] + len(split))
             held.append((rows.select([str(i) for i in kept]), np.array(ends), np.concatenate([*order, np.zeros(0, np.int32)])))
         words = sorted(numbers)
@@ -338,9 +346,13 @@ def digest(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     vocabulary = docs.sparkSession.sparkContext.broadcast(read_vocabulary(default_vocabulary()))
 
+    tables: list = []
+
     def digests(offsets: np.ndarray, ids: np.ndarray) -> list[pa.Array]:
-        decoder = Decoder(vocabulary.value)
-        written = [str(i).encode() for i in range(decoder.none)]
+        if not tables:  # once per task
+            decoder = Decoder(vocabulary.value)
+            tables.extend((decoder, [str(i).encode() for i in range(decoder.none)]))
+        decoder, written = tables
         coded, decoded = [], []
         for begin, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
             own = ids[begin:end]
