@@ -10,7 +10,7 @@ occurrence of a group is a link.
 A text is aligned in chunks. A chunk begins with a space behind something that is no white
 space; neither tokenizer has a token across such a place (A by its split rule, B because no entry
 of its model has the space mark behind another character, which is checked when the model is
-read). Equal chunks of a task are aligned once, in a memory of bounded size.
+read). Equal chunks of a block are aligned once.
 
 Counts of id pairs: each block of documents (see ``blocks``) gives every pair of its documents once
 with the number of documents; the sums over all blocks and the highest count per A id go back to
@@ -27,8 +27,8 @@ from __future__ import annotations
 
 import hashlib
 import os
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,17 +39,19 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from lettersieve.llm import blocks
-from lettersieve.llm.bpe import default_vocabulary, piece_table, read_vocabulary
+from lettersieve.llm.bpe import Numbers, default_vocabulary, piece_table, read_vocabulary
 from lettersieve.llm.common import free_name, ships_its_code
 from lettersieve.sources.shared import stored
 
 ships_its_code(__name__)
 
-MEMORY = 150_000
+BLOCK_BYTES = 16 << 20
 LOOKED_UP = 20_000
 ROWS = 10_000
 _MARK = "▁"
-_CUT = regex.compile(rf"(?<=[^\s{_MARK}])(?= .)", regex.S)
+# A space behind something that is no white space, unless it ends the text, begins a chunk.
+_CUT = regex.compile(rf"(?<=[^\s{_MARK}]) (?=.)", regex.S)
+_UNUSUAL = regex.compile(rf"[\s{_MARK}] | \Z")
 
 
 def default_model() -> str:
@@ -64,11 +66,25 @@ def read_model(path: str) -> bytes:
 
 
 def chunks(text: str) -> list[str]:
-    return _CUT.split(" " + text)
+    """The chunks of space + text, each without the space it begins with."""
+    return _CUT.split(text) if text[0] == " " or _UNUSUAL.search(text) else text.split(" ")
 
 
-class Aligner:
-    """Aligns chunks: for each the numbers of tokens, the groups as text, and its links as (a, b, how many)."""
+def _flat(lists: list[list], kind=np.int64) -> tuple[np.ndarray, np.ndarray]:
+    """(values, how many of each list)."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), kind, int(sizes.sum())), sizes
+
+
+def _gathered(order: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of the values of the lists ``order`` in the flat values of lists of these sizes."""
+    own = sizes[order]
+    starts = (np.cumsum(sizes) - sizes)[order]
+    return np.repeat(starts - (np.cumsum(own) - own), own) + np.arange(own.sum())
+
+
+class Tokenizers:
+    """The two tokenizers with the decoded bytes of their entries."""
 
     def __init__(self, vocabulary: str, model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -84,150 +100,182 @@ class Aligner:
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
         if any(_MARK in self.b.id_to_piece(i).lstrip(_MARK) for i in range(self.b.get_piece_size())):
             raise ValueError("the model has entries with a space inside")
-        self.memory: dict[str, tuple] = {}
+        self.lengths = [np.fromiter(map(len, table), np.int64, len(table)) for table in (self.a_bytes, self.b_bytes)]
+        # Each id as it is written behind a token of its own side, and where a side begins.
+        self.written = [
+            [[f"{mark}{i}" for i in range(len(table))] for mark in marks]
+            for table, marks in ((self.a_bytes, ",;"), (self.b_bytes, ",|"))
+        ]
 
     def _piece(self, number: int) -> bytes:
         piece = self.b.id_to_piece(number)
         return bytes([int(piece[3:-1], 16)]) if self.b.is_byte(number) else piece.replace(_MARK, " ").encode()
 
-    def text(self, text: str | None) -> list[tuple]:
-        """The aligned chunks of a text; empty where there are no tokens."""
-        if not text:
-            return []
-        parts = chunks(text)
-        if len(self.memory) > MEMORY:
-            self.memory.clear()
-        new = list({p: None for p in parts if p not in self.memory})
-        # A text of many chunks may pass the bound of the memory: no chunk of the text is dropped meanwhile.
-        for at in range(0, len(new), LOOKED_UP):
-            self._learn(new[at : at + LOOKED_UP])
-        found = [self.memory[p] for p in parts]
-        if not all(f[0] for f in found) and not self._kept(text, parts, found):
-            return []
-        return found if all(f[0] for f in found) else [self._whole(text)]
-
-    def _kept(self, text: str, parts: list[str], found: list[tuple]) -> bool:
-        whole = (" " + text).encode()
-        read = [f[6:] if not f[0] else (p.encode(), p.encode()) for p, f in zip(parts, found, strict=True)]
-        return all(b"".join(r[side] for r in read) == whole for side in (0, 1))
-
-    def _whole(self, text: str) -> tuple:
-        """A text whose bytes are kept although those of a chunk are not: aligned as one chunk."""
-        self._learn([" " + text])
-        return self.memory.pop(" " + text)
-
-    def _learn(self, parts: list[str]) -> None:
-        coded_a = self.a.encode_batch(parts, add_special_tokens=False)
-        coded_b = self.b.encode([p[1:] for p in parts], return_type="proto", num_threads=1)
-        for part, a, b in zip(parts, coded_a, coded_b, strict=True):
-            self.memory[part] = self._aligned(part, a, b)
-
-    def _aligned(self, part: str, a, b) -> tuple:
-        raw = part.encode()
-        a_ids, pieces = a.ids, b.pieces
-        b_ids = [p.id for p in pieces]
-        a_joined = b"".join([self.a_bytes[i] for i in a_ids])
-        b_joined = b"".join([self.b_bytes[i] for i in b_ids])
-        if a_joined != raw or b_joined != raw:
-            return (False, 0, 0, 0, "", (), a_joined, b_joined)
-        a_ends = self._a_ends(part, len(raw), a_ids, a.offsets)
-        b_ends = self._b_ends(len(raw), b_ids, pieces)
-        return (True, len(a_ids), len(b_ids), *_grouped(a_ids, a_ends, b_ids, b_ends), b"", b"")
-
-    def _a_ends(self, part: str, size: int, ids: list[int], offsets: list[tuple[int, int]]) -> list[int]:
-        if size == len(part):  # each character is one byte
-            return [end for _, end in offsets]
-        at = np.concatenate([[0], np.cumsum([len(c.encode()) for c in part])]).tolist()
-        ends, reached = [], 0
-        for i, (begin, end) in zip(ids, offsets, strict=True):
-            own = len(self.a_bytes[i])
-            # A span that is the token is a cut; one that shares a character with others is refined.
-            reached = at[end] if at[begin] == reached and at[end] - at[begin] == own else reached + own
-            ends.append(reached)
-        return ends
-
-    def _b_ends(self, size: int, ids: list[int], pieces) -> list[int]:
-        ends, reached = [], 0
-        for i, p in zip(ids, pieces, strict=True):
-            own = len(self.b_bytes[i])
-            # Spans count the text without the space before it.
-            reached = p.end + 1 if p.begin + 1 == reached and p.end - p.begin == own else reached + own
-            ends.append(reached)
-        return ends
-
-
-def _grouped(a_ids, a_ends, b_ids, b_ends) -> tuple[int, str, tuple]:
-    """(groups, groups as text, links) of tokens by the bytes at which they end."""
-    shown: list[str] = []
-    pairs: Counter = Counter()
-    i = j = 0
-    for end in sorted(set(a_ends) & set(b_ends)):
-        first_a, first_b = i, j
-        while i < len(a_ends) and a_ends[i] <= end:
-            i += 1
-        while j < len(b_ends) and b_ends[j] <= end:
-            j += 1
-        own_a, own_b = a_ids[first_a:i], b_ids[first_b:j]
-        shown.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
-        times_b = Counter(own_b)
-        for a, n in Counter(own_a).items():
-            for b, m in times_b.items():
-                pairs[a << 32 | b] += n * m
-    return len(shown), ";".join(shown), tuple(pairs.items())
 
+class Chunks:
+    """The different chunks of a block, each aligned once, and the id pairs that they link.
 
-_CODED = "block bigint, number int, a int, b int, docs bigint, row binary, links binary"
+    Per chunk: whether both tokenizers keep its bytes, numbers of tokens and groups, the groups as
+    text, and its links as numbers of pairs with how often they are linked.
+    """
+
+    def __init__(self, tokenizers: Tokenizers):
+        self.of = tokenizers
+        self.numbers = Numbers()
+        self.pairs = Numbers()
+        self.kept = np.zeros(0, bool)
+        self.sums = np.zeros((0, 3), np.int64)
+        self.shown: list[str] = []
+        self.sizes = np.zeros(0, np.int64)
+        self.linked = np.zeros((0, 2), np.int64)
+
+    def learn(self) -> None:
+        """Aligns the chunks that were numbered since the last time."""
+        names = list(islice(self.numbers, len(self.shown), None))
+        for at in range(0, len(names), LOOKED_UP):
+            self._learn(names[at : at + LOOKED_UP])
+
+    def _ends(self, side: int, ids, sizes, begin, end, coarse) -> np.ndarray:
+        """Bytes at which tokens end, from the beginning of their chunk.
+
+        Spans are taken where they are as long as the tokens, one behind the other; in
+        chunks where they are not, the decoded bytes say where tokens end.
+        """
+        own = self.of.lengths[side][ids]
+        upto = np.cumsum(own)
+        chunk = np.repeat(np.arange(len(sizes)), sizes)
+        first = np.cumsum(sizes) - sizes
+        before = np.concatenate([[0], upto])[first]
+        decoded = upto - np.repeat(before, sizes)
+        wrong = ~coarse
+        wrong[chunk[(end - begin != own) & (begin > 0)]] = True
+        wrong[chunk[end != decoded]] = True
+        return np.where(wrong[chunk], decoded, end)
+
+    def _learn(self, names: list[str]) -> None:
+        count = len(names)
+        raws = [(" " + name).encode() for name in names]
+        lengths = np.fromiter(map(len, raws), np.int64, count)
+        one_byte = lengths == 1 + np.fromiter(map(len, names), np.int64, count)
+        found_a = self.of.a.encode_batch([" " + name for name in names], add_special_tokens=False)
+        a_ids, a_sizes = _flat([e.ids for e in found_a])
+        offsets = [e.offsets for e in found_a]
+        a_begin, _ = _flat([[o[0] for o in own] for own in offsets])
+        a_end, _ = _flat([[o[1] for o in own] for own in offsets])
+        del found_a, offsets
+        found_b = [p.pieces for p in self.of.b.encode(names, return_type="proto", num_threads=1)]
+        spans = [(p.id, p.begin, p.end) for own in found_b for p in own]
+        b_sizes = np.fromiter(map(len, found_b), np.int64, count)
+        b_ids, b_begin, b_end = np.array(spans, np.int64).reshape(-1, 3).T
+        del found_b, spans
+        # Spans of B count the chunk without the space before it; A's count characters.
+        a_ends = self._ends(0, a_ids, a_sizes, a_begin, a_end, one_byte)
+        b_ends = self._ends(1, b_ids, b_sizes, b_begin + 1, b_end + 1, np.ones(count, bool))
+        kept = self._same(raws, lengths, 0, a_ids, a_sizes) & self._same(raws, lengths, 1, b_ids, b_sizes)
+        starts = np.cumsum(lengths) - lengths
+        a_chunk, b_chunk = np.repeat(np.arange(count), a_sizes), np.repeat(np.arange(count), b_sizes)
+        a_use, b_use = kept[a_chunk], kept[b_chunk]
+        a_ids, a_chunk, a_ends = a_ids[a_use], a_chunk[a_use], a_ends[a_use] + starts[a_chunk[a_use]]
+        b_ids, b_chunk, b_ends = b_ids[b_use], b_chunk[b_use], b_ends[b_use] + starts[b_chunk[b_use]]
+        both = np.intersect1d(a_ends, b_ends)
+        a_group, b_group = np.searchsorted(both, a_ends), np.searchsorted(both, b_ends)
+        group_chunk = np.searchsorted(starts, both, "left") - 1
+        self._show(count, a_ids, a_group, a_chunk, b_ids, b_group, b_chunk)
+        self._link(count, len(both), group_chunk, a_ids, a_group, b_ids, b_group)
+        sums = [np.bincount(c, minlength=count) for c in (a_chunk, b_chunk, group_chunk)]
+        self.sums = np.concatenate([self.sums, np.stack(sums, axis=1)])
+        self.kept = np.concatenate([self.kept, kept])
+
+    def _same(self, raws, lengths, side: int, ids, sizes) -> np.ndarray:
+        """Whether the decoded tokens of each chunk are its bytes."""
+        table = (self.of.a_bytes, self.of.b_bytes)[side]
+        own = self.of.lengths[side][ids]
+        ends = np.concatenate([[0], np.cumsum(own)])[np.concatenate([[0], np.cumsum(sizes)])]
+        joined = b"".join([table[i] for i in ids.tolist()])
+        if (np.diff(ends) == lengths).all() and joined == b"".join(raws):
+            return np.ones(len(raws), bool)
+        return np.array([joined[i:j] == raw for raw, i, j in zip(raws, ends[:-1], ends[1:], strict=True)], bool)
+
+    def _show(self, count, a_ids, a_group, a_chunk, b_ids, b_group, b_chunk) -> None:
+        """Writes the groups of each chunk: ids of A, ids of B, a mark where another side or group begins."""
+        group = np.concatenate([a_group, b_group])
+        side = np.repeat([0, 1], [len(a_ids), len(b_ids)])
+        ids = np.concatenate([a_ids, b_ids])
+        chunk = np.concatenate([a_chunk, b_chunk])
+        order = np.lexsort((side, group))
+        group, side, ids, chunk = group[order], side[order], ids[order], chunk[order]
+        new = np.ones(len(ids), np.int64)
+        new[1:] = (group[1:] != group[:-1]) | (side[1:] != side[:-1])
+        tables = self.of.written
+        pieces = [tables[s][n][i] for s, n, i in zip(side.tolist(), new.tolist(), ids.tolist(), strict=True)]
+        ends = np.cumsum(np.bincount(chunk, minlength=count)).tolist()
+        self.shown += ["".join(pieces[i:j])[1:] for i, j in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def _link(self, count, n_groups, group_chunk, a_ids, a_group, b_ids, b_group) -> None:
+        """Links each A with each B token of its group."""
+        in_b = np.bincount(b_group, minlength=n_groups)
+        per_a = in_b[a_group]
+        first_b = np.cumsum(in_b) - in_b
+        b_at = np.repeat(first_b[a_group] - (np.cumsum(per_a) - per_a), per_a) + np.arange(per_a.sum())
+        keys = np.repeat(a_ids, per_a) << 32 | b_ids[b_at]
+        chunk = group_chunk[np.repeat(a_group, per_a)]
+        used, place = np.unique(keys, return_inverse=True)
+        numbers = np.fromiter(map(self.pairs.__getitem__, used.tolist()), np.int64, len(used))[place]
+        cells, times = np.unique(chunk << 40 | numbers, return_counts=True)
+        linked = np.stack([cells & ((1 << 40) - 1), times], axis=1)
+        self.linked = np.concatenate([self.linked, linked])
+        self.sizes = np.concatenate([self.sizes, np.bincount(cells >> 40, minlength=count)])
+
+    def texts(self, values: list[str | None]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
+        """((n_a, n_b, n_groups, digest, different pairs) of each text, then numbers and times of all their pairs)."""
+        parts = [chunks(v) if v else [] for v in values]
+        order = [list(map(self.numbers.__getitem__, own)) for own in parts]
+        self.learn()
+        for i, own in enumerate(order):
+            if own and not self.kept[own].all():
+                order[i] = self._whole(values[i])
+        flat, sizes = _flat(order)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        sums = np.concatenate([np.zeros((1, 3), np.int64), np.cumsum(self.sums[flat], axis=0)])
+        sums = np.diff(sums[ends], axis=0).tolist()
+        shown = self.shown
+        shas = [hashlib.sha256(";".join([shown[k] for k in own]).encode()).hexdigest() if own else "" for own in order]
+        at = _gathered(flat, self.sizes)
+        doc = np.repeat(np.repeat(np.arange(len(values)), sizes), self.sizes[flat])
+        width = max(1, len(self.pairs))
+        cells, place = np.unique(doc * width + self.linked[at, 0], return_inverse=True)
+        times = np.bincount(place, self.linked[at, 1], len(cells)).astype(np.int64)
+        n_pairs = np.bincount(cells // width, minlength=len(values)).tolist()
+        return [(*s, sha, n) for s, sha, n in zip(sums, shas, n_pairs, strict=True)], cells % width, times
+
+    def _whole(self, text: str) -> list[int]:
+        """A text with a chunk whose bytes are not kept: one chunk if its own bytes are, else none."""
+        number = self.numbers[text]
+        self.learn()
+        return [number] if self.kept[number] else []
 
 
-class _Block:
-    """Pairs of one block: their numbers and in how many documents they are."""
-
-    def __init__(self, number: int):
-        self.number = number
-        self.numbers: dict[int, int] = {}
-        self.docs: list[int] = []
-
-    def links(self, linked: dict[int, int]) -> np.ndarray:
-        own = np.empty((len(linked), 2), np.int64)
-        for k, (pair, n) in enumerate(linked.items()):
-            number = self.numbers.setdefault(pair, len(self.numbers))
-            if number == len(self.docs):
-                self.docs.append(0)
-            self.docs[number] += 1
-            own[k] = number, n
-        return own
-
-    def pairs(self) -> Iterator[pa.RecordBatch]:
-        keys = np.fromiter(self.numbers, np.int64, len(self.numbers))
-        docs = np.array(self.docs, np.int64)
-        for low in range(0, len(keys), ROWS):
-            own = keys[low : low + ROWS]
-            size = len(own)
-            yield _coded_rows(
-                pa.repeat(pa.scalar(self.number, pa.int64()), size),
-                pa.array(np.arange(low, low + size, dtype=np.int32)),
-                pa.array((own >> 32).astype(np.int32)),
-                pa.array((own & 0xFFFFFFFF).astype(np.int32)),
-                pa.array(docs[low : low + size]),
-                pa.nulls(size, pa.binary()),
-                pa.nulls(size, pa.binary()),
-            )
+_CODED = "block bigint, number int, a int, b int, docs bigint, row binary, links binary"
 
 
 def _coded_rows(*columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns), names=[c.split()[0] for c in _CODED.split(", ")])
 
 
-def _results(found: list[tuple]) -> tuple[int, int, int, str, dict[int, int]]:
-    """(n_a, n_b, n_groups, digest of the groups, how often each pair is linked) of a text's chunks."""
-    if not found:
-        return 0, 0, 0, "", {}
-    linked: dict[int, int] = {}
-    for chunk in found:
-        for pair, n in chunk[5]:
-            linked[pair] = linked.get(pair, 0) + n
-    n_a, n_b, n_groups = (sum([c[k] for c in found]) for k in (1, 2, 3))
-    return n_a, n_b, n_groups, hashlib.sha256(";".join([c[4] for c in found]).encode()).hexdigest(), linked
+def _pair_rows(block: int, pairs: dict[int, int], docs: np.ndarray) -> Iterator[pa.RecordBatch]:
+    keys = np.fromiter(pairs, np.int64, len(pairs))
+    for low in range(0, len(keys), ROWS):
+        own = keys[low : low + ROWS]
+        size = len(own)
+        yield _coded_rows(
+            pa.repeat(pa.scalar(block, pa.int64()), size),
+            pa.array(np.arange(low, low + size, dtype=np.int32)),
+            pa.array((own >> 32).astype(np.int32)),
+            pa.array((own & 0xFFFFFFFF).astype(np.int32)),
+            pa.array(docs[low : low + size]),
+            pa.nulls(size, pa.binary()),
+            pa.nulls(size, pa.binary()),
+        )
 
 
 def coded(docs: DataFrame, vocabulary, model, text: str, kept: list[int], block_bytes: int) -> DataFrame:
@@ -239,35 +287,31 @@ def coded(docs: DataFrame, vocabulary, model, text: str, kept: list[int], block_
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(vocabulary.value, model.value)
-        block = None
-        for number, part in blocks.cut(batches, at, block_bytes):
-            if block is None or number != block.number:
-                if block is not None:
-                    yield from block.pairs()
-                block = _Block(number)
+        tokenizers = Tokenizers(vocabulary.value, model.value)
+        current, known, in_docs = None, None, np.zeros(0, np.int64)
+        for block, part in blocks.cut(batches, at, block_bytes):
+            if block != current:
+                if known is not None:
+                    yield from _pair_rows(current, known.pairs, in_docs)
+                current, known, in_docs = block, Chunks(tokenizers), np.zeros(0, np.int64)
             for piece in blocks.pieces(part, at):
-                results, links = [], []
-                for value in piece.column(at):
-                    *shown, linked = _results(aligner.text(value.as_py()))
-                    links.append(block.links(linked))
-                    results.append((*shown, len(linked)))
+                results, numbers, times = known.texts(piece.column(at).to_pylist())
+                more = np.bincount(numbers, minlength=len(known.pairs))
+                more[: len(in_docs)] += in_docs
+                in_docs = more
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64())
                 own = [pa.array(c, kind) for c, kind in zip(zip(*results, strict=True), kinds, strict=True)]
                 columns = [*[piece.column(i) for i in kept], *own]
                 rows = pa.RecordBatch.from_arrays(columns, names=[str(i) for i in range(len(columns))])
-                flat = np.concatenate([*links, np.zeros((0, 2), np.int64)])
-                pairs = pa.RecordBatch.from_arrays(
-                    [pa.array(flat[:, 0].astype(np.int32)), pa.array(np.ascontiguousarray(flat[:, 1]))], ["number", "n"]
-                )
+                links = [pa.array(numbers.astype(np.int32)), pa.array(times)]
                 yield _coded_rows(
-                    pa.array([number], pa.int64()),
+                    pa.array([block], pa.int64()),
                     *[pa.nulls(1, kind) for kind in (pa.int32(), pa.int32(), pa.int32(), pa.int64())],
                     pa.array([blocks.packed(rows)], pa.binary()),
-                    pa.array([blocks.packed(pairs)], pa.binary()),
+                    pa.array([blocks.packed(pa.RecordBatch.from_arrays(links, names=["number", "n"]))], pa.binary()),
                 )
-        if block is not None:
-            yield from block.pairs()
+        if known is not None:
+            yield from _pair_rows(current, known.pairs, in_docs)
 
     return docs.mapInArrow(run, _CODED)
 
@@ -298,7 +342,7 @@ def align(
     model_path: str | None = None,
     text: str = "text",
     keep_text: bool = True,
-    block_bytes: int = blocks.BLOCK_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``docs`` with n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256 of each text."""
     context = docs.sparkSession.sparkContext
@@ -344,7 +388,7 @@ def pair_counts(
     context = docs.sparkSession.sparkContext
     vocabulary = context.broadcast(read_vocabulary(vocabulary_path or default_vocabulary()))
     model = context.broadcast(read_model(model_path or default_model()))
-    pairs = coded(docs.select(text), vocabulary, model, text, [], blocks.BLOCK_BYTES).filter("a is not null")
+    pairs = coded(docs.select(text), vocabulary, model, text, [], BLOCK_BYTES).filter("a is not null")
     return counted(pairs)
 
 
