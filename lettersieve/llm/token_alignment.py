@@ -47,6 +47,7 @@ ships_its_code(__name__)
 
 BLOCK_BYTES = 16 << 20
 LOOKED_UP = 20_000
+JOINED = 500
 ROWS = 10_000
 _MARK = "▁"
 # A space behind something that is no white space, unless it ends the text, begins a chunk.
@@ -135,74 +136,84 @@ class Chunks:
         for at in range(0, len(names), LOOKED_UP):
             self._learn(names[at : at + LOOKED_UP])
 
-    def _ends(self, side: int, ids, sizes, begin, end, coarse) -> np.ndarray:
-        """Bytes at which tokens end, from the beginning of their chunk.
-
-        Spans are taken where they are as long as the tokens, one behind the other; in
-        chunks where they are not, the decoded bytes say where tokens end.
+    def _units(self, names: list[str]) -> list[list[int]]:
+        """Chunks that are encoded in one text: those that a space behind them ends."""
+        ends = [bool(name) and not name[-1].isspace() and _MARK not in name for name in names]
+        plain = [i for i, name in enumerate(names) if ends[i] and name.isascii()]
+        other = [i for i, name in enumerate(names) if ends[i] and not name.isascii()]
+        joined = [own[at : at + JOINED] for own in (plain, other) for at in range(0, len(own), JOINED)]
+        return joined + [[i] for i in range(len(names)) if not ends[i]]
+
+    def _read_a(self, text: str, raw: bytes):
+        """(ids, ends) of A's tokens, or nothing if they do not keep the bytes."""
+        found = self.of.a.encode(text, add_special_tokens=False)
+        ids = np.array(found.ids, np.int64)
+        spans = np.array(found.offsets, np.int64).reshape(-1, 2)
+        return self._cut(0, raw, ids, spans[:, 0], spans[:, 1], len(raw) == len(text))
+
+    def _read_b(self, text: str, raw: bytes):
+        found = [(p.id, p.begin, p.end) for p in self.of.b.encode(text[1:], return_type="proto").pieces]
+        ids, begin, end = np.array(found, np.int64).reshape(-1, 3).T
+        # Spans count the text without the space before it.
+        return self._cut(1, raw, ids, begin + 1, end + 1, True)
+
+    def _cut(self, side: int, raw: bytes, ids: np.ndarray, begin: np.ndarray, end: np.ndarray, coarse: bool):
+        """Where tokens end. Spans say it if they are as long as the tokens, one behind the other.
+
+        Elsewhere (characters of several bytes or tokens, byte-fallback tokens) the decoded bytes do.
         """
-        own = self.of.lengths[side][ids]
-        upto = np.cumsum(own)
-        chunk = np.repeat(np.arange(len(sizes)), sizes)
-        first = np.cumsum(sizes) - sizes
-        before = np.concatenate([[0], upto])[first]
-        decoded = upto - np.repeat(before, sizes)
-        wrong = ~coarse
-        wrong[chunk[(end - begin != own) & (begin > 0)]] = True
-        wrong[chunk[end != decoded]] = True
-        return np.where(wrong[chunk], decoded, end)
+        table = (self.of.a_bytes, self.of.b_bytes)[side]
+        if b"".join([table[i] for i in ids.tolist()]) != raw:
+            return None
+        upto = np.cumsum(self.of.lengths[side][ids])
+        if coarse and (end == upto).all() and (begin[1:] == end[:-1]).all():
+            return ids, end
+        return ids, upto
 
     def _learn(self, names: list[str]) -> None:
         count = len(names)
-        raws = [(" " + name).encode() for name in names]
-        lengths = np.fromiter(map(len, raws), np.int64, count)
-        one_byte = lengths == 1 + np.fromiter(map(len, names), np.int64, count)
-        found_a = self.of.a.encode_batch([" " + name for name in names], add_special_tokens=False)
-        a_ids, a_sizes = _flat([e.ids for e in found_a])
-        offsets = [e.offsets for e in found_a]
-        a_begin, _ = _flat([[o[0] for o in own] for own in offsets])
-        a_end, _ = _flat([[o[1] for o in own] for own in offsets])
-        del found_a, offsets
-        found_b = [p.pieces for p in self.of.b.encode(names, return_type="proto", num_threads=1)]
-        spans = [(p.id, p.begin, p.end) for own in found_b for p in own]
-        b_sizes = np.fromiter(map(len, found_b), np.int64, count)
-        b_ids, b_begin, b_end = np.array(spans, np.int64).reshape(-1, 3).T
-        del found_b, spans
-        # Spans of B count the chunk without the space before it; A's count characters.
-        a_ends = self._ends(0, a_ids, a_sizes, a_begin, a_end, one_byte)
-        b_ends = self._ends(1, b_ids, b_sizes, b_begin + 1, b_end + 1, np.ones(count, bool))
-        kept = self._same(raws, lengths, 0, a_ids, a_sizes) & self._same(raws, lengths, 1, b_ids, b_sizes)
+        kept = np.zeros(count, bool)
+        order, sides, base = [], ([], []), 0
+        waiting = self._units(names)
+        while waiting:
+            unit = waiting.pop()
+            text = "".join([f" {names[i]}" for i in unit])
+            raw = text.encode()
+            a, b = self._read_a(text, raw), self._read_b(text, raw)
+            if a is None or b is None:
+                if len(unit) > 1:
+                    waiting += [[i] for i in unit]
+                continue
+            for side, (ids, ends) in zip(sides, (a, b), strict=True):
+                side.append((ids, ends + base))
+            order += unit
+            base += len(raw)
+        kept[order] = True
+        place = np.array(order, np.int64)
+        lengths = np.fromiter((1 + len(names[i].encode()) for i in order), np.int64, len(order))
         starts = np.cumsum(lengths) - lengths
-        a_chunk, b_chunk = np.repeat(np.arange(count), a_sizes), np.repeat(np.arange(count), b_sizes)
-        a_use, b_use = kept[a_chunk], kept[b_chunk]
-        a_ids, a_chunk, a_ends = a_ids[a_use], a_chunk[a_use], a_ends[a_use] + starts[a_chunk[a_use]]
-        b_ids, b_chunk, b_ends = b_ids[b_use], b_chunk[b_use], b_ends[b_use] + starts[b_chunk[b_use]]
+
+        def joined(side: list, k: int) -> np.ndarray:
+            return np.concatenate([x[k] for x in side]) if side else np.zeros(0, np.int64)
+
+        a_ids, a_ends, b_ids, b_ends = joined(sides[0], 0), joined(sides[0], 1), joined(sides[1], 0), joined(sides[1], 1)
         both = np.intersect1d(a_ends, b_ends)
         a_group, b_group = np.searchsorted(both, a_ends), np.searchsorted(both, b_ends)
-        group_chunk = np.searchsorted(starts, both, "left") - 1
+        group_chunk = place[np.searchsorted(starts, both, "left") - 1]
+        a_chunk, b_chunk = group_chunk[a_group], group_chunk[b_group]
         self._show(count, a_ids, a_group, a_chunk, b_ids, b_group, b_chunk)
         self._link(count, len(both), group_chunk, a_ids, a_group, b_ids, b_group)
         sums = [np.bincount(c, minlength=count) for c in (a_chunk, b_chunk, group_chunk)]
         self.sums = np.concatenate([self.sums, np.stack(sums, axis=1)])
         self.kept = np.concatenate([self.kept, kept])
 
-    def _same(self, raws, lengths, side: int, ids, sizes) -> np.ndarray:
-        """Whether the decoded tokens of each chunk are its bytes."""
-        table = (self.of.a_bytes, self.of.b_bytes)[side]
-        own = self.of.lengths[side][ids]
-        ends = np.concatenate([[0], np.cumsum(own)])[np.concatenate([[0], np.cumsum(sizes)])]
-        joined = b"".join([table[i] for i in ids.tolist()])
-        if (np.diff(ends) == lengths).all() and joined == b"".join(raws):
-            return np.ones(len(raws), bool)
-        return np.array([joined[i:j] == raw for raw, i, j in zip(raws, ends[:-1], ends[1:], strict=True)], bool)
-
     def _show(self, count, a_ids, a_group, a_chunk, b_ids, b_group, b_chunk) -> None:
         """Writes the groups of each chunk: ids of A, ids of B, a mark where another side or group begins."""
         group = np.concatenate([a_group, b_group])
         side = np.repeat([0, 1], [len(a_ids), len(b_ids)])
         ids = np.concatenate([a_ids, b_ids])
         chunk = np.concatenate([a_chunk, b_chunk])
-        order = np.lexsort((side, group))
+        order = np.lexsort((side, group, chunk))
         group, side, ids, chunk = group[order], side[order], ids[order], chunk[order]
         new = np.ones(len(ids), np.int64)
         new[1:] = (group[1:] != group[:-1]) | (side[1:] != side[:-1])
