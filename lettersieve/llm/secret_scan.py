@@ -1,19 +1,21 @@
 """Secret scan with a trigram inverted index.
 
-Every rule is a regular expression with a Boolean trigram query in disjunctive form, derived
-from the strings that each of its matches has to hold. The index has one posting (trigram,
+Every rule is a regular expression. Its Boolean trigram query, in disjunctive form, is derived
+from the expression (see ``trigram_query``). The index has one posting (trigram,
 row) per trigram asked for and row that holds it, in lower case. Postings are intersected per
 clause, clauses are united per rule, and only the rows that a rule's query returns are
 verified with its expression. A rule without mandatory trigrams scans every row.
 
 Defined results: a null or empty text has no spans. Rows are found by a hash of id and text,
 so repeated rows and rows without id are each verified; a hash collision only adds a
-candidate. Columns of the caller keep their names.
+candidate. Columns of the caller keep their names; an empty table gives an empty table. Long texts are scanned
+whole: positions are running sums taken in two levels, and redaction cuts a text into pieces once, so
+neither grows an array match by match or counts characters from the beginning for every match.
 """
 
 from __future__ import annotations
 
-import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -21,24 +23,24 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lettersieve.llm.common import free_name
+from lettersieve.llm.common import free_name, let
+from lettersieve.llm.trigram_query import trigram_query
 from lettersieve.sources.shared import stored
 
-GRAM = 3
+# Arrays are gone through in stretches of this length, texts in pieces of so many characters.
+STRETCH = 256
+PIECE = 4096
 
 
 @dataclass(frozen=True)
 class Rule:
     """One kind of secret.
 
-    ``mandatory`` lists alternatives; every match holds all strings of one alternative. An
-    empty list means that nothing can be derived and every text is scanned. A match counts
-    if ``group`` has at least ``at_least`` characters.
+    A match counts if ``group`` has at least ``at_least`` characters.
     """
 
     kind: str
     pattern: str
-    mandatory: tuple[tuple[str, ...], ...]
     group: int = 0
     at_least: int = 1
 
@@ -48,40 +50,34 @@ _KEYWORDS = "password|passwd|secret|token|api_?key"
 ASSIGN = Rule(
     "assign",
     rf"""(?i:({_KEYWORDS}))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
-    (("password",), ("passwd",), ("secret",), ("token",), ("api", "key")),
     2,
     12,
 )
-ACCESS = Rule("access", "AKIA[A-Z0-9]+", (("AKIA",),), 0, 18)
-HEX = Rule("hex", "[0-9a-f]+", (), 0, 16)
+ACCESS = Rule("access", "AKIA[A-Z0-9]+", 0, 18)
+HEX = Rule("hex", "[0-9a-f]{16,}")
 BASE = (ASSIGN, ACCESS, HEX)
-# A private key goes on to its END line. If another BEGIN or END or the end of the text comes first, it goes on over
-# the lines of base64 that follow, and over the two header lines that an encrypted key has. Line ends may be escaped,
-# quoted or blanks. All loops are possessive: they take no stack and look at each character once.
+# A private key goes on to its END line. Where two dashes or the end of the text come before that, it goes on over
+# the long lines of base64 that follow, over the two header lines of an encrypted key, and over one last
+# short line that is no word. Line ends may be escaped, quoted or blanks. Loops are possessive, for they need no way back.
 _KEY_BEGIN = "-----BEGIN [A-Z ]*PRIVATE KEY-----"
-_KEY_END = r"(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z ]*PRIVATE KEY-----"
-_KEY_GAP = r"""(?:[\s>"'+,]|\\[nr])++"""
-_KEY_LINE = r"""[A-Za-z0-9+/=]{40,}+|[A-Za-z0-9+/=]++(?=[ \t]*+(?:[\r\n\\"'<]|\z))|(?:Proc-Type|DEK-Info): [^\r\n\\"']*+"""
-_KEY_REST = f"(?:{_KEY_END}|(?:{_KEY_GAP}(?:{_KEY_LINE}))*+)"
+_KEY_END = r"[^-]*+(?:-[^-]++)*+-----END [A-Z ]*PRIVATE KEY-----"
+_KEY_GAP = r"""(?:[ \t\r\n>"'+,]|\\[nr])++"""
+_KEY_LINE = r"""[A-Za-z0-9+/=]{40,}+|(?:Proc-Type|DEK-Info): [^\r\n\\"']*+"""
+_KEY_SHORT = r"[A-Za-z0-9+/]{0,39}(?:[0-9+/]|[a-z][A-Z])[A-Za-z0-9+/]{0,39}={0,2}|[A-Za-z0-9+/]{1,39}={1,2}"
+_KEY_REST = f"(?:{_KEY_END}|(?:{_KEY_GAP}(?:{_KEY_LINE}))*+(?:{_KEY_GAP}(?:{_KEY_SHORT}))?)"
 # Further public token formats, which the method adds.
 ADDED = (
-    Rule("pem", _KEY_BEGIN + _KEY_REST, (("-----BEGIN ", "PRIVATE KEY-----"),)),
-    Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}", (("ghp_",), ("gho_",), ("ghu_",), ("ghs_",), ("ghr_",))),
-    Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", (("xoxa-",), ("xoxb-",), ("xoxp-",), ("xoxr-",), ("xoxs-",))),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", (("eyJ", ".eyJ"),)),
+    Rule("pem", _KEY_BEGIN + _KEY_REST),
+    Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}"),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 RULES = BASE + ADDED
 
 
-def trigrams(text: str) -> list[str]:
-    lower = text.lower()
-    return sorted({lower[i : i + GRAM] for i in range(len(lower) - GRAM + 1)})
-
-
 def clauses(rule: Rule) -> list[list[str]]:
     """The rule's trigram query: all trigrams of one of these lists have to be there."""
-    derived = [sorted({g for part in alternative for g in trigrams(part)}) for alternative in rule.mandatory]
-    return derived if all(derived) else []
+    return trigram_query(rule.pattern)
 
 
 def row_key(doc_id: str, text: str) -> Column:
@@ -115,43 +111,74 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return met.groupBy("row").agg(F.collect_set(F.substring_index("clause", "/", 1)).alias("kinds"))
 
 
+def before_each(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """For each integer of an array what ``combine`` makes of 0 and all before it; the last entry has all.
+
+    Stretches are gone through one by one and then together, so the arrays that grow stay short.
+    """
+
+    def gone_through(items: Column) -> Column:
+        start = F.struct(F.lit(0).alias("now"), F.array().cast("array<int>").alias("seen"))
+        step = lambda s, x: F.struct(
+            combine(s["now"], x).cast("int").alias("now"), F.concat(s["seen"], F.array(s["now"])).alias("seen")
+        )
+        return F.aggregate(items, start, step)
+
+    def joined(all_values: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(all_values), F.lit(STRETCH))
+        parts = F.transform(starts, lambda at: gone_through(F.slice(all_values, at, F.lit(STRETCH))))
+
+        def from_parts(found: Column) -> Column:
+            tops = gone_through(F.transform(found, lambda part: part["now"]))
+            return let(
+                tops,
+                lambda top: F.concat(
+                    F.flatten(
+                        F.zip_with(
+                            found, top["seen"], lambda part, t: F.transform(part["seen"], lambda v: combine(t, v).cast("int"))
+                        )
+                    ),
+                    F.array(top["now"]),
+                ),
+            )
+
+        return let(parts, from_parts)
+
+    return let(values, lambda v: F.when(F.size(v) == 0, F.array(F.lit(0))).otherwise(joined(v)))
+
+
 def spans(text: Column, rule: Rule) -> Column:
     """Array of (start, kind order, end, kind) of a rule's matches in a text, in code points.
 
     The pieces between the matches and the matches themselves give the positions by running
     sums of their lengths.
     """
+    order = next(i for i, known in enumerate((*RULES, rule)) if known.kind == rule.kind)
     matches = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     counted = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else matches
-    between = F.split(text, rule.pattern, -1)
-    steps = F.arrays_zip(
-        F.slice(between, 1, F.size(matches)).alias("gap"), matches.alias("hit"), counted.alias("part")
-    )
-    order = next(i for i, known in enumerate((*RULES, rule)) if known.kind == rule.kind)
-    start = F.struct(
-        F.lit(0).alias("at"),
-        F.lit(None).cast("array<struct<start:int,rank:int,end:int,kind:string>>").alias("found"),
+    gaps = F.transform(F.split(text, rule.pattern, -1), F.length)
+    sizes = F.struct(
+        F.transform(matches, F.length).alias("hit"), F.transform(counted, F.length).alias("part"), gaps.alias("gap")
     )
 
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + F.length(x["gap"])
-        end = begin + F.length(x["hit"])
-        span = F.struct(
-            begin.alias("start"), F.lit(order).alias("rank"), end.alias("end"), F.lit(rule.kind).alias("kind")
+    def placed(s: Column) -> Column:
+        steps = F.zip_with(F.slice(s["gap"], 1, F.size(s["hit"])), s["hit"], lambda g, h: g + h)
+        ends = F.slice(before_each(steps, lambda a, b: a + b), 2, F.greatest(F.size(s["hit"]), F.lit(1)))
+        found = F.transform(
+            F.arrays_zip(ends.alias("end"), s["hit"].alias("hit"), s["part"].alias("part")),
+            lambda x: F.struct(
+                (x["end"] - x["hit"]).alias("start"),
+                F.lit(order).alias("rank"),
+                x["end"].alias("end"),
+                F.lit(rule.kind).alias("kind"),
+                x["part"].alias("part"),
+            ),
         )
-        kept = F.when(F.length(x["part"]) >= rule.at_least, F.array(span)).otherwise(_no_spans())
-        return F.struct(end.alias("at"), F.concat(F.coalesce(state["found"], _no_spans()), kept).alias("found"))
+        long = F.filter(found, lambda x: x["part"] >= rule.at_least)
+        return F.transform(long, lambda x: F.struct(x["start"], x["rank"], x["end"], x["kind"]))
 
-    found = F.aggregate(steps, start, step, lambda s: F.coalesce(s["found"], _no_spans()))
     # Only texts with a match pay for the second and third pass.
-    return F.when(text.rlike(_quick(rule)), found).otherwise(_no_spans())
-
-
-def _quick(rule: Rule) -> str:
-    """An expression that holds for every text in which a match of ``rule`` counts."""
-    if rule.group == 0 and re.fullmatch(r"\[[^\]]+\]\+", rule.pattern):
-        return f"{rule.pattern[:-1]}{{{rule.at_least},}}"
-    return rule.pattern
+    return F.when(text.rlike(rule.pattern), let(sizes, placed)).otherwise(_no_spans())
 
 
 def _no_spans() -> Column:
@@ -215,36 +242,32 @@ def redacted(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mark:
     """``docs`` with every span replaced by ``mark``; spans that touch or overlap become one mark."""
     name = free_name(docs, "spans")
     found = scan(docs, doc_id=doc_id, text=text, name=name)
-    empty = F.array().cast("array<struct<start:int,end:int>>")
 
-    def merge(done: Column, s: Column) -> Column:
-        last = F.element_at(done, -1)
-        one = F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))
-        longer = F.array(
-            F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+    def clean(spans_: Column) -> Column:
+        reached = before_each(F.transform(spans_, lambda s: s["end"]), F.greatest)
+        # Where a span begins beyond all before it, what lies between stays, and a mark follows.
+        cuts = F.filter(
+            F.zip_with(reached, spans_, lambda at, s: F.struct(at.alias("at"), s["start"].alias("upto"))),
+            lambda c: c["upto"].isNull() | (c["upto"] > c["at"]) | ((c["at"] == 0) & (c["upto"] == 0)),
         )
-        return (
-            F.when(F.size(done) == 0, one)
-            .when(s["start"] > last["end"], F.concat(done, one))
-            .otherwise(F.concat(F.slice(done, 1, F.size(done) - 1), longer))
-        )
-
-    def cut(state: Column, s: Column) -> Column:
-        return F.struct(
-            s["end"].alias("at"),
-            F.concat(
-                state["out"], F.array(F.substring(F.col(text), state["at"] + 1, s["start"] - state["at"]), F.lit(mark))
-            ).alias("out"),
-        )
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    merged = F.aggregate(F.col(name), empty, merge)
-    clean = F.aggregate(
-        merged,
-        start,
-        cut,
-        lambda s: F.concat(
-            F.array_join(s["out"], ""), F.substring(F.col(text), s["at"] + 1, F.length(F.col(text)))
-        ),
-    )
-    return found.withColumn(text, F.when(F.size(name) > 0, clean).otherwise(F.col(text))).drop(name)
+        pieces = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+        def between(held: Column, at: Column, upto: Column) -> Column:
+            first = F.floor(at / PIECE).cast("int")
+            last = F.floor((upto - 1) / PIECE).cast("int")
+            part = F.array_join(F.slice(held, first + 1, F.greatest(last - first + 1, F.lit(0))), "")
+            return F.when(upto > at, F.substring(part, at - first * PIECE + 1, upto - at)).otherwise("")
+
+        def joined(held: Column) -> Column:
+            end = F.length(F.col(text))
+            kept = F.transform(
+                cuts,
+                lambda c: F.concat(
+                    between(held, c["at"], F.coalesce(c["upto"], end)), F.when(c["upto"].isNull(), "").otherwise(mark)
+                ),
+            )
+            return F.array_join(kept, "")
+
+        return let(pieces, joined)
+
+    return found.withColumn(text, F.when(F.size(name) > 0, let(F.col(name), clean)).otherwise(F.col(text))).drop(name)

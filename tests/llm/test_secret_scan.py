@@ -1,7 +1,15 @@
 import hashlib
+import itertools
+import random
 import re
+import time
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
 
 from lettersieve.llm import secret_scan
+from lettersieve.llm.trigram_query import trigram_query, trigrams
 
 ASSIGN = re.compile(
     r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII
@@ -60,20 +68,73 @@ def test_added_rules(spark):
     assert [("pem", "github", "slack", "jwt")[i] in kinds[i] for i in range(4)] == [True] * 4
 
 
-def test_queries_come_from_the_rules():
+def test_queries_come_from_the_patterns():
     assert secret_scan.clauses(secret_scan.ACCESS) == [["aki", "kia"]]
     assert secret_scan.clauses(secret_scan.HEX) == []
-    assert ["api", "key"] in secret_scan.clauses(secret_scan.ASSIGN)
+    found = secret_scan.clauses(secret_scan.ASSIGN)
+    assert sorted(trigrams("secret")) in found and sorted(trigrams("api_key")) in found and len(found) == 6
+    # Another pattern, another query.
+    changed = replace(secret_scan.ASSIGN, pattern=secret_scan.ASSIGN.pattern.replace("secret", "hidden"))
+    now = secret_scan.clauses(changed)
+    assert sorted(trigrams("hidden")) in now and sorted(trigrams("secret")) not in now
+    assert secret_scan.clauses(secret_scan.Rule("x", "gh[po]_[a-z]{3,}")) == [["gho", "ho_"], ["ghp", "hp_"]]
+    assert trigram_query("AK?IA") == [["aia"], ["aki", "kia"]]
+    assert trigram_query("(abcd)+x|efg") == [["abc", "bcd"], ["efg"]]
+    assert trigram_query("abc.def") == [["abc", "def"]] and trigram_query("(abc)?d") == [] and trigram_query("a(") == []
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_queries_hold_for_every_match(seed):
+    """Whatever a random pattern matches has all trigrams of one of its clauses."""
+    rng = random.Random(seed)
+
+    def pattern(depth):
+        kind = rng.randrange(7 if depth else 3)
+        if kind < 2:
+            return "".join(rng.choices("abAB", k=rng.randrange(1, 5)))
+        if kind == 2:
+            return rng.choice(["[ab]", "[a-d]", ".", "a?", "[^a]"])
+        if kind == 3:
+            return f"(?:{pattern(depth - 1)}|{pattern(depth - 1)})"
+        if kind == 4:
+            return f"(?:{pattern(depth - 1)})" + rng.choice(["*", "+", "?", "{2}", "{1,3}", "++"])
+        return pattern(depth - 1) + pattern(depth - 1)
+
+    for _ in range(300):
+        p = pattern(3)
+        query = trigram_query(p)
+        for _ in range(10):
+            text = "".join(rng.choices("abcdABx", k=12))
+            for m in re.finditer(p, text):
+                held = trigrams(m[0].lower())
+                assert not query or any(set(c) <= held for c in query), (p, m[0], query)
 
 
 def test_index_returns_rows_that_hold_a_clause(spark):
-    docs = spark.createDataFrame([(1, "my APIs kEy"), (2, "api"), (3, "PASSWD"), (4, None)], "doc_id bigint, text string")
+    rows = [(1, "my APIkEy"), (2, "api"), (3, "PASSWD"), (4, None), (5, "api key")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     grams = sorted({g for c in secret_scan.clauses(secret_scan.ASSIGN) for g in c})
     found = secret_scan.candidates(secret_scan.postings(docs, grams), (secret_scan.ASSIGN,))
     keyed = docs.select("doc_id", secret_scan.row_key("doc_id", "text").alias("row")).join(found, "row")
     assert {r["doc_id"]: r["kinds"] for r in keyed.collect()} == {1: ["assign"], 3: ["assign"]}
 
 
+def test_running_values_over_stretches(spark):
+    values = [random.Random(1).randrange(9) for _ in range(1000)]
+    row = spark.createDataFrame([(values,), ([],)], "v array<int>")
+    sums = [r[0] for r in row.select(secret_scan.before_each(F.col("v"), lambda a, b: a + b)).collect()]
+    assert sums == [[0, *itertools.accumulate(values)], [0]]
+
+
+def test_long_text_is_redacted_in_seconds(spark):
+    text = "0123456789abcdef éé " * 250_000
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    start = time.time()
+    found = secret_scan.redacted(docs).first()["text"]
+    assert found == "[secret] éé " * 250_000
+    assert time.time() - start < 60
+
+
 def test_redacted(clashing_docs, no_docs):
     found = secret_scan.redacted(clashing_docs)
     assert found.columns == clashing_docs.columns and found.count() == clashing_docs.count()
