@@ -289,10 +289,12 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
         "copies",
     )
 
+    time = free_name(docs, "time")
+
     def taken(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         joined = rows.alias("l").join(wanted.alias("r"), same_row("l", "r", row, doc_id))
         times = F.sequence(F.lit(1).cast("bigint"), F.col("r._copies"))
-        return joined.select("l.*", F.explode(times).alias("_time")).select(*[F.col(f"`{c}`") for c in docs.columns])
+        return joined.select("l.*", F.explode(times).alias(time)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
     found = taken(marked, chosen.filter("_n = 1"))
     again = chosen.filter("_n > 1")
