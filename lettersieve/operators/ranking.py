@@ -164,8 +164,12 @@ def batch_hits(index: Index, terms: DataFrame, bits: int = slices.SLICE_BITS) ->
 
 
 def search_batch(index: Index, terms: DataFrame, limit: int | None = None) -> DataFrame:
-    """(query_id, box, uid, score, rank): the best hits of every query in every box."""
-    return top_per_box(batch_hits(index, terms), limit, ["query_id", "box"])
+    """(query_id, box, uid, score, rank): the best hits of every query in every box, all without ``limit``.
+
+    With a limit a box returns no more than its next uid says, as a single search does.
+    """
+    hits = batch_hits(index, terms)
+    return top_per_box(hits, limit, ["query_id", "box"], None if limit is None else uidnext_of(index))
 
 
 def _ranges(hits: DataFrame, bits: int) -> DataFrame:

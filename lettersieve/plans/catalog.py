@@ -441,6 +441,13 @@ def search_multi_box(spark, sf_dir):
 
 @query
 def search_batch(spark, sf_dir):
+    """The best hits of each query in each box: as many as the box's next uid says, or 10,000 if that is less."""
+    terms = ranking.batch_terms(tables.query_batch(spark, sf_dir))
+    return ranking.search_batch(open_index(spark, sf_dir), terms, ranking.RESULT_CAP)
+
+
+@query
+def search_batch_top(spark, sf_dir):
     """The ten best hits of each query in each box."""
     terms = ranking.batch_terms(tables.query_batch(spark, sf_dir))
     return ranking.search_batch(open_index(spark, sf_dir), terms, TOP)
@@ -448,8 +455,9 @@ def search_batch(spark, sf_dir):
 
 @query
 def search_batch_body_and(spark, sf_dir):
+    """Every body that holds all words of a query of the batch."""
     terms = ranking.batch_terms(tables.query_batch(spark, sf_dir), ["body"], "and")
-    return ranking.search_batch(open_index(spark, sf_dir), terms, TOP)
+    return ranking.search_batch(open_index(spark, sf_dir), terms)
 
 
 def batch_arguments(queries: DataFrame) -> DataFrame:
@@ -487,4 +495,4 @@ def search_batch_arguments(spark, sf_dir):
     """The batch with its own fields for each query, every word needed."""
     queries = tables.query_batch(spark, sf_dir)
     fields = ranking.argument_fields(batch_arguments(queries), _allowlist(spark))
-    return ranking.search_batch(open_index(spark, sf_dir), ranking.batch_terms(queries, fields, "and"), TOP)
+    return ranking.search_batch(open_index(spark, sf_dir), ranking.batch_terms(queries, fields, "and"))

@@ -174,6 +174,9 @@ def _batch(fields: str, operator: str) -> dict[str, str]:
     }
 
 
+# As many hits of a box as its next uid says, or 10,000 if that is less.
+CAP = "least(10000, (SELECT max(uid) + 1 FROM messages m WHERE m.box = hits_ranked.box))"
+
 ARGUMENTS = """
     SELECT item_id AS query_id, 1 AS arg_no,
            ['header', 'header_address', 'header_compress_lwsp'][CAST(item_id % 3 + 1 AS BIGINT)] AS kind,
@@ -368,9 +371,7 @@ def statements(c) -> dict[str, str]:
         "search_topk": _with(["weighted"], _top(str(c.TOP)), {"hits": _hits(c.VALUE, "'body'")}),
         "search_capped": _with(
             ["weighted"],
-            _top("least(10000, (SELECT max(uid) + 1 FROM messages m WHERE m.box = hits_ranked.box))").replace(
-                "FROM hits)", "FROM hits) AS hits_ranked"
-            ),
+            _top(CAP).replace("FROM hits)", "FROM hits) AS hits_ranked"),
             {"hits": _hits(c.VALUE, DEFAULTS)},
         ),
         "hits_by_box": _with(
@@ -383,8 +384,9 @@ def statements(c) -> dict[str, str]:
         ),
         "uid_ranges": _with(["messages"], RANGES, {"hits": "SELECT box, uid FROM messages WHERE contains(lower(body), 'ertion')"}),
         "search_multi_box": _with(["weighted"], _ranked(), {"hits": _hits(c.VALUE, DEFAULTS, "and")}),
-        "search_batch": _with(["weighted"], _top(str(c.TOP), "query_id, box"), _batch(DEFAULTS, "or")),
-        "search_batch_body_and": _with(["weighted"], _top(str(c.TOP), "query_id, box"), _batch("'body'", "and")),
+        "search_batch": _with(["weighted"], _top(CAP, "query_id, box").replace("FROM hits)", "FROM hits) AS hits_ranked"), _batch(DEFAULTS, "or")),
+        "search_batch_top": _with(["weighted"], _top(str(c.TOP), "query_id, box"), _batch(DEFAULTS, "or")),
+        "search_batch_body_and": _with(["weighted"], _ranked("query_id, box"), _batch("'body'", "and")),
     }
     found |= {
         "assemble_chunks": found["assemble_documents"],
@@ -455,6 +457,6 @@ def statements(c) -> dict[str, str]:
     )
     by_argument = _batch("SELECT field FROM arguments a WHERE a.query_id = q.query_id AND field IS NOT NULL", "and")
     found["search_batch_arguments"] = _with(
-        ["weighted"], _top(str(c.TOP), "query_id, box"), {"arguments": ARGUMENTS, **by_argument}
+        ["weighted"], _ranked("query_id, box"), {"arguments": ARGUMENTS, **by_argument}
     )
     return found
