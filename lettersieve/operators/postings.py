@@ -6,11 +6,13 @@ field_stats(box, field, n_docs, total_len, max_uid)  documents having words in t
 keys(box, uid)                                       all documents
 words(field, term)                                   the distinct words of all boxes
 boxes(box, n_docs, max_uid)                          one row per box
+forward(box, uid, field, field_len, counts)          the words of each document, by place (stored indexes)
 
 ``max_uid`` bounds the uids from above and never falls, also when documents go.
 
 Stored postings and dictionaries have a column ``term_bucket``, a hash of the word, that
-names the folder a row is in.
+names the folder a row is in. The forward table is in folders by ``place``, a hash of the box and a run of
+2**PLACE_BITS uids, and sorted by key: the words of some documents are read without the rest.
 """
 
 from __future__ import annotations
@@ -23,6 +25,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lettersieve.functions import text
+from lettersieve.operators import slices
+from lettersieve.sources.shared import stored
+
+
+PLACE_BITS = 10
+
+
+@dataclass(frozen=True)
+class ForwardPart:
+    """The forward table of the part that run ``number`` wrote, and its number of places."""
+
+    table: DataFrame
+    places: int
+    number: int = 0
 
 
 @dataclass(frozen=True)
@@ -34,12 +50,57 @@ class Index:
     words: DataFrame
     boxes: DataFrame
     term_buckets: int | None = None  # None: not stored by term bucket
+    forward: tuple[ForwardPart, ...] = ()
+    # (box, uid, number): the parts of runs before ``number`` have lost the document.
+    removed: DataFrame | None = None
 
 
 def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def place_of(places: int) -> Column:
+    return F.pmod(F.xxhash64("box", F.shiftright(F.col("uid"), PLACE_BITS)), F.lit(places)).cast("int")
+
+
+def forward_of(lists: DataFrame, keys: DataFrame) -> DataFrame:
+    """(box, uid, field, field_len, counts): the words of each document, and one row without field for it itself."""
+    empty = "array<struct<term: string, tf: bigint>>"
+    marks = keys.select(
+        "box",
+        "uid",
+        F.lit(None).cast("string").alias("field"),
+        F.lit(0).cast("bigint").alias("field_len"),
+        F.array().cast(empty).alias("counts"),
+    )
+    return lists.select("box", "uid", "field", "field_len", F.coalesce("counts", F.array().cast(empty)).alias("counts")).unionByName(marks)
+
+
+def lists_at(index: Index, keys: DataFrame) -> DataFrame:
+    """The forward rows of some (box, uid), of the part that has each now; only their places are read."""
+    small = slices.is_small(keys)
+    found = []
+    for part in index.forward:
+        # There are at most as many places as the part has folders.
+        places = [row[0] for row in keys.select(place_of(part.places)).distinct().collect()]
+        here = part.table.filter(F.col("place").isin(*places)) if places else part.table.filter(F.lit(False))
+        wanted = F.broadcast(keys) if small else keys
+        rows = here.drop("place").join(wanted, ["box", "uid"], "left_semi")
+        found.append(rows.withColumn("number", F.lit(part.number).cast("bigint")))
+    rows = reduce(DataFrame.unionByName, found)
+    return live(rows, index.removed, "number").drop("number")
+
+
+def live(rows: DataFrame, removed: DataFrame | None, number: str) -> DataFrame:
+    """Rows (box, uid, .., ``number`` of their part) without those that a later run has removed."""
+    if removed is None:
+        return rows
+    gone = removed.select(F.col("box").alias("_box"), F.col("uid").alias("_uid"), F.col("number").alias("_by"))
+    gone = F.broadcast(gone) if slices.is_small(gone) else gone
+    lost = (F.col("box") == F.col("_box")) & (F.col("uid") == F.col("_uid")) & (F.col(number) < F.col("_by"))
+    return rows.join(gone, lost, "left_anti")
+
+
 def word_lists(documents: DataFrame, key: Sequence[str] = ("box", "uid")) -> DataFrame:
     """(key, field, field_len, counts, n_terms): one narrow pass over the texts, no shuffle."""
     return (
@@ -120,25 +181,35 @@ class Losses:
 def losses(index: Index, touched: DataFrame) -> Losses:
     """What ``index`` loses by new versions or removals of the (box, uid) in ``touched``.
 
-    Only keys that the index has count. The words of lost documents are read from their
-    postings, so the statistics are exact.
+    Only keys that the index has count. The words of lost documents are read from the forward
+    table, at the places of the touched keys; an index without one is searched for them.
+    Statistics are exact in both ways.
     """
-    gone = index.keys.join(touched.select("box", "uid").distinct(), ["box", "uid"], "left_semi")
-    lost = index.postings.join(gone, ["box", "uid"], "left_semi")
-    buckets = [c for c in lost.columns if c == "term_bucket"]
-    lengths = lost.groupBy("box", "field", "uid").agg(F.max("field_len").alias("field_len"))
-    return Losses(
-        gone,
-        lost.groupBy("box", "field", "term", *buckets).agg(F.count("*").alias("df")),
-        lengths.groupBy("box", "field").agg(F.count("*").alias("n_docs"), F.sum("field_len").alias("total_len")),
-    )
+    touched = touched.select("box", "uid").distinct()
+    if index.forward:
+        rows = stored(lists_at(index, stored(touched, "touched")), "lost-lists")
+        gone = rows.filter("field is null").select("box", "uid")
+        words = rows.select("box", "field", F.explode("counts").alias("entry")).select("box", "field", "entry.term")
+        counted = words.groupBy("box", "field", "term").agg(F.count("*").alias("df"))
+        if index.term_buckets:
+            counted = counted.withColumn("term_bucket", term_bucket(F.col("term"), index.term_buckets))
+        lengths = rows.filter("field is not null and field_len > 0")
+    else:
+        gone = index.keys.join(touched, ["box", "uid"], "left_semi")
+        lost = index.postings.join(gone, ["box", "uid"], "left_semi")
+        buckets = [c for c in lost.columns if c == "term_bucket"]
+        counted = lost.groupBy("box", "field", "term", *buckets).agg(F.count("*").alias("df"))
+        lengths = lost.groupBy("box", "field", "uid").agg(F.max("field_len").alias("field_len"))
+    sums = lengths.groupBy("box", "field").agg(F.count("*").alias("n_docs"), F.sum("field_len").alias("total_len"))
+    return Losses(gone, counted, sums)
 
 
 def without(index: Index, lost: Losses) -> Index:
     """``index`` after ``lost``: no row of a lost document, and exact statistics.
 
-    Highest uids stay as they are: they are upper bounds.
+    Highest uids stay as they are: they are upper bounds. The keys are broadcast if they are checked to be few.
     """
+    gone = F.broadcast(lost.keys) if slices.is_small(lost.keys) else lost.keys
     dictionary = index.dictionary.unionByName(lost.dictionary.withColumn("df", -F.col("df")))
     stats = index.field_stats.unionByName(
         lost.field_stats.select(
@@ -152,11 +223,13 @@ def without(index: Index, lost: Losses) -> Index:
     fewer = lost.keys.groupBy("box").agg((-F.count("*")).alias("n_docs"), F.lit(0).cast("bigint").alias("max_uid"))
     return replace(
         index,
-        postings=index.postings.join(lost.keys, ["box", "uid"], "left_anti"),
+        postings=index.postings.join(gone, ["box", "uid"], "left_anti"),
         dictionary=_summed_dictionary(dictionary),
         field_stats=_summed_stats(stats),
-        keys=index.keys.join(lost.keys, ["box", "uid"], "left_anti"),
+        keys=index.keys.join(gone, ["box", "uid"], "left_anti"),
         boxes=_summed_boxes(index.boxes.unionByName(fewer)),
+        forward=(),
+        removed=None,
     )
 
 
@@ -207,6 +280,52 @@ def merge_indexes(parts: Sequence[Index]) -> Index:
     )
 
 
+def united(parts: Sequence[tuple[int, Index]], lost: Sequence[tuple[int, Losses]], net: bool = True) -> Index:
+    """One index of the parts that runs have written, and of what later runs took from earlier ones.
+
+    All removed keys are one table with the last run that removed each, so however many runs
+    there were, rows meet it in one join. ``net=False`` leaves the statistics as the parts have them, so that
+    they can be written with the losses beside them.
+    """
+    removed = None
+    if lost:
+        keys = [x.keys.select("box", "uid", F.lit(number).cast("bigint").alias("number")) for number, x in lost]
+        removed = stored(reduce(DataFrame.unionByName, keys).groupBy("box", "uid").agg(F.max("number").alias("number")), "removed")
+    buckets = {part.term_buckets for _, part in parts}
+    one = buckets.pop() if len(buckets) == 1 else None
+
+    def union(name: str, more: Sequence[DataFrame] = ()) -> DataFrame:
+        tables = [*[getattr(part, name) for _, part in parts], *more]
+        return reduce(DataFrame.unionByName, tables if one else [t.drop("term_bucket") for t in tables])
+
+    def living(name: str) -> DataFrame:
+        tables = [getattr(p, name).withColumn("_part", F.lit(n).cast("bigint")) for n, p in parts]
+        rows = reduce(DataFrame.unionByName, tables if one else [t.drop("term_bucket") for t in tables])
+        return live(rows, removed, "_part").drop("_part")
+
+    taken = [x for _, x in lost] if net else []
+    none = F.lit(0).cast("bigint")
+    fewer_words = [x.dictionary.withColumn("df", -F.col("df")) for x in taken]
+    fewer_fields = [
+        x.field_stats.select(
+            "box", "field", (-F.col("n_docs")).alias("n_docs"), (-F.col("total_len")).alias("total_len"), none.alias("max_uid")
+        )
+        for x in taken
+    ]
+    fewer_docs = [x.keys.groupBy("box").agg((-F.count("*")).alias("n_docs")).withColumn("max_uid", none) for x in taken]
+    return Index(
+        postings=living("postings"),
+        dictionary=_summed_dictionary(union("dictionary", fewer_words)),
+        field_stats=_summed_stats(union("field_stats", fewer_fields)),
+        keys=living("keys"),
+        words=union("words").distinct(),
+        boxes=_summed_boxes(union("boxes", fewer_docs)),
+        term_buckets=one,
+        forward=tuple(replace(f, number=n) for n, p in parts for f in p.forward),
+        removed=removed,
+    )
+
+
 def updated(index: Index, part: Index, touched: DataFrame) -> Index:
     """``index`` after a run: the keys in ``touched`` go, the documents of ``part`` come.
 

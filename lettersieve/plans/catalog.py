@@ -253,6 +253,25 @@ def search_after_updates(spark, sf_dir):
     return matching.search(index, UPDATED_VALUE, ["subject", "body"])
 
 
+@query
+def search_after_many_runs(spark, sf_dir):
+    """As ``search_after_updates``, by a store: four runs over the messages and one that removes and replaces."""
+    everything = tables.message_documents(spark, sf_dir)
+    store = index_store.create(spark, shared.new_folder(spark, "index-runs"))
+    for number in range(4):
+        store = index_store.run(store, everything.filter(F.col("uid") % 4 == number), most_parts=2)
+    documents_ = shared.stored(apply_ops(spark, sf_dir).select("box", "uid", _action_fields().alias("fields")))
+    store = index_store.run(store, documents_, tables.expunges(spark, sf_dir), most_parts=2)
+    return matching.search(store.index, UPDATED_VALUE, ["subject", "body"])
+
+
+@query
+def expunged_words(spark, sf_dir):
+    """What the dictionary loses by the flagged messages, from the forward table."""
+    lost = postings.losses(open_index(spark, sf_dir), tables.expunges(spark, sf_dir))
+    return lost.dictionary.drop("term_bucket")
+
+
 @query
 def search_after_stream(spark, sf_dir):
     """Search in an index that follows a stream of actions, which come in three batches out of order."""

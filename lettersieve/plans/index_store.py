@@ -4,23 +4,32 @@ Every run writes a part (the tables of ``index_tables``) with the documents it i
 the earlier parts lose by it, and the checkpoints. Then it appends one row to ``runs``; a
 run without that row never happened, so a run that failed can simply be run again. Opening
 reads ``runs`` and unites the parts that are still live.
+
+A run finds what it takes from earlier parts in their forward tables, so it reads the places of
+its own keys and no postings. Beyond ``MOST_PARTS`` live parts, the last ones are merged into one: from the newest
+back, as long as a part is not larger than ``RATIO`` times all that came after it. So
+parts grow with the logarithm of the documents, and a document is written as often.
 """
 
 from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from lettersieve.operators import upkeep
-from lettersieve.operators.postings import Index, Losses, losses, merge_indexes, without
+from lettersieve.operators.postings import Index, Losses, losses, united
 from lettersieve.sources import index_tables
 
 CHECKPOINTS = "box string, last_indexed_uid bigint"
-# number: order of the runs. part: its folder. whole: the part stands for all earlier ones.
-RUNS = "number bigint, part string, term_buckets int, whole boolean"
+# number: order of the runs. part: its folder, which stands for the runs from ``first`` on. n_rows: its documents
+# and lost keys. n_lost: its lost keys.
+RUNS = "number bigint, first bigint, part string, term_buckets int, n_rows bigint, n_lost bigint"
+MOST_PARTS = 8
+RATIO = 2
 LOSSES = {
     "lost_keys": "box string, uid bigint",
     "lost_dictionary": "box string, field string, term string, term_bucket int, df bigint",
@@ -34,6 +43,7 @@ class Store:
     number: int
     index: Index | None
     checkpoints: DataFrame
+    parts: tuple[Row, ...] = ()
 
 
 def create(spark: SparkSession, root: str) -> Store:
@@ -44,23 +54,31 @@ def create(spark: SparkSession, root: str) -> Store:
 
 def open_store(spark: SparkSession, root: str) -> Store:
     """The index and checkpoints after the last run that was completed."""
-    runs = spark.read.schema(RUNS).parquet(f"{root}/runs").orderBy("number").collect()
-    if not runs:
+    parts = live_parts(spark.read.schema(RUNS).parquet(f"{root}/runs").collect())
+    if not parts:
         return Store(root, 0, None, spark.createDataFrame([], CHECKPOINTS))
-    first = max((i for i, run in enumerate(runs) if run["whole"]), default=0)
-    index: Index | None = None
-    for run in runs[first:]:
-        folder = f"{root}/{run['part']}"
-        part = index_tables.read_index(spark, folder, run["term_buckets"])
-        index = part if index is None else merge_indexes([_after(index, spark, folder), part])
-    last = runs[-1]
-    return Store(root, last["number"], index, spark.read.schema(CHECKPOINTS).parquet(f"{root}/{last['part']}/checkpoints"))
+    marks = spark.read.schema(CHECKPOINTS).parquet(f"{root}/{parts[-1]['part']}/checkpoints")
+    return Store(root, parts[-1]["number"], _united(spark, root, parts), marks, tuple(parts))
+
+
+def live_parts(runs: list[Row]) -> list[Row]:
+    """The parts that together stand for all runs: from the last one back, each as far as any reaches."""
+    found: list[Row] = []
+    number = max((run["number"] for run in runs), default=0)
+    while number > 0:
+        found.append(min((run for run in runs if run["number"] == number), key=lambda run: run["first"]))
+        number = found[-1]["first"] - 1
+    return found[::-1]
+
+
+def _united(spark: SparkSession, root: str, parts: list[Row], net: bool = True) -> Index:
+    read = [(run["number"], index_tables.read_index(spark, f"{root}/{run['part']}", run["term_buckets"])) for run in parts]
+    lost = [(run["number"], _lost(spark, f"{root}/{run['part']}")) for run in parts if run["n_lost"]]
+    return united(read, lost, net) if len(read) > 1 or lost else read[0][1]
 
 
-def _after(index: Index, spark: SparkSession, folder: str) -> Index:
-    keys, dictionary, stats = (spark.read.schema(s).parquet(f"{folder}/{name}") for name, s in LOSSES.items())
-    # Most runs only add: then the earlier parts are read as they are.
-    return index if keys.isEmpty() else without(index, Losses(keys, dictionary, stats))
+def _lost(spark: SparkSession, folder: str) -> Losses:
+    return Losses(*[spark.read.schema(s).parquet(f"{folder}/{name}") for name, s in LOSSES.items()])
 
 
 def run(
@@ -68,6 +86,7 @@ def run(
     documents: DataFrame,
     removed: DataFrame | None = None,
     checkpoints: DataFrame | None = None,
+    most_parts: int = MOST_PARTS,
 ) -> Store:
     """The store after indexing ``documents`` (box, uid, fields) and removing some (box, uid).
 
@@ -80,13 +99,47 @@ def run(
     index_tables.write_index(documents, path, store.index.term_buckets if store.index else None)
     part = index_tables.read_index(spark, path)
     touched = part.keys if removed is None else part.keys.unionByName(removed.select("box", "uid"))
+    n_lost = 0
     if store.index is not None:
         lost = losses(store.index, touched)
         for name, table in zip(LOSSES, (lost.keys, lost.dictionary, lost.field_stats), strict=True):
             table.write.parquet(f"{path}/{name}")
+        n_lost = _lost(spark, path).keys.count()
     marks = store.checkpoints if checkpoints is None else checkpoints
     upkeep.advance_checkpoints(marks, part.keys).write.parquet(f"{path}/checkpoints")
-    return _commit(store, spark, folder, part.term_buckets, store.index is None)
+    number = store.number + 1
+    row = (number, number, folder, part.term_buckets, part.keys.count() + n_lost, n_lost)
+    return merge_last(_commit(store, spark, row), most_parts)
+
+
+def merge_last(store: Store, most_parts: int = MOST_PARTS) -> Store:
+    """The store with its last parts in one, if there are more than ``most_parts``."""
+    parts = store.parts
+    if len(parts) <= most_parts:
+        return store
+    at, total = len(parts) - 1, parts[-1]["n_rows"]
+    while at > 0 and parts[at - 1]["n_rows"] <= RATIO * total:
+        at -= 1
+        total += parts[at]["n_rows"]
+    at = min(at, len(parts) - 2)
+    if at == 0:
+        return merge(store)
+    spark = store.checkpoints.sparkSession
+    last = list(parts[at:])
+    folder = f"part-{store.number}-{uuid.uuid4().hex}"
+    path = f"{store.root}/{folder}"
+    # What these parts took from earlier ones stays beside them; what they took from each other too, so that
+    # their statistics can stay as they are and the sums over all parts are exact.
+    index_tables.write_tables(_united(spark, store.root, last, net=False), path)
+    lost = [_lost(spark, f"{store.root}/{run['part']}") for run in last if run["n_lost"]]
+    for name, schema in LOSSES.items():
+        tables = [getattr(x, name.removeprefix("lost_")) for x in lost]
+        none = spark.createDataFrame([], schema)
+        reduce(DataFrame.unionByName, tables, none).write.parquet(f"{path}/{name}")
+    store.checkpoints.write.parquet(f"{path}/checkpoints")
+    n_lost = sum(run["n_lost"] for run in last)
+    buckets = index_tables.read_layout(spark, path)
+    return _commit(store, spark, (store.number, last[0]["first"], folder, buckets, total, n_lost))
 
 
 def index_new(store: Store, documents: DataFrame, checkpoints: DataFrame | None = None) -> Store:
@@ -111,14 +164,14 @@ def rescan(store: Store, documents: DataFrame) -> Store:
 def merge(store: Store) -> Store:
     """The same index in one part, so that searches read one set of tables."""
     spark = store.checkpoints.sparkSession
-    folder = f"part-{store.number + 1}-{uuid.uuid4().hex}"
+    folder = f"part-{store.number}-{uuid.uuid4().hex}"
     path = f"{store.root}/{folder}"
     index_tables.write_tables(store.index, path)
     store.checkpoints.write.parquet(f"{path}/checkpoints")
-    return _commit(store, spark, folder, index_tables.read_layout(spark, path), True)
+    n_rows = spark.read.parquet(f"{path}/keys").count()
+    return _commit(store, spark, (store.number, 1, folder, index_tables.read_layout(spark, path), n_rows, 0))
 
 
-def _commit(store: Store, spark: SparkSession, folder: str, term_buckets: int, whole: bool) -> Store:
-    row = spark.createDataFrame([(store.number + 1, folder, term_buckets, whole)], RUNS)
-    row.coalesce(1).write.mode("append").parquet(f"{store.root}/runs")
+def _commit(store: Store, spark: SparkSession, row: tuple) -> Store:
+    spark.createDataFrame([row], RUNS).coalesce(1).write.mode("append").parquet(f"{store.root}/runs")
     return open_store(spark, store.root)

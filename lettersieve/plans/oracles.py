@@ -449,6 +449,12 @@ def statements(c) -> dict[str, str]:
             {"hits": body_and},
         ),
     }
+    found["search_after_many_runs"] = found["search_after_updates"]
+    found["expunged_words"] = _with(
+        ["postings", "expunges"],
+        """SELECT box, field, term, CAST(count(*) AS BIGINT) AS df FROM postings
+           WHERE (box, uid) IN (SELECT (box, uid) FROM expunges) GROUP BY box, field, term""",
+    )
     found["split_arguments"] = _with(
         [],
         """SELECT query_id, arg_no, kind, coalesce(header, '') AS header, coalesce(field, '') AS field,

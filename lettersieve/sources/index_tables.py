@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,9 @@ SCHEMAS = {
     "words": "field string, term string, term_bucket int",
     "boxes": "box string, n_docs bigint, max_uid bigint",
 }
+FORWARD = "box string, uid bigint, field string, field_len bigint, counts array<struct<term: string, tf: bigint>>, place int"
+POSTINGS_OF_PLACE = 2_000_000
+MAX_PLACES = 4096
 
 
 def write_index(documents: DataFrame, root: str, term_buckets: int | None = None) -> None:
@@ -51,6 +55,7 @@ def write_lists(lists: DataFrame, keys: DataFrame, root: str, term_buckets: int
     words = P.words_of(spark.read.schema(SCHEMAS["dictionary"]).parquet(f"{root}/dictionary").drop("term_bucket"))
     _write_by_term(words, f"{root}/words", term_buckets, n_postings, [], ["term_bucket", "term"])
     P.field_stats_of(lists).write.parquet(f"{root}/field_stats")
+    _write_forward(P.forward_of(lists, keys), root, n_postings)
     keys.write.parquet(f"{root}/keys")
     P.boxes_of(spark.read.schema(SCHEMAS["keys"]).parquet(f"{root}/keys")).write.parquet(f"{root}/boxes")
 
@@ -67,6 +72,27 @@ def write_tables(index: P.Index, root: str) -> None:
     _write_by_term(words, f"{root}/words", term_buckets, n_postings, [], ["term_bucket", "term"])
     for name in ("field_stats", "keys", "boxes"):
         getattr(index, name).write.parquet(f"{root}/{name}")
+    if index.forward:
+        rows = [f.table.drop("place").withColumn("_part", F.lit(f.number).cast("bigint")) for f in index.forward]
+        forward = P.live(reduce(DataFrame.unionByName, rows), index.removed, "_part").drop("_part")
+        _write_forward(forward, root, n_postings)
+
+
+def places_for(n_postings: int) -> int:
+    """Number of folders of the forward table: some million postings each, within limits."""
+    return max(8, min(MAX_PLACES, 1 << (n_postings // POSTINGS_OF_PLACE).bit_length()))
+
+
+def _write_forward(forward: DataFrame, root: str, n_postings: int) -> None:
+    places = places_for(n_postings)
+    forward.sparkSession.range(1).select(F.lit(places).alias("places")).write.parquet(f"{root}/forward_layout")
+    (
+        forward.withColumn("place", P.place_of(places))
+        .repartition(places, "place")
+        .sortWithinPartitions("place", "box", "uid")
+        .write.partitionBy("place")
+        .parquet(f"{root}/forward")
+    )
 
 
 def layout_for(n_postings: int) -> int:
@@ -92,7 +118,17 @@ def read_layout(spark: SparkSession, root: str) -> int:
     return spark.read.parquet(f"{root}/layout").first().term_buckets
 
 
+@cache
+def _places(application: str, root: str) -> int:
+    return SparkSession.active().read.parquet(f"{root}/forward_layout").first().places
+
+
+def read_places(spark: SparkSession, root: str) -> int:
+    return _places(spark.sparkContext.applicationId, root)
+
+
 def read_index(spark: SparkSession, root: str, term_buckets: int | None = None) -> P.Index:
     """The stored index; ``term_buckets`` spares reading the layout if it is known."""
     found = {name: spark.read.schema(schema).parquet(f"{root}/{name}") for name, schema in SCHEMAS.items()}
-    return P.Index(**found, term_buckets=term_buckets or read_layout(spark, root))
+    forward = P.ForwardPart(spark.read.schema(FORWARD).parquet(f"{root}/forward"), read_places(spark, root))
+    return P.Index(**found, term_buckets=term_buckets or read_layout(spark, root), forward=(forward,))

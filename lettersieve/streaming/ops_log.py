@@ -59,7 +59,29 @@ def current_documents(spark: SparkSession, log: str, schema) -> DataFrame:
     return upkeep.apply_ops(read_log(spark, log, schema))
 
 
-VERSIONS = "version bigint, upto bigint, folder string"
+# Every version names the folder of each bucket of keys; buckets that a batch did not touch keep theirs.
+VERSIONS = "version bigint, upto bigint, bucket int, folder string"
+BUCKETS = 64
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("box", "uid"), F.lit(BUCKETS)).cast("int")
+
+
+def _newest(spark: SparkSession, root: str) -> tuple[dict[int, str], int, int]:
+    """(folder of each bucket, last batch, version): at most ``BUCKETS`` rows come to the driver."""
+    try:
+        versions = spark.read.schema(VERSIONS).parquet(f"{root}/versions")
+        rows = versions.filter(F.col("version") == (versions.agg(F.max("version")).first()[0] or 0)).collect()
+    except AnalysisException:
+        rows = []
+    folders = {row["bucket"]: row["folder"] for row in rows if row["folder"]}
+    return folders, max((row["upto"] for row in rows), default=-1), max((row["version"] for row in rows), default=0)
+
+
+def _read(spark: SparkSession, root: str, folders, schema) -> DataFrame:
+    paths = [f"{root}/{folder}" for folder in sorted(folders)]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def compacted(spark: SparkSession, root: str, schema) -> tuple[DataFrame, int, int]:
@@ -67,29 +89,29 @@ def compacted(spark: SparkSession, root: str, schema) -> tuple[DataFrame, int, i
 
     Deletes are kept: a late action that is older than a delete must not bring a key back.
     """
-    try:
-        newest = spark.read.schema(VERSIONS).parquet(f"{root}/versions").orderBy(F.desc("version")).first()
-    except AnalysisException:
-        newest = None
-    if newest is None:
-        return spark.createDataFrame([], schema), -1, 0
-    return spark.read.schema(schema).parquet(f"{root}/{newest['folder']}"), newest["upto"], newest["version"]
+    folders, upto, version = _newest(spark, root)
+    return _read(spark, root, folders.values(), schema), upto, version
 
 
 def compact(spark: SparkSession, root: str, batch: DataFrame, batch_id: int, schema) -> DataFrame:
     """Folds a batch of the log into the last actions and returns what it changed.
 
+    Keys are dealt to buckets by hash, and only the buckets that the batch touches are read and written.
     Changes are the batch's last actions that are the last of their key. The batch's order
     and number of runs do not matter: an action that is in the table already changes it to
-    itself. A version counts once its row is written, after its data.
+    itself. A version counts once its rows are written, after its data.
     """
-    known, upto, version = compacted(spark, root, schema)
+    folders, upto, version = _newest(spark, root)
     last = upkeep.last_ops(batch.select(schema.names))
+    touched = [row[0] for row in last.select(_bucket().alias("bucket")).distinct().collect()]
+    known = _read(spark, root, [folders[b] for b in touched if b in folders], schema)
     folder = f"last-{version + 1}-{uuid.uuid4().hex}"
-    upkeep.last_ops(known.unionByName(last)).write.parquet(f"{root}/{folder}")
-    row = spark.createDataFrame([(version + 1, max(upto, batch_id), folder)], VERSIONS)
-    row.coalesce(1).write.mode("append").parquet(f"{root}/versions")
-    after = spark.read.schema(schema).parquet(f"{root}/{folder}")
+    merged = upkeep.last_ops(known.unionByName(last)).withColumn("bucket", _bucket())
+    merged.repartition("bucket").write.partitionBy("bucket").parquet(f"{root}/{folder}")
+    folders |= {b: f"{folder}/bucket={b}" for b in touched}
+    rows = [(version + 1, max(upto, batch_id), b, folders.get(b)) for b in range(BUCKETS)]
+    spark.createDataFrame(rows, VERSIONS).coalesce(1).write.mode("append").parquet(f"{root}/versions")
+    after = _read(spark, root, [folders[b] for b in touched], schema)
     return after.join(last.select("box", "uid", "seq"), ["box", "uid", "seq"], "left_semi")
 
 

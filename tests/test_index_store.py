@@ -133,3 +133,63 @@ def test_index_follows_a_stream_of_late_and_repeated_actions(spark, tmp_path):
     assert_same(store.index, postings.index_of(frame(spark, want)))
     known, upto, version = ops_log.compacted(spark, f"{tmp_path}/compacted", schema)
     assert (upto, version, known.count()) == (2, 4, len(last))
+
+
+def scanned_rows(df):
+    """Rows that the scans of files have given in the last run of ``df``."""
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    found, waiting = 0, [leaves.apply(i) for i in range(leaves.size())]
+    while waiting:
+        leaf = waiting.pop()
+        if "QueryStage" in leaf.getClass().getSimpleName():
+            below = leaf.plan().collectLeaves()
+            waiting += [below.apply(i) for i in range(below.size())]
+        elif "FileSourceScan" in leaf.getClass().getSimpleName():
+            found += leaf.metrics().apply("numOutputRows").value()
+    return found
+
+
+def test_losses_read_only_the_places_of_their_keys(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    root = str(tmp_path / "index")
+    text = F.concat_ws(" ", F.lit("word"), (F.col("id") % 7).cast("string"))
+    docs = spark.range(40_000).select(
+        F.lit("b").alias("box"), F.col("id").alias("uid"), F.create_map(F.lit("body"), F.array(text)).alias("fields")
+    )
+    index_tables.write_index(docs, root)
+    index = index_tables.read_index(spark, root)
+    touched = spark.range(100).select(F.lit("b").alias("box"), (F.col("id") + 5000).alias("uid"))
+    read = postings.lists_at(index, touched)
+    assert len(read.collect()) == 200  # the document and its one field
+    assert scanned_rows(read) < 40_000
+    lost = postings.losses(index, touched)
+    assert {r.term: r.df for r in lost.dictionary.collect()}["word"] == 100 and lost.keys.count() == 100
+    assert lost.field_stats.first().n_docs == 100
+
+
+def test_parts_are_merged_and_stay_few(spark, tmp_path, start):
+    rng, root = random.Random(9), str(tmp_path / "store")
+    store, state = index_store.create(spark, root), {}
+    for number, size in enumerate((12, 3, 2, 4)):
+        new = make(rng, rng.sample([("big", u) for u in range(1, 15)], size))
+        gone = [("big", 1 + number)]
+        store = index_store.run(store, frame(spark, new), spark.createDataFrame(gone, "box string, uid bigint"), most_parts=2)
+        state = {k: v for k, v in (state | new).items() if k not in gone or k in new}
+        assert len(store.parts) <= 2
+    assert store.number == 4 and store.parts[0]["first"] == 1
+    assert_same(index_store.open_store(spark, root).index, postings.index_of(frame(spark, state)))
+
+
+def test_compaction_writes_the_touched_buckets_only(spark, tmp_path):
+    schema = spark.createDataFrame([], OPS).schema
+    root = str(tmp_path)
+    many = [("b", uid, uid, "index", "x") for uid in range(500)]
+    ops_log.compact(spark, root, spark.createDataFrame(many, OPS), 0, schema)
+    before, _, _ = ops_log._newest(spark, root)
+    ops_log.compact(spark, root, spark.createDataFrame([("b", 3, 900, "delete", "y")], OPS), 1, schema)
+    after, upto, version = ops_log._newest(spark, root)
+    assert (upto, version) == (1, 2) and sum(before[b] != after[b] for b in after) == 1
+    known = ops_log.compacted(spark, root, schema)[0]
+    assert known.count() == 500 and known.filter("op = 'delete'").first().uid == 3
