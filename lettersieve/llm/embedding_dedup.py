@@ -16,7 +16,7 @@ copies) is dealt out as pairs of blocks of ``BLOCK`` rows; blocks report counts
 edges of a spanning forest, never all pairs. A pair is counted in the first round that finds it.
 
 Defined results: null, empty or zero vectors and those with a null, infinite or NaN component
-link with nothing and are kept, each as its own component. Vectors of different lengths never
+link with nothing and are kept, each as its own component. Magnitudes do not matter, however large or small. Vectors of different lengths never
 link. A null id takes part in links; a group's name is its smallest id. Repeated rows are
 copies of each other. Nothing is dropped: recall below one comes from the projections only.
 """
@@ -117,7 +117,11 @@ def collisions(left: np.ndarray, right: np.ndarray, window: float) -> np.ndarray
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
-    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    """Vectors of length 1. The largest component is scaled first, so that no square over- or underflows."""
+    largest = np.abs(vectors).max(axis=1, keepdims=True)
+    # Two steps: the inverse of a subnormal number is infinite.
+    scaled = np.ldexp(vectors, -np.frexp(largest)[1])
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
 def _cells(projected: np.ndarray, plan: Plan, round_: int) -> np.ndarray:
@@ -289,7 +293,7 @@ def _counted(blocks: DataFrame, plan: Plan) -> DataFrame:
             out.extend(count(held))
         yield _links_batch(out)
 
-    spread = blocks.repartition(*_partitions(blocks), "task").sortWithinPartitions("task", "round", "cell")
+    spread = blocks.repartition(*_partitions(blocks), "task").sortWithinPartitions("task", "round", "cell", "first", "second")
     return spread.mapInArrow(run, "node bigint, links bigint, other bigint")
 
 
@@ -309,17 +313,18 @@ def near_links(
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of each row of ``vectors``."""
     named = vectors.select(F.col(vec_id).alias("vec_id"), F.col(vector).alias("vector"))
+    # Equal vectors are told by 128 bits of their components; each class of them then gets a number.
     rows = stored(
         named.withColumn("ok", valid("vector")).withColumn(
-            "node", F.when(F.col("ok"), F.xxhash64(F.to_json(F.struct("vector"))))
+            "name", F.when(F.col("ok"), F.md5(F.to_json(F.struct("vector"))))
         ),
         "vectors",
     )
     classes = stored(
         rows.filter("ok")
-        .groupBy("node", "vector")
-        .agg(F.count("*").alias("copies"), F.min("vec_id").alias("least"))
-        .select("node", "copies", "vector", "least"),
+        .groupBy("name")
+        .agg(F.count("*").alias("copies"), F.min("vec_id").alias("least"), F.any_value("vector").alias("vector"))
+        .select("name", F.monotonically_increasing_id().alias("node"), "copies", "vector", "least"),
         "vector-classes",
     )
     plan = plan_for(classes.count(), cosine, recall)
@@ -328,17 +333,17 @@ def near_links(
     roots = connected(edges)
     links = counted.groupBy("node").agg(F.sum("links").alias("links"))
     known = (
-        classes.select("node", "copies", "least")
+        classes.select("name", "node", "copies", "least")
         .join(roots, "node", "left")
         .join(links, "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
     )
     names = known.groupBy("root").agg(F.min("least").alias("component_id"))
     per_class = known.join(names, "root").select(
-        "node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), "component_id"
+        "name", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), "component_id"
     )
     component = F.when(F.col("ok"), F.col("component_id")).otherwise(F.col("vec_id"))
-    return rows.join(per_class, "node", "left").select(
+    return rows.join(per_class, "name", "left").select(
         "vec_id",
         F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"),
         component.alias("component_id"),

@@ -84,3 +84,13 @@ def test_odd_rows(spark):
     want += [(10, 4, 10, True), (11, 4, 10, False), (11, 4, 10, False), (12, 4, 10, False), (-1, 4, 10, False), (-1, 0, None, True)]
     assert found == sorted(want, key=str)
     assert near_links(vectors.limit(0)).collect() == []
+
+
+def test_magnitudes_do_not_matter(spark):
+    v = [0.3, -0.4, 0.5, 0.1]
+    rows = [(i, [x * scale for x in v]) for i, scale in enumerate((1.0, 2.0, 1e-200, 1e200, 1e-300, 1e300))]
+    rows += [(10, [1e-310, 0.0, 0.0, 0.0]), (11, [5.0, 0.0, 0.0, 0.0]), (12, [0.0, 0.0, 1e308, 1e308])]
+    found = {r["vec_id"]: r for r in embedding_dedup.near_links(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()}
+    assert [found[i]["n_links"] for i in range(6)] == [5] * 6 and {found[i]["component_id"] for i in range(6)} == {0}
+    assert found[10]["n_links"] == found[11]["n_links"] == 1 and found[11]["component_id"] == 10
+    assert found[12]["n_links"] == 0
