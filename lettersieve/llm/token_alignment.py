@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from itertools import chain, islice
 
@@ -52,7 +53,7 @@ ROWS = 10_000
 _MARK = "▁"
 # A space behind something that is no white space, unless it ends the text, begins a chunk.
 _CUT = regex.compile(rf"(?<=[^\s{_MARK}]) (?=.)", regex.S)
-_UNUSUAL = regex.compile(rf"[\s{_MARK}] | \Z")
+_UNUSUAL = re.compile(rf"[\s{_MARK}] | \Z")
 
 
 def default_model() -> str:
