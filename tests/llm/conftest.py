@@ -33,7 +33,7 @@ def clashing_docs(odd_docs):
     """The same rows with further columns named like the operators' own."""
     from pyspark.sql import functions as F
 
-    names = ("fp", "spans", "row", "kinds", "place", "language", "kept", "size", "cell", "e_n", "e_host", "copies", "rate")
+    names = ("fp", "spans", "row", "kinds", "place", "language", "kept", "size", "cell", "e_n", "e_host", "copies", "rate", "_time")
     return odd_docs.withColumns({name: F.lit(f"own {name}") for name in names})
 
 
