@@ -154,6 +154,11 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     names = marked.select(F.col(row).alias("_row"), F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     narrow = stored(with_fingerprints(names, "_text", drop=("_text",)), "fp-names")
     rooted = narrow.join(groups(narrow, "_id").select("fp", "root"), "fp")
+    return firsts_of_groups(marked, rooted, row, doc_id).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def firsts_of_groups(marked: DataFrame, rooted: DataFrame, row: str, doc_id: str) -> DataFrame:
+    """The rows of ``marked`` that come first in their group of ``rooted(_row, _id, root)``, one per group."""
     known = stored(
         rooted.groupBy("root", "_row", "_id").agg(F.count("*").alias("n")), "fp-roots"
     )
@@ -170,4 +175,4 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     if not again.isEmpty():
         repeats = marked.alias("l").join(again.alias("r"), same_row("l", "r", row, doc_id), "left_semi")
         kept = kept.unionByName(repeats.dropDuplicates([row, doc_id]))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept

@@ -1,6 +1,7 @@
 import __spark_entry__ as entry
 import corpus_pipeline
-from lettersieve.llm import language, mixing, packing, simhash
+from lettersieve.llm import language, mixing, packing
+from test_simhash_wide import plain_roots, plain_set
 
 
 def test_stages_follow_each_other(spark, sf_dir, tmp_path):
@@ -21,8 +22,11 @@ def test_stages_follow_each_other(spark, sf_dir, tmp_path):
             judged = {r["doc_id"] for r in language.digest(before).filter("kept").collect()}
             assert {r["doc_id"] for r in rows} == judged and len(rows) == len(judged)
         if name == "simhash_near_dedup":
-            firsts = {r["component_id"] for r in simhash.digest(before).collect()}
-            assert sorted(r["doc_id"] for r in rows) == sorted(firsts)
+            given_rows = sorted((r["doc_id"], r["text"]) for r in before.collect())
+            firsts = {given_rows[r][0] for r in plain_roots([plain_set(t) for _, t in given_rows])}
+            kept = {r["doc_id"] for r in rows}
+            assert firsts <= kept and len(kept) == len(rows)
+            assert len(given_rows) - len(kept) >= 0.9 * (len(given_rows) - len(firsts))
         if name in ("language_id", "simhash_near_dedup", "mixing"):
             assert all(r == old[r["doc_id"]] for r in rows)
         if name == "secret_scan":
