@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettersieve.llm import language, mixing, packing, secret_scan, simhash
+from lettersieve.llm import language, mixing, packing, secret_scan, simhash_wide
 from lettersieve.llm.common import table
 from lettersieve.sources.shared import stored
 
@@ -25,7 +25,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
-    return simhash.one_of_each(docs)
+    return simhash_wide.one_of_each(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
