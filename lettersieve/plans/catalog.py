@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettersieve.operators import documents, matching, postings, ranking, slices, upkeep
+from lettersieve.operators import documents, matching, postings, range_sets, ranking, slices, upkeep, word_lookup
 from lettersieve.operators.matching import HEADER_KINDS, Arg, Node
 from lettersieve.plans import index_run, index_store
 from lettersieve.plans.session_index import open_index
@@ -27,6 +27,7 @@ STREAM_VALUE = "click signup 7"
 ALLOWED_HEADERS = ("From", "Subject")
 RESIDUAL_VALUE = "en-list"
 EXACT_VALUE = "the of"
+RANGE_PATTERNS = ("*ertion*", "*th*")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -419,6 +420,26 @@ def search_fuzzy(spark, sf_dir):
     return matching.search_fuzzy(open_index(spark, sf_dir), "ertion", ["subject", "body"], 1)
 
 
+def _lookup(spark, index) -> word_lookup.Lookup:
+    root = shared.new_folder(spark, "lookup")
+    word_lookup.write_lookup(index.words, root)
+    return word_lookup.read_lookup(spark, root)
+
+
+@query
+def search_wildcard_grams(spark, sf_dir):
+    """As search_wildcard, with words found by their trigrams."""
+    index = open_index(spark, sf_dir)
+    return word_lookup.search_wildcard(index, _lookup(spark, index), "*Erti*", ["subject", "body"])
+
+
+@query
+def search_fuzzy_spellings(spark, sf_dir):
+    """As search_fuzzy at distance 2, with words found by shared shortened forms."""
+    index = open_index(spark, sf_dir)
+    return word_lookup.search_fuzzy(index, _lookup(spark, index), "ertion", ["subject", "body"], 2)
+
+
 # Ranking and results
 
 
@@ -451,6 +472,21 @@ def uid_ranges(spark, sf_dir):
     return ranking.uid_ranges(matching.search_wildcard(open_index(spark, sf_dir), "*ertion*", ["body"]))
 
 
+@query
+def range_algebra(spark, sf_dir):
+    """Union, intersection and difference of the ranges of two searches."""
+    index = open_index(spark, sf_dir)
+    left, right = (
+        shared.stored(ranking.uid_ranges(matching.search_wildcard(index, pattern, ["body"])), "ranges")
+        for pattern in RANGE_PATTERNS
+    )
+    found = [
+        range_sets.combined(left, right, name).select(F.lit(name).alias("operation"), "box", "uid_lo", "uid_hi")
+        for name in range_sets.OPERATIONS
+    ]
+    return found[0].union(found[1]).union(found[2])
+
+
 @query
 def search_multi_box(spark, sf_dir):
     """One text search over all boxes; statistics and the best hits are per box."""

@@ -364,6 +364,24 @@ def statements(c) -> dict[str, str]:
         ),
         "search_wildcard": _with(["postings"], _matches("term LIKE '%erti%'")),
         "search_fuzzy": _with(["postings"], _matches("levenshtein(term, 'ertion') <= 1")),
+        "search_wildcard_grams": _with(["postings"], _matches("term LIKE '%erti%'")),
+        # The SQL engine's distance counts bytes. No character beyond ASCII is in the asked word, so each may stand as '#'.
+        "search_fuzzy_spellings": _with(
+            ["postings"], _matches(r"levenshtein(regexp_replace(term, '[^\x00-\x7F]', '#', 'g'), 'ertion') <= 2")
+        ),
+        "range_algebra": _with(
+            ["postings"],
+            f"""SELECT operation, box, min(uid) AS uid_lo, max(uid) AS uid_hi
+                FROM (SELECT operation, box, uid, uid - row_number() OVER (PARTITION BY operation, box ORDER BY uid) AS island
+                      FROM (SELECT 'union' AS operation, * FROM (SELECT * FROM l UNION SELECT * FROM r)
+                            UNION ALL SELECT 'intersection', * FROM (SELECT * FROM l INTERSECT SELECT * FROM r)
+                            UNION ALL SELECT 'difference', * FROM (SELECT * FROM l EXCEPT SELECT * FROM r)))
+                GROUP BY operation, box, island""",
+            {
+                name: f"SELECT DISTINCT box, uid FROM postings WHERE field = 'body' AND term LIKE '{pattern.replace('*', '%')}'"
+                for name, pattern in zip("lr", c.RANGE_PATTERNS)
+            },
+        ),
         "score_hits": _with(
             ["weighted"],
             f"SELECT box, uid, field, round(score, 6) AS score FROM ({_scored(c.VALUE, DEFAULTS, 'or')})",
