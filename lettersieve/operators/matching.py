@@ -290,6 +290,15 @@ def residual_split(
     return rest.unionByName(found).distinct() if operator == "or" else rest.join(found, KEY, "left_semi")
 
 
+def residual_of_hits(hits: DataFrame, texts_of: Callable[[DataFrame], DataFrame], residual: Column) -> DataFrame:
+    """(box, uid) of the hits whose message passes the residual condition too.
+
+    As ``residual_split`` with ``and``, but only the messages of hits are read and tested: ``texts_of`` gives the
+    messages of some (box, uid).
+    """
+    return texts_of(hits.select(*KEY)).filter(residual).select(*KEY)
+
+
 @dataclass(frozen=True)
 class Node:
     """A tree of conditions: ``op`` is and, or, not, or the name of a condition."""

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lettersieve.operators import slices
+from lettersieve.sources.shared import stored
 
 KEY = ["box", "uid"]
+# Slices of an audit hold up to 1,024 documents: small enough that a change costs few comparisons.
+AUDIT_BITS = 10
 
 
 def last_ops(ops: DataFrame) -> DataFrame:
@@ -90,3 +93,43 @@ def index_gaps(messages: DataFrame, index_keys: DataFrame) -> DataFrame:
             F.when(F.col("in_index").isNull(), "missing_from_index").otherwise("missing_from_source").alias("kind"),
         )
     )
+
+
+def document_hash(columns: Sequence[str]) -> Column:
+    """128 bits of a document's number and named columns; null and empty values differ."""
+    return F.md5(F.to_json(F.struct("uid", *columns), {"ignoreNullFields": "false"}))
+
+
+def content_audit(source: DataFrame, indexed: DataFrame, columns: Sequence[str], bits: int = AUDIT_BITS) -> DataFrame:
+    """(box, uid, kind) of documents that the index lacks (missing), has in other words (changed) or alone (stray).
+
+    Both sides are rolled up to one row per box and slice of 2^bits uids: the number of documents and the sums
+    of both halves of their hashes. Only documents of slices that differ are then compared by key, so equal
+    boxes cost one aggregate of two narrow columns and no join of documents.
+    """
+    pair = [
+        stored(side.select(*KEY, document_hash(columns).alias("hash"), F.shiftright("uid", bits).alias("slice")), "audit")
+        for side in (source, indexed)
+    ]
+
+    def half(at: int) -> Column:
+        return F.sum(F.conv(F.substring("hash", at, 16), 16, 10).cast("decimal(20,0)"))
+
+    rolled = [
+        side.groupBy("box", "slice").agg(F.count("*").alias("n"), half(1).alias("a"), half(17).alias("b")) for side in pair
+    ]
+    tagged = rolled[0].unionByName(rolled[1])
+    # A slice is equal if both sides have it and all three numbers agree.
+    differing = (
+        tagged.groupBy("box", "slice")
+        .agg(F.count("*").alias("sides"), *[(F.max(c) != F.min(c)).alias(f"other_{c}") for c in ("n", "a", "b")])
+        .filter("sides < 2 or other_n or other_a or other_b")
+        .select("box", "slice")
+    )
+    differing = stored(differing, "audit-slices")
+    first, second = (
+        side.join(differing, ["box", "slice"], "left_semi").select(*KEY, F.col("hash").alias(name))
+        for side, name in zip(pair, ("wanted", "got"), strict=True)
+    )
+    kind = F.when(F.col("got").isNull(), "missing").when(F.col("wanted").isNull(), "stray").otherwise("changed")
+    return first.join(second, KEY, "full_outer").filter("not (wanted <=> got)").select(*KEY, kind.alias("kind"))

@@ -12,7 +12,7 @@ from lettersieve.operators.matching import HEADER_KINDS, Arg, Node
 from lettersieve.plans import index_run, index_store
 from lettersieve.plans.session_index import open_index
 from lettersieve.sources import bulk, index_tables, responses, shared, tables
-from lettersieve.streaming import ops_log
+from lettersieve.streaming import assembly, ops_log
 
 VALUE = "the of ertion"
 SECOND_VALUE = "la queeux"
@@ -20,6 +20,8 @@ MULTI_VALUE = "the src3 example"
 ALLOWLIST_VALUE = "list the"
 BATCH_LIMIT = 20_000
 TOP = 10
+DELIVERIES = 3
+MISSED = "click"
 MARKED = tables.MARKED
 EXPORT_LIMIT = 3_000
 UPDATED_VALUE = "the of click"
@@ -126,6 +128,55 @@ def bulk_export_batches(spark, sf_dir):
     return bulk.read_export(spark, path).select("box", "uid", "batch", "lines")
 
 
+def nested_responses(messages: DataFrame) -> DataFrame:
+    """``search_responses`` with the list of hits at three depths, among values that are no hits."""
+    plain = search_responses(messages).select(F.expr("substring(value, 26, length(value) - 27)").alias("list"))
+    kind = F.pmod(F.xxhash64("list"), F.lit(3))
+    return plain.select(
+        F.when(kind == 0, F.concat(F.lit('{"took":1,"hits":{"hits":'), "list", F.lit("}}")))
+        .when(kind == 1, F.concat(F.lit('[null,{"responses":[{"status":200,"hits":{"max":null,"hits":'), "list", F.lit("}},7]}]")))
+        .otherwise(F.concat(F.lit('{"groups":[[{"key":"_score","top":{"found":['), "list", F.lit(']}}],["uid",{}]],"_score":null}')))
+        .alias("value")
+    )
+
+
+@query
+def decode_hits_nested(spark, sf_dir):
+    """Hits at any depth of the responses."""
+    sizes = tables.messages(spark, sf_dir, F.octet_length("body").alias("bytes"))
+    return responses.walk_hits(nested_responses(sizes))
+
+
+@query
+def bulk_export_text(spark, sf_dir):
+    """Assembled documents written as text files of JSON lines and read again, line by line."""
+    path = shared.new_folder(spark, "export-text")
+    assembled = shared.stored(documents.assemble(tables.build_events(spark, sf_dir)))
+    bulk.write_text(bulk.export_batches(assembled, EXPORT_LIMIT), path)
+    return bulk.read_text(spark, path)
+
+
+@query
+def assemble_stream(spark, sf_dir):
+    """Documents from chunks that come as a stream in three deliveries, out of order and across their borders."""
+    root = shared.new_folder(spark, "assembly")
+    chunks = tables.sent_chunks(spark, sf_dir)
+    arrived = F.unix_timestamp("arrived_at")
+    first, last = chunks.agg(F.min(arrived), F.max(arrived)).first()
+    place = (arrived - F.lit(first or 0)) * DELIVERIES / F.lit((last or 0) - (first or 0) + 1)
+    parts = shared.stored(chunks.withColumn("part", F.floor(place)), "deliveries")
+    columns = spark.createDataFrame([], assembly.CHUNKS).columns
+    for number in range(DELIVERIES):
+        parts.filter(F.col("part") == number).select(columns).write.mode("append").parquet(f"{root}/in")
+        assembly.run(spark, root)
+    # A chunk of a later day closes all documents; its own stays open.
+    later = parts.agg((F.max("sent_at") + F.expr("interval 1 day")).alias("sent_at"))
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in parts.select(columns).schema if f.name != "sent_at"]
+    later.select(*absent, "sent_at").select(columns).write.mode("append").parquet(f"{root}/in")
+    assembly.run(spark, root)
+    return documents.field_values(documents.join_chunks(assembly.chunks_of(assembly.completed(spark, root))))
+
+
 # Upkeep
 
 
@@ -192,6 +243,15 @@ def index_gaps(spark, sf_dir):
     return upkeep.index_gaps(keys, indexed.unionByName(strays.select("box", "uid")))
 
 
+@query
+def content_audit(spark, sf_dir):
+    """What an index that missed all actions of one kind has wrong: missing, changed and stray documents."""
+    actions = tables.ops(spark, sf_dir).drop("ts")
+    current = upkeep.apply_ops(actions)
+    indexed = upkeep.apply_ops(actions.filter(F.col("subject") != MISSED))
+    return upkeep.content_audit(current, indexed, ["subject", "body"])
+
+
 @query
 def update_postings(spark, sf_dir):
     """Postings after the flagged messages were removed and the action documents indexed."""
@@ -279,11 +339,12 @@ def search_after_stream(spark, sf_dir):
     root = shared.new_folder(spark, "stream")
     events = tables.table(spark, sf_dir, "events")
     part = (F.col("event_id") % 3).alias("part")
-    for number in range(3):  # one file and batch each
-        events.filter(part == number).coalesce(1).write.mode("append").parquet(f"{root}/in")
-    ops = tables.ops_from_events(ops_log.read_action_files(spark, f"{root}/in", events.schema, 1)).drop("ts")
-    after = ops_log.indexing(spark, root, ops.schema, _action_fields())
-    ops_log.append_to_log(ops, f"{root}/log", f"{root}/progress", after).awaitTermination()
+    schema = tables.ops_from_events(events).drop("ts").schema
+    after = ops_log.indexing(spark, root, schema, _action_fields())
+    for number in range(3):  # the stream goes on from its progress, so each delivery is a batch
+        events.filter(part == number).write.mode("append").parquet(f"{root}/in")
+        ops = tables.ops_from_events(ops_log.read_action_files(spark, f"{root}/in", events.schema)).drop("ts")
+        ops_log.append_to_log(ops, f"{root}/log", f"{root}/progress", after).awaitTermination()
     store = index_store.open_store(spark, f"{root}/index")
     return matching.search(store.index, STREAM_VALUE, ["subject", "body"])
 
@@ -379,10 +440,10 @@ def search_header_allowlist(spark, sf_dir):
 
 @query
 def residual_split(spark, sf_dir):
-    """BODY is answered by the index; the header To is not indexed, so messages are tested."""
+    """BODY is answered by the index; the header To is not indexed, so the messages of hits are tested."""
     hits = matching.search_body(open_index(spark, sf_dir), VALUE, "and")
     residual = matching.contains("h_to", RESIDUAL_VALUE)
-    return matching.residual_split(hits, tables.messages(spark, sf_dir, "h_to"), residual)
+    return matching.residual_of_hits(hits, lambda keys: tables.messages_of(spark, sf_dir, keys), residual)
 
 
 @query

@@ -276,6 +276,21 @@ def statements(c) -> dict[str, str]:
                 WHERE box IS NOT NULL AND uid IS NOT NULL AND score IS NOT NULL""",
             {"responses": RESPONSES},
         ),
+        "content_audit": _with(
+            ["applied"],
+            """SELECT coalesce(a.box, i.box) AS box, coalesce(a.uid, i.uid) AS uid,
+                      CASE WHEN i.uid IS NULL THEN 'missing' WHEN a.uid IS NULL THEN 'stray' ELSE 'changed' END AS kind
+               FROM applied a FULL JOIN indexed i ON a.box = i.box AND a.uid = i.uid
+               WHERE a.uid IS NULL OR i.uid IS NULL
+                  OR a.subject IS DISTINCT FROM i.subject OR a.body IS DISTINCT FROM i.body""",
+            {
+                "indexed": f"""
+        SELECT box, uid, subject, body
+        FROM (SELECT * FROM ops WHERE subject <> {_text(c.MISSED)}
+              QUALIFY row_number() OVER (PARTITION BY box, uid ORDER BY seq DESC) = 1)
+        WHERE op = 'index'"""
+            },
+        ),
         "apply_ops": _with(["applied"], "SELECT * FROM applied"),
         "apply_ops_stream": _with(["applied"], "SELECT * FROM applied"),
         "expunge": _with(["expunges"], "SELECT box, uid FROM messages EXCEPT SELECT box, uid FROM expunges"),
@@ -483,4 +498,9 @@ def statements(c) -> dict[str, str]:
     found["search_batch_arguments"] = _with(
         ["weighted"], _ranked("query_id, box"), {"arguments": ARGUMENTS, **by_argument}
     )
+    found["assemble_stream"] = found["assemble_chunks"]
+    found["decode_hits_nested"] = found["decode_hits"]
+    found["bulk_export_text"] = (
+        f"SELECT unnest(string_split(lines, chr(10))) AS line FROM ({found['bulk_export_batches']})"
+    )
     return found

@@ -98,3 +98,26 @@ def write_export(lines: DataFrame, path: str, buckets: int = EXPORT_BUCKETS) ->
 
 def read_export(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("box string, batch bigint, uid bigint, lines string").parquet(path)
+
+
+def write_text(lines: DataFrame, path: str, buckets: int = EXPORT_BUCKETS) -> None:
+    """Writes (box, uid, batch, lines) as text files of JSON lines, ready to be sent.
+
+    As in ``write_export`` the lines of a batch follow each other in one file of one folder.
+    """
+    (
+        lines.select("box", "batch", "uid", "lines")
+        .withColumn("bucket", F.pmod(F.xxhash64("box", "batch"), F.lit(buckets)).cast("int"))
+        .repartition("bucket", "box", "batch")
+        .sortWithinPartitions("bucket", "box", "batch", "uid")
+        .select("bucket", F.col("lines").alias("value"))
+        .write.partitionBy("bucket")
+        .option("lineSep", "\n")
+        .text(path)
+    )
+
+
+def read_text(spark: SparkSession, path: str) -> DataFrame:
+    """(line): action and document lines of exported text files, one row each."""
+    schema = "value string, bucket int"
+    return spark.read.schema(schema).option("lineSep", "\n").text(path).select(F.col("value").alias("line"))

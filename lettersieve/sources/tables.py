@@ -118,6 +118,18 @@ def chunk_events(spark: SparkSession, sf_dir: str, size: int = 37) -> DataFrame:
     return events.withColumn("value", F.substring("value", (F.col("chunk") * size + 1).cast("int"), F.lit(size)))
 
 
+def sent_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``chunk_events`` with the time each chunk was sent and, up to two minutes later, arrived.
+
+    Messages are sent one every ten seconds, in the order of their uids.
+    """
+    sent = F.col("uid") * 10 + F.col("seq") % 8
+    delay = F.pmod(F.xxhash64("box", "uid", "seq", "chunk"), F.lit(120))
+    return chunk_events(spark, sf_dir).withColumns(
+        {"sent_at": F.timestamp_seconds(sent), "arrived_at": F.timestamp_seconds(sent + delay)}
+    )
+
+
 def ops_from_events(events: DataFrame) -> DataFrame:
     """(box, uid, seq, ts, op, subject, body). Stateless, so it also runs on a stream."""
     return events.select(

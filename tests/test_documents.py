@@ -201,3 +201,34 @@ def test_arrays_without_a_first_value_make_a_hit_incomplete(spark):
     hit = '{{"hits":{{"hits":[{{"_score":1,"_source":{{"uid":{uid},"box":{box}}}}}]}}}}'
     cases = [("7", "[]"), ("7", "[null]"), ("[]", '"b"'), ("[null,3]", '"b"'), ("null", '"b"'), ("[4]", '["b","c"]'), ("5", '"[x"')]
     assert decode(spark, *[hit.format(uid=u, box=b) for u, b in cases]) == [("[x", 5, 1.0), ("b", 4, 1.0)]
+
+
+def test_hits_at_any_depth(spark):
+    hit = '{{"_score":{s},"_source":{{"uid":{u},"box":{b}}}}}'
+    one, two, three = (hit.format(s=s, u=u, b=b) for s, u, b in ((1.5, "[3]", '"a"'), (2, '"4"', '["b","c"]'), (0.5, 5, '"a"')))
+    inner = '{"_score":3.5,"_source":{"uid":6,"box":"d","hits":[' + three + "]}}"
+    texts = [
+        '{"hits":{"hits":[' + one + "]}}",
+        '[[null,7,"x",{"responses":[{"r":[' + two + "]}]}]]",
+        '{"a":{"b":{"c":{"d":' + inner + "}}}}",
+        '{"_score":1,"_source":{"uid":[],"box":"a"}}',
+        '{"_score":null,"_source":{"uid":1,"box":"a"}}',
+        '{"_score":1,"_source":7}',
+        "[]", "{}", "null", "no json", None, '{"a":1,"a":2}',
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = sorted(tuple(r) for r in responses.walk_hits(df).collect())
+    assert got == [("a", 3, 1.5), ("a", 5, 0.5), ("b", 4, 2.0), ("d", 6, 3.5)]
+    assert responses.walk_hits(df.limit(0)).collect() == []
+
+
+def test_text_export_is_one_line_for_each_action_and_document(spark, tmp_path):
+    rows = [("b", u, {"subject": [f"line\nbreak\r{u}"]}) for u in range(1, 30)]
+    docs = spark.createDataFrame(rows, "box string, uid bigint, fields map<string,array<string>>")
+    bulk.write_text(bulk.export_batches(docs, 40), str(tmp_path / "out"), buckets=3)
+    lines = [json.loads(r.line) for r in bulk.read_text(spark, str(tmp_path / "out")).collect()]
+    assert len(lines) == 58 and {x["uid"]: x["subject"] for x in lines if "uid" in x} == {u: f["subject"] for _, u, f in rows}
+    for file in (tmp_path / "out").glob("bucket=*/*.txt"):
+        text_lines = [json.loads(x) for x in file.read_text(newline="").split("\n") if x]
+        for action, document in zip(text_lines[::2], text_lines[1::2], strict=True):
+            assert action["index"]["_id"] == document["uid"]

@@ -186,3 +186,24 @@ def test_slices_of_sparse_ids(spark):
     sparse = spark.range(1000).selectExpr("id * 4096 AS o")
     assert slices.bits_for(dense, "o", 64) == 6 and slices.bits_for(sparse, "o", 64) in (17, 18)
     assert slices.bits_for(dense.limit(0), "o") == slices.SLICE_BITS
+
+
+def test_content_audit_equals_full_comparison(spark):
+    schema = "box string, uid bigint, subject string, body string"
+    source = {(b, u): (f"s{u}", None if u % 5 == 0 else f"t{u}") for b in "abd" for u in range(1, 60)}
+    indexed = dict(source)
+    indexed[("a", 5)] = ("s5", "")  # an empty value is no null
+    indexed[("b", 7)], indexed[("b", 8)] = source[("b", 8)], source[("b", 7)]
+    indexed[("a", 7)], indexed[("a", 8)] = source[("a", 8)], source[("a", 7)]  # the same contents, swapped keys
+    del indexed[("d", 31)]
+    indexed[("c", 1)] = ("s", "t")
+    want = sorted(
+        (*k, "missing" if k not in indexed else "stray" if k not in source else "changed")
+        for k in source.keys() | indexed.keys()
+        if source.get(k) != indexed.get(k)
+    )
+    frames = [spark.createDataFrame([(*k, *v) for k, v in x.items()], schema) for x in (source, indexed)]
+    for bits in (0, 3, 20):
+        found = upkeep.content_audit(*frames, ["subject", "body"], bits).collect()
+        assert sorted(tuple(r) for r in found if r.kind) == want
+    assert upkeep.content_audit(frames[0], frames[0], ["subject", "body"]).collect() == []
