@@ -3,21 +3,20 @@
 Base counts of a text decide ``base_failed``. Beyond them, a few signals of a text may reject
 it, each with a cutoff per stratum that is chosen on labelled holdout documents:
 
-* the cutoffs of a signal are tried from the most lenient on. At each one the documents of
-  good quality beyond it are counted, and the exact (Clopper-Pearson) upper bound of their
-  rate is computed. Trying in a fixed order and stopping at the first cutoff whose bound
-  exceeds the allowed rate tests all cutoffs of a signal at one level (fixed-sequence testing);
-* all cutoffs before that one hold at once. Of these the one that separates good and bad
-  documents best is taken, the most lenient if several do, so that good documents are not
-  spent where nothing is gained;
-* half of the allowed rate and of the level go to the largest of all signals, ``any``, which
-  needs few labels; the other half is split evenly over the single signals, and the level
-  over the strata as well (Bonferroni). So with probability 1 - DELTA no stratum loses more
-  than ALPHA of its good documents to all cutoffs together;
-* a stratum without enough labels to pass the first test gets no cutoff: nothing is rejected.
-
-The holdout is what has a label and passes the base rule. The cutoffs tried are a fixed grid of
-each signal, so counting the holdout is one aggregate of bounded size.
+* lowering one cutoff of one signal by one grid step makes a rule that rejects a little more. Per stratum these
+  steps are put into one order, *before any good document is looked at*: by how many bad labelled documents a step
+  rejects for each unlabelled one. Only steps that reject the bad more often than the unlabelled are in it;
+* the rules along this order reject nested sets. Each rule as a whole is tested on the good labelled documents: the
+  exact (Clopper-Pearson) upper bound of its rate of false rejections must not exceed ALPHA. Testing in a fixed
+  order and stopping at the first failure tests the whole family over signals and cutoffs at one level, so nothing
+  of the level is spent on tests that are not reached;
+* the last rule that passes is taken. The level is split evenly over the strata (Bonferroni), so with probability
+  1 - DELTA no stratum loses more than ALPHA of its good documents to all cutoffs together;
+* a stratum without enough labels to pass the first test gets no cutoff: nothing is rejected. With no false rejection
+  at all that takes log(strata / DELTA) / -log(1 - ALPHA) good labels, about 230 for five strata.
+
+What is counted is bounded per stratum (signals times grid steps). Strata are worked on apart, in groups of a Spark
+job, so their number may be anything; no table of strata comes to the driver or is broadcast by this module.
 
 Defined results: a null or empty text has zero counts and fails the base rule (under 50
 words). Documents without label are judged, not counted. A null stratum is a stratum of its
@@ -29,9 +28,10 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +48,7 @@ REPEAT_PERCENT = 50
 WINDOW = 3
 # Fixed grid: steps of a hundredth from the most lenient cutoff down. Signals lie in [0, 1].
 GRID = 100
-ANY = "any"
+SIGNALS = ("symbols", "dup_lines", "repeats", "capitals", "long_words")
 
 _NOT_SYMBOL = bytes(sorted(set(range(256)) - set(b"#*$%&|<>")))
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_lower", "n_lines")
@@ -133,94 +133,159 @@ def level(signal: Column) -> Column:
     return F.floor(signal * GRID + F.lit(1e-9)).cast("int")
 
 
+def at_most(k: int, n: int, p: float) -> float:
+    """The probability of k or fewer of n at rate p: an incomplete beta function, by its continued fraction."""
+    if k >= n or p <= 0.0:
+        return 1.0
+    if k < 0 or p >= 1.0:
+        return 0.0
+    a, b, x = n - k, k + 1, 1.0 - p
+    flip = x > (a + 1) / (a + b + 2)
+    if flip:
+        a, b, x = b, a, p
+    scale = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    # Numerators of the fraction 1 + d1 / (1 + d2 / (1 + ...)), by the modified Lentz method.
+    value, top, low, tiny = 1.0, 1.0, 0.0, 1e-300
+    for i in range(1, 100_000):
+        m = i // 2
+        if i % 2:
+            d = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        else:
+            d = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        low = 1.0 / ((1.0 + d * low) or tiny)
+        top = (1.0 + d / top) or tiny
+        value *= top * low
+        if abs(top * low - 1.0) < 1e-14:
+            break
+    found = scale / value
+    return 1.0 - found if flip else found
+
+
 def upper_bound(k: int, n: int, delta: float) -> float:
     """Clopper-Pearson: the largest rate under which k or fewer of n still has probability delta."""
     if n == 0 or k >= n:
         return 1.0
-
-    logs = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) for i in range(k + 1)]
-
-    def below(p: float) -> float:
-        return math.fsum(math.exp(c + i * math.log(p) + (n - i) * math.log1p(-p)) for i, c in enumerate(logs))
-
     low, high = k / n, 1.0
     for _ in range(60):
         middle = (low + high) / 2
-        if middle in (low, high) or middle >= 1.0:
-            break
-        low, high = (middle, high) if below(middle) > delta else (low, middle)
+        low, high = (middle, high) if at_most(k, n, middle) > delta else (low, middle)
     return high
 
 
-def cutoff(good: Counter[int], bad: Counter[int], alpha: float, delta: float) -> int | None:
-    """The best of the grid steps whose false rejections are bounded, None if there is none.
+def ordered_steps(bad: Mapping[tuple[str, int], int], others: Mapping[tuple[str, int], int]) -> list[tuple[str, int]]:
+    """The (signal, grid step) in the order in which cutoffs are lowered, from counts by signal and step.
 
-    Documents are counted by grid step; a cutoff g rejects steps g and above.
+    A signal's steps come from the most lenient one down. Successive steps are joined to a block while that raises
+    the block's share of the bad over its share of the others; blocks of all signals are then merged by this ratio.
+    Steps without documents weigh a hundredth of a document on both sides.
     """
-    n, m = sum(good.values()), sum(bad.values())
-    best, chosen, k, caught = 0.0, None, 0, 0
-    for g in range(GRID, 0, -1):
-        k, caught = k + good[g], caught + bad[g]
-        # Counts far above the allowed rate cannot pass; the exact bound is not needed then.
-        if k > alpha * n or upper_bound(k, n, delta) > alpha:
-            break
-        gain = caught / max(m, 1) - k / n
-        if gain > best:
-            best, chosen = gain, g
-    return chosen
+    blocks: list[tuple[float, str, list[int]]] = []
+    for name in SIGNALS:
+        m = max(1, sum(n for (signal, _), n in bad.items() if signal == name))
+        u = max(1, sum(n for (signal, _), n in others.items() if signal == name))
+        own: list[list] = []
+        for g in range(GRID, 0, -1):
+            own.append([(bad.get((name, g), 0) + 1 / GRID) / m, (others.get((name, g), 0) + 1 / GRID) / u, [g]])
+            while len(own) > 1 and own[-1][0] * own[-2][1] > own[-2][0] * own[-1][1]:
+                b, c, steps = own.pop()
+                own[-1] = [own[-1][0] + b, own[-1][1] + c, own[-1][2] + steps]
+        # With fewer of one kind the weights of empty steps differ, so a block has to hold bad documents.
+        blocks += [
+            (b / c, name, steps) for b, c, steps in own if b > c and any(bad.get((name, g), 0) for g in steps)
+        ]
+    merged = sorted(blocks, key=lambda block: -block[0])
+    return [(name, g) for _, name, steps in merged for g in steps]
+
+
+def last_passing(good: Counter[int], n: int, alpha: float, delta: float) -> tuple[int, int]:
+    """(rank of the last rule that passes or -1, its false rejections): ``good`` counts n documents by the rank of
+    the first rule that rejects them; those never rejected need not be in it."""
+    if n == 0 or at_most(0, n, alpha) > delta:
+        return -1, 0
+    rejected = 0
+    for rank in sorted(good):
+        if at_most(rejected + good[rank], n, alpha) > delta:
+            return rank - 1, rejected
+        rejected += good[rank]
+    return GRID * len(SIGNALS), rejected
 
 
 def levels() -> dict[str, Column]:
-    """The grid steps of all signals and of the largest of them."""
-    single = {name: level(signal) for name, signal in signals().items()}
-    return single | {ANY: F.greatest(*single.values())}
+    """The grid steps of all signals."""
+    return {name: level(signal) for name, signal in signals().items()}
+
+
+_STEPS = "stratum string, signal string, step int, place int"
+_CHOSEN = "stratum string, signal string, cutoff int, n bigint, rejected bigint, bound double"
 
 
-def shares(alpha: float, delta: float, strata: int) -> dict[str, tuple[float, float]]:
-    """The allowed rate and level of each signal; their sums are ``alpha`` and ``delta`` / strata."""
-    single = signals()
-    own = {name: (alpha / (2 * len(single)), delta / (2 * len(single) * strata)) for name in single}
-    return own | {ANY: (alpha / 2, delta / (2 * strata))}
+def _steps_of_stratum(key: tuple, counts: pd.DataFrame) -> pd.DataFrame:
+    def table(kind: str) -> dict[tuple[str, int], int]:
+        own = counts[counts["kind"] == kind]
+        return dict(zip(zip(own["signal"], own["step"]), own["n"]))
+
+    order = ordered_steps(table("bad"), table("other"))
+    rows = [(key[0], signal, step, place) for place, (signal, step) in enumerate(order)]
+    return pd.DataFrame(rows, columns=["stratum", "signal", "step", "place"])
 
 
 def thresholds(features: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """(stratum, signal, cutoff, n, rejected, bound) of every cutoff that could be set.
+    """(stratum, signal, cutoff, n, rejected, bound): the cutoffs of the rule that each stratum takes.
 
-    What comes to the driver is one count per stratum, signal and grid step: strata are few
-    (a language, a kind of source), and the result is bounded by their number.
+    ``n``, ``rejected`` and ``bound`` are those of the whole rule and the same in all its rows. Documents without
+    label stand for the corpus in the order of steps, good ones are only tested.
     """
     known = labels.groupBy("doc_id").agg(F.max("quality").alias("quality")).filter("quality in (0, 1)")
     steps = F.array(*[F.struct(F.lit(k).alias("signal"), s.alias("step")) for k, s in levels().items()])
-    holdout = (
-        features.filter(~base_failed())
-        .join(known, "doc_id")
-        .select("stratum", "quality", F.explode(steps).alias("x"))
+    kind = F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "bad").otherwise("other")
+    rows = features.filter(~base_failed()).join(known, "doc_id", "left").select("stratum", kind.alias("kind"), steps.alias("steps"))
+    # One row per stratum, kind and combination of steps that occurs: combinations are few against documents.
+    seen = stored(rows.groupBy("stratum", "kind", "steps").agg(F.count("*").alias("n")), "quality-steps")
+    single = seen.filter("kind != 'good'").select("stratum", "kind", "n", F.inline("steps"))
+    order = stored(
+        single.groupBy("stratum", "kind", "signal", "step")
+        .agg(F.sum("n").alias("n"))
+        .groupBy("stratum")
+        .applyInPandas(_steps_of_stratum, _STEPS),
+        "quality-order",
     )
-    rows = holdout.groupBy("stratum", "quality", "x.signal", "x.step").agg(F.count("*").alias("n")).collect()
-    per: dict[tuple[str | None, str], tuple[Counter[int], Counter[int]]] = {}
-    for row in rows:
-        counted = per.setdefault((row["stratum"], row["signal"]), (Counter(), Counter()))
-        counted[0 if row["quality"] == 1 else 1][row["step"]] += row["n"]
-    parts = shares(alpha, delta, len({stratum for stratum, _ in per}) or 1)
-    found = []
-    for (stratum, signal), (good, bad) in sorted(per.items(), key=lambda x: (x[0][0] is None, x[0][0] or "", x[0][1])):
-        g = cutoff(good, bad, *parts[signal])
-        if g is not None:
-            n, k = sum(good.values()), sum(c for step, c in good.items() if step >= g)
-            found.append((stratum, signal, g, n, k, upper_bound(k, n, parts[signal][1])))
-    return features.sparkSession.createDataFrame(
-        found, "stratum string, signal string, cutoff int, n bigint, rejected bigint, bound double"
+    strata = max(1, seen.select("stratum").distinct().count())
+    good = seen.filter("kind = 'good'")
+    # The first rule that rejects a combination is the first one that comes to one of its steps.
+    reached = (
+        good.select("stratum", "steps", "n", F.explode("steps").alias("x"))
+        .alias("g")
+        .join(
+            order.alias("o"),
+            F.col("g.stratum").eqNullSafe(F.col("o.stratum")) & (F.col("x.signal") == F.col("o.signal")) & (F.col("x.step") == F.col("o.step")),
+            "left",
+        )
+        .groupBy("g.stratum", "g.steps", "g.n")
+        .agg(F.min("place").alias("place"))
+        .groupBy("stratum", "place")
+        .agg(F.sum("n").alias("n"))
     )
 
+    def chosen(key: tuple, own: pd.DataFrame, places: pd.DataFrame) -> pd.DataFrame:
+        counted = Counter({int(p): int(n) for p, n in zip(own["place"], own["n"]) if not pd.isna(p)})
+        n = int(own["n"].sum())
+        last, rejected = last_passing(counted, n, alpha, delta / strata)
+        cutoffs = places[places["place"] <= last].groupby("signal")["step"].min()
+        bound = upper_bound(rejected, n, delta / strata) if len(cutoffs) else 1.0
+        rows = [(key[0], signal, int(step), n, rejected, bound) for signal, step in cutoffs.items()]
+        return pd.DataFrame(rows, columns=["stratum", "signal", "cutoff", "n", "rejected", "bound"])
+
+    return reached.groupBy("stratum").cogroup(order.groupBy("stratum")).applyInPandas(chosen, _CHOSEN)
+
 
 def judged(features: DataFrame, chosen: DataFrame) -> DataFrame:
     """``features`` with base_failed, reasons (signals beyond their cutoff) and kept."""
     wide = chosen.groupBy("stratum").agg(
         F.map_from_entries(F.collect_list(F.struct("signal", "cutoff"))).alias("cutoffs")
     )
-    # One row per stratum, at most one entry per signal: bounded like the strata themselves.
+    # A stored table: Spark broadcasts it by its size, or else shuffles and splits a stratum that is most rows.
     joined = features.alias("f").join(
-        F.broadcast(wide).alias("w"), F.col("f.stratum").eqNullSafe(F.col("w.stratum")), "left"
+        stored(wide, "quality-cutoffs").alias("w"), F.col("f.stratum").eqNullSafe(F.col("w.stratum")), "left"
     )
     reasons = F.array_compact(
         F.array(*[F.when(step >= F.col("cutoffs")[k], F.lit(k)) for k, step in levels().items()])

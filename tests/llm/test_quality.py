@@ -2,6 +2,7 @@ import math
 import random
 import re
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 
@@ -53,29 +54,82 @@ def test_bound_is_exact(k, n, delta):
     assert quality.upper_bound(n, n, delta) == 1.0
 
 
-def test_cutoff_is_the_best_that_passes():
-    good = Counter({0: 5000, 40: 10, 60: 3})
-    assert quality.cutoff(good, Counter({40: 5, 50: 9}), 0.004, 0.01) == 50  # 40 does not pass
-    assert quality.cutoff(good, Counter({70: 5, 41: 0}), 0.004, 0.01) == 70
-    assert quality.cutoff(Counter({0: 20}), Counter({90: 5}), 0.002, 0.01) is None
-    assert quality.cutoff(Counter(), Counter({90: 5}), 0.002, 0.01) is None
+@pytest.mark.parametrize("k,n", [(0, 1), (0, 500), (7, 9), (30, 1000), (995, 1000), (100, 5000)])
+@pytest.mark.parametrize("p", [1e-6, 0.02, 0.3, 0.9])
+def test_binomial_probability_is_exact(k, n, p):
+    q = Fraction(p)
+    exact = sum(math.comb(n, i) * q**i * (1 - q) ** (n - i) for i in range(k + 1)) if n < 100 else None
+    if exact is None:
+        logs = [math.log(math.comb(n, i)) + i * math.log(p) + (n - i) * math.log1p(-p) for i in range(k + 1)]
+        exact = math.fsum(math.exp(x) for x in logs)
+    assert quality.at_most(k, n, p) == pytest.approx(float(exact), rel=1e-8, abs=1e-12)
 
 
-def test_shares_add_up():
-    parts = quality.shares(0.02, 0.05, 4).values()
-    assert sum(a for a, _ in parts) == pytest.approx(0.02) and sum(d for _, d in parts) == pytest.approx(0.05 / 4)
+def test_last_rule_that_passes():
+    # With n = 400, rate 0.02 and level 0.05, up to three false rejections pass.
+    passing = max(k for k in range(20) if quality.at_most(k, 400, 0.02) <= 0.05)
+    assert quality.last_passing(Counter({4: passing, 9: 1}), 400, 0.02, 0.05) == (8, passing)
+    assert quality.last_passing(Counter({4: passing + 1}), 400, 0.02, 0.05) == (3, 0)
+    assert quality.last_passing(Counter({4: passing}), 400, 0.02, 0.05) == (500, passing)
+    assert quality.last_passing(Counter(), 20, 0.02, 0.05) == (-1, 0)
+    assert quality.last_passing(Counter(), 0, 0.02, 0.05) == (-1, 0)
+
+
+def test_steps_are_ordered_by_what_they_gain():
+    bad = {("symbols", 40): 9, ("symbols", 0): 11, ("repeats", 70): 5, ("repeats", 0): 15, ("capitals", 3): 2, ("capitals", 0): 18}
+    others = {("symbols", 40): 1, ("symbols", 0): 999, ("repeats", 0): 1000, ("capitals", 3): 200, ("capitals", 0): 800}
+    order = quality.ordered_steps(bad, others)
+    assert order.index(("repeats", 70)) < order.index(("symbols", 40))
+    assert all(signal not in ("capitals", "dup_lines", "long_words") for signal, _ in order)
+    for name in ("symbols", "repeats"):
+        own = [g for signal, g in order if signal == name]
+        assert own == list(range(100, 100 - len(own), -1))
+    assert quality.ordered_steps({}, others) == []
 
 
 def test_false_rejections_stay_below_the_bound():
     """Over many drawn holdouts, the true rate exceeds alpha no more often than delta says."""
     rng = random.Random(3)
-    alpha, delta, failures, bad = 0.05, 0.1, 0, Counter({g: 1 for g in range(1, 100)})
-    for _ in range(300):
-        good = Counter(int(100 * rng.random() ** 3) for _ in range(400))
-        g = quality.cutoff(good, bad, alpha, delta)
-        if g is not None:
-            failures += 1 - (g / 100) ** (1 / 3) > alpha
-    assert failures <= 300 * delta
+    alpha, delta, failures = 0.05, 0.1, 0
+    for _ in range(1000):
+        # A good document is first rejected by rule r with a chance of a thousandth each.
+        good = Counter(r for r in (rng.randrange(1000) for _ in range(400)) if r < 500)
+        last, _ = quality.last_passing(good, 400, alpha, delta)
+        failures += (last + 1) / 1000 > alpha
+    assert failures <= 1000 * delta * 1.3
+
+
+def test_thresholds_equal_brute_force(spark):
+    """Two strata and a null one, against rules applied one after the other to all documents."""
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(6000):
+        stratum = ("a", "b", None)[i % 3]
+        kind = rng.choice(["good", "bad", "other"])
+        symbols = rng.choice([0, 0, 10, 25, 40]) if kind == "bad" else rng.choice([0] * 60 + [10, 25])
+        repeats = rng.choice([0, 30]) if kind == "bad" else rng.choice([0] * 90 + [30])
+        rows.append((i, stratum, 100, 500, symbols, 0, repeats, 10, 400, 5))
+        if kind != "other":
+            labels.append((i, int(kind == "good"), 0))
+    schema = "doc_id bigint, stratum string, " + ", ".join(f"{c} bigint" for c in quality._COUNTS)
+    features = spark.createDataFrame(rows, schema)
+    found = quality.thresholds(features, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")).collect()
+    got = {(r["stratum"], r["signal"]): (r["cutoff"], r["n"], r["rejected"]) for r in found}
+    quality_of, want = {i: q for i, q, _ in labels}, {}
+    for stratum in ("a", "b", None):
+        own = [(quality_of.get(r[0]), {"symbols": 2 * r[4], "repeats": r[6], "capitals": 2}) for r in rows if r[1] == stratum]
+        tables = [Counter((s, x.get(s, 0)) for q, x in own if q == kind for s in quality.SIGNALS) for kind in (0, None)]
+        good = [x for q, x in own if q == 1]
+        cuts, best = {}, None
+        for signal, g in quality.ordered_steps(*tables):
+            cuts[signal] = g
+            lost = sum(any(x.get(s, 0) >= c for s, c in cuts.items()) for x in good)
+            if quality.upper_bound(lost, len(good), quality.DELTA / 3) > quality.ALPHA:
+                break
+            best = (dict(cuts), lost)
+        for signal, g in best[0].items() if best else ():
+            want[stratum, signal] = (g, len(good), best[1])
+    assert got == want and want
 
 
 def test_junk_goes_and_good_documents_stay(spark, sf_dir):
