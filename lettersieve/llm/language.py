@@ -13,8 +13,10 @@ broadcasts those below its own size bound.
 
 The text model is fitted on rows with a declared language, about ``SAMPLE`` per language (a
 row is taken if the hash of its id falls below SAMPLE / rows of that language), whole texts.
-Every declared language gets a model, whatever their number and however few rows it has; a
-language takes 256 KB of the model and one score in each row.
+The sample is bounded: it covers the ``MOST_LANGUAGES`` declared values with the most rows (ties by
+name), however few rows each has. A language takes 256 KB of the model and one score in each row, so the
+model that is collected and broadcast is at most 64 MB, whatever is declared. Rows that declare
+another value are judged like all others, by the languages of the model and ``und``.
 
 A row is rejected (``kept`` false) if its most probable language is ``und``, if it has no
 letter-like trigram to judge by, or if its language is not among the accepted ones.
@@ -43,6 +45,7 @@ ships_its_code(__name__)
 GRAM = 3
 BUCKETS = 1 << 16
 SAMPLE = 1500
+MOST_LANGUAGES = 255
 SMOOTHING = 0.05
 PRIOR_WEIGHT = 20.0
 EVIDENCE_WEIGHT = 1.0
@@ -88,11 +91,12 @@ class TextModel:
         return n, (total / GRAM).tolist()
 
 
-def sample(docs: DataFrame, doc_id: str, text: str, declared: str, per_language: int = SAMPLE) -> DataFrame:
-    """(language, text): about ``per_language`` labelled rows of each declared language."""
+def sample(docs: DataFrame, doc_id: str, text: str, declared: str, per_language: int = SAMPLE, most: int = MOST_LANGUAGES) -> DataFrame:
+    """(language, text): about ``per_language`` labelled rows of each of the ``most`` most declared languages."""
     label = F.lower(F.col(declared))
     named = docs.filter(label.isNotNull() & (label != "") & (label != UNKNOWN))
-    known = named.groupBy(label.alias("language")).agg(F.count("*").alias("n")).orderBy("language").collect()
+    counted = named.groupBy(label.alias("language")).agg(F.count("*").alias("n"))
+    known = counted.orderBy(F.desc("n"), "language").limit(most).collect()
     if not known:
         return docs.select(label.alias("language"), F.col(text).alias("text")).filter(F.lit(False))
     share = F.create_map(*[F.lit(x) for row in known for x in (row["language"], min(1.0, per_language / row["n"]))])

@@ -138,3 +138,19 @@ def test_every_declared_language_is_known(spark):
     assert len(found) == len(rows)
     assert [r for r in found if r["declared"] != r["language"] or not r["kept"]] == []
     assert language.only_known(docs).count() == len(rows)
+
+
+def test_a_thousand_declared_values(spark):
+    """The model stays bounded, and frequent languages are known among values that occur once."""
+    words = {"aa": "balu kelo mira tonu", "bb": "strych zwerg quond phlox"}
+    rows = [(name, f"{text} " * 5, name) for name, text in words.items() for _ in range(20)]
+    rows += [(f"x{i:04d}", f"{words['aa']} " * 5, "aa") for i in range(1000)]
+    docs = spark.createDataFrame([(n, *r[:2], "one", r[2]) for n, r in enumerate(rows)], "doc_id bigint, lang string, text string, source string, truth string")
+    model = language.fit(language.sample(docs, "doc_id", "text", "lang"))
+    assert {"aa", "bb"} <= set(model.languages) and len(model.languages) == language.MOST_LANGUAGES
+    assert model.weights.nbytes <= 1 << 26
+    few = language.fit(language.sample(docs, "doc_id", "text", "lang", most=2))
+    assert few.languages == ("aa", "bb")
+    found = language.identify(docs, declared="lang", host="source", keep=("doc_id", "truth"), model=few).collect()
+    assert len(found) == len(rows) and all(r["language"] == r["truth"] and r["kept"] for r in found)
+    assert len(language.digest(docs).collect()) == len(rows)
