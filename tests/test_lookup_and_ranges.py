@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lettersieve.functions.text import like_pattern
-from lettersieve.operators import range_sets, word_lookup
+from lettersieve.operators import matching, range_sets, slices, word_lookup
+from lettersieve.plans import session_index
 from lettersieve.sources import shared
 
 WORDS = ["a", "ab", "abc", "abcd", "bcd", "xabcx", "aaa", "aaaa", "été", "étés", "ete", "%x", "a_b", "\U0001f600z",
@@ -53,3 +54,34 @@ def test_range_sets_equal_expanded_sets(spark):
     assert range_sets.combined(left.limit(0), right.limit(0), "union").collect() == []
     with pytest.raises(ValueError):
         range_sets.combined(left, right, "both")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_words_are_tested_in_the_scan(spark, sf_dir, monkeypatch):
+    index = session_index.open_index(spark, sf_dir)
+    searches = (
+        lambda: matching.search_wildcard(index, "*th*", ["subject", "body"]),
+        lambda: matching.search_fuzzy(index, "ertion", ["subject", "body"], 2),
+    )
+    want = [sorted(search().collect()) for search in searches]
+    monkeypatch.setattr(matching, "LITERAL_TERMS", 0)
+    for search, rows in zip(searches, want, strict=True):
+        got = search()
+        assert "Join" not in _plan(got)
+        assert sorted(got.collect()) == rows and rows
+
+
+def test_repeated_rows_are_not_broadcast(spark):
+    # 64 times as many rows as Spark's own estimate says.
+    rows = spark.range(200).selectExpr("string(id % 5) AS term", "id AS uid", "'x' AS box")
+    other = shared.stored(spark.range(3).selectExpr("string(id) AS term", "id AS n"), "other")
+    salted = slices.join_salted(rows, other, ["term"], ["uid"], small=False)
+    sliced = slices.join_by_box(
+        rows, other.selectExpr("term", "n", "bigint(5000000) AS max_uid"), ["term"], "max_uid", small=False
+    )
+    for joined in (salted, sliced):
+        assert "Broadcast" not in _plan(joined)
+        assert joined.count() == 120
