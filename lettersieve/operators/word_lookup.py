@@ -4,43 +4,42 @@
 asks for the trigrams that every match must have; words that have all of them are tested with the pattern.
 A pattern without a whole trigram tests every word.
 
-``spellings`` holds each word under all forms that arise by deleting up to ``DISTANCE`` characters. Two
-words within that distance share a form, so near words are found by an equality join and then measured. The
-number of forms grows with the square of a word's length: words over ``LONG`` characters are kept as they are
-and measured one by one when the asked word is long enough to be near them.
+``pieces`` holds each word cut into ``PARTS`` pieces of nearly equal length. ``DISTANCE`` edits cannot touch all of
+them, so a word within that distance has one piece of the other, moved by no more places than there are edits.
+Near words are found by an equality join on pieces and then measured: three rows for a word of any length.
 
 Both tables are sorted by their key, so that a search reads the row groups of its own keys.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lettersieve.functions.text import like_pattern
+from lettersieve.operators import slices
 from lettersieve.operators.matching import KEY, word_join
 from lettersieve.operators.postings import Index
 
 BEGIN, END = "\x02", "\x03"
 GRAM = 3
 DISTANCE = 2
-LONG = 24
+PARTS = DISTANCE + 1
 
 SCHEMAS = {
     "grams": "gram string, term string",
-    "spellings": "form string, term string",
-    "long_words": "term string",
+    "pieces": "size int, part int, piece string, term string",
 }
 
 
 @dataclass(frozen=True)
 class Lookup:
-    grams: DataFrame
-    spellings: DataFrame
-    long_words: DataFrame
     terms: DataFrame
+    grams: DataFrame | None = None
+    pieces: DataFrame | None = None
 
 
 def grams_of(words: DataFrame) -> DataFrame:
@@ -52,38 +51,52 @@ def grams_of(words: DataFrame) -> DataFrame:
     return words.filter(F.length("term") > 0).select(F.explode(F.array_distinct(grams)).alias("gram"), "term")
 
 
-def _shortened(form: Column) -> Column:
-    """All forms with one character less."""
-    places = F.sequence(F.lit(1), F.length(form))
-    return F.when(F.length(form) == 0, F.array().cast("array<string>")).otherwise(
-        F.transform(places, lambda at: F.concat(F.substring(form, F.lit(1), at - 1), F.substring(form, at + 1, F.length(form))))
-    )
-
-
-def forms_of(words: DataFrame, column: str = "term", distance: int = DISTANCE) -> DataFrame:
-    """(form, ``column``) of words: each word and its forms with up to ``distance`` characters less."""
-    found = words.select(F.col(column), F.col(column).alias("form"))
-    every = found
-    for _ in range(distance):
-        found = found.select(column, F.explode(_shortened(F.col("form"))).alias("form")).distinct()
-        every = every.union(found)
-    return every.select("form", column)
-
-
-def write_lookup(words: DataFrame, root: str) -> None:
-    """Writes the tables of ``words(term, ...)``."""
-    terms = words.select("term").distinct()
-    terms.write.parquet(f"{root}/terms")
+def _piece(size: Column, part: int) -> tuple[Column, Column]:
+    """Where a piece of a word of ``size`` characters starts, from 0, and its length; the last pieces are the longer ones."""
+    short = F.lit(PARTS) - size % PARTS
+    length = F.floor(size / PARTS).cast("int")
+    start = length * part + F.greatest(F.lit(0), F.lit(part) - short)
+    return start, length + (F.lit(part) >= short).cast("int")
+
+
+def pieces_of(words: DataFrame) -> DataFrame:
+    """(size, part, piece, term) of distinct ``words(term)``."""
+    size = F.length("term")
+    found = []
+    for part in range(PARTS):
+        start, length = _piece(size, part)
+        found.append(F.struct(F.lit(part).alias("part"), F.substring("term", start + 1, length).alias("piece")))
+    return words.select(size.alias("size"), F.inline(F.array(*found)), "term")
+
+
+def _asked_pieces(words: DataFrame, distance: int) -> DataFrame:
+    """(word, size, part, piece): what a word at most ``distance`` edits from ``words(word)`` may have in common with it."""
+    size, own = F.col("size"), F.length("word")
+    sizes = F.explode(F.sequence(F.greatest(F.lit(0), own - distance), own + distance)).alias("size")
+    found = []
+    for part in range(PARTS):
+        start, length = _piece(size, part)
+        for moved in range(-distance, distance + 1):
+            at = start + moved
+            piece = F.struct(F.lit(part).alias("part"), F.substring("word", at + 1, length).alias("piece"))
+            found.append(F.when((at >= 0) & (at + length <= own), piece))
+    pieces = F.explode(F.array_distinct(F.array_compact(F.array(*found)))).alias("found")
+    return words.select("word", sizes).select("word", "size", pieces).select("word", "size", "found.part", "found.piece")
+
+
+def write_lookup(words: DataFrame, root: str, tables: Sequence[str] = tuple(SCHEMAS)) -> None:
+    """Writes the tables of ``words(term, ...)``: the words, and those of ``SCHEMAS`` that ``tables`` names."""
+    words.select("term").distinct().write.parquet(f"{root}/terms")
     terms = words.sparkSession.read.schema("term string").parquet(f"{root}/terms")
-    short = terms.filter(F.length("term") <= LONG)
-    grams_of(terms).repartitionByRange("gram", "term").sortWithinPartitions("gram", "term").write.parquet(f"{root}/grams")
-    forms_of(short).repartitionByRange("form", "term").sortWithinPartitions("form", "term").write.parquet(f"{root}/spellings")
-    terms.filter(F.length("term") > LONG).write.parquet(f"{root}/long_words")
+    made = {"grams": (grams_of, ["gram", "term"]), "pieces": (pieces_of, ["piece", "term"])}
+    for name in tables:
+        rows_of, order = made[name]
+        rows_of(terms).repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{root}/{name}")
 
 
-def read_lookup(spark: SparkSession, root: str) -> Lookup:
-    tables = {name: spark.read.schema(schema).parquet(f"{root}/{name}") for name, schema in SCHEMAS.items()}
-    return Lookup(terms=spark.read.schema("term string").parquet(f"{root}/terms"), **tables)
+def read_lookup(spark: SparkSession, root: str, tables: Sequence[str] = tuple(SCHEMAS)) -> Lookup:
+    found = {name: spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}") for name in tables}
+    return Lookup(terms=spark.read.schema("term string").parquet(f"{root}/terms"), **found)
 
 
 def pattern_grams(pattern: str) -> list[str]:
@@ -117,15 +130,9 @@ def terms_near(lookup: Lookup, asked: DataFrame, distance: int = 1) -> DataFrame
         raise ValueError(f"distance must be from 0 to {DISTANCE}, not {distance}")
     words = asked.select(F.lower("word").alias("word")).distinct()
     close = F.levenshtein(F.col("word"), F.col("term"), distance) >= 0
-    short = words.filter(F.length("word") <= LONG + distance)
-    by_form = forms_of(short, "word", distance).join(lookup.spellings, "form").select("word", "term").distinct()
-    long = words.filter(F.length("word") > LONG - distance)
-    # Only words of nearly the same length meet.
-    nearby = F.explode(F.sequence(F.length("word") - distance, F.length("word") + distance)).alias("size")
-    by_length = long.select("word", nearby).join(
-        lookup.long_words.withColumn("size", F.length("term")), "size"
-    )
-    return by_form.union(by_length.select("word", "term")).filter(close)
+    wanted = _asked_pieces(words, distance)
+    wanted = F.broadcast(wanted) if slices.is_small(wanted) else wanted
+    return lookup.pieces.join(wanted, ["size", "part", "piece"]).select("word", "term").distinct().filter(close)
 
 
 def _counted(index: Index, fields: list[str], terms: DataFrame) -> DataFrame:

@@ -85,3 +85,16 @@ def test_repeated_rows_are_not_broadcast(spark):
     for joined in (salted, sliced):
         assert "Broadcast" not in _plan(joined)
         assert joined.count() == 120
+
+
+def test_lookup_tables_grow_with_the_words_only(spark):
+    words = spark.createDataFrame([("q" * n,) for n in range(1, 60)] + [("w" * 40 + "x",)], "term string")
+    root = shared.new_folder(spark, "test-pieces")
+    word_lookup.write_lookup(words, root, ["pieces"])
+    found = word_lookup.read_lookup(spark, root, ["pieces"])
+    assert found.grams is None
+    assert found.pieces.count() == 60 * word_lookup.PARTS
+    assert found.pieces.groupBy("term").agg(F.sum(F.length("piece")).alias("n")).filter("n <> length(term)").count() == 0
+    asked = spark.createDataFrame([("w" * 39 + "yx",), ("q" * 57,)], "word string")
+    got = sorted(tuple(r) for r in word_lookup.terms_near(found, asked, 2).collect())
+    assert got == sorted([("w" * 39 + "yx", "w" * 40 + "x"), *[("q" * 57, "q" * n) for n in (55, 56, 57, 58, 59)]])
