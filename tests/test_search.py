@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lettersieve.operators import matching, postings, ranking, slices
 from lettersieve.operators.matching import HEADER_KINDS, Arg, Node
-from lettersieve.plans import index_run
+from lettersieve.plans import index_run, session_index
 from lettersieve.sources import index_tables, shared
 
 DOCS = "box string, uid bigint, fields map<string, array<string>>"
@@ -415,3 +415,33 @@ def test_verification_reads_texts_after_the_keys(spark, sf_dir):
     keys = tables.message_keys(spark, sf_dir).select("box", "uid").limit(3)
     found = tables.messages_of(spark, sf_dir, keys)
     assert found.count() == 3 and "BroadcastHashJoin" in plan(found)
+
+
+def test_batch_and_stays_in_documents_with_the_rarest_word(spark, sf_dir, monkeypatch):
+    stored = session_index.open_index(spark, sf_dir)
+    rare = stored.dictionary.filter("field = 'body' and term <> 'the'").groupBy("term").agg(F.sum("df").alias("n"))
+    word = rare.orderBy("n", "term").first().term
+    asked = [(1, f"the {word}", "and"), (2, "the of", "and"), (3, "the zzzz9", "and"), (4, "the zzzz9", "or"), (5, word, "or")]
+    queries = spark.createDataFrame(asked, "query_id bigint, value string, operator string")
+    read = []
+    plain = ranking.contributions
+
+    def counted(index, rows, dictionary):
+        read.append(rows.select("box", "uid").distinct().count())
+        return plain(index, rows, dictionary)
+
+    monkeypatch.setattr(ranking, "contributions", counted)
+    # Both ways: queries broadcast, and shuffled with salts.
+    for most in (slices.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(slices, "BROADCAST_ROWS", most)
+        got = {}
+        for r in ranking.batch_hits(stored, ranking.batch_terms(queries)).collect():
+            got.setdefault(r.query_id, set()).add((r.box, r.uid, r.score))
+        for number, value, operator in asked:
+            want = {(r.box, r.uid, r.score) for r in matching.search(stored, value, operator=operator).collect()}
+            assert got.get(number, set()) == want, (number, most)
+        assert got[2] and 3 not in got
+    read.clear()
+    ranking.batch_hits(stored, ranking.batch_terms(queries.filter("query_id = 1"), ["body"]))
+    held = stored.postings.filter(F.col("field").eqNullSafe("body") & (F.col("term") == word)).count()
+    assert read == [held]
