@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lettersieve.operators import matching, postings
 from lettersieve.plans import index_run, index_store
@@ -193,3 +194,29 @@ def test_compaction_writes_the_touched_buckets_only(spark, tmp_path):
     assert (upto, version) == (1, 2) and sum(before[b] != after[b] for b in after) == 1
     known = ops_log.compacted(spark, root, schema)[0]
     assert known.count() == 500 and known.filter("op = 'delete'").first().uid == 3
+
+
+def test_tasks_hold_few_postings_and_texts_travel_unsplit(spark, tmp_path, monkeypatch):
+    """No task sorts more than its share, which executors hold beside others; odd fields are in the forward table once."""
+    assert index_tables.ROWS_PER_TASK <= 2_000_000
+    monkeypatch.setattr(index_tables, "ROWS_PER_TASK", 1000)
+    values = {"body": [" ".join(f"w{i}" for i in range(500)), None], "empty": [], "": ["a b a"]}
+    docs = spark.createDataFrame(
+        [("b", uid, values) for uid in range(5)] + [("b", 9, None), ("c", 1, {})],
+        "box string, uid bigint, fields map<string, array<string>>",
+    )
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        index_tables.write_index(docs, str(tmp_path / "index"), 1)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert not (tmp_path / "index" / "word_lists").exists()
+    index = index_tables.read_index(spark, str(tmp_path / "index"))
+    files = index.postings.groupBy(F.input_file_name()).count().collect()
+    assert len(files) == 3 and max(row["count"] for row in files) < 1200
+    got = {(r["box"], r["uid"], r["field"]): (r["field_len"], len(r["counts"])) for r in index.forward[0].table.collect()}
+    want = {("b", uid, field): size for uid in range(5) for field, size in {"body": (500, 500), "empty": (0, 0), "": (3, 2), None: (0, 0)}.items()}
+    assert got == want | {("b", 9, None): (0, 0), ("c", 1, None): (0, 0)}
+    assert index.forward[0].table.count() == len(got)
+    assert index.keys.count() == 7 and index.postings.count() == 5 * 502
