@@ -18,9 +18,9 @@ at least ``RECALL`` of such pairs meet; closer pairs meet more often. Segments g
 of the number of texts, which keeps chance meetings per text constant.
 
 Equal shingle sets are one node, so copies are one row whatever their number. Under a key that more than ``HOT``
-nodes share (a large group of near copies), all are compared with one pivot first. Those that are similar to it are
-linked through it and are not compared with each other again; all others meet everyone. Components stay the same, and
-a group of n near copies costs in proportion to n.
+nodes share (a group of near copies), all are compared with one pivot first (the node that shares most keys), and groups are formed of the links found.
+Then only those meet that are in different groups and not both in groups of their pivots, by their rare shingles: similar
+sets share one near the start of both, if shingles are ordered by how few sets hold them. Groups stay the same.
 
 Defined results: null and blank texts are one node, equal to each other and to nothing else. Texts of
 fewer words than a shingle are one shingle. Null ids come last in their group. Repeated rows are copies. Very
@@ -52,7 +52,7 @@ RECALL = 0.93
 PROBES = 8
 SHARE = 0.21
 LINKS = 3
-HOT = 1000
+HOT = 1
 BLOCK = 1 << 12
 TEXTS = 256
 # Widths of segments; two of them and a count of flips share one number.
@@ -194,10 +194,61 @@ def _chain_holds(plan: Plan) -> Column:
     return (first <= plan.budget(1)) & (second <= plan.budget(2)) & (third <= plan.budget(LINKS))
 
 
-def _meetings(kept: DataFrame, asked: DataFrame, plan: Plan) -> DataFrame:
-    """(a, b), a < b, whose chain holds."""
-    pairs = kept.join(asked, "key").filter(F.col("x") != F.col("y")).filter(_chain_holds(plan))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+def _pair() -> list[Column]:
+    return [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")]
+
+
+def _sets(wanted: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, hashes): the shingle sets of ``wanted(node)``."""
+    named = wanted.join(nodes, "node").select("node", F.col("first._row").alias("_row"), F.col("first._id").alias("_id"))
+    found = texts.alias("l").join(named.alias("r"), same_row("l", "r", "_row", "_id")).select("r.node", "l._text")
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, text in zip(batch.column(0), batch.column(1).cast(pa.binary()), strict=True):
+                hashes = shingle_set(text.as_py()).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([node.as_py()], pa.int64()), pa.array([hashes], pa.list_(pa.int64()))], names=["node", "hashes"]
+                )
+
+    # Rows that repeat have equal sets.
+    return stored(found.mapInArrow(build, "node bigint, hashes array<bigint>"), "wide-sets").dropDuplicates(["node"])
+
+
+def _sharing_rare(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): all pairs of ``members(node, root, free)`` that may be similar, of different roots and at least one free.
+
+    Sets are ordered by how few of them hold a shingle. The first shingle that two similar sets share lies near the
+    start of both: at most a ninth of the smaller one and a fifth of the larger one come before it (prefix filter), and
+    what follows it in both has to suffice (positional filter). No pair of ``SIMILARITY`` is lost.
+    """
+    each = sets.select("node", F.explode("hashes").alias("hash"))
+    ordered = (
+        each.join(each.groupBy("hash").agg(F.count("*").alias("held")), "hash")
+        .groupBy("node")
+        .agg(F.sort_array(F.collect_list(F.struct("held", "hash"))).alias("entries"))
+        .withColumn("n", F.size("entries"))
+        .join(members, "node")
+    )
+
+    def starts(share: float, name: str) -> DataFrame:
+        long = (F.col("n") - F.ceil(F.col("n") * share - 1e-6) + 1).cast("int")
+        return ordered.select(
+            F.col("node").alias(name),
+            *[F.col(c).alias(f"{name}_{c}") for c in ("n", "root", "free")],
+            F.posexplode(F.slice("entries", 1, long)).alias(f"{name}_at", "entry"),
+        ).select("*", "entry.hash").drop("entry")
+
+    needed = SIMILARITY / (1 + SIMILARITY) * (F.col("x_n") + F.col("y_n")) - 1e-6
+    after = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
+    return (
+        starts(2 * SIMILARITY / (1 + SIMILARITY), "x")
+        .join(starts(SIMILARITY, "y"), "hash")
+        .filter((F.col("x_n") <= F.col("y_n")) & (F.col("x_root") != F.col("y_root")))
+        .filter((F.col("x_free") | F.col("y_free")) & (after >= needed))
+        .select(*_pair())
+        .distinct()
+    )
 
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
@@ -214,20 +265,7 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, plan: Plan)
         .select("a", "b"),
         "wide-near",
     )
-    wanted = near.select(F.col("a").alias("node")).union(near.select("b")).distinct().join(nodes, "node")
-    named = wanted.select("node", F.col("first._row").alias("_row"), F.col("first._id").alias("_id"))
-    found = texts.alias("l").join(named.alias("r"), same_row("l", "r", "_row", "_id")).select("r.node", "l._text")
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for node, text in zip(batch.column(0), batch.column(1).cast(pa.binary()), strict=True):
-                hashes = shingle_set(text.as_py()).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([node.as_py()], pa.int64()), pa.array([hashes], pa.list_(pa.int64()))], names=["node", "hashes"]
-                )
-
-    # Rows that repeat have equal sets.
-    sets = stored(found.mapInArrow(build, "node bigint, hashes array<bigint>"), "wide-sets").dropDuplicates(["node"])
+    sets = _sets(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), nodes, texts)
     common = F.size(F.array_intersect("l", "r"))
     return (
         near.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("l")), "a")
@@ -238,36 +276,46 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, plan: Plan)
 
 
 def links(nodes: DataFrame, texts: DataFrame, plan: Plan, hot_above: int = HOT) -> DataFrame:
-    """(a, b): similar ``nodes(node, first, segments, probes)``; in hot keys enough of them to connect all.
+    """(a, b): similar ``nodes(node, first, segments, probes)``; in hot keys enough of them to connect what is.
 
     ``texts(_row, _id, _text)`` holds the row ``first`` of each node.
     """
     kept, asked = _met(nodes, "segments", 1, plan, "x"), _met(nodes, "probes", PROBES, plan, "y")
+    crowded = kept.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > hot_above)
+    held = stored(kept.select("key", "x").join(crowded, "key"), "wide-held")
+    # The pivot is the node that shares most: near copies have most in common with the text they come from.
+    shares = held.groupBy("x").agg(F.sum("n").alias("shared"))
     hot = stored(
-        kept.groupBy("key").agg(F.count("*").alias("n"), F.min("x").alias("pivot")).filter(F.col("n") > hot_above).select("key", "pivot"),
-        "wide-hot",
+        held.join(shares, "x").groupBy("key").agg(F.max_by("x", F.struct("shared", -F.col("x"))).alias("pivot")), "wide-hot"
+    )
+    # Everyone under a hot key meets its pivot alone, whatever the chain says: the pair is confirmed or not.
+    is_hot = F.col("pivot").isNotNull()
+    stands = kept.join(hot, "key", "left").filter(F.col("pivot").isNull() | (F.col("pivot") == F.col("x")))
+    met = stored(
+        stands.join(asked, "key")
+        .filter((F.col("x") != F.col("y")) & (is_hot | _chain_holds(plan)))
+        .select(*_pair(), F.when(is_hot, F.col("key")).alias("key"), "y"),
+        "wide-met",
     )
+    first = stored(confirmed(met.select("a", "b"), nodes, texts, plan), "wide-first")
     if hot.isEmpty():
-        return stored(confirmed(stored(_meetings(kept, asked, plan), "wide-met"), nodes, texts, plan), "wide-links")
-    # Everyone under a hot key meets its pivot, whatever the chain says: the pair is confirmed or not.
-    here = kept.select("key", F.col("x").alias("node")).union(asked.select("key", F.col("y").alias("node")))
-    under = stored(here.join(hot, "key").filter(F.col("node") != F.col("pivot")).distinct(), "wide-under")
-    pair = (F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-    tied = stored(confirmed(under.select(*pair), nodes, texts, plan), "wide-tied")
-    through = stored(under.select("key", "node", *pair).join(tied, ["a", "b"]).select("key", "node"), "wide-through")
-
-    def split(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        known = through.withColumnRenamed("node", name)
-        return rows.join(known, ["key", name], "left_anti"), rows.join(known, ["key", name], "left_semi")
-
-    kept_free, kept_tied = split(kept, "x")
-    asked_free, asked_tied = split(asked, "y")
-    met = (
-        _meetings(kept_free, asked_free, plan)
-        .union(_meetings(kept_tied, asked_free, plan))
-        .union(_meetings(kept_free, asked_tied, plan))
+        return first
+    # Who is in one group with the pivot, by whatever links, meets the others only; those of one group meet no more.
+    roots = stored(connected(first), "wide-roots")
+    pivot = F.when(F.col("a") == F.col("y"), F.col("b")).otherwise(F.col("a")).alias("pivot")
+    under = met.filter("key is not null").select("y", pivot)
+    for name in ("y", "pivot"):
+        found = roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
+        under = under.join(found, name, "left").withColumn(f"{name}_root", F.coalesce(f"{name}_root", name))
+    apart = F.col("y_root") != F.col("pivot_root")
+    members = stored(
+        under.groupBy(F.col("y").alias("node"), F.col("y_root").alias("root")).agg(F.max(apart).alias("free")), "wide-members"
     )
-    return stored(confirmed(stored(met, "wide-met"), nodes, texts, plan).union(tied), "wide-links")
+    if members.filter("free").isEmpty():
+        return first
+    sets = _sets(members.select("node"), nodes, texts)
+    again = stored(_sharing_rare(members, sets).join(met, ["a", "b"], "left_anti"), "wide-again")
+    return stored(confirmed(again, nodes, texts, plan).union(first), "wide-links")
 
 
 def rooted(names: DataFrame, hot_above: int = HOT) -> DataFrame:

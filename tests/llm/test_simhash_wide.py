@@ -131,3 +131,19 @@ def test_plans_keep_their_recall():
     plans = [simhash_wide.plan_for(n) for n in (0, 1, 10**7, 10**9, 10**12)]
     assert [p.bits for p in plans] == [24, 24, 24, 28, 28]
     assert all(a.segments <= b.segments for a, b in zip(plans, plans[1:]))
+
+
+def test_near_copies_meet_in_proportion(spark, monkeypatch):
+    """Copies of a text, each changed in one place, are no more pairs to confirm than they have probes."""
+    confirmed, met = simhash_wide.confirmed, []
+
+    def counting(pairs, *more):
+        met.append(pairs.distinct().count())
+        return confirmed(pairs, *more)
+
+    monkeypatch.setattr(simhash_wide, "confirmed", counting)
+    rng = random.Random(5)
+    n, words = 800, [str(rng.getrandbits(40)) for _ in range(200)]
+    texts = [" ".join([*words[: i % 200], f"new{i}", *words[i % 200 + 1 :]]) for i in range(n)]
+    assert simhash_wide.one_of_each(spark.createDataFrame(list(enumerate(texts)), DOCS)).count() == 1
+    assert sum(met) <= simhash_wide.plan_for(n).segments * simhash_wide.PROBES * n
