@@ -19,8 +19,10 @@ of the number of texts, which keeps chance meetings per text constant.
 
 Equal shingle sets are one node, so copies are one row whatever their number. Under a key that more than ``HOT``
 nodes share (a group of near copies), all are compared with one pivot first (the node that shares most keys), and groups are formed of the links found.
-Then only those meet that are in different groups and not both in groups of their pivots, by their rare shingles: similar
-sets share one near the start of both, if shingles are ordered by how few sets hold them. Groups stay the same.
+Then only those meet that are in different groups and not both in groups of their pivots. Under one key they meet as they
+are. By their rare shingles, whatever their keys, all meet whose sets were built for the first comparison (chance meetings
+are not among them), and all of keys where the pairs would be more than ``WORK`` times the nodes: similar sets share a
+shingle near the start of both, if shingles are ordered by how few sets hold them. Groups stay the same.
 
 Defined results: null and blank texts are one node, equal to each other and to nothing else. Texts of
 fewer words than a shingle are one shingle. Null ids come last in their group. Repeated rows are copies. Very
@@ -38,6 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from lettersieve.llm.common import free_name, row_hash, same_row, ships_its_code
 from lettersieve.llm.components import connected
@@ -53,6 +56,7 @@ PROBES = 8
 SHARE = 0.21
 LINKS = 3
 HOT = 1
+WORK = 64
 BLOCK = 1 << 12
 TEXTS = 256
 # Widths of segments; two of them and a count of flips share one number.
@@ -62,6 +66,8 @@ _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuv
 # Sets of flips, by position among the bits in order of their cost, of which the cheapest PROBES are always some.
 _FLIPS = [(), (0,), (1,), (2,), (3,), (4,), (5,), (6,), (0, 1), (0, 2), (0, 3), (1, 2), (0, 1, 2)]
 _FLIP_BITS = 7
+# A segment's probes are one number: the places of the cheapest bits, then which sets of flips are used.
+_PLACE = 5
 
 
 @dataclass(frozen=True)
@@ -122,7 +128,7 @@ def bit_sums(hashes: np.ndarray, plan: Plan) -> np.ndarray:
 
 
 def ring_and_probes(sums: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
-    """(segments, probes) of texts with the given sums: (texts, segments) and (texts, segments, PROBES)."""
+    """(segments, probes) of texts with the given sums, (texts, segments) both; ``_probe_of`` reads the probes."""
     sums = sums.reshape(-1, plan.segments, plan.bits)
     weight = np.int64(1) << np.arange(plan.bits, dtype=np.int64)
     own = (sums > 0) @ weight
@@ -131,12 +137,26 @@ def ring_and_probes(sums: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarra
     a = np.abs(sums) * rho / math.sqrt(1 - rho * rho)
     cost = 1.5976 * a + 0.07056 * a**3
     order = np.argsort(cost, axis=2, kind="stable")[:, :, :_FLIP_BITS]
-    cheap, bit = np.take_along_axis(cost, order, axis=2), weight[order]
+    cheap = np.take_along_axis(cost, order, axis=2)
     member = np.array([[i in flips for flips in _FLIPS] for i in range(_FLIP_BITS)])
-    total, mask = cheap @ member, bit @ member.astype(np.int64)
     # The empty set costs nothing and comes first in any order that keeps ties.
-    best = np.argsort(total, axis=2, kind="stable")[:, :, :PROBES]
-    return own, own[:, :, None] ^ np.take_along_axis(mask, best, axis=2)
+    best = np.argsort(cheap @ member, axis=2, kind="stable")[:, :, :PROBES]
+    places = (order << (_PLACE * np.arange(_FLIP_BITS))).sum(axis=2)
+    return own, places + (np.int64(1) << (_PLACE * _FLIP_BITS + best)).sum(axis=2)
+
+
+def _probe_of(i: int, own: Column, probes: Column) -> Column:
+    """The variant of ``own`` by the i-th set of flips; null if the segment does not ask for it."""
+
+    def bit(j: int) -> Column:
+        place = F.shiftright(probes, _PLACE * j).bitwiseAND(F.lit((1 << _PLACE) - 1).cast("bigint")).cast("int")
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+
+    asked = F.shiftright(probes, _PLACE * _FLIP_BITS + i).bitwiseAND(F.lit(1).cast("bigint")) == 1
+    value = own
+    for j in _FLIPS[i]:
+        value = value.bitwiseXOR(bit(j))
+    return F.when(asked, value)
 
 
 def printed(names: DataFrame, plan: Plan) -> DataFrame:
@@ -158,28 +178,28 @@ def printed(names: DataFrame, plan: Plan) -> DataFrame:
                         batch.column(1),
                         pa.array(called),
                         pa.array(list(own.astype(np.int32)), pa.list_(pa.int32())),
-                        pa.array(list(probes.reshape(len(own), -1).astype(np.int32)), pa.list_(pa.int32())),
+                        pa.array(list(probes), pa.list_(pa.int64())),
                     ],
                     names=["_row", "_id", "name", "segments", "probes"],
                 )
 
     kind = names.schema["_id"].dataType.simpleString()
-    return names.mapInArrow(run, f"_row bigint, _id {kind}, name string, segments array<int>, probes array<int>")
+    return names.mapInArrow(run, f"_row bigint, _id {kind}, name string, segments array<int>, probes array<bigint>")
 
 
-def _met(nodes: DataFrame, values: str, per_segment: int, plan: Plan, name: str) -> DataFrame:
+def _met(nodes: DataFrame, probing: bool, plan: Plan, name: str) -> DataFrame:
     """(key, node as ``name``, and as ``{name}_next``: flips in the key, the two segments that follow)."""
-    each = nodes.select(F.col("node").alias(name), "segments", F.posexplode(values).alias("p", "v")).withColumn(
-        "s", F.floor(F.col("p") / per_segment).cast("int")
-    )
 
     def at(i: int) -> Column:
         return F.get("segments", F.pmod(F.col("s") + i, F.lit(plan.segments))).cast("bigint")
 
-    flips = F.bit_count(at(0).bitwiseXOR(F.col("v").cast("bigint"))).cast("bigint")
+    each = nodes.select(F.col("node").alias(name), "segments", F.posexplode("probes").alias("s", "probes"))
+    values = [_probe_of(i, at(0), F.col("probes")) for i in range(len(_FLIPS))] if probing else [at(0)]
+    each = each.select(name, "segments", "s", F.explode(F.array(*values)).alias("v")).filter("v is not null")
+    flips = F.bit_count(at(0).bitwiseXOR(F.col("v"))).cast("bigint")
     chain = F.shiftleft(flips, 2 * MOST_BITS).bitwiseOR(F.shiftleft(at(1), MOST_BITS)).bitwiseOR(at(2))
     return each.select(
-        F.shiftleft(F.col("s").cast("bigint"), 32).bitwiseOR(F.col("v").cast("bigint")).alias("key"),
+        F.shiftleft(F.col("s").cast("bigint"), 32).bitwiseOR(F.col("v")).alias("key"),
         name,
         chain.alias(f"{name}_next"),
     )
@@ -200,7 +220,13 @@ def _pair() -> list[Column]:
 
 def _sets(wanted: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, hashes): the shingle sets of ``wanted(node)``."""
-    named = wanted.join(nodes, "node").select("node", F.col("first._row").alias("_row"), F.col("first._id").alias("_id"))
+    # A table of its own: Spark knows its size, and texts are not shuffled for a few names.
+    named = stored(
+        wanted.join(nodes.select("node", "first"), "node").select(
+            "node", F.col("first._row").alias("_row"), F.col("first._id").alias("_id")
+        ),
+        "wide-wanted",
+    )
     found = texts.alias("l").join(named.alias("r"), same_row("l", "r", "_row", "_id")).select("r.node", "l._text")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,22 +248,25 @@ def _sharing_rare(members: DataFrame, sets: DataFrame) -> DataFrame:
     start of both: at most a ninth of the smaller one and a fifth of the larger one come before it (prefix filter), and
     what follows it in both has to suffice (positional filter). No pair of ``SIMILARITY`` is lost.
     """
-    each = sets.select("node", F.explode("hashes").alias("hash"))
-    ordered = (
-        each.join(each.groupBy("hash").agg(F.count("*").alias("held")), "hash")
-        .groupBy("node")
+    each = sets.join(members, "node", "left_semi").select("node", F.size("hashes").alias("n"), F.explode("hashes").alias("hash"))
+    # What one set alone holds comes first in its order, and is only counted.
+    common = each.withColumn("held", F.count("*").over(W.partitionBy("hash"))).filter("held > 1")
+    ordered = stored(
+        common.groupBy("node", "n")
         .agg(F.sort_array(F.collect_list(F.struct("held", "hash"))).alias("entries"))
-        .withColumn("n", F.size("entries"))
-        .join(members, "node")
+        .withColumn("alone", F.col("n") - F.size("entries"))
+        .join(members, "node"),
+        "wide-rare",
     )
 
     def starts(share: float, name: str) -> DataFrame:
-        long = (F.col("n") - F.ceil(F.col("n") * share - 1e-6) + 1).cast("int")
-        return ordered.select(
-            F.col("node").alias(name),
-            *[F.col(c).alias(f"{name}_{c}") for c in ("n", "root", "free")],
-            F.posexplode(F.slice("entries", 1, long)).alias(f"{name}_at", "entry"),
-        ).select("*", "entry.hash").drop("entry")
+        long = F.col("n") - F.ceil(F.col("n") * share - 1e-6) + 1
+        return (
+            ordered.select("*", F.posexplode("entries").alias("at", "entry"))
+            .withColumn("at", F.col("at") + F.col("alone"))
+            .filter(F.col("at") < long)
+            .select("entry.hash", *[F.col(c).alias(f"{name}_{c}") for c in ("n", "root", "free", "at")], F.col("node").alias(name))
+        )
 
     needed = SIMILARITY / (1 + SIMILARITY) * (F.col("x_n") + F.col("y_n")) - 1e-6
     after = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
@@ -251,8 +280,8 @@ def _sharing_rare(members: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
-    """The ``pairs(a, b)`` within the Hamming budget whose shingle sets are similar enough."""
+def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
+    """The ``pairs(a, b)`` within the Hamming budget whose shingle sets are similar enough; the sets (node, hashes) they took."""
     ring = nodes.select("node", "segments")
     apart = F.aggregate(
         F.zip_with("l", "r", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
@@ -267,12 +296,13 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, plan: Plan)
     )
     sets = _sets(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), nodes, texts)
     common = F.size(F.array_intersect("l", "r"))
-    return (
+    similar = (
         near.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("l")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("r")), "b")
         .filter(common >= SIMILARITY * (F.size("l") + F.size("r") - common))
         .select("a", "b")
     )
+    return similar, sets
 
 
 def links(nodes: DataFrame, texts: DataFrame, plan: Plan, hot_above: int = HOT) -> DataFrame:
@@ -280,7 +310,7 @@ def links(nodes: DataFrame, texts: DataFrame, plan: Plan, hot_above: int = HOT)
 
     ``texts(_row, _id, _text)`` holds the row ``first`` of each node.
     """
-    kept, asked = _met(nodes, "segments", 1, plan, "x"), _met(nodes, "probes", PROBES, plan, "y")
+    kept, asked = _met(nodes, False, plan, "x"), _met(nodes, True, plan, "y")
     crowded = kept.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > hot_above)
     held = stored(kept.select("key", "x").join(crowded, "key"), "wide-held")
     # The pivot is the node that shares most: near copies have most in common with the text they come from.
@@ -297,25 +327,59 @@ def links(nodes: DataFrame, texts: DataFrame, plan: Plan, hot_above: int = HOT)
         .select(*_pair(), F.when(is_hot, F.col("key")).alias("key"), "y"),
         "wide-met",
     )
-    first = stored(confirmed(met.select("a", "b"), nodes, texts, plan), "wide-first")
+    similar, sets = confirmed(met.select("a", "b"), nodes, texts, plan)
+    first = stored(similar, "wide-first")
     if hot.isEmpty():
         return first
     # Who is in one group with the pivot, by whatever links, meets the others only; those of one group meet no more.
     roots = stored(connected(first), "wide-roots")
+    under = stored(_under_hot(met, held, roots), "wide-under")
+    by_key = under.groupBy("key").agg(
+        F.count("*").alias("n"), *[F.count_if(F.expr(c)).alias(name) for c, name in (("free", "f"), ("kept", "k"), ("kept and free", "kf"))]
+    )
+    meeting = by_key.filter("k * f > 0").withColumn("costly", F.expr(f"kf * n + (k - kf) * f > {WORK} * n"))
+    left = under.join(meeting.select("key", "costly"), "key")
+    # Chance meetings have no sets yet; only a costly key needs them.
+    crowd = stored(left.filter("costly").select("node").distinct().join(sets, "node", "left_anti"), "wide-crowd")
+    if not crowd.isEmpty():
+        sets = sets.union(_sets(crowd, nodes, texts))
+    members = stored(
+        under.groupBy("node", "root").agg(F.max("free").alias("free")).join(sets.select("node"), "node", "left_semi"),
+        "wide-members",
+    )
+    again = stored(
+        _of_one_key(left.filter("not costly")).union(_sharing_rare(members, sets)).distinct().join(met, ["a", "b"], "left_anti"),
+        "wide-again",
+    )
+    if again.isEmpty():
+        return first
+    return stored(confirmed(again, nodes, texts, plan)[0].union(first), "wide-links")
+
+
+def _under_hot(met: DataFrame, held: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, node, root, free, kept): who met the pivot of a hot key, whether outside its group, whether stored there."""
     pivot = F.when(F.col("a") == F.col("y"), F.col("b")).otherwise(F.col("a")).alias("pivot")
-    under = met.filter("key is not null").select("y", pivot)
+    under = met.filter("key is not null").select("key", "y", pivot)
     for name in ("y", "pivot"):
         found = roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
         under = under.join(found, name, "left").withColumn(f"{name}_root", F.coalesce(f"{name}_root", name))
-    apart = F.col("y_root") != F.col("pivot_root")
-    members = stored(
-        under.groupBy(F.col("y").alias("node"), F.col("y_root").alias("root")).agg(F.max(apart).alias("free")), "wide-members"
+    stands = held.select("key", F.col("x").alias("y"), F.lit(True).alias("stands"))
+    return under.join(stands, ["key", "y"], "left").select(
+        "key",
+        F.col("y").alias("node"),
+        F.col("y_root").alias("root"),
+        (F.col("y_root") != F.col("pivot_root")).alias("free"),
+        F.col("stands").isNotNull().alias("kept"),
     )
-    if members.filter("free").isEmpty():
-        return first
-    sets = _sets(members.select("node"), nodes, texts)
-    again = stored(_sharing_rare(members, sets).join(met, ["a", "b"], "left_anti"), "wide-again")
-    return stored(confirmed(again, nodes, texts, plan).union(first), "wide-links")
+
+
+def _of_one_key(under: DataFrame) -> DataFrame:
+    """(a, b): what is stored under a key and what asks for it, in different groups and not both in the pivot's."""
+    x = under.filter("kept").select("key", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("free").alias("x_free"))
+    y = under.select("key", F.col("node").alias("y"), F.col("root").alias("y_root"), F.col("free").alias("y_free"))
+    apart = F.col("x_root") != F.col("y_root")
+    met = [x.filter("x_free").join(y, "key"), x.filter("not x_free").join(y.filter("y_free"), "key")]
+    return met[0].filter(apart).select(*_pair()).union(met[1].filter(apart).select(*_pair()))
 
 
 def rooted(names: DataFrame, hot_above: int = HOT) -> DataFrame:

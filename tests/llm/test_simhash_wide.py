@@ -147,3 +147,63 @@ def test_near_copies_meet_in_proportion(spark, monkeypatch):
     texts = [" ".join([*words[: i % 200], f"new{i}", *words[i % 200 + 1 :]]) for i in range(n)]
     assert simhash_wide.one_of_each(spark.createDataFrame(list(enumerate(texts)), DOCS)).count() == 1
     assert sum(met) <= simhash_wide.plan_for(n).segments * simhash_wide.PROBES * n
+
+
+def test_chance_meetings_need_no_texts(spark, monkeypatch):
+    """Unrelated texts that happen to share keys are told apart by their fingerprints; their shingles are not moved."""
+    sets, wanted = simhash_wide._sets, []
+
+    def counting(nodes_wanted, *more):
+        wanted.append(nodes_wanted.count())
+        return sets(nodes_wanted, *more)
+
+    monkeypatch.setattr(simhash_wide, "_sets", counting)
+    monkeypatch.setattr(simhash_wide, "LEAST_BITS", 14)
+    rng = random.Random(8)
+    texts = [" ".join(str(rng.getrandbits(40)) for _ in range(20)) for _ in range(1500)]
+    assert simhash_wide.one_of_each(spark.createDataFrame(list(enumerate(texts)), DOCS)).count() == 1500
+    assert sum(wanted) <= 150
+
+
+@pytest.mark.parametrize("work", [0, 64])
+def test_groups_under_costly_keys(spark, monkeypatch, work):
+    """Texts that share much and chains of near copies of them: the same groups by keys and by rare shingles."""
+    monkeypatch.setattr(simhash_wide, "WORK", work)
+    rng = random.Random(21)
+    base, texts = [str(rng.getrandbits(40)) for _ in range(200)], []
+    for family in range(6):
+        words = list(base)
+        for at in rng.sample(range(0, 200, 5), 9):
+            words[at] = f"f{family}w{at}"
+        for step in range(12):
+            near = list(words)
+            near[rng.randrange(200)] = f"y{family}s{step}"
+            texts.append(" ".join(near))
+            if step % 4 == 3:
+                words[rng.randrange(200)] = f"z{family}s{step}"
+    roots = plain_roots([plain_set(t) for t in texts])
+    assert len(set(roots)) > 1
+    got = simhash_wide.one_of_each(spark.createDataFrame(list(enumerate(texts)), DOCS))
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(set(roots))
+
+
+def test_probes_are_the_cheapest_variants(spark):
+    rng = random.Random(2)
+    plan = simhash_wide.plan_for(10)
+    sums = [[rng.gauss(0, 1) for _ in range(plan.segments * plan.bits)] for _ in range(3)]
+    own, probes = simhash_wide.ring_and_probes(simhash_wide.np.array(sums), plan)
+    rows = [(i, own[i].tolist(), probes[i].tolist()) for i in range(3)]
+    nodes = spark.createDataFrame(rows, "node bigint, segments array<int>, probes array<bigint>")
+    got = {}
+    for r in simhash_wide._met(nodes, True, plan, "y").collect():
+        got.setdefault((r["y"], r["key"] >> 32), []).append(r["key"] & (1 << 32) - 1)
+    rho = 1.6 / 1.8
+    for (i, s), values in got.items():
+        part = sums[i][s * plan.bits : (s + 1) * plan.bits]
+        a = [abs(x) * rho / (1 - rho * rho) ** 0.5 for x in part]
+        cost = [1.5976 * x + 0.07056 * x**3 for x in a]
+        total = {v: sum(c for k, c in enumerate(cost) if (v ^ int(own[i][s])) >> k & 1) for v in values}
+        assert len(values) == len(set(values)) == simhash_wide.PROBES and int(own[i][s]) in values
+        singles = sorted(cost)
+        assert max(total.values()) <= singles[simhash_wide.PROBES - 2] + 1e-9
+    assert len(got) == 3 * plan.segments
