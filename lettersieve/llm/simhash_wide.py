@@ -218,6 +218,11 @@ def _pair() -> list[Column]:
     return [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")]
 
 
+def _other(name: str) -> Column:
+    """The node of the pair (a, b) that is not ``name``."""
+    return F.when(F.col("a") == F.col(name), F.col("b")).otherwise(F.col("a"))
+
+
 def _sets(wanted: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, hashes): the shingle sets of ``wanted(node)``."""
     # A table of its own: Spark knows its size, and texts are not shuffled for a few names.
@@ -238,7 +243,7 @@ def _sets(wanted: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
                 )
 
     # Rows that repeat have equal sets.
-    return stored(found.mapInArrow(build, "node bigint, hashes array<bigint>"), "wide-sets").dropDuplicates(["node"])
+    return stored(found.mapInArrow(build, "node bigint, hashes array<bigint>").dropDuplicates(["node"]), "wide-sets")
 
 
 def _sharing_rare(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -280,13 +285,13 @@ def _sharing_rare(members: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
-    """The ``pairs(a, b)`` within the Hamming budget whose shingle sets are similar enough; the sets (node, hashes) they took."""
+def _near(pairs: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
+    """The ``pairs(a, b)`` within the Hamming budget."""
     ring = nodes.select("node", "segments")
     apart = F.aggregate(
         F.zip_with("l", "r", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
     )
-    near = stored(
+    return stored(
         pairs.distinct()
         .join(ring.select(F.col("node").alias("a"), F.col("segments").alias("l")), "a")
         .join(ring.select(F.col("node").alias("b"), F.col("segments").alias("r")), "b")
@@ -294,15 +299,33 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, plan: Plan)
         .select("a", "b"),
         "wide-near",
     )
-    sets = _sets(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), nodes, texts)
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
+def confirmed(near: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs of ``near(a, b)`` whose shingle sets are similar enough; ``sets(node, hashes)`` holds those of all."""
     common = F.size(F.array_intersect("l", "r"))
-    similar = (
+    return (
         near.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("l")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("r")), "b")
         .filter(common >= SIMILARITY * (F.size("l") + F.size("r") - common))
         .select("a", "b")
     )
-    return similar, sets
+
+
+def _ahead(met: DataFrame) -> DataFrame:
+    """(a, b) of ``met`` to compare first: what is under no hot key, and each node with its best pivot."""
+    under = met.filter("key is not null")
+    best = under.groupBy("y").agg(F.max(F.struct("shared", (-_other("y")).alias("less"))).alias("best"))
+    return (
+        met.filter("key is null")
+        .select("a", "b")
+        .union(best.select(F.col("y"), (-F.col("best.less")).alias("x")).select(*_pair()))
+        .distinct()
+    )
 
 
 def links(nodes: DataFrame, texts: DataFrame, plan: Plan, hot_above: int = HOT) -> DataFrame:
@@ -316,50 +339,78 @@ def links(nodes: DataFrame, texts: DataFrame, plan: Plan, hot_above: int = HOT)
     # The pivot is the node that shares most: near copies have most in common with the text they come from.
     shares = held.groupBy("x").agg(F.sum("n").alias("shared"))
     hot = stored(
-        held.join(shares, "x").groupBy("key").agg(F.max_by("x", F.struct("shared", -F.col("x"))).alias("pivot")), "wide-hot"
+        held.join(shares, "x")
+        .groupBy("key")
+        .agg(F.max(F.struct("shared", (-F.col("x")).alias("less"))).alias("best"))
+        .select("key", (-F.col("best.less")).alias("pivot"), "best.shared"),
+        "wide-hot",
     )
-    # Everyone under a hot key meets its pivot alone, whatever the chain says: the pair is confirmed or not.
+    # Everyone under a hot key meets its pivot alone, whatever the chain says.
     is_hot = F.col("pivot").isNotNull()
     stands = kept.join(hot, "key", "left").filter(F.col("pivot").isNull() | (F.col("pivot") == F.col("x")))
     met = stored(
         stands.join(asked, "key")
         .filter((F.col("x") != F.col("y")) & (is_hot | _chain_holds(plan)))
-        .select(*_pair(), F.when(is_hot, F.col("key")).alias("key"), "y"),
+        .select(*_pair(), F.when(is_hot, F.col("key")).alias("key"), "y", "shared"),
         "wide-met",
     )
-    similar, sets = confirmed(met.select("a", "b"), nodes, texts, plan)
-    first = stored(similar, "wide-first")
-    if hot.isEmpty():
+    ahead = stored(_ahead(met), "wide-ahead")
+    near = _near(ahead, nodes, plan)
+    some_hot = not hot.isEmpty()
+    if some_hot:
+        # Nodes that are near others get their sets; two of them need not be compared here, they meet by rare shingles.
+        rest = met.select("a", "b").distinct().join(ahead, ["a", "b"], "left_anti")
+        single = [rest.join(_ends(near).withColumnRenamed("node", c), c, "left_anti").select("a", "b") for c in ("a", "b")]
+        near = near.union(_near(single[0].union(single[1]), nodes, plan))
+    sets = _sets(_ends(near), nodes, texts)
+    first = stored(confirmed(near, sets), "wide-first")
+    if not some_hot:
         return first
     # Who is in one group with the pivot, by whatever links, meets the others only; those of one group meet no more.
     roots = stored(connected(first), "wide-roots")
-    under = stored(_under_hot(met, held, roots), "wide-under")
+    built = sets.select("node", F.lit(True).alias("built"))
+    under = stored(
+        _under_hot(met, held, roots).join(built, "node", "left").withColumn("built", F.col("built").isNotNull()), "wide-under"
+    )
     by_key = under.groupBy("key").agg(
-        F.count("*").alias("n"), *[F.count_if(F.expr(c)).alias(name) for c, name in (("free", "f"), ("kept", "k"), ("kept and free", "kf"))]
+        F.count("*").alias("n"),
+        *[F.count_if(F.expr(c)).alias(name) for c, name in (("not built", "u"), ("kept", "k"), ("kept and not built", "ku"))],
     )
-    meeting = by_key.filter("k * f > 0").withColumn("costly", F.expr(f"kf * n + (k - kf) * f > {WORK} * n"))
-    left = under.join(meeting.select("key", "costly"), "key")
     # Chance meetings have no sets yet; only a costly key needs them.
-    crowd = stored(left.filter("costly").select("node").distinct().join(sets, "node", "left_anti"), "wide-crowd")
+    meeting = by_key.filter("k * u > 0").withColumn("costly", F.expr(f"ku * n + (k - ku) * u > {WORK} * u"))
+    left = under.join(meeting.select("key", "costly"), "key")
+    crowd = stored(left.filter("costly and not built").select("node").distinct(), "wide-crowd")
     if not crowd.isEmpty():
         sets = sets.union(_sets(crowd, nodes, texts))
+    pivots = under.select(F.col("pivot").alias("node"), F.col("pivot_root").alias("root"), F.lit(False).alias("free"))
     members = stored(
-        under.groupBy("node", "root").agg(F.max("free").alias("free")).join(sets.select("node"), "node", "left_semi"),
+        under.select("node", "root", "free")
+        .union(pivots)
+        .groupBy("node", "root")
+        .agg(F.max("free").alias("free"))
+        .join(sets.select("node"), "node", "left_semi"),
         "wide-members",
     )
+    # What met and has no sets was found too far apart.
     again = stored(
-        _of_one_key(left.filter("not costly")).union(_sharing_rare(members, sets)).distinct().join(met, ["a", "b"], "left_anti"),
+        _of_one_key(left.filter("not costly"))
+        .join(met, ["a", "b"], "left_anti")
+        .union(_sharing_rare(members, sets).join(near, ["a", "b"], "left_anti"))
+        .distinct(),
         "wide-again",
     )
     if again.isEmpty():
         return first
-    return stored(confirmed(again, nodes, texts, plan)[0].union(first), "wide-links")
+    found = _near(again, nodes, plan)
+    lacking = stored(_ends(found).join(sets.select("node"), "node", "left_anti"), "wide-lacking")
+    if not lacking.isEmpty():
+        sets = sets.union(_sets(lacking, nodes, texts))
+    return stored(confirmed(found, sets).union(first), "wide-links")
 
 
 def _under_hot(met: DataFrame, held: DataFrame, roots: DataFrame) -> DataFrame:
-    """(key, node, root, free, kept): who met the pivot of a hot key, whether outside its group, whether stored there."""
-    pivot = F.when(F.col("a") == F.col("y"), F.col("b")).otherwise(F.col("a")).alias("pivot")
-    under = met.filter("key is not null").select("key", "y", pivot)
+    """(key, node, root, pivot, pivot_root, free, kept): who met the pivot of a hot key, whether outside its group, whether stored there."""
+    under = met.filter("key is not null").select("key", "y", _other("y").alias("pivot"))
     for name in ("y", "pivot"):
         found = roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
         under = under.join(found, name, "left").withColumn(f"{name}_root", F.coalesce(f"{name}_root", name))
@@ -368,18 +419,19 @@ def _under_hot(met: DataFrame, held: DataFrame, roots: DataFrame) -> DataFrame:
         "key",
         F.col("y").alias("node"),
         F.col("y_root").alias("root"),
+        "pivot",
+        "pivot_root",
         (F.col("y_root") != F.col("pivot_root")).alias("free"),
         F.col("stands").isNotNull().alias("kept"),
     )
 
 
 def _of_one_key(under: DataFrame) -> DataFrame:
-    """(a, b): what is stored under a key and what asks for it, in different groups and not both in the pivot's."""
-    x = under.filter("kept").select("key", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("free").alias("x_free"))
-    y = under.select("key", F.col("node").alias("y"), F.col("root").alias("y_root"), F.col("free").alias("y_free"))
-    apart = F.col("x_root") != F.col("y_root")
-    met = [x.filter("x_free").join(y, "key"), x.filter("not x_free").join(y.filter("y_free"), "key")]
-    return met[0].filter(apart).select(*_pair()).union(met[1].filter(apart).select(*_pair()))
+    """(a, b): what is stored under a key and what asks for it, at least one of them without a set."""
+    x = under.filter("kept").select("key", F.col("node").alias("x"), F.col("built").alias("x_built"))
+    y = under.select("key", F.col("node").alias("y"), F.col("built").alias("y_built"))
+    met = [x.filter("not x_built").join(y, "key"), x.filter("x_built").join(y.filter("not y_built"), "key")]
+    return met[0].union(met[1]).filter("x != y").select(*_pair()).distinct()
 
 
 def rooted(names: DataFrame, hot_above: int = HOT) -> DataFrame:

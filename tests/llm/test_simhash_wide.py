@@ -149,6 +149,31 @@ def test_near_copies_meet_in_proportion(spark, monkeypatch):
     assert sum(met) <= simhash_wide.plan_for(n).segments * simhash_wide.PROBES * n
 
 
+def test_far_copies_of_one_text_meet_in_proportion(spark, monkeypatch):
+    """Copies with one to nine of 150 words changed, half of them similar to none: few pairs of them are compared."""
+    stored, made = simhash_wide.stored, {"wide-near": 0, "wide-again": 0}
+
+    def counting(df, name="step"):
+        table = stored(df, name)
+        if name in made:
+            made[name] += table.count()
+        return table
+
+    monkeypatch.setattr(simhash_wide, "stored", counting)
+    rng = random.Random(13)
+    n, base, texts = 1000, [str(rng.getrandbits(40)) for _ in range(150)], []
+    for i in range(n):
+        words = list(base)
+        for k, at in enumerate(rng.sample(range(150), 1 + i % 9)):
+            words[at] = rng.choice(["and", "of", "the", "in", f"new{i}x{k}"])
+        texts.append(" ".join(words))
+    firsts = set(plain_roots([plain_set(t) for t in texts]))
+    kept = {r["doc_id"] for r in simhash_wide.one_of_each(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()}
+    assert firsts <= kept and n - len(kept) >= 0.9 * (n - len(firsts))
+    assert 200 < len(firsts) < 800
+    assert sum(made.values()) <= 30 * n, made
+
+
 def test_chance_meetings_need_no_texts(spark, monkeypatch):
     """Unrelated texts that happen to share keys are told apart by their fingerprints; their shingles are not moved."""
     sets, wanted = simhash_wide._sets, []
