@@ -18,11 +18,11 @@ at least ``RECALL`` of such pairs meet; closer pairs meet more often. Segments g
 of the number of texts, which keeps chance meetings per text constant.
 
 Equal shingle sets are one node, so copies are one row whatever their number. Under a key that more than ``HOT``
-nodes share (a group of near copies), all are compared with one pivot first (the node that shares most keys), and groups are formed of the links found.
-Then only those meet that are in different groups and not both in groups of their pivots. Under one key they meet as they
-are. By their rare shingles, whatever their keys, all meet whose sets were built for the first comparison (chance meetings
-are not among them), and all of keys where the pairs would be more than ``WORK`` times the nodes: similar sets share a
-shingle near the start of both, if shingles are ordered by how few sets hold them. Groups stay the same.
+nodes share (a group of near copies), all meet one pivot only (the node that shares most keys). Each node is compared with
+its best pivot first, and with the others unless both it and they were near something by then. What was near something has
+its set built, and all of these that lie in different groups meet by their rare shingles, whatever their keys: similar sets
+share a shingle near the start of both, if shingles are ordered by how few sets hold them. Texts without a set (chance
+meetings) meet all under their key as they are, up to ``WORK`` pairs for each of them; beyond, they get their sets too.
 
 Defined results: null and blank texts are one node, equal to each other and to nothing else. Texts of
 fewer words than a shingle are one shingle. Null ids come last in their group. Repeated rows are copies. Very
@@ -359,19 +359,15 @@ def links(nodes: DataFrame, texts: DataFrame, plan: Plan, hot_above: int = HOT)
     some_hot = not hot.isEmpty()
     if some_hot:
         # Nodes that are near others get their sets; two of them need not be compared here, they meet by rare shingles.
-        rest = met.select("a", "b").distinct().join(ahead, ["a", "b"], "left_anti")
-        single = [rest.join(_ends(near).withColumnRenamed("node", c), c, "left_anti").select("a", "b") for c in ("a", "b")]
-        near = near.union(_near(single[0].union(single[1]), nodes, plan))
+        far = [met.join(_ends(near).withColumnRenamed("node", c), c, "left_anti").select("a", "b") for c in ("a", "b")]
+        near = near.union(_near(far[0].union(far[1]).distinct().join(ahead, ["a", "b"], "left_anti"), nodes, plan))
     sets = _sets(_ends(near), nodes, texts)
     first = stored(confirmed(near, sets), "wide-first")
     if not some_hot:
         return first
     # Who is in one group with the pivot, by whatever links, meets the others only; those of one group meet no more.
-    roots = stored(connected(first), "wide-roots")
-    built = sets.select("node", F.lit(True).alias("built"))
-    under = stored(
-        _under_hot(met, held, roots).join(built, "node", "left").withColumn("built", F.col("built").isNotNull()), "wide-under"
-    )
+    roots = sets.select("node").join(connected(first), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    under = stored(_under_hot(met, held, stored(roots, "wide-roots")), "wide-under")
     by_key = under.groupBy("key").agg(
         F.count("*").alias("n"),
         *[F.count_if(F.expr(c)).alias(name) for c, name in (("not built", "u"), ("kept", "k"), ("kept and not built", "ku"))],
@@ -409,20 +405,22 @@ def links(nodes: DataFrame, texts: DataFrame, plan: Plan, hot_above: int = HOT)
 
 
 def _under_hot(met: DataFrame, held: DataFrame, roots: DataFrame) -> DataFrame:
-    """(key, node, root, pivot, pivot_root, free, kept): who met the pivot of a hot key, whether outside its group, whether stored there."""
+    """(key, node, root, pivot, pivot_root, free, kept, built): who met the pivot of a hot key, whether outside its group,
+    whether stored there, whether with a set; ``roots(node, root)`` has all that have one."""
     under = met.filter("key is not null").select("key", "y", _other("y").alias("pivot"))
     for name in ("y", "pivot"):
-        found = roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
-        under = under.join(found, name, "left").withColumn(f"{name}_root", F.coalesce(f"{name}_root", name))
+        under = under.join(roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root")), name, "left")
     stands = held.select("key", F.col("x").alias("y"), F.lit(True).alias("stands"))
+    root, pivot_root = F.coalesce("y_root", "y"), F.coalesce("pivot_root", "pivot")
     return under.join(stands, ["key", "y"], "left").select(
         "key",
         F.col("y").alias("node"),
-        F.col("y_root").alias("root"),
+        root.alias("root"),
         "pivot",
-        "pivot_root",
-        (F.col("y_root") != F.col("pivot_root")).alias("free"),
+        pivot_root.alias("pivot_root"),
+        (root != pivot_root).alias("free"),
         F.col("stands").isNotNull().alias("kept"),
+        F.col("y_root").isNotNull().alias("built"),
     )
 
 
