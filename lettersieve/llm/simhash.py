@@ -120,7 +120,8 @@ def links(prints: DataFrame) -> DataFrame:
     chain = F.lit(False)
     for i in range(SEGMENTS):
         chain = chain | ((start == i) & chain_holds(i))
-    candidates = kept.join(asked, "key").filter(F.col("x") < F.col("y")).filter(chain)
+    # By Spark's estimate a side is no larger than before its keys were listed, so it would broadcast 70 rows a print.
+    candidates = kept.join(asked.hint("merge"), "key").filter(F.col("x") < F.col("y")).filter(chain)
     within = F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= DISTANCE
     return candidates.filter(within).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
 

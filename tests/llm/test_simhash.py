@@ -76,6 +76,13 @@ def test_all_links_and_no_others(spark):
     assert found == want and want
 
 
+def test_listed_keys_are_never_broadcast(spark, tmp_path):
+    """A stored table of prints looks small to Spark, also with 70 keys listed for each of its rows."""
+    spark.range(1000).selectExpr("xxhash64(id) AS fp").write.parquet(str(tmp_path / "prints"))
+    plan = simhash.links(spark.read.parquet(str(tmp_path / "prints")))._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan and "Broadcast" not in plan
+
+
 def test_one_of_each(clashing_docs, no_docs):
     kept = simhash.one_of_each(clashing_docs)
     assert kept.columns == clashing_docs.columns
