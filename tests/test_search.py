@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lettersieve.operators import matching, postings, ranking, slices
+from lettersieve.operators import batch_scores, matching, postings, ranking, slices
 from lettersieve.operators.matching import HEADER_KINDS, Arg, Node
 from lettersieve.plans import index_run, session_index
 from lettersieve.sources import index_tables, shared
@@ -284,6 +284,25 @@ def test_batch_of_one_equals_single_search(spark, index, joins):
         assert got == {(r.box, r.uid, r.score, r.rank) for r in want}
 
 
+def test_batch_scores_are_summed_without_a_row_for_each_query_and_word(spark, index, monkeypatch):
+    """Also where a task takes few documents at a time and holds few hits; repeated and nameless queries count too."""
+    data = [(1, "alpha beta hot", "or"), (2, "beta beta", "or"), (2, "beta alpha", "or"), (None, "hot alpha", "and"), (3, "beta", "and")]
+    queries = spark.createDataFrame(data, "query_id bigint, value string, operator string")
+    terms = ranking.batch_terms(queries, ["subject", "body"])
+    with monkeypatch.context() as patch:
+        patch.setattr(slices, "BROADCAST_ROWS", 0)
+        want = {limit: sorted(map(str, ranking.search_batch(index, terms, limit).collect())) for limit in (None, 2)}
+    assert want[2] and len(want[2]) < len(want[None])
+    for cells, held in ((batch_scores.CELLS, batch_scores.HELD), (5, 40), (1, 2)):
+        monkeypatch.setattr(batch_scores, "CELLS", cells)
+        monkeypatch.setattr(batch_scores, "HELD", held)
+        for limit in (None, 2):
+            found = ranking.search_batch(index, terms, limit)
+            assert sorted(map(str, found.collect())) == want[limit], (cells, held, limit)
+    text = plan(ranking.search_batch(index, terms.filter("operator = 'or'"), 2))
+    assert not re.search(r"Aggregate\(keys=\[query_id", text)
+
+
 def test_fields_of_a_table_of_arguments(spark):
     args = spark.createDataFrame(
         [(1, "text", None), (2, "header", "X.Foo"), (2, "body", None), (3, "flags", None), (4, "header", "Secret")],
