@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from lettersieve.operators import upkeep
 from lettersieve.operators.postings import Index, Losses, losses, united
-from lettersieve.sources import index_tables
+from lettersieve.sources import index_tables, shared
 
 CHECKPOINTS = "box string, last_indexed_uid bigint"
 # number: order of the runs. part: its folder, which stands for the runs from ``first`` on. n_rows: its documents
@@ -91,27 +91,37 @@ def run(
     """The store after indexing ``documents`` (box, uid, fields) and removing some (box, uid).
 
     A document replaces its older version. Checkpoints, by default the stored ones, advance
-    to what was indexed; they are written with the part, before the run counts.
+    to what was indexed; they are written with the part, before the run counts. A part that replaces or removes
+    all documents, as a rescan does, stands for all runs: nothing is kept of what the earlier ones lose.
     """
     spark = documents.sparkSession
     folder = f"part-{store.number + 1}-{uuid.uuid4().hex}"
     path = f"{store.root}/{folder}"
-    index_tables.write_index(documents, path, store.index.term_buckets if store.index else None)
+    buckets, earlier = (store.index.term_buckets, store.index.boxes) if store.index else (None, None)
+    index_tables.write_index(documents, path, buckets, earlier)
     part = index_tables.read_index(spark, path)
     touched = part.keys if removed is None else part.keys.unionByName(removed.select("box", "uid"))
-    n_lost = 0
-    if store.index is not None:
-        lost = losses(store.index, touched)
-        for name, table in zip(LOSSES, (lost.keys, lost.dictionary, lost.field_stats), strict=True):
-            table.write.parquet(f"{path}/{name}")
-        n_lost = _lost(spark, path).keys.count()
+    number = store.number + 1
+    n_lost, first = 0, number
+    if store.index is not None and _all_in(store.index.keys, touched):
+        first = 1
+    elif store.index is not None:
+        with shared.brief_shuffles(spark):
+            lost = losses(store.index, touched)
+            for name, table in zip(LOSSES, (lost.keys, lost.dictionary, lost.field_stats), strict=True):
+                table.write.parquet(f"{path}/{name}")
+            n_lost = _lost(spark, path).keys.count()
     marks = store.checkpoints if checkpoints is None else checkpoints
     upkeep.advance_checkpoints(marks, part.keys).write.parquet(f"{path}/checkpoints")
-    number = store.number + 1
-    row = (number, number, folder, part.term_buckets, part.keys.count() + n_lost, n_lost)
+    row = (number, first, folder, part.term_buckets, part.keys.count() + n_lost, n_lost)
     return merge_last(_commit(store, spark, row), most_parts)
 
 
+def _all_in(keys: DataFrame, touched: DataFrame) -> bool:
+    with shared.brief_shuffles(keys.sparkSession):
+        return keys.join(touched.select("box", "uid"), ["box", "uid"], "left_anti").isEmpty()
+
+
 def merge_last(store: Store, most_parts: int = MOST_PARTS) -> Store:
     """The store with its last parts in one, if there are more than ``most_parts``."""
     parts = store.parts

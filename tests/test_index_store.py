@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,6 +90,39 @@ def test_rescan_indexes_every_document_once(spark, tmp_path, start):
     assert {r.box: r.last_indexed_uid for r in store.checkpoints.collect()} == {"big": 24, "small": 5}
 
 
+def test_rescan_is_one_part_and_leaves_no_more_than_its_tables(spark, tmp_path, start):
+    """Whole rescans keep no losses; highest uids never fall. Documents that a rescan does not see stay."""
+    docs, root = frame(spark, start), tmp_path / "store"
+    more = frame(spark, make(random.Random(5), [("big", 90)]))
+    store = index_store.run(index_store.create(spark, str(root)), docs.filter("uid <= 3"))
+    store = index_store.run(index_store.index_new(store, docs), more)
+    store = index_store.run(store, docs.limit(0), more.select("box", "uid"))
+    store = index_store.rescan(store, docs)
+    assert_same(store.index, postings.index_of(docs))
+    assert len(store.parts) == 1 and store.number == 5 and store.index.removed is None
+    assert not (root / store.parts[0]["part"] / "lost_keys").exists() and not list(root.glob("*/texts"))
+    assert {r.box: r.max_uid for r in store.index.boxes.collect()} == {"big": 90, "small": 5}
+    store = index_store.rescan(store, docs.filter("uid > 1"))
+    assert len(store.parts) == 2 and store.parts[1]["n_lost"] == len(start) - 2
+    assert_same(store.index, postings.index_of(docs))
+
+
+def test_shuffle_files_of_an_index_go_with_their_step(spark, tmp_path, start):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {name for name in names if name.startswith("shuffle_") and name.endswith(".data")}
+
+    before, setting = shuffles(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    index_tables.write_index(frame(spark, start), str(tmp_path / "index"))
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before and spark.conf.get(setting) == "false"
+
+
 def test_fallback_of_a_box_without_checkpoint_is_stored(spark, tmp_path, start):
     store = index_store.run(index_store.create(spark, str(tmp_path / "store")), frame(spark, start))
     lost = spark.createDataFrame([("big", 24)], MARKS)
